@@ -37,49 +37,34 @@ def four_digit_years(text: Column) -> Column:
 def month_number(name: Column) -> Column:
     """1 to 12, NULL for anything else."""
     position = F.array_position(F.array(*map(F.lit, MONTHS)), F.lower(name))
-    return F.when(position > 0, position.cast("int"))
+    return F.nullif(position.cast("int"), F.lit(0))
 
 
-def _whole(text: Column) -> Column:
-    """The number in a day or year text, NULL if it is no number."""
-    return F.when(strip(text).rlike(r"^\+?[0-9]+$"), strip(text)).try_cast("int")
+def make_date(year: Column, month: Column, day: Column) -> Column:
+    """Date from a year text, a month number and a day text, NULL if it is none.
 
-
-def _make_date(year: Column, month: Column, day: Column) -> Column:
-    iso = F.format_string("%04d-%02d-%02d", year, month, day)
-    return F.when(year >= 1, iso).try_cast("date")
-
-
-def _pick(values: Column, index: int, default: Column, parse) -> Column:
-    return F.when(F.size(values) > index, parse(F.get(values, F.lit(index)))).otherwise(default)
-
-
-def start_date(years: Column, months: Column, days: Column) -> Column:
-    """First year, month and day found; 2017, January and 1 if there is none."""
-    return _make_date(
-        _pick(years, 0, F.lit(DEFAULT_YEAR), _whole),
-        _pick(months, 0, F.lit(1), month_number),
-        _pick(days, 0, F.lit(1), _whole),
-    )
-
-
-def end_date(years: Column, months: Column, days: Column, start: Column) -> Column:
-    """Second year, month and day found, each defaulting to the start's."""
-    return _make_date(
-        _pick(years, 1, F.year(start), _whole),
-        _pick(months, 1, F.month(start), month_number),
-        _pick(days, 1, F.day(start), _whole),
-    )
+    What was found around the two digits of a day may make it no number.
+    """
+    day = F.ltrim(strip(day), F.lit("+"))
+    valid = (F.length(day) == 2) & (year != "0000")
+    return F.when(valid, F.concat_ws("-", year, month.cast("string"), day)).try_cast("date")
 
 
 def add_report_dates(df: DataFrame, url: str) -> DataFrame:
     """Add ``start_date, end_date, date_error, range_inverted`` read from a URL.
 
-    If either date cannot be made both are NULL and ``date_error`` is set. A
-    range that ends before it starts is kept and flagged.
+    The start is the first year, month and day found, by default 2017, January
+    and 1. The end is the second of each, by default the start's. If either
+    date cannot be made both are NULL and ``date_error`` is set. A range that
+    ends before it starts is kept and flagged.
     """
-    found = [F.col("_years"), F.col("_months"), F.col("_days")]
-    broken = F.col("_start").isNull() | F.col("_end").isNull()
+    year, month, day = F.col("_year"), F.col("_month"), F.col("_day")
+    start, end = F.col("_start"), F.col("_end")
+    broken = start.isNull() | end.isNull()
+
+    def nth(values: Column, i: int) -> Column:
+        return F.get(values, F.lit(i))
+
     return (
         df.withColumn("_name", report_name(F.col(url)))
         .withColumns(
@@ -89,15 +74,30 @@ def add_report_dates(df: DataFrame, url: str) -> DataFrame:
                 "_days": two_digit_days(F.col("_name")),
             }
         )
-        .withColumn("_start", start_date(*found))
-        .withColumn("_end", end_date(*found, F.col("_start")))
         .withColumns(
             {
-                "start_date": F.when(~broken, F.col("_start")),
-                "end_date": F.when(~broken, F.col("_end")),
+                "_year": F.coalesce(nth(F.col("_years"), 0), F.lit(str(DEFAULT_YEAR))),
+                "_month": F.coalesce(month_number(nth(F.col("_months"), 0)), F.lit(1)),
+                "_day": F.coalesce(nth(F.col("_days"), 0), F.lit("01")),
+            }
+        )
+        .withColumns(
+            {
+                "_start": make_date(year, month, day),
+                "_end": make_date(
+                    F.coalesce(nth(F.col("_years"), 1), year),
+                    F.coalesce(month_number(nth(F.col("_months"), 1)), month),
+                    F.coalesce(nth(F.col("_days"), 1), day),
+                ),
+            }
+        )
+        .withColumns(
+            {
+                "start_date": F.when(~broken, start),
+                "end_date": F.when(~broken, end),
                 "date_error": broken,
-                "range_inverted": F.coalesce(F.col("_end") < F.col("_start"), F.lit(False)),
+                "range_inverted": F.coalesce(end < start, F.lit(False)),
             }
         )
-        .drop("_name", "_years", "_months", "_days", "_start", "_end")
+        .drop("_name", "_years", "_months", "_days", "_year", "_month", "_day", "_start", "_end")
     )

@@ -14,7 +14,7 @@ def parse_price(text: Column) -> Column:
     one, two, or more than three it is the decimal point. All others group.
     """
     token = F.regexp_extract(text, r"[0-9][0-9.,\s\u00a0]*", 0)
-    amount = F.regexp_replace(token, r"[\s\u00a0]+|[.,\s\u00a0]+\z", "")
+    amount = F.rtrim(F.translate(token, " \t\n\x0b\x0c\r\u00a0", ""), F.lit(".,"))
     marked = F.regexp_replace(amount, r"[.,]([0-9]{1,2}|[0-9]{4,})\z", "_$1")
     return F.translate(marked, "_.,", ".").try_cast("decimal(18,4)")
 

@@ -28,18 +28,21 @@ ENTITIES = (
 ACCENTED = "áàâäãåéèêëíìîïóòôöõúùûüñçý"
 PLAIN = "aaaaaaeeeeiiiiooooouuuuncy"
 
-# What Python calls white space: Unicode white space and four separators.
-_BLANK = r"[\s\x1c-\x1f]"
+# What Python calls white space.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(text: Column) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(text, rf"(?U)^{_BLANK}+|{_BLANK}+\z", "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def squeeze(text: Column) -> Column:
     """Runs of white space become one blank, ends are stripped."""
-    return strip(F.regexp_replace(text, rf"(?U){_BLANK}+", " "))
+    return strip(F.regexp_replace(text, r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def null_token(text: Column) -> Column:

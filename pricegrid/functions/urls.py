@@ -66,7 +66,8 @@ def output_name(path: Column, variant: Column | None = None) -> Column:
 def percent_decode(text: Column) -> Column:
     """Decode %XX and nothing else: "+" stays, a bad escape stays."""
     safe = F.regexp_replace(text, "%(?![0-9A-Fa-f]{2})", "%25")
-    return F.url_decode(F.replace(safe, F.lit("+"), F.lit("%2B")))
+    decoded = F.url_decode(F.replace(safe, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(text, F.lit("%")), decoded).otherwise(text)
 
 
 def report_name(url: Column) -> Column:

@@ -191,8 +191,12 @@ def attach_layout(cells: DataFrame, layouts: DataFrame) -> DataFrame:
 
     ``layouts`` carries the numbered columns as ``slots``. A cell of a dropped
     column finds no slot and goes, one that belongs to two variants comes twice.
-    There is no filter on ``slots`` itself: pushed down, it would work out the
-    whole layout again for every array element.
+
+    Empty cells do not travel: an attribute that finds no cell is taken as empty
+    anyway. Prices are read before the shuffle, once per cell. The hash table of
+    a task holds the layouts of its pages, a small part of its cells, and saves
+    sorting those. There is no filter on ``slots`` itself: pushed down, it would
+    work out the whole layout again for every array element.
     """
     by_column = F.transform(
         F.sequence(
@@ -211,15 +215,18 @@ def attach_layout(cells: DataFrame, layouts: DataFrame) -> DataFrame:
             F.explode(F.sequence(F.lit(0), last_block)).alias("block"),
         )
     )
-    body = cells.filter(F.col("row_no") >= HEADER_ROWS).withColumn(
-        "block", F.floor(F.col("row_no") / ROWS_PER_BLOCK).cast("int")
+    body = cells.filter((F.col("row_no") >= HEADER_ROWS) & F.col("cell").isNotNull()).withColumns(
+        {
+            "block": F.floor(F.col("row_no") / ROWS_PER_BLOCK).cast("int"),
+            "price": parse_price(null_token(F.col("cell"))),
+        }
     )
     gcol = F.try_element_at("first_col", F.col("table_no")) + F.col("col_no")
     return (
-        body.join(layouts, BLOCK)
+        body.join(layouts.hint("shuffle_hash"), BLOCK)
         .withColumn("slot", F.explode(F.get("by_column", gcol)))
         .select(
-            *BLOCK, "row_no", "cell", *REPORT,
+            *BLOCK, "row_no", "cell", "price", *REPORT,
             "slot.variant", "slot.gcol", "slot.kcol", "slot.n_cols",
             "slot.vendor_raw", "slot.vendor",
         )
@@ -233,10 +240,8 @@ def unpivot(cells: DataFrame, n_attributes: int) -> DataFrame:
     grid row and lies within the block the cells are already shuffled by.
     """
     row = W.partitionBy("row_no", "variant", "block", "page_no", "file_url")
-    price = F.when(F.col("kcol") >= n_attributes, parse_price(null_token(F.col("cell"))))
     return (
-        cells.withColumn("price", price)
-        .filter((F.col("kcol") < n_attributes) | is_priced(F.col("price")))
+        cells.filter((F.col("kcol") < n_attributes) | is_priced(F.col("price")))
         .select(
             "*",
             *[
@@ -288,7 +293,7 @@ def basket_prices(
     """
     layouts = with_report(page_layouts(cells, excluded, clean=True), dataset)
     layouts = layouts.withColumn("slots", number_columns(F.col("columns"), "single"))
-    body = cells.withColumn("cell", clean_cell(F.col("cell")))
+    body = cells.withColumn("cell", F.replace("cell", F.lit("\n"), F.lit("")))
     rows = unpivot(attach_layout(body, layouts), n_attributes=2)
     attributes = [
         strip(null_token(F.coalesce(f"attr_{i}", F.lit(FILLER)))).alias(name)

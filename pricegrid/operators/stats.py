@@ -1,30 +1,35 @@
 """Exact order statistics that do not need a whole group in one task.
 
 Rows are first counted per distinct price. Prices are then grouped into bands
-of one currency unit, at most 10,000 distinct prices each, and what lies below
-a band is found on the few rows per band. So neither a very frequent product
-nor the total over everything is ever sorted as one group of rows.
+of a hundred currency units, at most a million distinct prices each, and what
+lies below a band is found on the few rows per band. So neither a very frequent
+product nor the total over everything is ever sorted as one group of rows.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+BAND_WIDTH = 100
 
-def price_levels(prices: DataFrame, keys: list[str]) -> DataFrame:
-    """``n`` rows per key and distinct price."""
-    return prices.groupBy(*keys, "price").agg(F.count("*").alias("n"))
 
+def price_levels(prices: DataFrame, keys: list[str]) -> DataFrame:
+    """``n`` rows per key and distinct price, with the price's band.
 
-def _band() -> Column:
-    return F.floor("price").cast("bigint")
+    Rows without a price are left out here, so that every later step reads the
+    same aggregate and Spark can share its shuffle between them.
+    """
+    return (
+        prices.withColumn("band", F.expr(f"cast(floor(price) as bigint) div {BAND_WIDTH}"))
+        .filter("band is not null")
+        .groupBy(*keys, "band", "price")
+        .agg(F.count("*").alias("n"))
+    )
 
 
 def price_bands(levels: DataFrame, keys: list[str]) -> DataFrame:
     """Per key and band: rows below the band, rows in it, and the key's totals."""
-    bands = levels.groupBy(*keys, _band().alias("band")).agg(
+    bands = levels.groupBy(*keys, "band").agg(
         F.sum("n").alias("band_n"), F.min("price").alias("band_low")
     )
     group = W.partitionBy(*keys)
@@ -46,75 +51,94 @@ def levels_before(levels: DataFrame, bands: DataFrame, keys: list[str]) -> DataF
         F.sum("n").over(within.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)
     )
     return (
-        levels.withColumn("band", _band())
-        .join(bands, [*keys, "band"])
+        levels.join(bands, [*keys, "band"])
         .withColumn("before", F.col("band_before") + lower)
         .drop("band", "band_before", "band_n")
     )
 
 
+def _holds(position: Column, start: str, count: str) -> Column:
+    return (F.col(start) <= position) & (position < F.col(start) + F.col(count))
+
+
 def medians(levels: DataFrame, keys: list[str]) -> DataFrame:
     """Exact median per key: mean of the one or two middle rows.
 
     Only the bands that hold a middle row go on to the second step.
     """
     low, high = F.floor((F.col("total") - 1) / 2), F.floor(F.col("total") / 2)
-
-    def holds(position: Column, start: str, count: str) -> Column:
-        return (F.col(start) <= position) & (position < F.col(start) + F.col(count))
-
     bands = price_bands(levels, keys).filter(
-        holds(low, "band_before", "band_n") | holds(high, "band_before", "band_n")
+        _holds(low, "band_before", "band_n") | _holds(high, "band_before", "band_n")
     )
-    middle = levels_before(levels, bands, keys)
-    return middle.groupBy(*keys).agg(
-        (
-            (
-                F.max(F.when(holds(low, "before", "n"), F.col("price")))
-                + F.max(F.when(holds(high, "before", "n"), F.col("price")))
-            )
-            / 2
-        ).alias("median_price")
+    lower = F.max(F.when(_holds(low, "before", "n"), F.col("price")))
+    upper = F.max(F.when(_holds(high, "before", "n"), F.col("price")))
+    return (
+        levels_before(levels, bands, keys)
+        .groupBy(*keys)
+        .agg(((lower + upper) / 2).alias("median_price"))
     )
 
 
+def modes(levels: DataFrame, keys: list[str]) -> DataFrame:
+    """Most frequent price per key, the lowest of those if several are.
+
+    Count and price are put into one number, count first, so that the aggregate
+    needs no sort.
+    """
+    order = F.col("n").cast("decimal(18,0)") * F.lit(10**14).cast("decimal(15,0)")
+    return levels.groupBy(*keys).agg(F.max_by("price", order - F.col("price")).alias("mode_price"))
+
+
+def _by_grain(df: DataFrame, product: str, dataset: str, more: list[str], *measures: Column) -> DataFrame:
+    """Aggregate by product, by dataset and over all, as ``grain`` and ``key``."""
+    sets = [[product, *more], [dataset, *more], more]
+    return df.groupingSets(
+        [[F.col(c) for c in columns] for columns in sets], product, dataset, *more
+    ).agg(
+        F.when(F.grouping(product) == 0, "product")
+        .when(F.grouping(dataset) == 0, "dataset")
+        .otherwise("all")
+        .alias("grain"),
+        F.coalesce(F.col(product), F.col(dataset), F.lit("*")).alias("key"),
+        *measures,
+    ).drop(product, dataset)
+
+
 def price_stats(prices: DataFrame, product: str = "product", dataset: str = "dataset") -> DataFrame:
     """The summary columns of a survey, recomputed from its long rows.
 
-    One row per product, per dataset, and one for everything (``grain`` and
-    ``key`` tell which). The mode is the most frequent price, the lowest of
-    those if several are.
+    One row per product, per dataset, and one for everything. Sums are taken
+    once per product and dataset and then added up; only median and mode need
+    the price levels.
     """
-    finest = prices.groupBy(product, dataset, "price").agg(F.count("*").alias("n"))
-    sets = [[product, "price"], [dataset, "price"], ["price"]]
-    grains = F.grouping_id()
-    levels = (
-        finest.groupingSets(
-            [[F.col(c) for c in columns] for columns in sets], product, dataset, "price"
-        )
-        .agg(F.sum("n").alias("n"), grains.alias("gid"))
-        .select(
-            F.when(F.col("gid") == 2, "product").when(F.col("gid") == 4, "dataset").otherwise("all").alias("grain"),
-            F.coalesce(F.col(product), F.col(dataset), F.lit("*")).alias("key"),
-            "price",
-            "n",
-        )
-    )
     keys = ["grain", "key"]
-    price, n = F.col("price").cast("double"), F.col("n").cast("double")
-    total = F.sum(F.col("n").cast("decimal(18,0)") * F.col("price")).cast("double")
-    squares = F.sum(n * price * price)
-    count = F.sum("n")
-    variance = (squares - total * total / count) / F.nullif(count - 1, F.lit(0))
-    moments = levels.groupBy(*keys).agg(
-        count.alias("n"),
+    sums = prices.groupBy(product, dataset).agg(
+        F.count("*").alias("n"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
-        (total / count).alias("avg_price"),
-        F.sqrt(F.greatest(variance, F.lit(0.0))).alias("stddev_price"),
+        F.sum("price").alias("total"),
+        F.sum(F.col("price").cast("double") * F.col("price").cast("double")).alias("squares"),
     )
-    modes = levels.groupBy(*keys).agg(
-        F.min_by("price", F.struct(-F.col("n"), F.col("price"))).alias("mode_price")
+    n, total = F.col("n"), F.col("total").cast("double")
+    variance = (F.col("squares") - total * total / n) / F.nullif(n - 1, F.lit(0))
+    moments = _by_grain(
+        sums,
+        product,
+        dataset,
+        [],
+        F.sum("n").alias("n"),
+        F.min("min_price").alias("min_price"),
+        F.max("max_price").alias("max_price"),
+        F.sum("total").alias("total"),
+        F.sum("squares").alias("squares"),
+    ).select(
+        *keys,
+        "n",
+        "min_price",
+        "max_price",
+        (total / n).alias("avg_price"),
+        F.sqrt(F.greatest(variance, F.lit(0.0))).alias("stddev_price"),
     )
-    parts = [moments, modes, medians(levels, keys)]
-    return reduce(lambda left, right: left.join(right, keys), parts)
+    finest = price_levels(prices, [product, dataset])
+    levels = _by_grain(finest, product, dataset, ["band", "price"], F.sum("n").alias("n"))
+    return moments.join(modes(levels, keys), keys).join(medians(levels, keys), keys)
