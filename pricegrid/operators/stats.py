@@ -107,11 +107,12 @@ def _by_grain(df: DataFrame, product: str, dataset: str, more: list[str], *measu
 def price_stats(prices: DataFrame, product: str = "product", dataset: str = "dataset") -> DataFrame:
     """The summary columns of a survey, recomputed from its long rows.
 
-    One row per product, per dataset, and one for everything. Sums are taken
-    once per product and dataset and then added up; only median and mode need
+    One row per product, per dataset, and one for everything; rows without a
+    price do not count. Sums are taken once per product and dataset and then added up; only median and mode need
     the price levels.
     """
     keys = ["grain", "key"]
+    prices = prices.filter("price is not null")
     sums = prices.groupBy(product, dataset).agg(
         F.count("*").alias("n"),
         F.min("price").alias("min_price"),
@@ -120,7 +121,7 @@ def price_stats(prices: DataFrame, product: str = "product", dataset: str = "dat
         F.sum(F.col("price").cast("double") * F.col("price").cast("double")).alias("squares"),
     )
     n, total = F.col("n"), F.col("total").cast("double")
-    variance = (F.col("squares") - total * total / n) / F.nullif(n - 1, F.lit(0))
+    variance = (F.col("squares") - total * total / n) / (n - 1)
     moments = _by_grain(
         sums,
         product,
@@ -137,7 +138,7 @@ def price_stats(prices: DataFrame, product: str = "product", dataset: str = "dat
         "min_price",
         "max_price",
         (total / n).alias("avg_price"),
-        F.sqrt(F.greatest(variance, F.lit(0.0))).alias("stddev_price"),
+        F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("stddev_price"),
     )
     finest = price_levels(prices, [product, dataset])
     levels = _by_grain(finest, product, dataset, ["band", "price"], F.sum("n").alias("n"))
