@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pricegrid import schemas
 from pricegrid.functions.prices import currency, parse_price
+from pricegrid.functions.text import null_token, squeeze
 from pricegrid.operators.html import FEES_DATE, FLOWERS_DATE, parsed_rows
 
 # What the cells of a table row are, from left to right.
@@ -49,3 +50,13 @@ def transport_fees(pages: DataFrame, day: datetime.date | None = None) -> DataFr
 def typed(feed: DataFrame, amount: str) -> DataFrame:
     """Keep the text as ``<amount>_text`` and make the column a number."""
     return feed.withColumn(f"{amount}_text", F.col(amount)).withColumn(amount, parse_price(F.col(amount)))
+
+
+def cleaned(feed: DataFrame, amount: str) -> DataFrame:
+    """Tidy a raw feed: single spaces, NULL for "missing", a typed amount.
+
+    Rows without an amount are dropped, as they are in the surveys.
+    """
+    texts = [f.name for f in feed.schema if f.dataType.typeName() == "string"]
+    tidy = feed.withColumns({name: null_token(squeeze(F.col(name))) for name in texts})
+    return typed(tidy, amount).filter(F.coalesce(F.col(amount) != 0, F.lit(False)))

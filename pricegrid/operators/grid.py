@@ -68,11 +68,11 @@ def page_tables(cells: DataFrame) -> DataFrame:
 
 
 def page_headers(cells: DataFrame) -> DataFrame:
-    """One row per page with the cells of its header rows."""
+    """One row per page with the cells of its header rows, each once."""
     return (
         cells.filter(F.col("row_no") < HEADER_ROWS)
         .groupBy(*PAGE)
-        .agg(F.collect_list(F.struct("table_no", "col_no", "row_no", "cell")).alias("header"))
+        .agg(F.collect_set(F.struct("table_no", "col_no", "row_no", "cell")).alias("header"))
     )
 
 

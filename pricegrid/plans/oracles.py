@@ -306,6 +306,23 @@ WITH {_GRID}, {_MEDICINES}
 SELECT variant, file_id, medication_name, dosage, maker, unit, vendor, price, currency, start_date, end_date
 FROM medicines""",
     "feed_csv": _FLOWERS.format(text=_GROUPED, column="price"),
+    "survey_end_to_end": f"""
+WITH {_BASKETS}
+SELECT id, 'hardware_products' AS dataset, file_id, description, unit, vendor, price, currency, start_date, end_date
+FROM baskets WHERE file_id NOT IN (
+  SELECT file_id FROM placed WHERE p_type = 'PROMO' AND p_brand = 'Brand#1' AND p_size <= 5)""",
+    "feed_cleanup": """
+SELECT c_custkey, c_name || ' S.A.' AS vendor,
+       CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN c_mktsegment END AS unit,
+       CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DECIMAL(18,4)) AS price,
+       'RD$ ' || CAST(c_acctbal AS DECIMAL(12,2)) AS price_text
+FROM customer WHERE CAST(c_acctbal AS DECIMAL(12,2)) > 0""",
+    "daily_feed_load": """
+SELECT md5('809-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') || '|L' || c_custkey || '|2020-01-15') AS id,
+       'transportation_fees' AS dataset, DATE '2020-01-15' AS start_date, c_name AS representative,
+       n_name || ' centro' AS stop, CAST(abs(CAST(c_acctbal AS DECIMAL(12,2))) AS DECIMAL(18,4)) AS cost
+FROM customer JOIN nation ON c_nationkey = n_nationkey
+WHERE CAST(c_acctbal AS DECIMAL(12,2)) <> 0""",
 }
 ORACLES["link_extract_parsed"] = ORACLES["link_extract"]
 ORACLES["page_first_text_parsed"] = ORACLES["page_first_text"]

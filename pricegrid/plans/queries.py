@@ -26,10 +26,11 @@ from pricegrid.operators.rows import drop_repeats, union_all
 from pricegrid.operators.stats import price_stats
 from pricegrid.plans import standins as data
 from pricegrid.plans.standins import money, table
+from pricegrid.plans.surveys import new_reports, survey
 from pricegrid.session import scratch_dir, stage
 from pricegrid.sinks.files import write_archive, write_feed, write_report_csv
 from pricegrid.sinks.reload import replace_range, replaced
-from pricegrid.sources.tables import read_archive, read_feed
+from pricegrid.sources.tables import read_archive, read_feed, stream_feed
 from pricegrid.streaming.load import load_increment, stream_without_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -410,6 +411,44 @@ def feed_csv(spark, sf_dir):
     return read_feed(spark, path, schemas.FLOWERS).select(*fields)
 
 
+def survey_end_to_end(spark, sf_dir):
+    """From index pages over links and new reports to observations."""
+    pages = stage(data.index_pages(spark, sf_dir), "index")
+    seeds = pages.select("url", F.lit("hardware_products").alias("dataset"), F.lit(True).alias("active"))
+    parts = data.parts_by_region(spark, sf_dir).select("file_url", "p_type", "p_brand", "p_size")
+    held = parts.filter("p_type = 'PROMO' and p_brand = 'Brand#1' and p_size <= 5")
+    stored = reports.report_links(held.select("file_url").distinct())
+    cells = stage(data.basket_cells(spark, sf_dir), "cells")
+    found = new_reports(pages, seeds, stored)
+    return survey(cells, found, stored).select(*schemas.PRICE_OBS.names)
+
+
+def feed_cleanup(spark, sf_dir):
+    return feeds.cleaned(data.untidy_feed(spark, sf_dir), "price")
+
+
+def daily_feed_load(spark, sf_dir):
+    """The bus fare feed as CSV, picked up by a stream and archived."""
+    feed = feeds.transport_fees(data.fee_pages(spark, sf_dir), RUN_DATE)
+    root, archive = scratch_dir(spark, "feeds"), scratch_dir(spark, "archive")
+    write_feed(feed, root, "fees", "2020-01-15", schemas.TRANSPORT_FEES.names)
+
+    def clean(rows: DataFrame) -> DataFrame:
+        tidy = feeds.cleaned(rows, "cost")
+        return tidy.select(
+            observation_id("phone_number", "line", "last_updated_at").alias("id"),
+            F.lit("transportation_fees").alias("dataset"),
+            F.col("last_updated_at").alias("start_date"),
+            "representative",
+            "stop",
+            "cost",
+        )
+
+    stream = stream_feed(spark, f"{root}/fees/*", schemas.TRANSPORT_FEES)
+    load_increment(stream, archive, scratch_dir(spark, "state"), clean)
+    return read_archive(spark, archive).select("id", "dataset", "start_date", "representative", "stop", "cost")
+
+
 QUERIES: dict[str, Query] = {
     "seed_pages": seed_pages,
     "link_extract": link_extract,
@@ -450,4 +489,7 @@ QUERIES: dict[str, Query] = {
     "report_csv_export": report_csv_export,
     "medicine_csv_export": medicine_csv_export,
     "feed_csv": feed_csv,
+    "survey_end_to_end": survey_end_to_end,
+    "feed_cleanup": feed_cleanup,
+    "daily_feed_load": daily_feed_load,
 }

@@ -295,6 +295,30 @@ def fee_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Index pages that link to the basket reports, fifty reports a page."""
+    reports = parts_by_region(spark, sf_dir).select("file_url", "p_partkey").groupBy("file_url").agg(
+        F.floor(F.min("p_partkey") / PARTS_PER_FILE / 50).cast("bigint").alias("page_id")
+    )
+    link = F.concat(F.lit("<div class='filetitle'><b>n</b><a href='"), "file_url", F.lit("'>x</a></div>"))
+    return (
+        reports.groupBy("page_id")
+        .agg(F.array_join(F.array_sort(F.collect_list(link)), "\n").alias("html"))
+        .select("page_id", F.concat(F.lit("https://example.org/i/"), "page_id").alias("url"), "html")
+    )
+
+
+def untidy_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as a raw feed with stray blanks and several ways to say "none"."""
+    segment, balance = F.col("c_mktsegment"), money("c_acctbal")
+    return table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.concat(F.lit(" \t"), "c_name", F.lit("\u00a0 S.A.\n")).alias("vendor"),
+        F.when(segment == "BUILDING", "N/A").when(segment == "MACHINERY", "  ").otherwise(segment).alias("unit"),
+        F.when(balance < 0, "--").otherwise(F.concat(F.lit("RD$ "), balance.cast("string"))).alias("price"),
+    )
+
+
 def order_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as reports, named in one of five ways by their priority."""
     start = F.col("o_orderdate").cast("date")
