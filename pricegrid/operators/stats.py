@@ -13,17 +13,17 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 BAND_WIDTH = 100
 
 
-def price_levels(prices: DataFrame, keys: list[str]) -> DataFrame:
+def price_levels(prices: DataFrame, keys: list[str], *more: Column) -> DataFrame:
     """``n`` rows per key and distinct price, with the price's band.
 
-    Rows without a price are left out here, so that every later step reads the
+    ``more`` are further aggregates to take along. Rows without a price are left out here, so that every later step reads the
     same aggregate and Spark can share its shuffle between them.
     """
     return (
         prices.withColumn("band", F.expr(f"cast(floor(price) as bigint) div {BAND_WIDTH}"))
         .filter("band is not null")
         .groupBy(*keys, "band", "price")
-        .agg(F.count("*").alias("n"))
+        .agg(F.count("*").alias("n"), *more)
     )
 
 
