@@ -7,7 +7,9 @@ Everything here is derived from whole tables and grows with them.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from functools import cache
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from pricegrid.functions.dates import MONTHS
 
@@ -17,8 +19,15 @@ PARTS_PER_FILE = 400
 ROWS_PER_HTML_PAGE = 50
 
 
+@cache
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    """Schema of a table, read once: the tables do not change during a run."""
+    return spark.read.parquet(path).schema
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def money(column: str) -> Column:
@@ -142,26 +151,15 @@ def _grid(parts: DataFrame, body: list[tuple], header: list[tuple], pages: Colum
             )
         ).alias("c"),
     ).select("file_url", "page_no", "c.table_no", "row_no", "c.col_no", "c.cell")
+    text = lambda value: "null" if value is None else "'" + value.replace("\n", "\\n") + "'"
+    structs = ", ".join(
+        f"named_struct('table_no', {t}, 'row_no', {r}, 'col_no', {c}, 'cell', cast({text(value)} as string))"
+        for t, r, c, value in header
+    )
     heads = (
         parts.select("file_url", "page_no")
         .distinct()
-        .select(
-            "file_url",
-            "page_no",
-            F.inline(
-                F.array(
-                    *[
-                        F.struct(
-                            F.lit(t).alias("table_no"),
-                            F.lit(r).alias("row_no"),
-                            F.lit(c).alias("col_no"),
-                            F.lit(text).cast("string").alias("cell"),
-                        )
-                        for t, r, c, text in header
-                    ]
-                )
-            ),
-        )
+        .select("file_url", "page_no", F.expr(f"inline(array({structs}))"))
     )
     return cells.unionByName(heads)
 
