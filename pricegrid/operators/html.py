@@ -27,13 +27,21 @@ HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*["']([^"']*)["']"""
 VOID = frozenset(
     "area base br col embed hr img input link meta source track wbr".split()
 )
-# An open element on the left ends where one on the right starts.
-IMPLIED_END = {
-    "td": {"td", "th", "tr", "tbody"},
-    "th": {"td", "th", "tr", "tbody"},
-    "tr": {"tr", "tbody"},
+# An open element on the right ends where the one on the left starts.
+ENDS_OPEN = {
     "li": {"li"},
-    "p": {"p", "div", "table", "ul", "center"},
+    "p": {"p"},
+    "div": {"p"},
+    "ul": {"p"},
+    "center": {"p"},
+    "table": {"p"},
+}
+# The same for parts of a table, whatever is left open inside them.
+ENDS_PART = {
+    "td": {"td", "th"},
+    "th": {"td", "th"},
+    "tr": {"tr"},
+    "tbody": {"tr", "tbody", "thead"},
 }
 
 
@@ -144,11 +152,9 @@ class PageReader(HTMLParser):
         self.rows: list[list[str]] = []
         self.open_rows: list[tuple[int, list]] = []
         self.open_cells: list[tuple[int, list]] = []
-        self.all_cells: list[list] = []
 
     def handle_starttag(self, tag, attrs):
-        while self.path and tag in IMPLIED_END.get(self.path[-1][0], ()):
-            self._close()
+        self._imply_ends(tag)
         values = dict(attrs)
         element = (tag, values.get("id"), (values.get("class") or "").split())
         self.path.append(element)
@@ -168,6 +174,25 @@ class PageReader(HTMLParser):
         if tag in VOID:
             self._close()
 
+    def _imply_ends(self, tag):
+        while self.path and self.path[-1][0] in ENDS_OPEN.get(tag, ()):
+            self._close()
+        parts = ENDS_PART.get(tag)
+        if parts:
+            for depth in range(len(self.path) - 1, -1, -1):
+                name = self.path[depth][0]
+                if name == "table":
+                    break
+                if name in parts:
+                    while len(self.path) > depth:
+                        self._close()
+                    break
+
+    def parse_marked_section(self, i, report=1):
+        # "<![...>" is a comment in a web page, whatever is in it
+        end = self.rawdata.find(">", i)
+        return end + 1 if end >= 0 else -1
+
     def handle_endtag(self, tag):
         if any(element[0] == tag for element in self.path):
             while self._close() != tag:

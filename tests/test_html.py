@@ -1,5 +1,6 @@
 import datetime
 
+from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from pricegrid.operators import feeds, html
@@ -93,3 +94,26 @@ def test_raw_files_and_seeds(spark, tmp_path):
     assert page.html == "<h1>á</h1>" and page.url.endswith("a.html")
     active = seeds(spark).filter("active")
     assert active.groupBy("dataset").count().filter("count > 1").count() == 0
+
+
+PIECES = st.sampled_from(
+    "<td> <tr> <table class=table-striped> </table> </td> <b> </b> <![foo x]> <!-- --> <! </ <p> & &#x; "
+    "<a\thref=x> <div/> <script> </script> text <![CDATA[ ]]> <? ' \" = > <td".split(" ")
+)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(PIECES, max_size=25))
+def test_any_text_can_be_read(pieces):
+    html.PageReader(links="a", text="p", rows="table.table-striped tr").read("".join(pieces))
+
+
+def test_open_elements_end_with_their_cell():
+    page = "<table><tr><td><b>x<td>1<tr><td>y<td><table><tr><td>in</table></table>"
+    rows = html.PageReader(rows="table tr").read(page).rows
+    assert [[cell[0] for cell in row] for row in rows] == [["", "1"], ["y", "", "in"], ["in"]]
+
+
+def test_marked_sections_are_skipped():
+    read = html.PageReader(links="a").read("<![if x]><a href='1'></a><![bad [>]<a href='2'></a>")
+    assert read.links == ["1", "2"]
