@@ -193,10 +193,10 @@ def attach_layout(cells: DataFrame, layouts: DataFrame) -> DataFrame:
     column finds no slot and goes, one that belongs to two variants comes twice.
 
     Empty cells do not travel: an attribute that finds no cell is taken as empty
-    anyway. Prices are read before the shuffle, once per cell. The hash table of
-    a task holds the layouts of its pages, a small part of its cells, and saves
-    sorting those. There is no filter on ``slots`` itself: pushed down, it would
-    work out the whole layout again for every array element.
+    anyway. Prices are read before the shuffle, once per cell. The join carries
+    no hint, so that it may sort and spill. There is no filter on ``slots``
+    itself: pushed down, it would work out the whole layout again for every
+    array element.
     """
     by_column = F.transform(
         F.sequence(
@@ -223,7 +223,7 @@ def attach_layout(cells: DataFrame, layouts: DataFrame) -> DataFrame:
     )
     gcol = F.try_element_at("first_col", F.col("table_no")) + F.col("col_no")
     return (
-        body.join(layouts.hint("shuffle_hash"), BLOCK)
+        body.join(layouts, BLOCK)
         .withColumn("slot", F.explode(F.get("by_column", gcol)))
         .select(
             *BLOCK, "row_no", "cell", "price", *REPORT,

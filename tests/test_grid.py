@@ -197,6 +197,6 @@ def test_body_is_shuffled_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # the body meets the layouts by block, and the window adds no exchange
-    above_join = plan.split("ShuffledHashJoin")[0]
+    above_join = plan.split("SortMergeJoin")[0]
     assert "Window" in above_join and "Exchange" not in above_join
     assert "PushedFilters: [IsNotNull(row_no), IsNotNull(cell), GreaterThanOrEqual(row_no,3)" in plan

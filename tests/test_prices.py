@@ -115,10 +115,11 @@ def test_prices_on_days_and_as_of(spark, prices, rows):
         if start <= day and (end is None or day < end)
     }
     asked = spark.createDataFrame([(d,) for d in days + days], "day date")
+    pairs = [(*key, d) for key in by(rows, 0, 1) for d in days + days]
     on_days = price_on_days(price_history(prices), asked)
     assert {(r.product, r.vendor, r.day): r.price for r in on_days.collect()} == want
     assert on_days.count() == len(want)
-    probes = prices.select("product", "vendor").distinct().crossJoin(asked)
+    probes = spark.createDataFrame(pairs, "product string, vendor string, day date")
     answers = price_asof(probes, prices).collect()
     assert len(answers) == 2 * len(days) * len(by(rows, 0, 1))
     assert all(r.price == want.get((r.product, r.vendor, r.day)) for r in answers)
