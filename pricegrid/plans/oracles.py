@@ -310,7 +310,7 @@ FROM medicines""",
 WITH {_BASKETS}
 SELECT id, 'hardware_products' AS dataset, file_id, description, unit, vendor, price, currency, start_date, end_date
 FROM baskets WHERE file_id NOT IN (
-  SELECT file_id FROM placed WHERE p_type = 'PROMO' AND p_brand = 'Brand#1' AND p_size <= 5)""",
+  SELECT file_id FROM placed WHERE p_type = 'PROMO' AND p_brand = 'Brand#5' AND p_size <= 5)""",
     "feed_cleanup": """
 SELECT c_custkey, c_name || ' S.A.' AS vendor,
        CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN c_mktsegment END AS unit,

@@ -416,7 +416,7 @@ def survey_end_to_end(spark, sf_dir):
     pages = stage(data.index_pages(spark, sf_dir), "index")
     seeds = pages.select("url", F.lit("hardware_products").alias("dataset"), F.lit(True).alias("active"))
     parts = data.parts_by_region(spark, sf_dir).select("file_url", "p_type", "p_brand", "p_size")
-    held = parts.filter("p_type = 'PROMO' and p_brand = 'Brand#1' and p_size <= 5")
+    held = parts.filter("p_type = 'PROMO' and p_brand = 'Brand#5' and p_size <= 5")
     stored = reports.report_links(held.select("file_url").distinct())
     cells = stage(data.basket_cells(spark, sf_dir), "cells")
     found = new_reports(pages, seeds, stored)
