@@ -248,7 +248,7 @@ def read_pages(pages: DataFrame, **selectors: str) -> DataFrame:
                 ["page_id", "page_url", "links", "text", "rows"],
             )
 
-    return pages.select("page_id", "url", "html").mapInArrow(
+    return pages.select("page_id", "url", F.make_valid_utf8("html").alias("html")).mapInArrow(
         read,
         "page_id bigint, page_url string, links array<string>, text string, rows array<array<string>>",
     )

@@ -31,10 +31,13 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
-    """Raw pages, one file each; the id is a hash of the file's path."""
+    """Raw pages, one file each; the id is a hash of the file's path.
+
+    Bytes that are no UTF-8 become replacement characters.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select(
         F.xxhash64("path").alias("page_id"),
         F.col("path").alias("url"),
-        F.decode("content", "UTF-8").alias("html"),
+        F.make_valid_utf8(F.col("content").cast("string")).alias("html"),
     )

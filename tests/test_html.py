@@ -90,8 +90,16 @@ def test_selector_needs_the_whole_chain(spark):
 
 def test_raw_files_and_seeds(spark, tmp_path):
     (tmp_path / "a.html").write_text("<h1>á</h1>")
-    [page] = read_page_files(spark, str(tmp_path)).collect()
-    assert page.html == "<h1>á</h1>" and page.url.endswith("a.html")
+    (tmp_path / "b.html").write_bytes(b"<h1>caf\xe9</h1>")
+    files = read_page_files(spark, str(tmp_path))
+    first, second = files.orderBy("url").collect()
+    assert first.html == "<h1>á</h1>" and first.url.endswith("a.html")
+    assert second.html == "<h1>caf�</h1>"
+    texts = html.read_pages(files, text="h1").orderBy("page_url").collect()
+    assert [r.text for r in texts] == ["á", "caf�"]
+    # bytes that came in as text without a check
+    raw = files.withColumn("html", F.expr("cast(unhex('3C68313EE93C2F68313E') as string)"))
+    assert {r.text for r in html.read_pages(raw, text="h1").collect()} == {"�"}
     active = seeds(spark).filter("active")
     assert active.groupBy("dataset").count().filter("count > 1").count() == 0
 
