@@ -7,8 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pricegrid.llm.packing import Tokenizer, pack_documents
 from pricegrid.llm.quality_classifier import quality_scores
 from pricegrid.llm.quality_rules import Vocabulary, quality_rules
+from pricegrid.llm.zip_archive import archive_round_trip
+
+TOKENIZER = Tokenizer(
+    public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+)
 
 VOCABULARIES = [
     Vocabulary("piece", public_tokenizers.path("piece_bpe_32k.model"), "sentencepiece"),
@@ -24,12 +30,37 @@ def op2_quality_classifier(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_packing(spark, sf_dir):
+    return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
+
+
+def op7_zip_archive(spark, sf_dir):
+    return archive_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op8_quality_rules(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents"), VOCABULARIES)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_classifier": op2_quality_classifier,
+    "op6_packing": op6_packing,
+    "op7_zip_archive": op7_zip_archive,
     "op8_quality_rules": op8_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_zip_archive": """
+        WITH payloads AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), firsts AS (
+            SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM payloads
+        ), typed AS (
+            SELECT *, payload_bytes >= 100 AND first_id IS DISTINCT FROM page_id AND first_id IS NOT NULL AS again FROM firsts
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+               CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN again THEN first_id END AS refers_to
+        FROM typed
+    """,
+}
