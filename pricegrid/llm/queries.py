@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pricegrid.llm.packing import Tokenizer, pack_documents
 from pricegrid.llm.quality_classifier import quality_scores
 from pricegrid.llm.quality_rules import Vocabulary, quality_rules
+from pricegrid.llm.secret_scan import find_secrets
 from pricegrid.llm.zip_archive import archive_round_trip
 
 TOKENIZER = Tokenizer(
@@ -26,6 +27,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark, sf_dir):
+    return find_secrets(table(spark, sf_dir, "documents"))
+
+
 def op2_quality_classifier(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +48,7 @@ def op8_quality_rules(spark, sf_dir):
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_quality_classifier": op2_quality_classifier,
     "op6_packing": op6_packing,
     "op7_zip_archive": op7_zip_archive,
