@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pricegrid.llm.near_duplicates import Similarity, near_duplicates
 from pricegrid.llm.packing import Tokenizer, pack_documents
 from pricegrid.llm.quality_classifier import quality_scores
 from pricegrid.llm.quality_rules import Vocabulary, quality_rules
@@ -47,12 +48,17 @@ def op8_quality_rules(spark, sf_dir):
     return quality_rules(table(spark, sf_dir, "documents"), VOCABULARIES)
 
 
+def op9_near_duplicates(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), Similarity(words=3, percent=85))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_classifier": op2_quality_classifier,
     "op6_packing": op6_packing,
     "op7_zip_archive": op7_zip_archive,
     "op8_quality_rules": op8_quality_rules,
+    "op9_near_duplicates": op9_near_duplicates,
 }
 ORACLES: dict[str, str] = {
     "op7_zip_archive": """

@@ -145,5 +145,5 @@ def windows(hashes: np.ndarray, found: Words, size: int) -> tuple[np.ndarray, np
     start = np.flatnonzero(left >= size)
     total = np.zeros(len(start), np.uint64)
     for k in range(size):
-        total = mix(total + hashes[start + k]) if k else hashes[start].copy()
-    return total, start
+        total = total * np.uint64(_RADIX) + hashes[start + k]
+    return mix(total), start
