@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pricegrid.llm.decontamination import leaks
 from pricegrid.llm.near_duplicates import Similarity, near_duplicates
 from pricegrid.llm.packing import Tokenizer, pack_documents
 from pricegrid.llm.quality_classifier import quality_scores
@@ -52,6 +53,10 @@ def op9_near_duplicates(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), Similarity(words=3, percent=85))
 
 
+def op10_decontamination(spark, sf_dir):
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_classifier": op2_quality_classifier,
@@ -59,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_zip_archive": op7_zip_archive,
     "op8_quality_rules": op8_quality_rules,
     "op9_near_duplicates": op9_near_duplicates,
+    "op10_decontamination": op10_decontamination,
 }
 ORACLES: dict[str, str] = {
     "op7_zip_archive": """
