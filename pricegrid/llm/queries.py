@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from pricegrid.llm.chunk_dedup import without_repeats
 from pricegrid.llm.decontamination import leaks
 from pricegrid.llm.near_duplicates import Similarity, near_duplicates
 from pricegrid.llm.packing import Tokenizer, pack_documents
@@ -37,6 +38,10 @@ def op2_quality_classifier(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_chunk_dedup(spark, sf_dir):
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op6_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"), TOKENIZER)
 
@@ -60,6 +65,7 @@ def op10_decontamination(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_classifier": op2_quality_classifier,
+    "op5_chunk_dedup": op5_chunk_dedup,
     "op6_packing": op6_packing,
     "op7_zip_archive": op7_zip_archive,
     "op8_quality_rules": op8_quality_rules,
