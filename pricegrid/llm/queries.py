@@ -14,6 +14,7 @@ from pricegrid.llm.packing import Tokenizer, pack_documents
 from pricegrid.llm.quality_classifier import quality_scores
 from pricegrid.llm.quality_rules import Vocabulary, quality_rules
 from pricegrid.llm.secret_scan import find_secrets
+from pricegrid.llm.site_style import main_text
 from pricegrid.llm.zip_archive import archive_round_trip
 
 TOKENIZER = Tokenizer(
@@ -38,6 +39,10 @@ def op2_quality_classifier(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_site_style_tree(spark, sf_dir):
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op5_chunk_dedup(spark, sf_dir):
     return without_repeats(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ def op10_decontamination(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_classifier": op2_quality_classifier,
+    "op4_site_style_tree": op4_site_style_tree,
     "op5_chunk_dedup": op5_chunk_dedup,
     "op6_packing": op6_packing,
     "op7_zip_archive": op7_zip_archive,
