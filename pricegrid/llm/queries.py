@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pricegrid.llm.chunk_dedup import without_repeats
+from pricegrid.llm import chunk_dedup, suffix_dedup
 from pricegrid.llm.decontamination import leaks
 from pricegrid.llm.near_duplicates import Similarity, near_duplicates
 from pricegrid.llm.packing import Tokenizer, pack_documents
@@ -39,12 +39,16 @@ def op2_quality_classifier(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op4_site_style_tree(spark, sf_dir):
     return main_text(table(spark, sf_dir, "pages"))
 
 
 def op5_chunk_dedup(spark, sf_dir):
-    return without_repeats(table(spark, sf_dir, "documents"))
+    return chunk_dedup.without_repeats(table(spark, sf_dir, "documents"))
 
 
 def op6_packing(spark, sf_dir):
@@ -70,6 +74,7 @@ def op10_decontamination(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_site_style_tree": op4_site_style_tree,
     "op5_chunk_dedup": op5_chunk_dedup,
     "op6_packing": op6_packing,
