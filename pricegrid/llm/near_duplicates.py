@@ -248,7 +248,8 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), text: str
     pairs = stage(candidate_pairs(members.filter("keys is not null").select("id", "keys"), like), "pairs")
     needed = pairs.select(F.col("x").alias("id")).union(pairs.select("c")).distinct()
     own = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
-    texts = stage(own.join(needed, "id", "left_semi"), "texts")
+    # the ids grow with the corpus: never broadcast, the plan is the same at every size
+    texts = stage(own.join(needed.hint("merge"), "id", "left_semi"), "texts")
     compared = stage(compare_with_centres(pairs, texts, like), "compared")
     edges = (
         members.select(F.col("id").alias("u"), F.col("rep").alias("v"))
