@@ -39,7 +39,7 @@ from pricegrid.llm.components import connected_components
 from pricegrid.session import stage
 
 #: rows of one block of a large group; only splits work
-BLOCK = 4096
+BLOCK = 1024
 
 
 @dataclass(frozen=True)
