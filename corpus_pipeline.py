@@ -3,7 +3,8 @@
 ``STAGES`` are ``(name, function)``; a function takes ``(spark, docs, sf_dir)``
 and returns what its successor reads. All but the last return the columns of
 ``docs``. Decisions are joined to documents by a digest of the whole row, so
-null and repeated ids are treated row by row; equal rows share a fate.
+null and repeated ids are treated row by row; equal rows share a fate. Lists of
+decisions grow with the corpus, so their joins are merges and never broadcast.
 """
 
 from __future__ import annotations
@@ -29,14 +30,14 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the quality rules keep."""
     keyed = _keyed(docs)
     kept = quality_rules(keyed, VOCABULARIES, key=(KEY,)).filter("kept").select(KEY).distinct()
-    return keyed.join(kept, KEY, "left_semi").drop(KEY)
+    return keyed.join(kept.hint("merge"), KEY, "left_semi").drop(KEY)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The smallest id of each group of near copies; rows that share an id are one document, of which one row stays."""
     kept = near_duplicates(docs, Similarity(words=5, percent=80)).filter("kept and doc_id is not null").select("doc_id").distinct()
     of_id = W.partitionBy("doc_id").orderBy(KEY)
-    one = _keyed(docs.join(kept, "doc_id", "left_semi")).withColumn("__n", F.row_number().over(of_id)).filter("__n = 1")
+    one = _keyed(docs.join(kept.hint("merge"), "doc_id", "left_semi")).withColumn("__n", F.row_number().over(of_id)).filter("__n = 1")
     return one.select(*(f"`{c}`" for c in docs.columns)).unionByName(docs.filter("doc_id is null"))
 
 
@@ -44,7 +45,7 @@ def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """Documents that hold no passage of a benchmark item."""
     keyed = _keyed(docs)
     leaked = leaks(keyed, table(spark, sf_dir, "benchmark"), id_col=KEY).select(KEY).distinct()
-    return keyed.join(leaked, KEY, "left_anti").drop(KEY)
+    return keyed.join(leaked.hint("merge"), KEY, "left_anti").drop(KEY)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -115,7 +115,7 @@ def chunks(docs: DataFrame, chunking: Chunking, text: str = "text", id_col: str
 def repeated_chunks(cut: DataFrame) -> DataFrame:
     """``id, at, size, high``: chunks whose digest occurred before."""
     shared = cut.select("high").groupBy("high").agg(F.count("*").alias("n")).filter("n > 1").select("high")
-    several = stage(cut.join(shared, "high"), "chunks")
+    several = stage(cut.join(shared.hint("merge"), "high"), "chunks")
     first = several.groupBy("high", "low").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     return several.join(first, ["high", "low"]).filter("id <> first.id or at <> first.at").select("id", "at", "size", "high")
 
@@ -141,7 +141,8 @@ def without_repeats(docs: DataFrame, chunking: Chunking = Chunking(), text: str
     lists = repeated.groupBy("id").agg(F.collect_list(F.struct("at", "size", "high")).alias("found"))
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("own"), F.col(id_col).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
-    joined = own.join(lists, "id", "left").select("own", "text", "found")
+    # the lists grow with the corpus: never broadcast, the plan is the same at every size
+    joined = own.join(lists.hint("merge"), "id", "left").select("own", "text", "found")
     names = ["id", "n_bytes", "n_repeated", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * with_text
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -295,7 +295,8 @@ def main_text(pages: DataFrame, importance: Importance = Importance(), html: str
     """``id_col, url, text, n_chars`` of every page; see the module's text."""
     own = pages.select(F.col(id_col).alias("id"), F.col(url).alias("url"), F.col(html).cast("string").alias("html"), _host(F.col(url)).alias("host"))
     low = low_branches(page_nodes(own), importance)
-    joined = own.join(low, "host", "left").select("id", "url", "html", "low")
+    # hosts grow with the corpus: never broadcast, the plan is the same at every size
+    joined = own.join(low.hint("merge"), "host", "left").select("id", "url", "html", "low")
     kinds = {f.name: f.dataType.simpleString() for f in own.schema.fields}
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -267,8 +267,9 @@ def without_repeats(docs: DataFrame, repeats: Repeats = Repeats(), text: str = "
     rows = plain.withColumn("th", F.xxhash64("text")).withColumn("rid", F.coalesce(F.col("own").cast("bigint"), F.col("th")))
     named = named_samples(rows, repeats)
     shared = named.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1")
-    lists = named.join(shared, "name").groupBy("rid").agg(F.collect_set(F.struct("at", "n")).alias("found"))
-    texts = stage(rows.select("rid", "th", "text").join(lists, "rid"), "repeats")
+    lists = named.join(shared.hint("merge"), "name").groupBy("rid").agg(F.collect_set(F.struct("at", "n")).alias("found"))
+    # the lists grow with the corpus: never broadcast, the plan is the same at every size
+    texts = stage(rows.select("rid", "th", "text").join(lists.hint("merge"), "rid"), "repeats")
     stretches = repeated_stretches(triples(texts, repeats), repeats)
     spans = stretches.groupBy("rid", "th").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
     names = ["rid", "th", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * with_text
@@ -289,7 +290,7 @@ def without_repeats(docs: DataFrame, repeats: Repeats = Repeats(), text: str = "
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.string()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(x, k) for x, k in zip(zip(*results), kinds))], names=names)
 
-    changed = texts.select("rid", "th", "text").join(spans, ["rid", "th"]).select("rid", "th", "text", "spans")
+    changed = texts.select("rid", "th", "text").join(spans.hint("merge"), ["rid", "th"]).select("rid", "th", "text", "spans")
     schema = "rid bigint, th bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * with_text
     changed = changed.mapInArrow(remove, schema).dropDuplicates(["rid", "th"])
     whole = F.sha2(F.col("text").cast("binary"), 256).alias("whole")

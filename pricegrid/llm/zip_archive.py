@@ -267,7 +267,7 @@ def write_packages(pages: DataFrame, folder: str, html: str = "html", id_col: st
         .filter("n > 1 and first is not null")
         .select("digest", F.col("first").cast("string").alias("first"))
     )
-    chosen = full.join(shared, "digest", "left").select("id", "url", "html", "digest", F.when(~F.col("first").eqNullSafe(F.col("id")), F.col("first")).alias("response"))
+    chosen = full.join(shared.hint("merge"), "digest", "left").select("id", "url", "html", "digest", F.when(~F.col("first").eqNullSafe(F.col("id")), F.col("first")).alias("response"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_store(folder)
