@@ -181,7 +181,7 @@ def measures(docs: DataFrame, vocabularies: list[Vocabulary], text: str = "text"
 
 def _ratios(i: int) -> dict[str, F.Column]:
     """The three measures of vocabulary ``i``, each on a scale from 0 to 1 for the histogram."""
-    tokens = F.col(f"t{i}").cast("double")
+    tokens = F.nullif(F.col(f"t{i}"), F.lit(0)).cast("double")
     return {
         f"chars_per_token_{i}": F.least(F.col("n_chars_") / tokens / 16, F.lit(1.0)),
         f"fallback_share_{i}": F.col(f"f{i}") / tokens,
@@ -254,11 +254,11 @@ def quality_rules(docs: DataFrame, vocabularies: list[Vocabulary], bands: Bands
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
     shown = []
     for i, vocabulary in enumerate(vocabularies):
-        tokens = F.col(f"t{i}")
+        tokens = F.nullif(F.col(f"t{i}"), F.lit(0))
         shown += [
-            F.when(tokens > 0, F.col("n_chars_") / tokens).alias(f"chars_per_token_{vocabulary.name}"),
-            F.when(tokens > 0, F.col(f"f{i}") / tokens).alias(f"fallback_share_{vocabulary.name}"),
-            F.when(tokens > 0, F.col(f"e{i}")).alias(f"entropy_share_{vocabulary.name}"),
+            (F.col("n_chars_") / tokens).alias(f"chars_per_token_{vocabulary.name}"),
+            (F.col(f"f{i}") / tokens).alias(f"fallback_share_{vocabulary.name}"),
+            F.when(tokens.isNotNull(), F.col(f"e{i}")).alias(f"entropy_share_{vocabulary.name}"),
         ]
     return judged.select(
         *key, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",

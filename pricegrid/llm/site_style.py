@@ -267,7 +267,7 @@ def _entropies(nodes: DataFrame, by: list[str]) -> DataFrame:
         counted = nodes.groupBy(*by, of).agg(F.sum("n").alias("n"))
         sums = counted.groupBy(*by).agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.log("n")).alias("s"))
         # one page has no entropy to reach: nothing is known of its nodes
-        entropy = F.when(F.col("m") > 1, 1 - F.col("s") / F.col("m") / F.log("m")).otherwise(1.0)
+        entropy = F.coalesce(1 - F.try_divide(F.col("s"), F.col("m") * F.log("m")), F.lit(1.0))
         return sums.select(*by, "m", entropy.alias(f"{of}_entropy"))
 
     return share("content").join(share("style").drop("m"), by)
