@@ -231,7 +231,11 @@ def _search(items: Items, rows: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             symbols, begin, end = texts[row]
             for a, b in _regions(sorted(starts), len(word) + 2 * allowed):
                 low = max(0, a - allowed)
-                distance, first, last = edit_distance_inside(word, symbols[low : b + len(word) + 2 * allowed])
+                part = symbols[low : b + len(word) + 2 * allowed]
+                # each word of the item that is not there is an edit
+                if len(word) - np.isin(word, part).sum() > allowed:
+                    continue
+                distance, first, last = edit_distance_inside(word, part)
                 if distance <= allowed and last > first:
                     yield batch, row, i, distance, int(begin[low + first]), int(end[low + last - 1])
 
