@@ -12,7 +12,7 @@ branches of low importance are taken out; what is left, in blocks, is its text.
 
 Two things no entropy tells: reader comments and sidebars differ on every page.
 So nodes whose tag, role, class or id says that they are no content have
-importance 0. If a page has an article (else a main) element with text, only
+importance 0 from the start, and what is below them is in no tree. If a page has an article (else a main) element with text, only
 that counts.
 
 Defined results. Null html gives an empty text. A null address is a host of its
@@ -30,6 +30,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 # Kinds of elements in HTML.
@@ -226,7 +227,7 @@ class Page:
         self._open[node.tag] -= 1
         parent = self._stack[-1]
         parent.text = _mixed(parent.text, node.text)
-        if node.text:
+        if node.text and not node.off and node.tag not in ("html", "body"):
             seen = self.nodes.setdefault(node.path, [0, 0])
             seen[0], seen[1] = _mixed(seen[0], node.style), _mixed(seen[1], node.text)
 
@@ -236,7 +237,7 @@ def _signed(x: int) -> int:
 
 
 def _host(url: F.Column) -> F.Column:
-    return F.coalesce(F.lower(F.regexp_extract(url.cast("string"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
+    return F.xxhash64(F.lower(F.regexp_extract(url.cast("string"), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)))
 
 
 def page_nodes(pages: DataFrame) -> DataFrame:
@@ -257,7 +258,7 @@ def page_nodes(pages: DataFrame) -> DataFrame:
             columns = [batch.column(0).take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (digest, path, style, content))]
             yield pa.RecordBatch.from_arrays(columns, names=["host", "page", "path", "style", "content"])
 
-    return pages.select("host", "html").mapInArrow(read, "host string, page bigint, path bigint, style bigint, content bigint")
+    return pages.select("host", "html").mapInArrow(read, "host bigint, page bigint, path bigint, style bigint, content bigint")
 
 
 def _entropies(nodes: DataFrame, by: list[str]) -> DataFrame:
@@ -295,15 +296,25 @@ def main_text(pages: DataFrame, importance: Importance = Importance(), html: str
     """``id_col, url, text, n_chars`` of every page; see the module's text."""
     own = pages.select(F.col(id_col).alias("id"), F.col(url).alias("url"), F.col(html).cast("string").alias("html"), _host(F.col(url)).alias("host"))
     low = low_branches(page_nodes(own), importance)
-    # hosts grow with the corpus: never broadcast, the plan is the same at every size
-    joined = own.join(low.hint("merge"), "host", "left").select("id", "url", "html", "low")
     kinds = {f.name: f.dataType.simpleString() for f in own.schema.fields}
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packer = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            packed = [packer.compress(b"" if value is None else value.encode()) for value in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], names=["host", "id", "url", "packed"])
+
+    # pages are shuffled once, packed; hosts grow with the corpus: never broadcast, the plan is the same at every size
+    packed = own.select("host", "id", "url", "html").mapInArrow(pack, f"host bigint, id {kinds['id']}, url {kinds['url']}, packed binary")
+    joined = packed.join(low.hint("merge"), "host", "left").select("id", "url", "packed", "low")
+
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
         for batch in batches:
             texts = []
             for source, paths in zip(batch.column(2), batch.column(3)):
-                texts.append(Page(source.as_py() or "", set(paths.as_py() or ())).text())
+                html = unpacker.decompress(source.as_py()).decode()
+                texts.append(Page(html, set(paths.as_py() or ())).text())
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "url", "text", "n_chars"])
 

@@ -101,9 +101,10 @@ def members(source) -> dict[str, Member]:
     size = source.size()
     tail_from = max(0, size - END_SIZE - MAX_COMMENT - LOCATOR64_SIZE)
     tail = source.read_at(size - tail_from, tail_from)
-    end = tail.rfind(END)
+    # the signature may also stand in the comment: the record's comment must end the file
+    end = tail.rfind(END, 0, len(tail) - END_SIZE + len(END))
     while end >= 0 and end + END_SIZE + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
-        end = tail.rfind(END, 0, end)
+        end = tail.rfind(END, 0, end + len(END) - 1)
     if end < 0:
         raise ValueError("no end of a central directory: not a ZIP file, or cut short")
     count, length, begin = struct.unpack_from("<HII", tail, end + 10)
