@@ -7,16 +7,27 @@ from pyspark.sql import Column, functions as F
 CURRENCY = "DOP"
 
 
+def _amount(text: Column) -> Column:
+    token = F.regexp_extract(text, r"[0-9][0-9.,\s\u00a0]*", 0)
+    amount = F.rtrim(F.translate(token, " \t\n\x0b\x0c\r\u00a0", ""), F.lit(".,"))
+    marked = F.regexp_replace(amount, r"[.,]([0-9]{1,2}|[0-9]{4,})\z", "_$1")
+    return F.translate(marked, "_.,", ".")
+
+
 def parse_price(text: Column) -> Column:
     """First amount in a text as ``decimal(18,4)``, NULL if there is none.
 
     A last separator with exactly three digits behind it groups thousands; with
-    one, two, or more than three it is the decimal point. All others group.
+    one, two, or more than three it is the decimal point. All others group. The
+    type holds 14 whole digits; a larger amount is NULL and ``too_large``.
     """
-    token = F.regexp_extract(text, r"[0-9][0-9.,\s\u00a0]*", 0)
-    amount = F.rtrim(F.translate(token, " \t\n\x0b\x0c\r\u00a0", ""), F.lit(".,"))
-    marked = F.regexp_replace(amount, r"[.,]([0-9]{1,2}|[0-9]{4,})\z", "_$1")
-    return F.translate(marked, "_.,", ".").try_cast("decimal(18,4)")
+    return _amount(text).try_cast("decimal(18,4)")
+
+
+def too_large(text: Column) -> Column:
+    """True for a text whose amount has more whole digits than the type holds."""
+    whole = F.ltrim(F.substring_index(_amount(text), ".", 1), F.lit("0"))
+    return F.coalesce(F.length(whole) > 14, F.lit(False))
 
 
 def is_priced(price: Column) -> Column:

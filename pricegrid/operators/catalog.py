@@ -43,17 +43,19 @@ def name_clusters(names: DataFrame, name: str = "name") -> DataFrame:
     """Spellings of the same name, with the most frequent one as canonical.
 
     Rows are counted per spelling before anything is grouped by fingerprint;
-    equal counts go to the first spelling in order.
+    equal counts go to the first spelling in order. A name without a letter or
+    digit has an empty fingerprint and is a cluster of its own.
     """
     spellings = (
         names.groupBy(F.col(name).alias("name"))
         .agg(F.count("*").alias("n"))
         .withColumn("fingerprint", fingerprint(F.col("name")))
+        .withColumn("cluster", F.when(F.col("fingerprint") == "", F.concat(F.lit("\x00"), "name")).otherwise(F.col("fingerprint")))
     )
-    canonical = spellings.groupBy("fingerprint").agg(
+    canonical = spellings.groupBy("cluster").agg(
         F.min_by("name", F.struct(-F.col("n"), F.col("name"))).alias("canonical"),
         F.sum("n").alias("cluster_n"),
     )
-    return spellings.join(canonical, "fingerprint").select(
+    return spellings.join(canonical, "cluster").select(
         "name", "fingerprint", "canonical", "n", "cluster_n"
     )

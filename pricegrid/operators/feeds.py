@@ -7,8 +7,8 @@ import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pricegrid import schemas
-from pricegrid.functions.prices import currency, parse_price
-from pricegrid.functions.text import null_token, squeeze
+from pricegrid.functions.prices import currency, parse_price, too_large
+from pricegrid.functions.text import fold, null_token, squeeze
 from pricegrid.operators.html import FEES_DATE, FLOWERS_DATE, parsed_rows
 
 # What the cells of a table row are, from left to right.
@@ -48,15 +48,23 @@ def transport_fees(pages: DataFrame, day: datetime.date | None = None) -> DataFr
 
 
 def typed(feed: DataFrame, amount: str) -> DataFrame:
-    """Keep the text as ``<amount>_text`` and make the column a number."""
-    return feed.withColumn(f"{amount}_text", F.col(amount)).withColumn(amount, parse_price(F.col(amount)))
+    """Keep the text as ``<amount>_text`` and make the column a number.
+
+    An amount that the type cannot hold is NULL and flagged ``<amount>_too_large``.
+    """
+    return feed.withColumns(
+        {f"{amount}_text": F.col(amount), f"{amount}_too_large": too_large(F.col(amount))}
+    ).withColumn(amount, parse_price(F.col(amount)))
 
 
-def cleaned(feed: DataFrame, amount: str) -> DataFrame:
+def cleaned(feed: DataFrame, amount: str, folded: tuple[str, ...] = ()) -> DataFrame:
     """Tidy a raw feed: single spaces, NULL for "missing", a typed amount.
 
-    Rows without an amount are dropped, as they are in the surveys.
+    Columns in ``folded`` get a copy without case and accents, ``<name>_folded``,
+    to compare and join by. Every row stays. One without an amount has NULL and is flagged
+    ``<amount>_missing``; an amount of zero is an amount.
     """
     texts = [f.name for f in feed.schema if f.dataType.typeName() == "string"]
     tidy = feed.withColumns({name: null_token(squeeze(F.col(name))) for name in texts})
-    return typed(tidy, amount).filter(F.coalesce(F.col(amount) != 0, F.lit(False)))
+    tidy = tidy.withColumns({f"{name}_folded": fold(F.col(name)) for name in folded})
+    return typed(tidy, amount).withColumn(f"{amount}_missing", F.col(amount).isNull())

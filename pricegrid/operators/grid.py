@@ -68,11 +68,16 @@ def page_tables(cells: DataFrame) -> DataFrame:
 
 
 def page_headers(cells: DataFrame) -> DataFrame:
-    """One row per page with the cells of its header rows, each once."""
+    """One row per page with the cells of its header rows, each once.
+
+    Of two texts for one cell the lowest holds, as in the body.
+    """
     return (
         cells.filter(F.col("row_no") < HEADER_ROWS)
+        .groupBy(*PAGE, "table_no", "col_no", "row_no")
+        .agg(F.min("cell").alias("cell"))
         .groupBy(*PAGE)
-        .agg(F.collect_set(F.struct("table_no", "col_no", "row_no", "cell")).alias("header"))
+        .agg(F.collect_list(F.struct("table_no", "col_no", "row_no", "cell")).alias("header"))
     )
 
 
@@ -236,12 +241,18 @@ def attach_layout(cells: DataFrame, layouts: DataFrame) -> DataFrame:
 def unpivot(cells: DataFrame, n_attributes: int) -> DataFrame:
     """One row per vendor cell with a price, attributes alongside as ``attr_i``.
 
-    Cells without a price go before the sort. The window's partition is one
-    grid row and lies within the block the cells are already shuffled by.
+    Cells without a price go before the sort. The windows' partitions are one
+    grid row and one cell of it; they lie within the block the cells are already
+    shuffled by and share its one sort. Of cells that are there twice the lowest
+    text holds.
     """
-    row = W.partitionBy("row_no", "variant", "block", "page_no", "file_url")
+    keys = ["row_no", "variant", "block", "page_no", "file_url"]
+    row, twice = W.partitionBy(*keys), W.partitionBy(*keys, "kcol").orderBy("cell")
     return (
         cells.filter((F.col("kcol") < n_attributes) | is_priced(F.col("price")))
+        .withColumn("copy", F.row_number().over(twice))
+        .filter("copy = 1")
+        .drop("copy")
         .select(
             "*",
             *[

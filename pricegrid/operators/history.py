@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from pricegrid.session import stage
+
 KEYS = ["product", "vendor"]
-MAX_BROADCAST_DAYS = 100_000
 
 
 def daily_prices(prices: DataFrame) -> DataFrame:
@@ -37,17 +38,14 @@ def price_on_days(history: DataFrame, days: DataFrame) -> DataFrame:
     """The price of every product and vendor on each of some days.
 
     ``days`` has one column, ``day``. Each step is laid out over the months it
-    covers and meets the days of that month. Distinct days are bounded by their
-    first and last; up to ``MAX_BROADCAST_DAYS`` they are broadcast and the
-    steps are not shuffled, beyond that Spark picks the join.
+    covers and meets the days of that month. ``days`` is evaluated once, to
+    distinct days; Spark picks the join by what they turn out to be.
     """
-    days = days.select(F.col("day").cast("date").alias("day")).distinct()
+    days = stage(days.select(F.col("day").cast("date").alias("day")).distinct(), "days")
     first, last = days.agg(F.min("day"), F.max("day")).first()
     if first is None:
         return history.select(*KEYS, F.lit(None).cast("date").alias("day"), "price").limit(0)
     by_month = days.withColumn("month", F.trunc("day", "month"))
-    if (last - first).days < MAX_BROADCAST_DAYS:
-        by_month = F.broadcast(by_month)
     begin = F.greatest("valid_from", F.lit(first))
     end = F.least(F.coalesce(F.date_sub("valid_to", 1), F.lit(last)), F.lit(last))
     months = F.sequence(
@@ -66,8 +64,10 @@ def price_asof(probes: DataFrame, prices: DataFrame) -> DataFrame:
     """Add to each ``(product, vendor, day)`` probe the last price up to its day.
 
     Probes are reduced to distinct days, so a window holds at most two rows per
-    calendar day however many probes ask for the same product and vendor.
+    calendar day however many probes ask for the same product and vendor. They
+    are read twice, so they are put down once.
     """
+    probes = stage(probes, "probes")
     asked = probes.select(*KEYS, "day").distinct().withColumn("price", F.lit(None).cast("decimal(18,4)"))
     known = daily_prices(prices).select(
         *KEYS, F.col("price_date").alias("day"), F.col("price").cast("decimal(18,4)")

@@ -8,6 +8,7 @@ and follows element nesting, so it is the one to use for real pages.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -23,7 +24,9 @@ FEES_DATE = "div.container div.impre div#fecha"
 TABLE_ROWS = "div#productos div.impre center table.table-striped tr"
 
 NOISE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
-HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*["']([^"']*)["']"""
+# What stands in a tag; a quoted value may hold the end of a tag.
+IN_TAG = r"""(?:"[^"]*"|'[^']*'|[^>"'])*?"""
+HREF = rf"""(?is)<a(?=\s){IN_TAG}\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 VOID = frozenset(
     "area base br col embed hr img input link meta source track wbr".split()
 )
@@ -51,7 +54,10 @@ def without_noise(html: Column) -> Column:
 
 
 def elements(html: Column, tag: str, class_name: str | None = None) -> Column:
-    """Inner markup of every ``tag`` element up to its first end tag."""
+    """Inner markup of every ``tag`` element up to its first end tag.
+
+    For elements that do not hold others of their kind.
+    """
     attributes = r"[^>]*"
     if class_name:
         attributes = rf"""[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?{class_name}(?:\s[^"']*)?["'][^>]*"""
@@ -59,16 +65,29 @@ def elements(html: Column, tag: str, class_name: str | None = None) -> Column:
 
 
 def links(pages: DataFrame, tag: str = "div", class_name: str | None = "filetitle") -> DataFrame:
-    """Anchors' targets inside a container, in page order, natively.
+    """Anchors' targets inside a container, in page order, natively where that is sure.
 
-    Repeated and relative links stay as they are. The page text is read once;
-    after the explode only the link is left.
+    Repeated and relative links stay as they are. A page whose container holds
+    another element of its kind, or is left open, needs nesting and goes
+    through the parser; so each page is read one way or the other.
     """
-    inside = F.array_join(elements(without_noise(F.col("html")), tag, class_name), " ")
-    found = F.regexp_extract_all(inside, F.lit(HREF), F.lit(1))
-    return pages.select("page_id", "url", F.posexplode(found).alias("pos", "href")).select(
+    containers = elements(without_noise(F.col("html")), tag, class_name)
+    opened = F.regexp_count(F.col("plain"), F.lit(rf"(?i)<{tag}(?=[\s/>])"))
+    closed = F.regexp_count(F.col("plain"), F.lit(rf"(?i)</{tag}\s*>"))
+    inner = F.exists("containers", lambda inside: inside.rlike(rf"(?i)<{tag}(?=[\s/>])"))
+    read = (
+        pages.withColumn("plain", without_noise(F.col("html")))
+        .withColumn("containers", containers)
+        .withColumn("nested", F.coalesce(inner | (opened != closed), F.lit(False)))
+    )
+    # whole tags are found first: which kind of quote holds a value differs from tag to tag
+    tags = F.regexp_extract_all(F.array_join("containers", " "), F.lit(HREF), F.lit(0))
+    targets = F.transform(tags, lambda found: F.regexp_replace(found, HREF, "$1$2$3"))
+    flat = read.filter("not nested").select("page_id", "url", F.posexplode(targets).alias("pos", "href")).select(
         "page_id", F.col("url").alias("page_url"), "pos", decode_entities(F.col("href")).alias("file_url")
     )
+    container = tag if class_name is None else f"{tag}.{class_name}"
+    return flat.unionByName(parsed_links(read.filter("nested").select("page_id", "url", "html"), f"{container} a"))
 
 
 def first_text(html: Column, tag: str) -> Column:
@@ -112,17 +131,17 @@ class Selector:
             tag, _, ident = head.partition("#")
             self.steps.append((tag, ident, class_name))
 
-    def matches(self, path: list[tuple]) -> bool:
-        """True if the innermost element of ``path`` is selected."""
-        if not path or not self._fits(self.steps[-1], path[-1]):
-            return False
-        left = len(self.steps) - 2
-        for element in reversed(path[:-1]):
-            if left < 0:
-                break
-            if self._fits(self.steps[left], element):
-                left -= 1
-        return left < 0
+    def advance(self, done: int, element: tuple) -> tuple[int, bool]:
+        """Steps met down to an element, given those met above it, and whether it is selected.
+
+        A descendant may lie at any depth, so meeting each step as early as
+        possible loses nothing; a path is never walked again.
+        """
+        last = len(self.steps) - 1
+        selected = done >= last and self._fits(self.steps[last], element)
+        if done < last and self._fits(self.steps[done], element):
+            done += 1
+        return done, selected
 
     @staticmethod
     def _fits(step, element) -> bool:
@@ -138,15 +157,16 @@ class PageReader(HTMLParser):
     """One pass over a page: selected links, first text, table rows.
 
     A cell's text is its first own piece of text. A cell belongs to every
-    selected row it lies in.
+    selected row it lies in. Work is in proportion to the page, however deep
+    its elements lie and however many are left open.
     """
 
     def __init__(self, links: str | None = None, text: str | None = None, rows: str | None = None):
         super().__init__(convert_charrefs=True)
-        self.link_selector = Selector(links) if links else None
-        self.text_selector = Selector(text) if text else None
-        self.row_selector = Selector(rows) if rows else None
-        self.path: list[tuple] = []
+        self.selectors = [Selector(chain) if chain else None for chain in (links, text, rows)]
+        #: open elements: name, steps met by each selector, and whether selected by each
+        self.path: list[tuple[str, list[int], list[bool]]] = []
+        self.open: Counter[str] = Counter()
         self.links: list[str] = []
         self.text: str | None = None
         self.rows: list[list[str]] = []
@@ -157,20 +177,26 @@ class PageReader(HTMLParser):
         self._imply_ends(tag)
         values = dict(attrs)
         element = (tag, values.get("id"), (values.get("class") or "").split())
-        self.path.append(element)
+        above = self.path[-1][1] if self.path else [0, 0, 0]
+        met, selected = [0, 0, 0], [False, False, False]
+        for i, selector in enumerate(self.selectors):
+            if selector:
+                met[i], selected[i] = selector.advance(above[i], element)
+        self.path.append((tag, met, selected))
+        self.open[tag] += 1
         depth = len(self.path)
-        if self.link_selector and values.get("href") is not None and self.link_selector.matches(self.path):
+        is_link, _, is_row = selected
+        if is_link and values.get("href") is not None:
             self.links.append(values["href"])
-        if self.row_selector:
-            if self.row_selector.matches(self.path):
-                row: list = []
-                self.rows.append(row)
-                self.open_rows.append((depth, row))
-            elif tag == "td" and self.open_rows:
-                cell = [""]
-                for _, row in self.open_rows:
-                    row.append(cell)
-                self.open_cells.append((depth, cell))
+        if is_row:
+            row: list = []
+            self.rows.append(row)
+            self.open_rows.append((depth, row))
+        elif tag == "td" and self.open_rows:
+            cell = [""]
+            for _, row in self.open_rows:
+                row.append(cell)
+            self.open_cells.append((depth, cell))
         if tag in VOID:
             self._close()
 
@@ -178,7 +204,7 @@ class PageReader(HTMLParser):
         while self.path and self.path[-1][0] in ENDS_OPEN.get(tag, ()):
             self._close()
         parts = ENDS_PART.get(tag)
-        if parts:
+        if parts and any(self.open[part] for part in parts):
             for depth in range(len(self.path) - 1, -1, -1):
                 name = self.path[depth][0]
                 if name == "table":
@@ -194,7 +220,7 @@ class PageReader(HTMLParser):
         return end + 1 if end >= 0 else -1
 
     def handle_endtag(self, tag):
-        if any(element[0] == tag for element in self.path):
+        if self.open[tag]:
             while self._close() != tag:
                 pass
 
@@ -204,10 +230,12 @@ class PageReader(HTMLParser):
             self.open_rows.pop()
         if self.open_cells and self.open_cells[-1][0] == depth:
             self.open_cells.pop()
-        return self.path.pop()[0]
+        tag = self.path.pop()[0]
+        self.open[tag] -= 1
+        return tag
 
     def handle_data(self, data):
-        if self.text_selector and self.text is None and self.text_selector.matches(self.path):
+        if self.text is None and self.path and self.path[-1][2][1]:
             self.text = data.strip()
         if self.open_cells:
             depth, cell = self.open_cells[-1]

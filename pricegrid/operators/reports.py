@@ -23,13 +23,15 @@ def active_pages(pages: DataFrame, seeds: DataFrame) -> DataFrame:
 
 
 def not_stored(links: DataFrame, stored: DataFrame) -> DataFrame:
-    """Links whose file is not in the store yet."""
-    return links.join(stored.select("file_name").distinct(), "file_name", "left_anti")
+    """Links whose file is not in their dataset's store yet."""
+    key = ["dataset", "file_name"]
+    return links.join(stored.select(*key).distinct(), key, "left_anti")
 
 
 def not_converted(reports: DataFrame, manifest: DataFrame) -> DataFrame:
-    """Reports of which no variant has been converted."""
-    return reports.join(manifest.select("file_id").distinct(), "file_id", "left_anti")
+    """Reports of which no variant has been converted for their dataset."""
+    key = ["dataset", "file_id"]
+    return reports.join(manifest.select(*key).distinct(), key, "left_anti")
 
 
 def arrived(downloads: DataFrame) -> DataFrame:
@@ -61,13 +63,15 @@ def nested_items(files: DataFrame) -> DataFrame:
     )
 
 
-def last_written(links: DataFrame, *key: str) -> DataFrame:
-    """Keep one link per stored name: the one that comes last.
+def last_written(
+    links: DataFrame, *key: str, order: tuple[str, ...] = ("pos", "file_url")
+) -> DataFrame:
+    """Keep one link per stored name: the last by ``order``.
 
     An aggregate rather than a window, so a name that very many links share is
     reduced before the shuffle.
     """
     key = key or ("dataset", "file_name")
     rest = [c for c in links.columns if c not in key]
-    latest = F.max_by(F.struct(*rest), F.struct("pos", "file_url"))
+    latest = F.max_by(F.struct(*rest), F.struct(*order))
     return links.groupBy(*key).agg(latest.alias("kept")).select(*key, "kept.*").select(*links.columns)

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from pricegrid.session import stage
+
 BAND_WIDTH = 100
 
 
@@ -104,42 +106,67 @@ def _by_grain(df: DataFrame, product: str, dataset: str, more: list[str], *measu
     ).drop(product, dataset)
 
 
+def spreads(levels: DataFrame, keys: list[str]) -> DataFrame:
+    """Sample standard deviation per key, NULL for a single row.
+
+    Squares are taken of the distance to the key's lowest price, never of the
+    price itself, so prices that are large and close together lose nothing.
+    Within a band the sums are exact decimals, which its width bounds.
+    """
+    inside = (F.col("price") - F.col("band") * BAND_WIDTH).cast("decimal(9,4)")
+    n = F.col("n").cast("decimal(15,0)")
+    bands = (
+        levels.withColumn("x", inside)
+        .groupBy(*keys, "band")
+        .agg(
+            F.sum("n").alias("band_n"),
+            F.min("price").alias("low"),
+            F.min("x").alias("d"),
+            F.sum(F.col("x") * n).cast("decimal(25,4)").alias("s"),
+            F.sum(F.col("x") * F.col("x") * n).alias("q"),
+        )
+    )
+    d, s, count = F.col("d"), F.col("s"), F.col("band_n").cast("decimal(15,0)")
+    lowest = F.min("low").over(W.partitionBy(*keys))
+    away = (F.col("low") - lowest).cast("double")
+    # distances to the band's lowest price, then to the key's
+    own = bands.select(
+        *keys,
+        "band_n",
+        away.alias("away"),
+        (s - d * count).cast("double").alias("sums"),
+        (F.col("q") - 2 * d * s + d * d * count).cast("double").alias("squares"),
+    )
+    moved = own.select(
+        *keys,
+        "band_n",
+        (F.col("sums") + F.col("away") * F.col("band_n")).alias("sums"),
+        (F.col("squares") + 2 * F.col("away") * F.col("sums") + F.col("away") * F.col("away") * F.col("band_n")).alias("squares"),
+    )
+    rows, total = F.sum("band_n"), F.sum("sums")
+    variance = (F.sum("squares") - total * total / rows) / F.nullif(rows - 1, F.lit(0))
+    return moved.groupBy(*keys).agg(F.sqrt(variance).alias("stddev_price"))
+
+
 def price_stats(prices: DataFrame, product: str = "product", dataset: str = "dataset") -> DataFrame:
     """The summary columns of a survey, recomputed from its long rows.
 
     One row per product, per dataset, and one for everything; rows without a
-    price do not count. Sums are taken once per product and dataset and then added up; only median and mode need
-    the price levels.
+    price do not count. The prices are read once: rows are counted per price
+    level, levels are added up to the coarser grains and put down, and every
+    statistic comes from there.
     """
     keys = ["grain", "key"]
-    prices = prices.filter("price is not null")
-    sums = prices.groupBy(product, dataset).agg(
-        F.count("*").alias("n"),
+    finest = price_levels(prices.filter("price is not null"), [product, dataset])
+    levels = stage(_by_grain(finest, product, dataset, ["band", "price"], F.sum("n").alias("n")), "levels")
+    moments = levels.groupBy(*keys).agg(
+        F.sum("n").alias("n"),
         F.min("price").alias("min_price"),
         F.max("price").alias("max_price"),
-        F.sum("price").alias("total"),
-        F.sum(F.col("price").cast("double") * F.col("price").cast("double")).alias("squares"),
+        (F.sum(F.col("price") * F.col("n")).cast("double") / F.sum("n")).alias("avg_price"),
     )
-    n, total = F.col("n"), F.col("total").cast("double")
-    variance = (F.col("squares") - total * total / n) / (n - 1)
-    moments = _by_grain(
-        sums,
-        product,
-        dataset,
-        [],
-        F.sum("n").alias("n"),
-        F.min("min_price").alias("min_price"),
-        F.max("max_price").alias("max_price"),
-        F.sum("total").alias("total"),
-        F.sum("squares").alias("squares"),
-    ).select(
-        *keys,
-        "n",
-        "min_price",
-        "max_price",
-        (total / n).alias("avg_price"),
-        F.when(n > 1, F.sqrt(F.greatest(variance, F.lit(0.0)))).alias("stddev_price"),
+    return (
+        moments.join(spreads(levels, keys), keys)
+        .join(modes(levels, keys), keys)
+        .join(medians(levels, keys), keys)
     )
-    finest = price_levels(prices, [product, dataset])
-    levels = _by_grain(finest, product, dataset, ["band", "price"], F.sum("n").alias("n"))
-    return moments.join(modes(levels, keys), keys).join(medians(levels, keys), keys)

@@ -6,6 +6,8 @@ name), the SQL states the expected rows from the table itself.
 
 from __future__ import annotations
 
+from pricegrid.sources.pages import SEEDS
+
 _NOISE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 _DECODED = "replace(replace(replace(replace({}, '&quot;', '\"'), '&copy;', '©'), '&middot;', '·'), '&amp;', '&')"
 
@@ -126,10 +128,26 @@ named AS (
 files AS (
   SELECT page_id, regexp_replace(base, '\.[^.]*$', '') AS file_id, contains(base, '.html') AS known FROM named)"""
 
+_SPELLED = """
+spelled AS (
+  SELECT p_partkey AS id, p_partkey % 5 AS kind,
+         CASE p_partkey % 5 WHEN 1 THEN 'ŁÓDŹ ' || p_name WHEN 2 THEN 'Молоко, ' || p_type WHEN 3 THEN '米 ' || p_brand
+              WHEN 4 THEN '** ' || repeat('*', p_partkey % 3) ELSE p_name END AS name,
+         CASE p_partkey % 5 WHEN 4 THEN '' ELSE list_aggregate(list_sort(
+           CASE p_partkey % 5 WHEN 1 THEN list_append(string_split(p_name, ' '), 'lodz')
+                WHEN 2 THEN ['молоко', lower(p_type)] WHEN 3 THEN ['米', 'brand', split_part(p_brand, '#', 2)]
+                ELSE string_split(p_name, ' ') END), 'string_agg', ' ') END AS fingerprint
+  FROM part)"""
+
 ORACLES: dict[str, str] = {
-    "seed_pages": """
-SELECT page_id, url, regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) AS dataset
-FROM pages WHERE starts_with(url, 'https:')""",
+    "seed_pages": f"""
+WITH listed(i, url, dataset, active) AS (VALUES {", ".join(f"({i}, '{u}', '{d}', {a})" for i, (d, u, a) in enumerate(SEEDS))})
+SELECT page_id, listed.url, dataset FROM pages JOIN listed ON page_id % {len(SEEDS)} = i WHERE active""",
+    "link_markup": """
+SELECT page_id, url AS page_url, i - 1 AS pos,
+       ['it''s-' || page_id || '.pdf', 'plain-' || page_id || '.pdf', 'say "so"-' || page_id || '.pdf',
+        'año-áé&lt;-' || page_id || '.pdf', 'last-' || page_id || '.pdf'][i] AS file_url
+FROM pages, (SELECT unnest([1, 2, 3, 4, 5]) AS i)""",
     "link_extract": f"WITH {_LINKS} SELECT page_id, page_url, pos, {_DECODED.format('href')} AS file_url FROM links",
     "page_first_text": rf"""
 SELECT page_id, nullif(trim({_DECODED.format(
@@ -147,7 +165,7 @@ SELECT CAST(p_partkey // 50 AS BIGINT) AS page_id, CAST(p_partkey % 50 + 1 AS IN
        || '|RD$' || {_GROUPED} AS cells
 FROM part""",
     "flowers_feed": f"""
-SELECT * EXCLUDE (p_retailprice), CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DECIMAL(18,4)) AS price
+SELECT * EXCLUDE (p_retailprice), false AS price_too_large, CAST(CAST(p_retailprice AS DECIMAL(12,2)) AS DECIMAL(18,4)) AS price
 FROM ({_FLOWERS.format(text=_GROUPED, column="price_text, p_retailprice")})""",
     "transport_feed": """
 SELECT r_name AS province, n_name AS town, 'Ruta ' || c_custkey AS route, c_mktsegment AS company,
@@ -155,7 +173,7 @@ SELECT r_name AS province, n_name AS town, 'Ruta ' || c_custkey AS route, c_mkts
        n_name || ' centro' AS stop, 'L' || c_custkey AS line,
        CAST(abs(CAST(c_acctbal AS DECIMAL(12,2))) AS DECIMAL(18,4)) AS cost, 'DOP' AS currency,
        'Enero 2020' AS last_published_at, DATE '2020-01-15' AS last_updated_at,
-       CAST(abs(CAST(c_acctbal AS DECIMAL(12,2))) AS VARCHAR) AS cost_text
+       CAST(abs(CAST(c_acctbal AS DECIMAL(12,2))) AS VARCHAR) AS cost_text, false AS cost_too_large
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
     "report_date_range": """
 WITH dated AS (
@@ -174,9 +192,11 @@ ranges AS (
 SELECT o_orderkey, start_date, end_date, date_error, coalesce(end_date < start_date, false) AS range_inverted
 FROM ranges""",
     "new_reports_only": """
-SELECT o_orderkey, 'r' || o_orderkey || '.pdf' AS file_name, 'r' || o_orderkey AS file_id FROM orders
-WHERE o_orderstatus <> 'F'
-  AND o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
+SELECT o_orderkey, 'basic_baskets' AS dataset, 'r' || o_orderkey || '.pdf' AS file_name, 'r' || o_orderkey AS file_id
+FROM orders WHERE o_orderstatus <> 'F'
+UNION ALL
+SELECT o_orderkey, 'dairy_products', 'r' || o_orderkey || '.pdf', 'r' || o_orderkey
+FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')""",
     "failed_download_pairing": f"""
 WITH {_LINKS}, arrived AS (
   SELECT page_id, pos, regexp_replace(regexp_extract({_DECODED.format('href')}, '[^/]*$'), '(.)[.][^.]*$', '\\1') AS stem
@@ -186,11 +206,17 @@ SELECT page_id AS item_id, CAST(count(*) AS INTEGER) AS n_files,
 FROM arrived GROUP BY page_id""",
     "last_written": f"""
 WITH {_LINKS}, named AS (
-  SELECT 'basic_baskets' AS dataset, page_id * 100000 + pos AS pos, {_DECODED.format('href')} AS file_url,
+  SELECT 'basic_baskets' AS dataset, page_id, pos, {_DECODED.format('href')} AS file_url,
          regexp_replace(regexp_extract({_DECODED.format('href')}, '[^/]*$'), '(.)[.][^.]*$', '\\1') AS file_name
   FROM links)
-SELECT dataset, file_name, max(pos) AS pos, arg_max(file_url, pos) AS file_url FROM named GROUP BY ALL""",
+SELECT dataset, file_name, page_id, pos, file_url FROM (
+  SELECT *, row_number() OVER (PARTITION BY dataset, file_name ORDER BY page_id DESC, pos DESC) AS i FROM named)
+WHERE i = 1""",
     "grid_to_long": f"WITH {_BASKETS} SELECT * FROM baskets",
+    "grid_guards": f"""
+WITH {_BASKETS}
+SELECT baskets.* FROM baskets WHERE unit <> 'PROMO' AND id IN (
+  SELECT {_OBS_ID.format("'single'", "gcol")} FROM seen JOIN columns_of USING (r_name) WHERE page_no % 5 <> 4)""",
     "medicine_split": f"WITH {_GRID}, {_MEDICINES} SELECT * FROM medicines",
     "medicine_variants": f"WITH {_GRID}, {_MEDICINES} SELECT DISTINCT file_id, variant FROM medicines",
     "observation_union": f"""
@@ -200,9 +226,9 @@ UNION ALL
 SELECT dataset, variant, medication_name, unit, vendor, price FROM medicines""",
     "price_parse": """
 SELECT l_orderkey, l_linenumber,
-       CAST(CASE WHEN l_linenumber = 4 THEN floor(CAST(l_extendedprice AS DECIMAL(12,2)))
+       CAST(CASE WHEN l_linenumber % 5 = 4 THEN floor(CAST(l_extendedprice AS DECIMAL(12,2)))
                  ELSE CAST(l_extendedprice AS DECIMAL(12,2)) END AS DECIMAL(18,4)) AS price
-FROM lineitem WHERE l_linenumber <= 5""",
+FROM lineitem""",
     "merchant_breakdown": f"""
 WITH {_PRICES}
 SELECT p_name AS product, s_name AS vendor, count(*) AS n_prices, min(price) AS min_price,
@@ -260,6 +286,30 @@ SELECT grain, key, count(*) AS n, min(price) AS min_price, max(price) AS max_pri
        round(avg(price::DOUBLE), 2) AS avg_price, round(stddev_samp(price::DOUBLE), 2) AS stddev_price,
        any_value(mode_price) AS mode_price, round(median(price::DOUBLE), 3) AS median_price
 FROM grains JOIN modes USING (grain, key) GROUP BY grain, key""",
+    "price_stats_large": """
+WITH prices AS (
+  SELECT p_brand, p_type, CAST(l_quantity AS DECIMAL(12,2)) / 100 AS part FROM lineitem JOIN part ON l_partkey = p_partkey),
+grains AS (
+  SELECT 'product' AS grain, p_brand AS key, part FROM prices
+  UNION ALL SELECT 'dataset', p_type, part FROM prices
+  UNION ALL SELECT 'all', '*', part FROM prices),
+modes AS (
+  SELECT grain, key, part AS mode FROM (
+    SELECT *, row_number() OVER (PARTITION BY grain, key ORDER BY n DESC, part) AS i
+    FROM (SELECT grain, key, part, count(*) AS n FROM grains GROUP BY ALL)) WHERE i = 1)
+SELECT grain, key, count(*) AS n, CAST(1000000000 + any_value(CAST(mode AS DECIMAL(18,4))) AS DECIMAL(18,4)) AS mode_price,
+       round(stddev_samp(part), 8) AS stddev_price
+FROM grains JOIN modes USING (grain, key) GROUP BY grain, key""",
+    "product_search_scripts": f"""
+WITH {_SPELLED}
+SELECT id, name, 1 AS score FROM spelled WHERE kind IN (1, 2, 3) ORDER BY score DESC, name, id LIMIT 20""",
+    "name_cluster_scripts": f"""
+WITH {_SPELLED},
+counted AS (SELECT name, fingerprint, count(*) AS n FROM spelled GROUP BY ALL),
+keyed AS (SELECT *, CASE WHEN fingerprint = '' THEN name ELSE ' ' || fingerprint END AS cluster FROM counted)
+SELECT name, fingerprint, first_value(name) OVER (PARTITION BY cluster ORDER BY n DESC, name) AS canonical, n,
+       CAST(sum(n) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_n
+FROM keyed""",
     "product_search": """
 SELECT p_partkey AS id, p_name AS name,
        CAST(list_contains(w, 'small') AS INTEGER) + CAST(list_contains(w, 'red') AS INTEGER)
@@ -296,33 +346,51 @@ SELECT user_id, event_type, day, event_id, value FROM (
 SELECT md5(event_id || '|' || event_type) AS id, event_type AS dataset, CAST(ts AS DATE) AS start_date,
        user_id, CAST(value AS DECIMAL(18,4)) AS price FROM events""",
     "replace_range": f"WITH {_ORDERS} SELECT * FROM reloaded",
-    "archive_reload": f"WITH {_ORDERS} SELECT * FROM reloaded",
+    # an empty dataset and none share a folder
+    "archive_reload": f"""
+WITH {_ORDERS}
+SELECT id, CASE WHEN id % 7 > 1 THEN dataset END AS dataset, start_date, price FROM reloaded
+WHERE start_date <> DATE '1996-07-01'""",
     "archive_range": f"WITH {_ORDERS} SELECT * FROM old WHERE start_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'",
     "report_csv_export": f"""
 WITH {_BASKETS}
-SELECT id, dataset, file_id, description, unit, vendor, price, currency, start_date, end_date FROM baskets""",
+SELECT id, d.dataset, file_id, description, unit, vendor, price, currency, start_date, end_date
+FROM baskets, (VALUES ('basic_baskets'), ('dairy_products')) d(dataset)""",
     "medicine_csv_export": f"""
 WITH {_GRID}, {_MEDICINES}
-SELECT variant, file_id, medication_name, dosage, maker, unit, vendor, price, currency, start_date, end_date
+SELECT id, variant, file_id, medication_name, dosage, maker, unit, vendor, price, currency, start_date, end_date
 FROM medicines""",
     "feed_csv": _FLOWERS.format(text=_GROUPED, column="price"),
     "survey_end_to_end": f"""
 WITH {_BASKETS}
 SELECT id, 'hardware_products' AS dataset, file_id, description, unit, vendor, price, currency, start_date, end_date
 FROM baskets WHERE file_id NOT IN (
+  SELECT file_id FROM placed WHERE p_type = 'PROMO' AND p_brand = 'Brand#5' AND p_size <= 5)""",
+    "medicine_survey": f"""
+WITH {_GRID},
+medicines AS (
+  SELECT {_OBS_ID.format("'single'", "4")} AS id, 'single' AS variant, file_id, p_name AS medication_name, p_type AS dosage,
+         p_brand AS maker, CAST(p_size AS VARCHAR) AS unit, r_name AS vendor, CAST(low AS DECIMAL(18,4)) AS price,
+         'DOP' AS currency, start_date, end_date
+  FROM seen WHERE page_no % 2 = 1 AND r_name = 'AFRICA')
+SELECT * FROM medicines WHERE file_id NOT IN (
   SELECT file_id FROM placed WHERE p_type = 'PROMO' AND p_brand = 'Brand#5' AND p_size <= 5)""",
     "feed_cleanup": """
-SELECT c_custkey, c_name || ' S.A.' AS vendor,
-       CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN c_mktsegment END AS unit,
-       CAST(CAST(c_acctbal AS DECIMAL(12,2)) AS DECIMAL(18,4)) AS price,
-       'RD$ ' || CAST(c_acctbal AS DECIMAL(12,2)) AS price_text
-FROM customer WHERE CAST(c_acctbal AS DECIMAL(12,2)) > 0""",
+WITH tidy AS (
+  SELECT c_custkey, c_name || ' S.A.' AS vendor, CAST(c_acctbal AS DECIMAL(12,2)) AS balance,
+         CASE WHEN c_mktsegment NOT IN ('BUILDING', 'MACHINERY') THEN c_mktsegment END AS unit
+  FROM customer)
+SELECT c_custkey, vendor, unit, lower(vendor) AS vendor_folded, lower(unit) AS unit_folded,
+       CAST(CASE WHEN balance >= 0 THEN balance END AS DECIMAL(18,4)) AS price,
+       CASE WHEN balance < 0 THEN '--' ELSE 'RD$ ' || balance END AS price_text,
+       false AS price_too_large, balance < 0 AS price_missing
+FROM tidy""",
     "daily_feed_load": """
 SELECT md5('809-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') || '|L' || c_custkey || '|2020-01-15') AS id,
        'transportation_fees' AS dataset, DATE '2020-01-15' AS start_date, c_name AS representative,
        n_name || ' centro' AS stop, CAST(abs(CAST(c_acctbal AS DECIMAL(12,2))) AS DECIMAL(18,4)) AS cost
-FROM customer JOIN nation ON c_nationkey = n_nationkey
-WHERE CAST(c_acctbal AS DECIMAL(12,2)) <> 0""",
+FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 }
+ORACLES["link_markup_parsed"] = ORACLES["link_markup"]
 ORACLES["link_extract_parsed"] = ORACLES["link_extract"]
 ORACLES["page_first_text_parsed"] = ORACLES["page_first_text"]

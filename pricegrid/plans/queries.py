@@ -26,11 +26,12 @@ from pricegrid.operators.rows import drop_repeats, union_all
 from pricegrid.operators.stats import price_stats
 from pricegrid.plans import standins as data
 from pricegrid.plans.standins import money, table
-from pricegrid.plans.surveys import new_reports, survey
+from pricegrid.plans.surveys import medicine_survey, new_reports, survey
 from pricegrid.session import scratch_dir, stage
 from pricegrid.sinks.files import write_archive, write_feed, write_report_csv
 from pricegrid.sinks.reload import replace_range, replaced
-from pricegrid.sources.tables import read_archive, read_feed, stream_feed
+from pricegrid.sources.pages import SEEDS, seeds
+from pricegrid.sources.tables import read_archive, read_cells, read_feed, stream_feed
 from pricegrid.streaming.load import load_increment, stream_without_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,13 +51,12 @@ RULES = [
 
 
 def seed_pages(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages")
-    seeds = pages.select(
-        "url",
-        F.regexp_extract("url", r"^https?://[^/]+/([a-z]+)/", 1).alias("dataset"),
-        F.col("url").startswith("https:").alias("active"),
+    """Pages as fetched from the index addresses, by turns."""
+    addresses = F.array(*[F.lit(url) for _, url, _ in SEEDS])
+    pages = table(spark, sf_dir, "pages").withColumn(
+        "url", F.get(addresses, (F.col("page_id") % len(SEEDS)).cast("int"))
     )
-    return reports.active_pages(pages, seeds).select("page_id", "url", "dataset")
+    return reports.active_pages(pages, seeds(spark)).select("page_id", "url", "dataset")
 
 
 def link_extract(spark, sf_dir):
@@ -69,6 +69,14 @@ def link_extract_parsed(spark, sf_dir):
     )
 
 
+def link_markup(spark, sf_dir):
+    return html.links(stage(data.link_pages(spark, sf_dir), "pages"))
+
+
+def link_markup_parsed(spark, sf_dir):
+    return html.parsed_links(stage(data.link_pages(spark, sf_dir), "pages"))
+
+
 def page_first_text(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     return pages.select("page_id", html.first_text(F.col("html"), "h1").alias("title"))
@@ -120,17 +128,21 @@ def report_date_range(spark, sf_dir):
 
 
 def new_reports_only(spark, sf_dir):
+    """Two datasets link to files of the same names; each has a store and a manifest of its own."""
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey",
         "o_orderstatus",
+        F.explode(F.array(F.lit("basic_baskets"), F.lit("dairy_products"))).alias("dataset"),
         F.concat(F.lit("https://example.org/files/r"), "o_orderkey", F.lit(".PDF")).alias("file_url"),
     )
     links = reports.report_links(orders)
-    stored = links.filter("o_orderstatus = 'F'").select("file_name")
+    stored = links.filter("o_orderstatus = 'F' and dataset = 'basic_baskets'").select("dataset", "file_name")
     returned = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
-    manifest = returned.select(F.concat(F.lit("r"), "l_orderkey").alias("file_id"))
+    manifest = returned.select(
+        F.lit("dairy_products").alias("dataset"), F.concat(F.lit("r"), "l_orderkey").alias("file_id")
+    )
     fresh = reports.not_converted(reports.not_stored(links, stored), manifest)
-    return fresh.select("o_orderkey", "file_name", "file_id")
+    return fresh.select("o_orderkey", "dataset", "file_name", "file_id")
 
 
 def failed_download_pairing(spark, sf_dir):
@@ -152,23 +164,38 @@ def failed_download_pairing(spark, sf_dir):
 def last_written(spark, sf_dir):
     links = html.links(table(spark, sf_dir, "pages"), "nav", None)
     links = reports.report_links(links).select(
-        F.lit("basic_baskets").alias("dataset"),
-        "file_name",
-        (F.col("page_id") * 100_000 + F.col("pos")).alias("pos"),
-        "file_url",
+        F.lit("basic_baskets").alias("dataset"), "file_name", "page_id", "pos", "file_url"
     )
-    return reports.last_written(links)
+    return reports.last_written(links, order=("page_id", "pos"))
 
 
 # Grids
 
 
+RENDERED: dict[tuple, str] = {}
+
+
+def rendered(spark, sf_dir, make: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    """Grid cells made from the tables, written once a session: they stand for
+    a table that is there, and are no part of what a query does."""
+    key = (spark.sparkContext.applicationId, sf_dir, make.__name__)
+    if key not in RENDERED:
+        RENDERED[key] = scratch_dir(spark, "cells", keep=True)
+        make(spark, sf_dir).write.parquet(RENDERED[key])
+    return read_cells(spark, RENDERED[key])
+
+
 def baskets(spark, sf_dir):
-    return basket_prices(stage(data.basket_cells(spark, sf_dir), "cells"))
+    return basket_prices(rendered(spark, sf_dir, data.basket_cells))
 
 
 def medicines(spark, sf_dir):
-    return medicine_prices(stage(data.medicine_cells(spark, sf_dir), "cells"))
+    return medicine_prices(rendered(spark, sf_dir, data.medicine_cells))
+
+
+def grid_guards(spark, sf_dir):
+    """Short pages, blank descriptions and repeated cells."""
+    return basket_prices(rendered(spark, sf_dir, data.uneven_cells))
 
 
 def medicine_variants(spark, sf_dir):
@@ -184,19 +211,24 @@ def observation_union(spark, sf_dir):
 
 
 def price_parse(spark, sf_dir):
+    """Every line's price, written in five ways; next to each a row without a price."""
     price = money("l_extendedprice")
     grouped = F.format_number(price, 2)
+    way = F.col("l_linenumber") % 5
     text = (
-        F.when(F.col("l_linenumber") == 1, F.concat(F.lit("RD$"), grouped))
-        .when(F.col("l_linenumber") == 2, F.translate(grouped, ",.", ".,"))
-        .when(F.col("l_linenumber") == 3, price.cast("string"))
-        .when(F.col("l_linenumber") == 4, F.translate(F.format_number(F.floor(price), 0), ",", "."))
-        .when(F.col("l_linenumber") == 5, F.concat(F.translate(price.cast("string"), ".", ","), F.lit(" c/u")))
-        .when(F.col("l_linenumber") == 6, F.lit("0.00"))
-        .otherwise(F.lit("--"))
+        F.when(way == 1, F.concat(F.lit("RD$"), grouped))
+        .when(way == 2, F.translate(grouped, ",.", ".,"))
+        .when(way == 3, price.cast("string"))
+        .when(way == 4, F.translate(F.format_number(F.floor(price), 0), ",", "."))
+        .otherwise(F.concat(F.translate(price.cast("string"), ".", ","), F.lit(" c/u")))
     )
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", parse_price(text).alias("price"))
-    return lines.filter(is_priced(F.col("price")))
+    lines = table(spark, sf_dir, "lineitem")
+    none = F.when(way < 2, "0.00").when(way == 2, "--").otherwise("")
+    texts = lines.select("l_orderkey", "l_linenumber", text.alias("text")).unionByName(
+        lines.select("l_orderkey", "l_linenumber", none.alias("text"))
+    )
+    parsed = texts.select("l_orderkey", "l_linenumber", parse_price(F.col("text")).alias("price"))
+    return parsed.filter(is_priced(F.col("price")))
 
 
 # Prices
@@ -248,17 +280,23 @@ def asof_order_day(spark, sf_dir):
     return price_asof(probes, data.prices(spark, sf_dir, "p_brand", "r_name"))
 
 
-def stats(spark, sf_dir):
-    prices = (
+def priced_lines(spark, sf_dir, price):
+    return (
         table(spark, sf_dir, "lineitem")
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
-        .select(
-            F.col("p_brand").alias("product"),
-            F.col("p_type").alias("dataset"),
-            money("l_extendedprice").alias("price"),
-        )
+        .select(F.col("p_brand").alias("product"), F.col("p_type").alias("dataset"), price.alias("price"))
     )
-    result = price_stats(prices)
+
+
+def stats_of_large_prices(spark, sf_dir):
+    """Prices above a thousand million that differ by less than one."""
+    price = (F.lit(1_000_000_000) + money("l_quantity") / 100).cast("decimal(18,4)")
+    result = price_stats(priced_lines(spark, sf_dir, price))
+    return result.select("grain", "key", "n", "mode_price", F.round("stddev_price", 8).alias("stddev_price"))
+
+
+def stats(spark, sf_dir):
+    result = price_stats(priced_lines(spark, sf_dir, money("l_extendedprice")))
     rounded = {c: F.round(F.col(c), 2) for c in ("avg_price", "stddev_price")}
     return result.withColumns(
         {**rounded, "median_price": F.round(F.col("median_price").cast("double"), 3)}
@@ -276,6 +314,14 @@ def search(spark, sf_dir):
     return product_search(parts(spark, sf_dir), "Small RÉD widget", k=20)
 
 
+def search_scripts(spark, sf_dir):
+    return product_search(data.spelled_parts(spark, sf_dir), "молоко Łódź 米", k=20)
+
+
+def clusters_scripts(spark, sf_dir):
+    return name_clusters(data.spelled_parts(spark, sf_dir))
+
+
 def categories(spark, sf_dir):
     return categorise(parts(spark, sf_dir), RULES)
 
@@ -320,25 +366,20 @@ def event_stream(spark, sf_dir):
 
 
 def feed_dedup_stream(spark, sf_dir):
-    """The keys of ``feed_dedup``, found by a stream with a watermark."""
-    events = event_stream(spark, sf_dir).select(
-        "user_id",
-        "event_type",
-        F.col("ts").cast("timestamp").alias("ts"),
-        F.col("ts").cast("date").alias("day"),
-    )
-    key = ["user_id", "event_type", "day"]
-    out, checkpoint = scratch_dir(spark, "dedup"), scratch_dir(spark, "dedup-state")
-    query = (
-        stream_without_repeats(events, key)
-        .select(*key)
-        .writeStream.option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .format("parquet")
-        .start(out)
+    """The keys of ``feed_dedup``, found by a stream of four files out of order.
+
+    Keys that came late once are in the other output; both together are all.
+    """
+    events = table(spark, sf_dir, "events").select(
+        "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), F.col("ts").cast("date").alias("day")
     )
-    query.awaitTermination()
-    return spark.read.schema("user_id bigint, event_type string, day date").parquet(out)
+    files = scratch_dir(spark, "events")
+    events.repartition(4, F.hash("user_id", "ts")).write.parquet(files)
+    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    key, (out, late, state) = ["user_id", "event_type", "day"], (scratch_dir(spark, n) for n in ("dedup", "late", "state"))
+    stream_without_repeats(feed, key, "1 day", out, late, state)
+    both = [spark.read.schema(events.schema).parquet(folder).select(*key) for folder in (out, late)]
+    return union_all(*both).distinct()
 
 
 def incremental_load(spark, sf_dir):
@@ -367,16 +408,24 @@ def corrected_orders(spark, sf_dir):
     return order_archive(spark, sf_dir).filter("dataset <> 'P'").withColumn("price", price)
 
 
+def without_some_datasets(orders: DataFrame) -> DataFrame:
+    """Some rows lose their dataset, others have an empty one."""
+    kind = F.col("id") % 7
+    return orders.withColumn("dataset", F.when(kind == 1, F.lit("")).when(kind > 1, F.col("dataset")))
+
+
 def replace_rows(spark, sf_dir):
     return replaced(order_archive(spark, sf_dir), corrected_orders(spark, sf_dir), *YEAR_1996)
 
 
 def archive_reload(spark, sf_dir):
-    """The same replacement made in an archive on disk, twice."""
+    """The same replacement made in an archive on disk, twice, with datasets
+    that are missing or empty and a quarter that the new load does not have."""
     path = scratch_dir(spark, "orders")
-    write_archive(order_archive(spark, sf_dir), path)
+    write_archive(without_some_datasets(order_archive(spark, sf_dir)), path)
+    new = without_some_datasets(corrected_orders(spark, sf_dir)).filter("start_date <> date'1996-07-01'")
     for _ in range(2):
-        replace_range(spark, path, corrected_orders(spark, sf_dir), *YEAR_1996)
+        replace_range(spark, path, new, *YEAR_1996)
     return read_archive(spark, path).select("id", "dataset", "start_date", "price")
 
 
@@ -388,18 +437,23 @@ def archive_range(spark, sf_dir):
 
 
 def report_csv_export(spark, sf_dir):
-    """Basket observations written as CSV per report and read back."""
+    """Basket observations of two datasets that share their files' names, written
+    as CSV per report, twice, and read back."""
     path = scratch_dir(spark, "reports")
     columns = schemas.PRICE_OBS.names
-    write_report_csv(baskets(spark, sf_dir).select(*columns), path)
+    own = baskets(spark, sf_dir).select(*columns)
+    both = union_all(own, own.withColumn("dataset", F.lit("dairy_products")))
+    for _ in range(2):
+        write_report_csv(both, path)
     return read_feed(spark, path, schemas.PRICE_OBS).select(*columns)
 
 
 def medicine_csv_export(spark, sf_dir):
-    """Medicine observations written as CSV per report and variant."""
+    """Medicine observations written as CSV per report and variant, twice."""
     path = scratch_dir(spark, "reports")
-    columns = [c for c in schemas.MEDICINE_OBS.names if c != "id"]
-    write_report_csv(medicines(spark, sf_dir).select(*schemas.MEDICINE_OBS.names), path, "file_id", "variant")
+    columns = schemas.MEDICINE_OBS.names
+    for _ in range(2):
+        write_report_csv(medicines(spark, sf_dir).select("dataset", *columns), path, "dataset", "file_id", "variant")
     return read_feed(spark, path, schemas.MEDICINE_OBS).select(*columns)
 
 
@@ -411,20 +465,38 @@ def feed_csv(spark, sf_dir):
     return read_feed(spark, path, schemas.FLOWERS).select(*fields)
 
 
-def survey_end_to_end(spark, sf_dir):
-    """From index pages over links and new reports to observations."""
+def linked_reports(spark, sf_dir, dataset):
+    """Index pages, their seeds, and the reports that are stored already.
+
+    Another dataset holds all files under the same names, which changes nothing.
+    """
     pages = stage(data.index_pages(spark, sf_dir), "index")
-    seeds = pages.select("url", F.lit("hardware_products").alias("dataset"), F.lit(True).alias("active"))
+    index = pages.select("url", F.lit(dataset).alias("dataset"), F.lit(True).alias("active"))
     parts = data.parts_by_region(spark, sf_dir).select("file_url", "p_type", "p_brand", "p_size")
     held = parts.filter("p_type = 'PROMO' and p_brand = 'Brand#5' and p_size <= 5")
-    stored = reports.report_links(held.select("file_url").distinct())
-    cells = stage(data.basket_cells(spark, sf_dir), "cells")
-    found = new_reports(pages, seeds, stored)
+    own = held.select("file_url", F.lit(dataset).alias("dataset"))
+    others = parts.select("file_url", F.lit("text_books").alias("dataset"))
+    return pages, index, reports.report_links(own.union(others).distinct())
+
+
+def survey_end_to_end(spark, sf_dir):
+    """From index pages over links and new reports to observations."""
+    pages, index, stored = linked_reports(spark, sf_dir, "hardware_products")
+    cells = rendered(spark, sf_dir, data.basket_cells)
+    found = new_reports(pages, index, stored)
     return survey(cells, found, stored).select(*schemas.PRICE_OBS.names)
 
 
+def medicine_survey_end_to_end(spark, sf_dir):
+    """The same for medicines, with pages that are too narrow for a vendor."""
+    pages, index, stored = linked_reports(spark, sf_dir, "medicines")
+    found = new_reports(pages, index, stored)
+    observations = medicine_survey(rendered(spark, sf_dir, data.narrow_medicine_cells), found, stored)
+    return observations.select(*schemas.MEDICINE_OBS.names)
+
+
 def feed_cleanup(spark, sf_dir):
-    return feeds.cleaned(data.untidy_feed(spark, sf_dir), "price")
+    return feeds.cleaned(data.untidy_feed(spark, sf_dir), "price", folded=("vendor", "unit"))
 
 
 def daily_feed_load(spark, sf_dir):
@@ -453,6 +525,8 @@ QUERIES: dict[str, Query] = {
     "seed_pages": seed_pages,
     "link_extract": link_extract,
     "link_extract_parsed": link_extract_parsed,
+    "link_markup": link_markup,
+    "link_markup_parsed": link_markup_parsed,
     "page_first_text": page_first_text,
     "page_first_text_parsed": page_first_text_parsed,
     "stored_file_name": stored_file_names,
@@ -465,6 +539,7 @@ QUERIES: dict[str, Query] = {
     "failed_download_pairing": failed_download_pairing,
     "last_written": last_written,
     "grid_to_long": baskets,
+    "grid_guards": grid_guards,
     "medicine_split": medicines,
     "medicine_variants": medicine_variants,
     "observation_union": observation_union,
@@ -477,9 +552,12 @@ QUERIES: dict[str, Query] = {
     "price_on_days": on_month_starts,
     "price_asof": asof_order_day,
     "price_stats": stats,
+    "price_stats_large": stats_of_large_prices,
     "product_search": search,
+    "product_search_scripts": search_scripts,
     "product_category": categories,
     "name_cluster": clusters,
+    "name_cluster_scripts": clusters_scripts,
     "feed_dedup": feed_dedup,
     "feed_dedup_stream": feed_dedup_stream,
     "incremental_load": incremental_load,
@@ -490,6 +568,7 @@ QUERIES: dict[str, Query] = {
     "medicine_csv_export": medicine_csv_export,
     "feed_csv": feed_csv,
     "survey_end_to_end": survey_end_to_end,
+    "medicine_survey": medicine_survey_end_to_end,
     "feed_cleanup": feed_cleanup,
     "daily_feed_load": daily_feed_load,
 }

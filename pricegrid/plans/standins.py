@@ -293,6 +293,26 @@ def fee_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages' ids and addresses, with containers of links as people write them:
+    either quote, none, entities, a quote inside, inner containers, noise."""
+    page = F.col("page_id").cast("string")
+    link = lambda before, name, after: F.concat(F.lit(before), F.lit(name), page, F.lit(after))
+    html = F.concat(
+        F.lit("<html><script>var a = '<div class=\"filetitle\"><a href=no.pdf>';</script><body>"),
+        F.lit('<div class="x"><a href="outside.pdf">o</a></div><div class="a filetitle"><b>n</b>'),
+        link('<a class="x>y" href="', "it's-", '.pdf">1</a>'),
+        link("<a href=", "plain-", ".pdf>2</a>"),
+        link("<A HREF = '", 'say "so"-', ".pdf'>3</A>"),
+        link('<a data-href="no.pdf" href="', "a&ntilde;o-&#225;&#xe9;&amp;lt;-", '.pdf">4</a><a name="no">no</a>'),
+        # on every other page a container lies inside the container
+        F.when(F.col("page_id") % 2 == 0, F.lit("<div><i>inner</i></div>")).otherwise(F.lit("<p>none</p>")),
+        link("<a href='", "last-", ".pdf'>5</a>"),
+        F.lit("</div><!-- <div class='filetitle'><a href='no.pdf'></a></div> --></body></html>"),
+    )
+    return table(spark, sf_dir, "pages").select("page_id", "url", html.alias("html"))
+
+
 def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Index pages that link to the basket reports, fifty reports a page."""
     reports = parts_by_region(spark, sf_dir).select("file_url", "p_partkey").groupBy("file_url").agg(
@@ -306,6 +326,60 @@ def index_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def spelled_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as ``(id, name)``, their names in four scripts by key: as they are,
+    Polish, Cyrillic, Chinese, and without any letter."""
+    name, key = F.col("p_name"), F.col("p_partkey")
+    spelled = (
+        F.when(key % 5 == 1, F.concat(F.lit("ŁÓDŹ "), name))
+        .when(key % 5 == 2, F.concat(F.lit("Молоко, "), "p_type"))
+        .when(key % 5 == 3, F.concat(F.lit("米 "), "p_brand"))
+        .when(key % 5 == 4, F.concat(F.lit("** "), F.repeat(F.lit("*"), (key % 3).cast("int"))))
+        .otherwise(name)
+    )
+    return table(spark, sf_dir, "part").select(key.alias("id"), spelled.alias("name"))
+
+
+def uneven_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Basket reports with pages that the guards are for: every fifth page ends
+    after two header rows, descriptions of promotions are blank, and the first
+    header cell, like every description, is there twice."""
+    cells = basket_cells(spark, sf_dir)
+    short = F.col("page_no") % 5 == 4
+    promo = table(spark, sf_dir, "part").filter("p_type = 'PROMO'")
+    blank = promo.select(
+        F.floor(F.col("p_partkey") / PARTS_PER_FILE).cast("int").alias("file_no"),
+        F.floor(F.col("p_partkey") % PARTS_PER_FILE / PARTS_PER_PAGE).cast("int").alias("page_no"),
+        (F.col("p_partkey") % PARTS_PER_PAGE + 3).cast("int").alias("row_no"),
+        F.lit(True).alias("blank"),
+    )
+    numbered = cells.withColumn(
+        "file_no",
+        F.translate(F.regexp_extract("file_url", "sondeo-([a-j]+)-del", 1), "abcdefghij", "0123456789").cast("int"),
+    )
+    first = (F.col("table_no") == 0) & (F.col("col_no") == 0)
+    uneven = (
+        numbered.join(blank, ["file_no", "page_no", "row_no"], "left")
+        .filter(~short | (F.col("row_no") < 2))
+        .withColumn("cell", F.when(first & F.col("blank"), F.lit("  ")).otherwise(F.col("cell")))
+        .select(*cells.columns)
+    )
+    again = uneven.filter(first & F.col("cell").isNotNull()).withColumn("cell", F.concat("cell", F.lit(" bis")))
+    return uneven.unionByName(again)
+
+
+def narrow_medicine_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medicine reports of two columns, a name and the one vendor, and of three."""
+    parts = parts_by_region(spark, sf_dir)
+    price = F.col("price_0").cast("string")
+    even = F.col("page_no") % 2 == 0
+    two = _grid(parts, [(0, 0, F.col("p_name")), (0, 1, price)], _header(0, ["Medicamento", "AFRICA"], [None] * 2, [None] * 2), even)
+    values = [F.col("p_name"), F.col("p_type"), F.col("p_brand"), F.col("p_size").cast("string"), price]
+    names = ["Medicamento", "Dosis", "Laboratorio", "Unidad", "AFRICA"]
+    wide = _grid(parts, [(0, i, v) for i, v in enumerate(values)], _header(0, names, [None] * 5, [None] * 5), ~even)
+    return two.unionByName(wide)
+
+
 def untidy_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers as a raw feed with stray blanks and several ways to say "none"."""
     segment, balance = F.col("c_mktsegment"), money("c_acctbal")

@@ -31,17 +31,34 @@ def get_session(app: str = "pricegrid", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
+_MADE: list[str] = []
+
+
+def scratch_dir(spark: SparkSession, name: str, keep: bool = False) -> str:
     """A fresh folder below the shared folder named in ``spark.checkpoint.dir``.
 
     A machine-local folder is only used when Spark itself runs on one machine.
+    ``delete_scratch`` removes what was made, unless it is to be kept.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = os.path.join(tempfile.gettempdir(), "pricegrid")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not keep:
+        _MADE.append(path)
+    return path
+
+
+def delete_scratch(spark: SparkSession) -> None:
+    """Delete all folders of ``scratch_dir``.
+
+    Results read from them lazily, so this is for when they have been used.
+    """
+    while _MADE:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_MADE.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str, *partition_by: str) -> DataFrame:

@@ -28,9 +28,19 @@ def write_archive(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def write_report_csv(df: DataFrame, path: str, *keys: str) -> None:
-    """One CSV folder per report (and variant); no rows, no folder."""
-    keys = keys or ("file_id",)
-    by_folder(df, *keys).write.mode("append").options(**CSV).partitionBy(*keys).csv(path)
+    """One CSV folder per dataset and report (and variant); no rows, no folder.
+
+    Writing a report again replaces its folder and no other.
+    """
+    keys = keys or ("dataset", "file_id")
+    (
+        by_folder(df, *keys)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .options(**CSV)
+        .partitionBy(*keys)
+        .csv(path)
+    )
 
 
 def write_feed(df: DataFrame, path: str, name: str, run: str, fields: list[str]) -> str:

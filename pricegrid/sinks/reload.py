@@ -7,8 +7,12 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pricegrid.session import stage
 from pricegrid.sinks.files import by_folder
 
+# Fixed value: the folder of rows whose key is missing or empty.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
 
 def replaced(
     old: DataFrame, new: DataFrame, first: datetime.date, last: datetime.date, column: str = "start_date"
@@ -28,27 +32,37 @@ def replace_range(
 ) -> None:
     """Replace a range in an archive with one folder per day, in place.
 
-    Only folders of the range are touched. Days that the new load has no rows
-    for are removed, so the range afterwards is exactly the new load. Doing it
-    twice, or again after a failure, gives the same result.
+    Only folders of the range are looked up and touched. Days that the new load
+    has no rows for are removed, so the range afterwards is exactly the new
+    load. Doing it twice, or again after a failure, gives the same result.
+    ``new`` is evaluated once: what is written and what decides which folders
+    stay are the same rows.
     """
-    rows = new.filter(F.col(column).between(F.lit(first), F.lit(last)))
+    rows = stage(new.filter(F.col(column).between(F.lit(first), F.lit(last))), "reload")
     keys = [field for field in ("dataset", column) if field in new.columns]
     by_folder(rows, *keys).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(*keys).parquet(path)
-    kept = {tuple(map(str, row)) for row in _days(rows, keys, first, last)}
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    # at most one folder per dataset and day of the range
+    names = [F.coalesce(F.nullif(F.col(key).cast("string"), F.lit("")), F.lit(NO_VALUE)) for key in keys]
+    kept = {tuple(row) for row in rows.select(*names).distinct().collect()}
+    for folder, values in _folders(spark, path, keys, first, last):
+        if values not in kept:
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _folders(spark: SparkSession, path: str, keys: list[str], first: datetime.date, last: datetime.date):
+    """Folders of the range that exist, each asked for by name; other days are not listed."""
+    new_path = spark._jvm.org.apache.hadoop.fs.Path
+    root = new_path(path)
     files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    pattern = "/".join(f"{key}=*" for key in keys)
-    for status in files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}")) or []:
-        folder = status.getPath()
-        names = folder.toString().split("/")[-len(keys) :]
-        values = tuple(unquote(name.partition("=")[2]) for name in names)
-        if first.isoformat() <= values[-1] <= last.isoformat() and values not in kept:
-            files.delete(folder, True)
-
-
-def _days(rows: DataFrame, keys: list[str], first: datetime.date, last: datetime.date):
-    """Folders the new rows have: at most one per dataset and day of the range."""
-    return rows.select(*keys).distinct().collect()
+    parents = [(root, ())]
+    if len(keys) > 1:
+        found = files.globStatus(new_path(f"{path}/{keys[0]}=*")) or []
+        parents = [(s.getPath(), (unquote(s.getPath().getName().partition("=")[2]),)) for s in found]
+    for parent, values in parents:
+        for i in range((last - first).days + 1):
+            day = (first + datetime.timedelta(i)).isoformat()
+            folder = new_path(parent, f"{keys[-1]}={day}")
+            if files.exists(folder):
+                yield folder, (*values, day)

@@ -12,6 +12,14 @@ SEEDS = (
     ("basic_baskets", "https://proconsumidor.gob.do/sondeos-de-canasta-basica-2018/", False),
     ("basic_baskets", "https://proconsumidor.gob.do/sondeos-de-canasta-basica-2019/", False),
     ("basic_baskets", "https://proconsumidor.gob.do/sondeos-de-canasta-basica-2020/", True),
+    ("dairy_products", "https://proconsumidor.gob.do/monitoreos-diferentes-tipos-de-leches-2017/", False),
+    ("dairy_products", "https://proconsumidor.gob.do/monitoreos-diferentes-tipos-de-leches-2018/", False),
+    ("dairy_products", "https://proconsumidor.gob.do/monitoreos-diferentes-tipos-de-leches-2019/", False),
+    ("dairy_products", "https://proconsumidor.gob.do/monitoreos-diferentes-tipos-de-leches-2020/", True),
+    ("hardware_products", "https://proconsumidor.gob.do/monitoreo-de-ferreterias-2017/", False),
+    ("hardware_products", "https://proconsumidor.gob.do/monitoreo-de-ferreterias-2018/", False),
+    ("hardware_products", "https://proconsumidor.gob.do/monitoreos-de-ferreterias-2019/", False),
+    ("hardware_products", "https://proconsumidor.gob.do/monitoreos-de-ferreterias-2020/", True),
     ("medicines", "https://proconsumidor.gob.do/monitoreos-farmacias-2017/", False),
     ("medicines", "https://proconsumidor.gob.do/consulta-de-precios-de-medicamentos-2018/", False),
     ("medicines", "https://proconsumidor.gob.do/consulta-de-precios-de-medicamentos-2019/", False),

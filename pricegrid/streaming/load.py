@@ -18,17 +18,17 @@ def archive_has_files(spark: SparkSession, path: str) -> bool:
 def new_rows(batch: DataFrame, path: str) -> DataFrame:
     """Rows of a batch whose id the archive does not have, once each.
 
-    The archive is only read for the batch's own date range.
+    The archive is only read for the days that the batch has rows of, at most
+    one per calendar day however large the batch.
     """
     batch = batch.dropDuplicates(["id"])
     spark = batch.sparkSession
     if not archive_has_files(spark, path):
         return batch
-    first, last = batch.agg(F.min("start_date"), F.max("start_date")).first()
+    days = [row[0] for row in batch.select("start_date").distinct().collect()]
     known = spark.read.schema(batch.schema).parquet(path)
-    if first is not None:
-        inside = F.col("start_date").between(F.lit(first), F.lit(last))
-        known = known.filter(inside | F.col("start_date").isNull())
+    wanted = F.col("start_date").isin([day for day in days if day is not None])
+    known = known.filter(wanted | F.col("start_date").isNull() if None in days else wanted)
     return batch.join(known.select("id"), "id", "left_anti")
 
 
@@ -37,27 +37,32 @@ def load_increment(
     archive: str,
     checkpoint: str,
     clean: Callable[[DataFrame], DataFrame],
-    also: Callable[[DataFrame], None] | None = None,
+    also: Callable[[DataFrame, str], None] | None = None,
 ):
     """Load what has come in since the last run, then stop.
 
-    ``clean`` turns raw feed rows into rows with ``id, dataset, start_date``.
-    The id decides what is new: a batch that is run again after a failure, or a
-    file that is delivered twice, adds nothing. ``also`` gets the same new rows,
-    for a second sink. Returns the finished query.
+    ``clean`` turns raw feed rows into rows with ``id, dataset, start_date``;
+    it runs once a batch. The id decides what is new: a batch that is run again
+    after a failure, or a file that is delivered twice, adds nothing.
+
+    ``also`` gets the same new rows for a second sink, before the archive has
+    them, and a name for the batch. If the archive cannot be written, the batch
+    comes again: with the same rows under the same name. So ``also`` must
+    replace what it holds under that name, as ``replace_batch`` does, or upsert
+    by ``id``. Returns the finished query.
     """
+    spark = feed.sparkSession
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        fresh = new_rows(clean(batch), archive)
-        if also is None:
-            write_archive(fresh, archive)
-            return
-        fresh = fresh.persist()
+        rows = clean(batch).persist()
+        fresh = new_rows(rows, archive).persist()
         try:
-            also(fresh)
+            if also is not None:
+                also(fresh, f"{_query_id(spark, checkpoint)}-{batch_id}")
             write_archive(fresh, archive)
         finally:
             fresh.unpersist()
+            rows.unpersist()
 
     query = (
         feed.writeStream.foreachBatch(load)
@@ -69,11 +74,71 @@ def load_increment(
     return query
 
 
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a query keeps with its state: another state, other names."""
+    return spark.read.json(f"{checkpoint}/metadata").first()["id"]
+
+
+def replace_batch(rows: DataFrame, path: str, name: str) -> None:
+    """Write a batch to a folder of its own, in place of an earlier try."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch={name}")
+
+
 def stream_without_repeats(
-    feed: DataFrame, key: list[str], ts: str = "ts", delay: str = "1 day"
-) -> DataFrame:
-    """Drop rows whose key was seen within ``delay`` of event time.
+    feed: DataFrame,
+    key: list[str],
+    delay: str,
+    out: str,
+    late: str,
+    checkpoint: str,
+    ts: str = "ts",
+):
+    """The first row of each key within ``delay``, and apart what came too late.
 
-    State is kept per distinct key and leaves with the watermark.
+    A row is late if its time lies more than ``delay`` before the newest time of
+    the batches before its own. A key is remembered as long as a row that is not
+    late can lie within ``delay`` of it; meanwhile one of its rows goes to
+    ``out``. Late rows may repeat a key that is no longer remembered; they all
+    go to ``late``, so that no row is lost unsaid. Rows without a time are never
+    late and not remembered. Where every repeat counts, as in daily loads, ``load_increment``
+    asks the whole archive instead.
+
+    Each batch has folders of its own, which a second try replaces. Returns the finished query.
     """
-    return feed.withWatermark(ts, delay).dropDuplicatesWithinWatermark(key)
+    spark = feed.sparkSession
+    marks = f"{checkpoint}/newest"
+
+    def earlier(path: str, schema, batch_id: int) -> DataFrame:
+        return spark.read.schema(schema).option("basePath", path).parquet(path).filter(F.col("batch") < batch_id)
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            mark = None
+            on_time, too_late = batch.filter(F.lit(True)), batch.filter(F.lit(False))
+            if batch_id:
+                mark = earlier(marks, "newest timestamp, batch bigint", batch_id).agg(F.max("newest")).first()[0]
+            if mark is not None:
+                bound = F.lit(mark) - F.expr(f"interval {delay}")
+                is_late = F.coalesce(F.col(ts) < bound, F.lit(False))
+                on_time, too_late = batch.filter(~is_late), batch.filter(is_late)
+            fresh = on_time.dropDuplicates(key)
+            if mark is not None:
+                names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in feed.schema)
+                known = earlier(out, f"{names}, batch bigint", batch_id).filter(F.col(ts) >= bound - F.expr(f"interval {delay}")).select(*key)
+                same = [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in key]
+                fresh = fresh.alias("new").join(known.alias("old"), same, "left_anti").select("new.*")
+            replace_batch(too_late, late, str(batch_id))
+            replace_batch(fresh, out, str(batch_id))
+            replace_batch(batch.agg(F.max(ts).cast("timestamp").alias("newest")), marks, str(batch_id))
+        finally:
+            batch.unpersist()
+
+    query = (
+        feed.writeStream.foreachBatch(step)
+        .option("checkpointLocation", f"{checkpoint}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    return query

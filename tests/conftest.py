@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from pricegrid import get_session  # noqa: E402
+from pricegrid import delete_scratch, get_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -22,6 +22,7 @@ def spark(tmp_path_factory):
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    delete_scratch(session)
     session.stop()
 
 

@@ -200,3 +200,14 @@ def test_body_is_shuffled_once(spark):
     above_join = plan.split("SortMergeJoin")[0]
     assert "Window" in above_join and "Exchange" not in above_join
     assert "PushedFilters: [IsNotNull(row_no), IsNotNull(cell), GreaterThanOrEqual(row_no,3)" in plan
+
+
+def test_cells_that_are_there_twice(spark):
+    """The lowest text holds, in headers and in the body; nothing fails and no id repeats."""
+    grid = headed(["P", "U", "A", "B"], ["Arroz", "lb", "5.00", "6.00"], ["Pan", "u", "7.00", "8.00"])
+    rows = cell_rows(grid)
+    again = [(*row[:-1], f"{row[-1]}9") for row in rows if row[-1]]
+    once = sorted(tuple(r) for r in basket_prices(cells(spark, rows)).drop("id").collect())
+    twice = basket_prices(cells(spark, rows, again))
+    assert sorted(tuple(r) for r in twice.drop("id").collect()) == once
+    assert twice.select("id").distinct().count() == len(once) == 4

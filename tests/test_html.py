@@ -42,6 +42,32 @@ def test_native_links(spark):
     assert [r.file_url for r in got] == ["/a.pdf?x=1&y=2", "b.pdf", "/a.pdf?x=1&y=2"]
 
 
+def test_native_links_leave_nesting_to_the_parser(spark):
+    nested = INDEX
+    marked = """<div class="filetitle"><b>n</b><a href="it's.pdf">1</a><div>inner</div><a href=plain.pdf>2</a>
+    <a title="a>b" href='say "so".pdf'>3</a><a data-href=no.pdf>4</a><a href="">5</a></div>"""
+    open_ended = '<div class="filetitle"><a href="x.pdf">x</a>'
+    frame = pages(spark, nested, marked, marked.replace("<div>inner</div>", ""), open_ended, None)
+    got = {}
+    for r in html.links(frame).orderBy("page_id", "pos").collect():
+        got.setdefault(r.page_id, []).append(r.file_url)
+    each = ["it's.pdf", "plain.pdf", 'say "so".pdf', ""]
+    assert got == {0: ["/a.pdf?x=1&y=2", "b.pdf", "/a.pdf?x=1&y=2"], 1: each, 2: each, 3: ["x.pdf"]}
+    parsed = html.parsed_links(frame).count()
+    assert parsed == sum(map(len, got.values()))
+
+
+def test_reading_open_elements_is_linear():
+    import time
+
+    took = []
+    for n in (4_000, 16_000):
+        start = time.perf_counter()
+        html.PageReader(links="div a", rows="table tr").read("<div>" + "<a href=x><b></i>" * n)
+        took.append(time.perf_counter() - start)
+    assert took[1] < 10 * took[0] + 0.2
+
+
 def test_flowers(spark):
     day = datetime.date(2020, 1, 15)
     rows = feeds.flowers(pages(spark, FLOWERS, "<p>no table</p>"), day).orderBy("vendor").collect()
@@ -72,7 +98,7 @@ def test_native_rows_become_grid_cells(spark):
     rows = html.table_rows(pages(spark, FLOWERS.replace("<td>B<td>Lirio<td>docena<td>\n12.50\n", "")))
     rows = rows.withColumn("page_url", F.lit("u")).filter(F.size("cells") >= 4)
     got = html.grid_cells(rows).orderBy("col_no").collect()
-    assert [r.cell for r in got] == ["Flor&iacute;a", "Rosa", "", ""]
+    assert [r.cell for r in got] == ["Floría", "Rosa", "", ""]
 
 
 def test_first_text(spark):

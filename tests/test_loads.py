@@ -12,6 +12,7 @@ from pricegrid.sinks import database
 from pricegrid.sinks.files import write_archive, write_feed, write_report_csv
 from pricegrid.sinks.reload import replace_range, replaced
 from pricegrid.sources.tables import read_archive, read_feed, stream_feed
+from pricegrid.streaming import load
 from pricegrid.streaming.load import load_increment, stream_without_repeats
 
 DAY = datetime.date(2020, 1, 1)
@@ -44,6 +45,29 @@ def test_reload_replaces_the_range_and_drops_vanished_days(spark):
     assert {r.start_date for r in part.collect()} == {day(4), day(6), day(7), day(8), day(9)}
 
 
+def test_reload_keeps_rows_without_a_dataset(spark):
+    path = scratch_dir(spark, "t")
+    old = archive_rows(spark, range(4), 1).unionByName(archive_rows(spark, range(4), 1, ""))
+    write_archive(old, path)
+    new = archive_rows(spark, [1], 2, None).unionByName(archive_rows(spark, [2], 2, ""))
+    new = new.unionByName(archive_rows(spark, [1, 3], 3))
+    for _ in range(2):
+        replace_range(spark, path, new, day(1), day(3))
+        rows = read_archive(spark, path).collect()
+        assert sorted((r.dataset or "", r.start_date, int(r.price)) for r in rows) == [
+            ("", day(0), 1), ("", day(1), 2), ("", day(2), 2), ("a b/c", day(0), 1), ("a b/c", day(1), 3), ("a b/c", day(3), 3),
+        ]
+
+
+def test_reload_evaluates_the_new_rows_once(spark):
+    """Rows that differ from run to run are written and kept all the same."""
+    path = scratch_dir(spark, "t")
+    write_archive(archive_rows(spark, range(3), 1), path)
+    random = archive_rows(spark, [1], 2).withColumn("dataset", F.concat(F.lit("d"), F.floor(F.rand() * 10**9).cast("string")))
+    replace_range(spark, path, random, day(0), day(2))
+    assert [int(r.price) for r in read_archive(spark, path).collect()] == [2]
+
+
 def test_rows_without_a_date_survive_a_reload(spark):
     old = spark.createDataFrame([("n", "a", None, Decimal(1))], ROWS)
     assert replaced(old, archive_rows(spark, [1], 2), day(0), day(3)).count() == 2
@@ -54,15 +78,18 @@ def test_reports_as_csv(spark):
     blank = [None] * len(schemas.PRICE_OBS.names)
     rows = []
     for file_id, description in [("f1", 'say "x",\nline'), ("f1", None), ("f2", " padded ")]:
-        row = dict(zip(schemas.PRICE_OBS.names, blank), file_id=file_id, description=description)
+        row = dict(zip(schemas.PRICE_OBS.names, blank), dataset="d", file_id=file_id, description=description)
         rows.append(tuple({**row, "unit": "", "price": Decimal("1.5")}.values()))
     df = spark.createDataFrame(rows, schemas.PRICE_OBS)
-    write_report_csv(df, path)
-    assert sorted(f for f in os.listdir(path) if "=" in f) == ["file_id=f1", "file_id=f2"]
+    for _ in range(2):
+        write_report_csv(df, path)
+    write_report_csv(df.withColumn("dataset", F.lit("e")).filter("file_id = 'f2'"), path)
+    assert sorted(f for f in os.listdir(f"{path}/dataset=d") if "=" in f) == ["file_id=f1", "file_id=f2"]
+    assert sorted(f for f in os.listdir(f"{path}/dataset=e") if "=" in f) == ["file_id=f2"]
     back = read_feed(spark, path, schemas.PRICE_OBS)
-    assert {(r.file_id, r.description, r.unit) for r in back.collect()} == {
-        ("f1", 'say "x",\nline', ""), ("f1", None, ""), ("f2", " padded ", ""),
-    }
+    assert sorted((r.dataset, r.file_id, r.description or "none", r.unit) for r in back.collect()) == [
+        ("d", "f1", "none", ""), ("d", "f1", 'say "x",\nline', ""), ("d", "f2", " padded ", ""), ("e", "f2", " padded ", ""),
+    ]
 
 
 FEED = "description string, unit string, vendor string, price string, day date"
@@ -86,7 +113,7 @@ def test_incremental_load(spark):
     )
     load = lambda where: load_increment(
         stream_feed(spark, f"{root}/flowers/*", read_schema(FEED)), archive, where, clean,
-        also=lambda rows: seen.append(rows.count()),
+        also=lambda rows, name: seen.append(rows.count()),
     )
     write_feed(feed(range(6)), root, "flowers", "1", fields)
     load(checkpoint)
@@ -108,20 +135,75 @@ def read_schema(text):
     return StructType.fromDDL(text)
 
 
-def test_stream_drops_repeats(spark):
-    root, out, state = (scratch_dir(spark, n) for n in ("in", "out", "st"))
-    schema = "k string, ts timestamp"
-    t = datetime.datetime(2020, 1, 1)
-    spark.createDataFrame([("a", t), ("a", t), ("b", t)], schema).write.parquet(root)
-    spark.createDataFrame([("a", t + datetime.timedelta(hours=1)), ("c", t)], schema).write.mode("append").parquet(root)
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(root)
-    query = (
-        stream_without_repeats(stream, ["k"], delay="2 days")
-        .writeStream.format("parquet").option("checkpointLocation", state)
-        .trigger(availableNow=True).start(out)
-    )
-    query.awaitTermination()
-    assert sorted(r.k for r in spark.read.schema(schema).parquet(out).collect()) == ["a", "b", "c"]
+def test_second_sink_sees_a_failed_batch_again_under_its_name(spark, monkeypatch):
+    """The archive fails once after the second sink has been written."""
+    root, archive, second, state = (scratch_dir(spark, n) for n in ("feeds", "archive", "second", "state"))
+    schema = read_schema(FEED)
+    rows = [(f"rosa {i}", "u", "v", "RD$1.50", day(i)) for i in range(5)]
+    write_feed(spark.createDataFrame(rows, FEED), root, "flowers", "1", schema.names)
+    failures = [True]
+
+    def write(df, path):
+        if failures:
+            failures.pop()
+            raise OSError("archive is away")
+        write_archive(df, path)
+
+    monkeypatch.setattr(load, "write_archive", write)
+    names = []
+
+    def also(fresh, name):
+        names.append(name)
+        load.replace_batch(fresh, second, name)
+
+    run = lambda: load_increment(stream_feed(spark, f"{root}/flowers/*", schema), archive, state, clean, also)
+    with pytest.raises(Exception, match="archive is away"):
+        run()
+    run()
+    assert len(names) == 2 and len(set(names)) == 1
+    assert read_archive(spark, archive).count() == 5
+    assert spark.read.parquet(second).count() == 5
+
+
+def stream_of(spark, batches, schema):
+    """A stream that has these rows in one batch each."""
+    root = scratch_dir(spark, "in")
+    for i, rows in enumerate(batches):
+        path = f"{root}/{i}"
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(path)
+        for name in os.listdir(path):
+            os.utime(f"{path}/{name}", (1_600_000_000 + i, 1_600_000_000 + i))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/*")
+
+
+def test_stream_drops_repeats_and_keeps_late_rows_apart(spark):
+    out, late, state = (scratch_dir(spark, n) for n in ("out", "late", "st"))
+    schema = "k string, n int, ts timestamp"
+    at = lambda hours: datetime.datetime(2020, 1, 1) + datetime.timedelta(hours=hours)
+    batches = [
+        [("a", 1, at(0)), ("a", 1, at(0)), ("b", 2, at(30))],
+        [("a", 3, at(7)), ("a", 4, at(5)), ("c", 5, at(29)), ("b", 6, at(31)), (None, 7, at(60))],
+        [("d", 8, at(35)), (None, 9, at(59)), ("b", 10, at(61)), ("e", 11, None)],
+    ]
+    feed = stream_of(spark, batches, schema)
+    stream_without_repeats(feed, ["k"], "1 day", out, late, state)
+    read = lambda path: sorted(r.n for r in spark.read.schema(schema).parquet(path).collect())
+    # a at 7 is the same key within a day, at 5 it is late; b is remembered from 30 until newest is past 78
+    assert read(out) == [1, 2, 5, 7, 11]
+    assert read(late) == [4, 8]
+
+
+def test_nothing_is_lost_in_a_stream_out_of_order(spark, sf_dir):
+    out, late, state, files = (scratch_dir(spark, n) for n in ("out", "late", "st", "ev"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("user_id", "event_type", "cast(ts as timestamp) ts", "cast(ts as date) day")
+    events.repartition(4, F.hash("ts")).write.parquet(files)
+    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    key = ["user_id", "event_type", "day"]
+    stream_without_repeats(feed, key, "1 day", out, late, state)
+    both = [spark.read.schema(events.schema).parquet(p).select(*key) for p in (out, late)]
+    assert both[0].count() == both[0].distinct().count()
+    assert both[1].count() > 0
+    assert both[0].union(both[1]).distinct().count() == events.select(*key).distinct().count()
 
 
 def test_shared_folder_comes_from_the_session(spark):

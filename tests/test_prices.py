@@ -177,3 +177,22 @@ def test_repeats_and_unions(spark):
     assert {tuple(r) for r in drop_repeats(df, ["k"], ["o"]).collect()} == {(1, "a", 1), (2, "c", 1)}
     both = union_all(df, df.drop("v"))
     assert both.count() == 6 and both.filter("v is null").count() == 3
+
+
+def test_spread_of_large_prices(spark):
+    """Near a thousand million, squares of prices would cancel."""
+    import statistics
+
+    values = [Decimal(10**9) + Decimal(i % 7) / 4 for i in range(1000)] + [Decimal(10**9) + 512] * 3
+    rows = [("p", "d", v) for v in values] + [("q", "d", Decimal("34.57"))] * 5 + [("r", "d", Decimal(1))]
+    df = spark.createDataFrame(rows, "product string, dataset string, price decimal(18,4)")
+    got = {r.key: r.stddev_price for r in price_stats(df).collect() if r.grain == "product"}
+    assert abs(got["p"] - float(statistics.stdev(values))) < 1e-9
+    assert got["q"] == 0 and got["r"] is None
+
+
+def test_names_without_letters_stay_apart(spark):
+    names = ["***", "--", "--", "米", "Хлеб", "ХЛЕБ"]
+    rows = {r.name: r for r in name_clusters(spark.createDataFrame([(n,) for n in names], "name string")).collect()}
+    assert rows["***"].canonical == "***" and rows["--"].cluster_n == 2
+    assert rows["Хлеб"].cluster_n == 2 and rows["米"].cluster_n == 1

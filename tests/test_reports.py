@@ -1,9 +1,12 @@
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from grids import cell_rows, cells, headed
 from pricegrid.operators import reports
 from pricegrid.plans.surveys import as_prices, medicine_survey, new_reports, survey
 from pricegrid.schemas import PAGES
+from pricegrid.sources.pages import seeds
 
 LINKS = "item_id long, pos int, file_url string"
 DOWNLOADS = LINKS + ", ok boolean, path string"
@@ -34,11 +37,13 @@ def test_a_failed_download_does_not_shift_the_rest(spark):
 
 
 def test_stored_and_converted_are_skipped(spark):
-    named = reports.report_links(links(spark))
-    stored = spark.createDataFrame([("a.pdf",), ("a.pdf",), ("z.pdf",)], "file_name string")
-    fresh = reports.not_stored(named, stored)
+    named = reports.report_links(links(spark)).withColumn("dataset", F.lit("dairy"))
+    # another dataset's file of the same name is another file
+    stored = [("dairy", "a.pdf"), ("dairy", "a.pdf"), ("dairy", "z.pdf"), ("baskets", "d.pdf")]
+    fresh = reports.not_stored(named, spark.createDataFrame(stored, "dataset string, file_name string"))
     assert {r.file_name for r in fresh.collect()} == {"b.pdf", "c.pdf", "d.pdf"}
-    manifest = spark.createDataFrame([("b", "generic"), ("b", "commercial")], "file_id string, variant string")
+    done = [("dairy", "b", "generic"), ("dairy", "b", "commercial"), ("baskets", "c", "single")]
+    manifest = spark.createDataFrame(done, "dataset string, file_id string, variant string")
     assert {r.file_id for r in reports.not_converted(fresh, manifest).collect()} == {"c", "d"}
 
 
@@ -56,17 +61,26 @@ def test_from_page_to_observations(spark):
         [("text_books", f"{site}/i", True), ("x", f"{site}/old", False)],
         "dataset string, url string, active boolean",
     )
-    none = spark.createDataFrame([], "file_name string")
+    none = spark.createDataFrame([], "dataset string, file_name string")
     found = new_reports(pages, seeds, none)
     assert found.count() == 2
     grid = headed(["P", "U", "A"], ["Libro", "Uno", "5.00"])
     url = f"{site}/f/canasta-abril-2020.pdf"
     table = cells(spark, cell_rows(grid, url=url), cell_rows(grid, url=f"{site}/f/other.pdf"))
-    empty = spark.createDataFrame([], "file_id string")
+    empty = spark.createDataFrame([], "dataset string, file_id string")
     [row] = survey(table, found, empty).collect()
     assert (row.dataset, row.file_id, row.price) == ("text_books", "canasta-abril-2020", Decimal(5))
     [price] = as_prices(survey(table, found, empty)).collect()
     assert (price.product, price.vendor, str(price.price_date)) == ("Libro", "A", "2020-04-01")
-    done = spark.createDataFrame([("canasta-abril-2020",)], "file_id string")
+    done = spark.createDataFrame([("text_books", "canasta-abril-2020")], "dataset string, file_id string")
     assert survey(table, found, done).count() == 0
     assert medicine_survey(table, found, done).count() == 0
+
+
+def test_all_seeds(spark):
+    rows = seeds(spark).collect()
+    assert len(rows) == len({r.url for r in rows}) == 19
+    assert {r.dataset for r in rows} == {
+        "basic_baskets", "dairy_products", "hardware_products", "medicines", "text_books", "flowers", "transportation_fees",
+    }
+    assert {r.dataset for r in rows if r.active} == {r.dataset for r in rows}

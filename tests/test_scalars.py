@@ -107,3 +107,18 @@ def test_null_tokens_and_folding(spark):
 def test_ids_depend_on_every_part(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), ("a", 1)], "x string, y int")
     assert df.select(prices.observation_id("x", "y").alias("id")).distinct().count() == 3
+
+
+def test_entities(spark):
+    got = column(spark, ["a&ntilde;o &#225;&#xe9;&#XE9;", "&amp;lt; &nope; & &;", "&#128;&#0;&#xD800;&#1114112;", None, "", "&lt;&lt;x&gt;"], text.decode_entities)
+    assert got == ["año áéé", "&lt; &nope; & &;", "€\ufffd\ufffd\ufffd", None, "", "<<x>"]
+
+
+def test_words_of_any_script(spark):
+    names = ["Łódź, ŁÓDŹ", "Молоко 2%", "米", "e\u0301te\u0301 été", "***", "Straße-Øl"]
+    assert column(spark, names, text.fingerprint) == ["lodz", "2 молоко", "米", "ete", "", "ol straße"]
+
+
+def test_too_large(spark):
+    texts = ["RD$ 1.00", "123456789012345", "00012345678901234.50", "1,234,567,890,123,456.00", "none", None]
+    assert column(spark, texts, prices.too_large) == [False, True, False, True, False, False]
