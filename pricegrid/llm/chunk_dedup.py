@@ -114,10 +114,12 @@ def chunks(docs: DataFrame, chunking: Chunking, text: str = "text", id_col: str
 
 def repeated_chunks(cut: DataFrame) -> DataFrame:
     """``id, at, size, high``: chunks whose digest occurred before."""
-    shared = cut.select("high").groupBy("high").agg(F.count("*").alias("n")).filter("n > 1").select("high")
+    # put down, so that both sides of the joins are shuffled and Spark can split a digest that very many chunks have
+    shared = stage(cut.select("high").groupBy("high").agg(F.count("*").alias("n")).filter("n > 1").select("high"), "digests")
     several = stage(cut.join(shared.hint("merge"), "high"), "chunks")
     first = several.groupBy("high", "low").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1")
-    return several.join(first, ["high", "low"]).filter("id <> first.id or at <> first.at").select("id", "at", "size", "high")
+    first = stage(first.select("high", "low", "first"), "first")
+    return several.join(first.hint("merge"), ["high", "low"]).filter("id <> first.id or at <> first.at").select("id", "at", "size", "high")
 
 
 def removed_runs(found: list[tuple[int, int]], least_run: int) -> list[tuple[int, int]]:

@@ -126,15 +126,17 @@ def candidate_pairs(signed: DataFrame, like: Similarity) -> DataFrame:
     """``x, c``: each document of a bucket with the bucket's smallest id. Expects ``id, keys``."""
     split = F.posexplode("keys").alias("pos", "key")
     rows = signed.select("id", split)
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
+    # put down, so that both sides of the joins are shuffled and Spark can split a key that very many documents have
+    shared = stage(rows.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "shared")
     # sub-keys that nobody shares need no tables
-    live = rows.join(shared, "key").groupBy("id").agg(F.collect_set(F.struct("pos", "key")).alias("keys"))
+    live = rows.join(shared.hint("merge"), "key").groupBy("id").agg(F.collect_set(F.struct("pos", "key")).alias("keys"))
     live = stage(live, "subkeys")
     of = lambda low: F.transform(F.filter("keys", lambda k: (k["pos"] < like.subkeys) == F.lit(low)), lambda k: k["key"])
     tables = live.select("id", F.explode(of(True)).alias("a"), of(False).alias("bs")).select("id", "a", F.explode("bs").alias("b"))
     tables = tables.select("id", F.xxhash64("a", "b").alias("table"))
     buckets = tables.groupBy("table").agg(F.min("id").alias("c"), F.max("id").alias("other")).filter("c <> other").select("table", "c")
-    return tables.join(buckets, "table").filter("id <> c").select(F.col("id").alias("x"), "c").distinct()
+    buckets = stage(buckets, "buckets")
+    return tables.join(buckets.hint("merge"), "table").filter("id <> c").select(F.col("id").alias("x"), "c").distinct()
 
 
 def compare_with_centres(pairs: DataFrame, texts: DataFrame, like: Similarity) -> DataFrame:
@@ -185,8 +187,9 @@ def links_beside_centres(compared: DataFrame, like: Similarity) -> DataFrame:
     block with all members of another and returns a spanning forest of the links.
     """
     groups = compared.groupBy("c").agg(F.count("*").alias("n"), F.sum((~F.col("linked")).cast("int")).alias("u")).filter("n > 1 and u > 0")
+    groups = stage(groups, "groups")
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
-    rows = compared.join(groups.select("c", blocks("n").alias("nd"), blocks("u").alias("nq")), "c")
+    rows = compared.join(groups.select("c", blocks("n").alias("nd"), blocks("u").alias("nq")).hint("merge"), "c")
     own = lambda n: F.pmod(F.xxhash64("x"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     data = rows.withColumn("q", each("nq")).withColumn("d", own("nd")).withColumn("asks", F.lit(False))
@@ -221,7 +224,8 @@ def links_beside_centres(compared: DataFrame, like: Similarity) -> DataFrame:
                     links.append((int(me), partner))
         return pd.DataFrame(links, columns=["u", "v"])
 
-    return cells.groupBy("c", "q", "d").applyInPandas(compare, "u bigint, v bigint")
+    # the join has left a group in one place: deal out its cells
+    return cells.repartition("c", "q", "d").groupBy("c", "q", "d").applyInPandas(compare, "u bigint, v bigint")
 
 
 def _bit_rows(bits: pd.Series) -> np.ndarray:
@@ -241,9 +245,9 @@ def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), text: str
     """``id_col, n_shingles, component_id, kept`` of every row; see the module's text. Ids are whole numbers."""
     signed = stage(signatures(docs, like, text, id_col).withColumn("id", F.col("id").cast("bigint")), "signatures")
     usable = signed.filter("digest is not null and id is not null")
-    equal = usable.groupBy("digest").agg(F.min("id").alias("rep"))
+    equal = stage(usable.groupBy("digest").agg(F.min("id").alias("rep")), "equal")
     members = stage(
-        usable.join(equal, "digest").select("id", "rep", F.when(F.col("id") == F.col("rep"), F.col("keys")).alias("keys")).distinct(), "members"
+        usable.join(equal.hint("merge"), "digest").select("id", "rep", F.when(F.col("id") == F.col("rep"), F.col("keys")).alias("keys")).distinct(), "members"
     )
     pairs = stage(candidate_pairs(members.filter("keys is not null").select("id", "keys"), like), "pairs")
     needed = pairs.select(F.col("x").alias("id")).union(pairs.select("c")).distinct()

@@ -33,6 +33,8 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from pricegrid.session import stage
+
 # Kinds of elements in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
@@ -295,7 +297,8 @@ def low_branches(nodes: DataFrame, importance: Importance) -> DataFrame:
 def main_text(pages: DataFrame, importance: Importance = Importance(), html: str = "html", id_col: str = "page_id", url: str = "url") -> DataFrame:
     """``id_col, url, text, n_chars`` of every page; see the module's text."""
     own = pages.select(F.col(id_col).alias("id"), F.col(url).alias("url"), F.col(html).cast("string").alias("html"), _host(F.col(url)).alias("host"))
-    low = low_branches(page_nodes(own), importance)
+    # put down, so that both sides of the join are shuffled and Spark can split a host with very many pages
+    low = stage(low_branches(page_nodes(own), importance), "trees")
     kinds = {f.name: f.dataType.simpleString() for f in own.schema.fields}
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

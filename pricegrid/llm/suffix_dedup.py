@@ -266,7 +266,8 @@ def without_repeats(docs: DataFrame, repeats: Repeats = Repeats(), text: str = "
     # a row is known by its id (its text, where that is null) and its text
     rows = plain.withColumn("th", F.xxhash64("text")).withColumn("rid", F.coalesce(F.col("own").cast("bigint"), F.col("th")))
     named = named_samples(rows, repeats)
-    shared = named.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1")
+    # put down, so that both sides of the join are shuffled and Spark can split a name that very many samples carry
+    shared = stage(named.groupBy("name").agg(F.count("*").alias("n")).filter("n > 1"), "names")
     lists = named.join(shared.hint("merge"), "name").groupBy("rid").agg(F.collect_set(F.struct("at", "n")).alias("found"))
     # the lists grow with the corpus: never broadcast, the plan is the same at every size
     texts = stage(rows.select("rid", "th", "text").join(lists.hint("merge"), "rid"), "repeats")

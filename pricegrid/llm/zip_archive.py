@@ -260,13 +260,15 @@ def write_packages(pages: DataFrame, folder: str, html: str = "html", id_col: st
         F.col(url).cast("string").alias("url"),
         F.coalesce(F.col(html).cast("string"), F.lit("")).alias("html"),
     ).withColumn("digest", F.sha2(F.col("html").cast("binary"), 256))
-    # of payloads that occur once nothing needs to be known; partial counts before the shuffle
-    shared = (
+    # of payloads that occur once nothing needs to be known; partial counts before the shuffle. Put down, so
+    # that both sides of the join are shuffled and Spark can split a payload that very many pages have
+    shared = stage(
         full.filter(F.octet_length("html") >= MIN_REVISIT)
         .groupBy("digest")
         .agg(F.min("order").alias("first"), F.count("*").alias("n"))
         .filter("n > 1 and first is not null")
-        .select("digest", F.col("first").cast("string").alias("first"))
+        .select("digest", F.col("first").cast("string").alias("first")),
+        "payloads",
     )
     chosen = full.join(shared.hint("merge"), "digest", "left").select("id", "url", "html", "digest", F.when(~F.col("first").eqNullSafe(F.col("id")), F.col("first")).alias("response"))
 
