@@ -243,7 +243,8 @@ def repeated_stretches(cut: DataFrame, repeats: Repeats, together: int = TOGETHE
     few = sorted_triples.mapInArrow(neighbours, stretch)
     starts = cut.filter(F.col("n") > together).mapInArrow(each, "name bigint, rid bigint, th bigint, at int, before int, digest bigint")
     again = starts.groupBy("name", "before", "digest").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
-    covered = starts.join(again, ["name", "before", "digest"]).groupBy("rid", "th", "at").agg(F.min("before").alias("least"), F.max("before").alias("most"))
+    again = stage(again, "starts")
+    covered = starts.join(again.hint("merge"), ["name", "before", "digest"]).groupBy("rid", "th", "at").agg(F.min("before").alias("least"), F.max("before").alias("most"))
     many = covered.select("rid", "th", (F.col("at") - F.col("most")).cast("bigint"), (F.col("at") - F.col("least") + repeats.length).cast("bigint"))
     return few.union(many)
 

@@ -87,27 +87,37 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+# Powers of the hash's radix in two levels: a long text needs no table of its length.
+_BLOCK = 1 << 16
+_UP, _DOWN = _powers(_RADIX, _BLOCK), _powers(_INVERSE, _BLOCK)
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash's radix and of its inverse, kept between slices."""
-    if len(_POWERS[0]) < n:
-        _POWERS[:] = _powers(_RADIX, n), _powers(_INVERSE, n)
-    return _POWERS[0][:n], _POWERS[1][:n]
+def _of_blocks(base: int, blocks: int) -> np.ndarray:
+    return _powers(pow(base, _BLOCK, 1 << 64), max(blocks, 1))
 
 
 class RangeHash:
     """64-bit hashes of any byte ranges of a slice, from one running sum."""
 
     def __init__(self, data: np.ndarray, fold: bool = False):
+        values = _FOLDED_VALUES if fold else _BYTE_VALUES
+        blocks = len(data) // _BLOCK + 1
+        up = _of_blocks(_RADIX, blocks)
+        self.down = _of_blocks(_INVERSE, blocks)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        up, _ = powers(len(data) + 1)
-        np.cumsum((_FOLDED_VALUES if fold else _BYTE_VALUES)[data] * up[:-1], out=self.sums[1:])
+        for i, low in enumerate(range(0, len(data), _BLOCK)):
+            part = values[data[low : low + _BLOCK]]
+            part *= _UP[: len(part)]
+            np.cumsum(part, out=part)
+            part *= up[i]
+            part += self.sums[low]
+            self.sums[low + 1 : low + 1 + len(part)] = part
 
     def __call__(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-        _, down = powers(len(self.sums))
-        return mix((self.sums[end] - self.sums[begin]) * down[begin])
+        out = self.sums[end] - self.sums[begin]
+        out *= _DOWN[begin & (_BLOCK - 1)]
+        out *= self.down[begin >> 16]
+        return mix(out)
 
 
 @dataclass
