@@ -21,6 +21,7 @@ columns of any name do no harm. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -113,13 +114,15 @@ def chunks(docs: DataFrame, chunking: Chunking, text: str = "text", id_col: str
 
 
 def repeated_chunks(cut: DataFrame) -> DataFrame:
-    """``id, at, size, high``: chunks whose digest occurred before."""
+    """``id, at, size, high, of``: chunks whose digest occurred before, and the id where it is kept."""
     # put down, so that both sides of the joins are shuffled and Spark can split a digest that very many chunks have
     shared = stage(cut.select("high").groupBy("high").agg(F.count("*").alias("n")).filter("n > 1").select("high"), "digests")
     several = stage(cut.join(shared.hint("merge"), "high"), "chunks")
     first = several.groupBy("high", "low").agg(F.min(F.struct("id", "at")).alias("first"), F.count("*").alias("n")).filter("n > 1")
     first = stage(first.select("high", "low", "first"), "first")
-    return several.join(first.hint("merge"), ["high", "low"]).filter("id <> first.id or at <> first.at").select("id", "at", "size", "high")
+    return several.join(first.hint("merge"), ["high", "low"]).filter("id <> first.id or at <> first.at").select(
+        "id", "at", "size", "high", F.col("first.id").alias("of")
+    )
 
 
 def removed_runs(found: list[tuple[int, int]], least_run: int) -> list[tuple[int, int]]:
@@ -134,41 +137,50 @@ def removed_runs(found: list[tuple[int, int]], least_run: int) -> list[tuple[int
 
 
 def without_repeats(docs: DataFrame, chunking: Chunking = Chunking(), text: str = "text", id_col: str = "doc_id", with_text: bool = False) -> DataFrame:
-    """``id_col, n_bytes, n_repeated, n_removed, n_spans, kept_sha256`` and, if wanted, ``kept_text``.
+    """``id_col, n_bytes, n_repeated, n_removed, n_spans, repeats_of, kept_sha256`` and, if wanted, ``kept_text``.
 
     ``n_repeated`` counts the bytes of all chunks that occurred before, also of
-    runs too short to be removed.
+    runs too short to be removed; ``repeats_of`` lists the other documents that
+    keep what was removed here.
     """
     repeated = repeated_chunks(chunks(docs, chunking, text, id_col))
-    lists = repeated.groupBy("id").agg(F.collect_list(F.struct("at", "size", "high")).alias("found"))
+    lists = repeated.groupBy("id").agg(F.collect_list(F.struct("at", "size", "high", "of")).alias("found"))
     kind = docs.schema[id_col].dataType.simpleString()
     own = docs.select(F.col(id_col).alias("own"), F.col(id_col).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))
     # the lists grow with the corpus: never broadcast, the plan is the same at every size
     joined = own.join(lists.hint("merge"), "id", "left").select("own", "text", "found")
-    names = ["id", "n_bytes", "n_repeated", "n_removed", "n_spans", "kept_sha256"] + ["kept_text"] * with_text
+    names = ["id", "n_bytes", "n_repeated", "n_removed", "n_spans", "repeats_of", "kept_sha256"] + ["kept_text"] * with_text
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for value, found in zip(batch.column(1), batch.column(2)):
+            for own, value, found in zip(batch.column(0), batch.column(1), batch.column(2)):
                 raw = memoryview((value.as_py() or "").encode())
-                mine = []
+                mine, keepers = [], []
                 for chunk in found.as_py() or []:
                     begin, end = chunk["at"], chunk["at"] + chunk["size"]
                     # of rows that share an id, only those that hold this chunk here
                     if xxhash.xxh3_128_digest(raw[begin:end])[:8] == chunk["high"].to_bytes(8, "little", signed=True):
                         mine.append((begin, end))
+                        keepers.append((begin, chunk["of"]))
                 runs = removed_runs(mine, chunking.least_run)
                 kept, at = bytearray(), 0
                 for begin, end in runs:
                     kept += raw[at:begin]
                     at = end
                 kept += raw[at:]
-                row = [len(raw), sum(b - a for a, b in set(mine)), len(raw) - len(kept), len(runs), hashlib.sha256(kept).hexdigest()]
+                firsts = [a for a, _ in runs]
+                others = set()
+                for begin, keeper in keepers:
+                    i = bisect.bisect_right(firsts, begin) - 1
+                    if i >= 0 and begin < runs[i][1]:
+                        others.add(keeper)
+                others.discard(own.as_py())
+                row = [len(raw), sum(b - a for a, b in set(mine)), len(raw) - len(kept), len(runs), sorted(others), hashlib.sha256(kept).hexdigest()]
                 # a chunk may end inside a code point; what is left of one is dropped from the text
                 rows.append(row + [kept.decode("utf-8", "ignore")] * with_text)
-            kinds = [pa.int64()] * 4 + [pa.string()] * 2
+            kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip(zip(*rows), kinds))], names=names)
 
-    schema = f"id {kind}, n_bytes bigint, n_repeated bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * with_text
+    schema = f"id {kind}, n_bytes bigint, n_repeated bigint, n_removed bigint, n_spans bigint, repeats_of array<bigint>, kept_sha256 string" + ", kept_text string" * with_text
     return joined.mapInArrow(remove, schema).withColumnRenamed("id", id_col)

@@ -111,6 +111,7 @@ def test_passages_go_and_clean_documents_stay(spark):
     hit = {i for i, r in rows.items() if r["n_removed"]}
     assert hit == planted - {3}  # the first stays
     assert rows[3]["n_repeated"] == 0
+    assert all(r["repeats_of"] == ([3] if i in hit else []) for i, r in rows.items())
     for i, r in rows.items():
         assert r["n_bytes"] == len(texts[i].encode())
         if not r["n_removed"]:
