@@ -78,6 +78,9 @@ _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden|itemprop)\
 _NAME = re.compile(r"[a-z]+")
 _MASK = (1 << 64) - 1
 
+#: parts that a host's pages are dealt out in; a host's list of branches is copied to each
+SALTS = 32
+
 
 @dataclass(frozen=True)
 class Importance:
@@ -297,19 +300,22 @@ def low_branches(nodes: DataFrame, importance: Importance) -> DataFrame:
 def main_text(pages: DataFrame, importance: Importance = Importance(), html: str = "html", id_col: str = "page_id", url: str = "url") -> DataFrame:
     """``id_col, url, text, n_chars`` of every page; see the module's text."""
     own = pages.select(F.col(id_col).alias("id"), F.col(url).alias("url"), F.col(html).cast("string").alias("html"), _host(F.col(url)).alias("host"))
-    # put down, so that both sides of the join are shuffled and Spark can split a host with very many pages
-    low = stage(low_branches(page_nodes(own), importance), "trees")
+    own = own.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int"))
+    low = low_branches(page_nodes(own), importance).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    low = stage(low, "trees")
     kinds = {f.name: f.dataType.simpleString() for f in own.schema.fields}
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            packed = [packer.compress(b"" if value is None else value.encode()) for value in batch.column(3).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(packed, pa.binary())], names=["host", "id", "url", "packed"])
+            packed = [packer.compress(b"" if value is None else value.encode()) for value in batch.column(4).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(packed, pa.binary())], names=["host", "salt", "id", "url", "packed"])
 
     # pages are shuffled once, packed; hosts grow with the corpus: never broadcast, the plan is the same at every size
-    packed = own.select("host", "id", "url", "html").mapInArrow(pack, f"host bigint, id {kinds['id']}, url {kinds['url']}, packed binary")
-    joined = packed.join(low.hint("merge"), "host", "left").select("id", "url", "packed", "low")
+    packed = own.select("host", "salt", "id", "url", "html").mapInArrow(
+        pack, f"host bigint, salt int, id {kinds['id']}, url {kinds['url']}, packed binary"
+    )
+    joined = packed.join(low.hint("merge"), ["host", "salt"], "left").select("id", "url", "packed", "low")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpacker = zstandard.ZstdDecompressor()
