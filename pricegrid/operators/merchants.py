@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from pricegrid.operators.stats import levels_before, price_bands, price_levels
+from pricegrid.session import stage
 
 KEYS = ["product", "vendor"]
 
@@ -38,7 +39,7 @@ def merchant_rank(prices: DataFrame) -> DataFrame:
     many vendors is not one sort, and offers meet their level by product and
     price. ``is_cheapest`` marks a single vendor, the first by name among equals.
     """
-    best = offers(prices)
+    best = stage(offers(prices), "offers")
     levels = price_levels(best, ["product"], F.min("vendor").alias("first_vendor"))
     ranked = levels_before(levels, price_bands(levels, ["product"]), ["product"])
     cheapest = (F.col("before") == 0) & (F.col("vendor") == F.col("first_vendor"))
