@@ -98,4 +98,28 @@ ORACLES: dict[str, str] = {
                CASE WHEN again THEN first_id END AS refers_to
         FROM typed
     """,
+    "op9_near_duplicates": r"""
+        WITH RECURSIVE worded AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents
+        ), sets AS (
+            SELECT doc_id, CASE
+                WHEN len(w) >= 3 THEN list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)])
+                WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS shingles
+            FROM worded
+        ), held AS (
+            SELECT doc_id, len(shingles) AS n, unnest(shingles) AS shingle FROM sets
+        ), links AS (
+            SELECT a.doc_id AS x, b.doc_id AS y FROM held a JOIN held b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+            GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM sets
+            UNION
+            SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.other = links.x
+        ), least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM sets JOIN least USING (doc_id)
+    """,
 }
