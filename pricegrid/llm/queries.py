@@ -84,6 +84,44 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 ORACLES: dict[str, str] = {
+    "op3_suffix_dedup": r"""
+        WITH raw AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents
+        ), starts AS (
+            SELECT doc_id, unnest(range(0, n - 399)) AS p, h FROM raw WHERE n >= 400
+        ), digests AS (
+            SELECT doc_id, p, md5(h[2 * p + 1 : 2 * p + 800]) AS d FROM starts
+        ), again AS (
+            SELECT doc_id, p FROM (SELECT doc_id, p, count(*) OVER (PARTITION BY d) AS k FROM digests) WHERE k > 1
+        ), marked AS (
+            SELECT *, coalesce(p > lag(p) OVER (PARTITION BY doc_id ORDER BY p) + 400, true) AS opens FROM again
+        ), numbered AS (
+            SELECT *, sum(CAST(opens AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM marked
+        ), spans AS (
+            SELECT doc_id, span, min(p) AS b, max(p) + 400 AS e FROM numbered GROUP BY doc_id, span
+        ), gaps AS (
+            SELECT doc_id, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS b, b AS e FROM spans
+            UNION ALL SELECT doc_id, max(e), NULL FROM spans GROUP BY doc_id
+        ), kept AS (
+            SELECT doc_id, string_agg(h[2 * b + 1 : 2 * coalesce(e, n)], '' ORDER BY b) AS h FROM gaps JOIN raw USING (doc_id) GROUP BY doc_id
+        ), totals AS (SELECT doc_id, sum(e - b) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id)
+        SELECT doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept.h, raw.h))) AS kept_sha256
+        FROM raw LEFT JOIN totals USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """,
+    # the tables' pages keep their article in an element of that name, in blocks of two kinds
+    "op4_site_style_tree": r"""
+        WITH blocks AS (
+            SELECT page_id, url, string_split_regex(
+                replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<br>', ' '), '</?(?:p|h1)>') AS b
+            FROM pages
+        ), plain AS (
+            SELECT page_id, url, [trim(regexp_replace(regexp_replace(
+                replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) FOR x IN b] AS b
+            FROM blocks
+        ), texts AS (SELECT page_id, url, array_to_string([x FOR x IN b IF x <> ''], chr(10)) AS text FROM plain)
+        SELECT page_id, url, text, length(text) AS n_chars FROM texts
+    """,
     "op7_zip_archive": """
         WITH payloads AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
