@@ -9,9 +9,6 @@ from pricegrid.llm import secret_scan
 from pricegrid.llm.decontamination import edit_distance_inside, leaks
 from pricegrid.llm.secret_scan import find_secrets, mask_secrets
 
-PLAIN = re.compile("[a-z0-9]+|[^\x00-\x7f]+")
-
-
 def words(text):
     return "".join(c.lower() if c.isascii() and c.isalnum() else c if not c.isascii() else " " for c in text).split()
 

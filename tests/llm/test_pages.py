@@ -2,6 +2,7 @@ import struct
 import zipfile
 
 import pytest
+from hypothesis import given, settings, strategies as st
 from pricegrid.llm import zip_archive
 from pricegrid.llm.site_style import Page, main_text
 from pricegrid.llm.zip_archive import archive_round_trip, members, read_records, write_packages
@@ -53,6 +54,16 @@ def test_markup(html, expected):
     assert Page(html).text() == expected
 
 
+PIECES = ["<p>", "</p>", "<div class='", "'>", "<b", ">", "</b>", "<script>", "</script>", "<!--", "-->", "&amp;", "&#", "<", '"', "=", "a", " ", "<td>", "<table>", "</", "\x00", "é"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=40))
+def test_any_markup_is_read(pieces):
+    page = Page("".join(pieces))
+    assert all(text == " ".join(text.split()) and text for _, text in page.blocks)
+
+
 def test_branches_that_repeat_over_a_site_go(spark):
     """Nothing names these branches; only their host's tree tells."""
     page = "<body><div class=top><p>Welcome to our site</p></div><div class=body><h2>Story {0}</h2><p>Text {0} of the day.</p></div><div class=x>Read on</div></body>"
