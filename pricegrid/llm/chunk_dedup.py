@@ -109,7 +109,7 @@ def chunks(docs: DataFrame, chunking: Chunking, text: str = "text", id_col: str
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "at", "size", "high", "low"])
 
     return docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).cast("string").alias("__text")).filter("id is not null").mapInArrow(
-        cut, "id bigint, at int, size int, high bigint, low bigint"
+        textbuf.released(cut), "id bigint, at int, size int, high bigint, low bigint"
     )
 
 
@@ -183,4 +183,4 @@ def without_repeats(docs: DataFrame, chunking: Chunking = Chunking(), text: str
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip(zip(*rows), kinds))], names=names)
 
     schema = f"id {kind}, n_bytes bigint, n_repeated bigint, n_removed bigint, n_spans bigint, repeats_of array<bigint>, kept_sha256 string" + ", kept_text string" * with_text
-    return joined.mapInArrow(remove, schema).withColumnRenamed("id", id_col)
+    return joined.mapInArrow(textbuf.released(remove), schema).withColumnRenamed("id", id_col)

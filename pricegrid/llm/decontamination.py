@@ -299,6 +299,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search(), text
 
         return find
 
-    parts = [own.mapInArrow(finder(ids, texts), schema) for ids, texts in _blocks(benchmark, item_id, text)]
+    parts = [own.mapInArrow(textbuf.released(finder(ids, texts)), schema) for ids, texts in _blocks(benchmark, item_id, text)]
     found = reduce(DataFrame.union, parts) if parts else docs.sparkSession.createDataFrame([], schema)
     return found.select(F.col("id").alias(id_col), F.col("item").cast(item_kind).alias(item_id), *names[2:])

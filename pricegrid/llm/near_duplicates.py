@@ -118,7 +118,7 @@ def signatures(docs: DataFrame, like: Similarity, text: str = "text", id_col: st
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("__text")).mapInArrow(
-        sign, f"id {kind}, n_shingles bigint, digest binary, keys array<bigint>"
+        textbuf.released(sign), f"id {kind}, n_shingles bigint, digest binary, keys array<bigint>"
     )
 
 
@@ -176,7 +176,7 @@ def compare_with_centres(pairs: DataFrame, texts: DataFrame, like: Similarity) -
     mine = pairs.join(texts.select(F.col("id").alias("x"), F.col("text").alias("own")), "x")
     joined = mine.join(texts.select(F.col("id").alias("c"), F.col("text").alias("centre")), "c")
     return joined.select("c", "x", "own", "centre").mapInArrow(
-        compare, f"c {kind}, x {kind}, size bigint, linked boolean, bits binary, rest array<bigint>"
+        textbuf.released(compare), f"c {kind}, x {kind}, size bigint, linked boolean, bits binary, rest array<bigint>"
     )
 
 

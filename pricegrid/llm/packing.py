@@ -25,6 +25,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from pricegrid.llm import textbuf
 from pricegrid.session import stage
 
 #: pieces of one length that one task ranks; only splits work
@@ -92,7 +93,7 @@ def pieces(docs: DataFrame, tokenizer: Tokenizer, max_length: int = 2048, end_id
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("__text")).mapInArrow(cut, schema)
+    return docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("__text")).mapInArrow(textbuf.released(cut), schema)
 
 
 def packing_patterns(histogram: dict[int, int], max_length: int) -> list[tuple[int, list[int]]]:

@@ -81,7 +81,7 @@ def features(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> Dat
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, high - low), values], names=["id", "x"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("__text")).mapInArrow(
-        extract, f"id {kind}, x array<double>"
+        textbuf.released(extract), f"id {kind}, x array<double>"
     )
 
 

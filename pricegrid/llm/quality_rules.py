@@ -176,7 +176,7 @@ def measures(docs: DataFrame, vocabularies: list[Vocabulary], text: str = "text"
 
     names = [f.name for f in fields] + ["n_chars_", *(x.split()[0] for x in BASE.split(", "))]
     names += [f"{x}{i}" for i in range(len(vocabularies)) for x in "tfe"]
-    return docs.select(*(f"`{f.name}`" for f in fields), F.col(text).cast("string").alias("__text")).mapInArrow(measure, schema)
+    return docs.select(*(f"`{f.name}`" for f in fields), F.col(text).cast("string").alias("__text")).mapInArrow(textbuf.released(measure), schema)
 
 
 def _ratios(i: int) -> dict[str, F.Column]:

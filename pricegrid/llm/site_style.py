@@ -33,6 +33,7 @@ import xxhash
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
+from pricegrid.llm import textbuf
 from pricegrid.session import stage
 
 # Kinds of elements in HTML.
@@ -263,7 +264,7 @@ def page_nodes(pages: DataFrame) -> DataFrame:
             columns = [batch.column(0).take(pa.array(row, pa.int64())), *(pa.array(x, pa.int64()) for x in (digest, path, style, content))]
             yield pa.RecordBatch.from_arrays(columns, names=["host", "page", "path", "style", "content"])
 
-    return pages.select("host", "html").mapInArrow(read, "host bigint, page bigint, path bigint, style bigint, content bigint")
+    return pages.select("host", "html").mapInArrow(textbuf.released(read), "host bigint, page bigint, path bigint, style bigint, content bigint")
 
 
 def _entropies(nodes: DataFrame, by: list[str]) -> DataFrame:
@@ -313,7 +314,7 @@ def main_text(pages: DataFrame, importance: Importance = Importance(), html: str
 
     # pages are shuffled once, packed; hosts grow with the corpus: never broadcast, the plan is the same at every size
     packed = own.select("host", "salt", "id", "url", "html").mapInArrow(
-        pack, f"host bigint, salt int, id {kinds['id']}, url {kinds['url']}, packed binary"
+        textbuf.released(pack), f"host bigint, salt int, id {kinds['id']}, url {kinds['url']}, packed binary"
     )
     joined = packed.join(low.hint("merge"), ["host", "salt"], "left").select("id", "url", "packed", "low")
 
@@ -327,5 +328,5 @@ def main_text(pages: DataFrame, importance: Importance = Importance(), html: str
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "url", "text", "n_chars"])
 
-    found = joined.mapInArrow(extract, f"id {kinds['id']}, url {kinds['url']}, text string, n_chars bigint")
+    found = joined.mapInArrow(textbuf.released(extract), f"id {kinds['id']}, url {kinds['url']}, text string, n_chars bigint")
     return found.select(F.col("id").alias(id_col), F.col("url").alias(url), "text", "n_chars")

@@ -122,7 +122,7 @@ def named_samples(texts: DataFrame, repeats: Repeats) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(names), rid, pa.array(at)], names=["name", "rid", "at"])
 
     long = texts.filter(F.octet_length("text") >= repeats.length)
-    return long.select("rid", "text").mapInArrow(sample, "name bigint, rid bigint, at int")
+    return long.select("rid", "text").mapInArrow(textbuf.released(sample), "name bigint, rid bigint, at int")
 
 
 def triples(texts: DataFrame, repeats: Repeats) -> DataFrame:
@@ -169,7 +169,7 @@ def triples(texts: DataFrame, repeats: Repeats) -> DataFrame:
                 )
 
     return texts.select("rid", "th", "text", "found").mapInArrow(
-        cut, "name bigint, n bigint, rid bigint, th bigint, at int, low int, high int, near binary"
+        textbuf.released(cut), "name bigint, n bigint, rid bigint, th bigint, at int, low int, high int, near binary"
     )
 
 
@@ -240,8 +240,8 @@ def repeated_stretches(cut: DataFrame, repeats: Repeats, together: int = TOGETHE
 
     stretch = "rid bigint, th bigint, begin bigint, end bigint"
     sorted_triples = cut.filter(F.col("n") <= together).repartition("name").sortWithinPartitions("name")
-    few = sorted_triples.mapInArrow(neighbours, stretch)
-    starts = cut.filter(F.col("n") > together).mapInArrow(each, "name bigint, rid bigint, th bigint, at int, before int, digest bigint")
+    few = sorted_triples.mapInArrow(textbuf.released(neighbours), stretch)
+    starts = cut.filter(F.col("n") > together).mapInArrow(textbuf.released(each), "name bigint, rid bigint, th bigint, at int, before int, digest bigint")
     again = starts.groupBy("name", "before", "digest").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     again = stage(again, "starts")
     covered = starts.join(again.hint("merge"), ["name", "before", "digest"]).groupBy("rid", "th", "at").agg(F.min("before").alias("least"), F.max("before").alias("most"))
@@ -294,7 +294,7 @@ def without_repeats(docs: DataFrame, repeats: Repeats = Repeats(), text: str = "
 
     changed = texts.select("rid", "th", "text").join(spans.hint("merge"), ["rid", "th"]).select("rid", "th", "text", "spans")
     schema = "rid bigint, th bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept_text string" * with_text
-    changed = changed.mapInArrow(remove, schema).dropDuplicates(["rid", "th"])
+    changed = changed.mapInArrow(textbuf.released(remove), schema).dropDuplicates(["rid", "th"])
     whole = F.sha2(F.col("text").cast("binary"), 256).alias("whole")
     known = rows.select("own", "rid", "th", F.octet_length("text").cast("bigint").alias("n_bytes"), whole, *["text"] * with_text)
     return known.join(changed, ["rid", "th"], "left").select(

@@ -31,6 +31,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from pricegrid.llm import textbuf
 from pricegrid.session import scratch_dir, stage
 
 MIN_REVISIT = 100
@@ -212,11 +213,11 @@ def read_records(packages: DataFrame, with_payload: bool = False) -> DataFrame:
     def batch_of(rows: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names=names)
 
-    found = packages.select("path").repartition(F.col("path")).mapInArrow(entries, "path string, offset bigint, length bigint")
+    found = packages.select("path").repartition(F.col("path")).mapInArrow(textbuf.released(entries), "path string, offset bigint, length bigint")
     # runs of a million bytes of a package go to one task
     dealt = found.repartition(F.col("path"), F.floor(F.col("offset") / (1 << 20))).sortWithinPartitions("path", "offset")
     schema = "page_id string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, url string"
-    return dealt.mapInArrow(read, schema + ", payload binary" * with_payload)
+    return dealt.mapInArrow(textbuf.released(read), schema + ", payload binary" * with_payload)
 
 
 # Writing
@@ -290,7 +291,7 @@ def write_packages(pages: DataFrame, folder: str, html: str = "html", id_col: st
         if written:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*written)], names=["path", "n_records"])
 
-    return stage(chosen.mapInArrow(write, "path string, n_records bigint"), "packages")
+    return stage(chosen.mapInArrow(textbuf.released(write), "path string, n_records bigint"), "packages")
 
 
 class _Package:
