@@ -53,7 +53,7 @@ class Vocabulary:
 
 @dataclass(frozen=True)
 class Bands:
-    reach: float = 2.5
+    reach: float = 2.25
     min_tokens: int = 30
     min_texts: int = 200
 
@@ -216,8 +216,10 @@ def rejection_bands(measured: DataFrame, n: int, bands: Bands, lang: str) -> Dat
     ranked = binned.withColumn("so_far", F.sum("n").over(by_group.orderBy("bin"))).withColumn("total", F.sum("n").over(by_group))
     at = lambda q: F.min(F.when(F.col("so_far") >= F.col("total") * q, F.col("bin")))
     quartiles = ranked.groupBy(*group).agg(at(0.25).alias("q1"), at(0.75).alias("q3"), F.max("total").alias("texts"))
-    # at least three bins, for measures that hardly vary
-    spread = F.greatest(F.col("q3") - F.col("q1") + 1, F.lit(3)) * bands.reach
+    # measures that hardly vary: at least three bins, and two hundredths for fallbacks, as a passage in
+    # another script is no broken encoding
+    least = F.when(F.col("measure").startswith("fallback_share"), BINS // 50).otherwise(3)
+    spread = F.greatest(F.col("q3") - F.col("q1") + 1, least) * bands.reach
     return quartiles.filter(F.col("texts") >= bands.min_texts).select(
         *group, ((F.col("q1") - spread) / BINS).alias("low"), ((F.col("q3") + 1 + spread) / BINS).alias("high")
     )
