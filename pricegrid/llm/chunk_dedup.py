@@ -136,7 +136,13 @@ def removed_runs(found: list[tuple[int, int]], least_run: int) -> list[tuple[int
     return [(a, b) for a, b in runs if b - a >= least_run]
 
 
-def without_repeats(docs: DataFrame, chunking: Chunking = Chunking(), text: str = "text", id_col: str = "doc_id", with_text: bool = False) -> DataFrame:
+def without_repeats(
+    docs: DataFrame,
+    chunking: Chunking = Chunking(),
+    text: str = "text",
+    id_col: str = "doc_id",
+    with_text: bool = False,
+) -> DataFrame:
     """``id_col, n_bytes, n_repeated, n_removed, n_spans, repeats_of, kept_sha256`` and, if wanted, ``kept_text``.
 
     ``n_repeated`` counts the bytes of all chunks that occurred before, also of
@@ -182,5 +188,6 @@ def without_repeats(docs: DataFrame, chunking: Chunking = Chunking(), text: str
             kinds = [pa.int64()] * 4 + [pa.list_(pa.int64())] + [pa.string()] * 2
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x, k) for x, k in zip(zip(*rows), kinds))], names=names)
 
-    schema = f"id {kind}, n_bytes bigint, n_repeated bigint, n_removed bigint, n_spans bigint, repeats_of array<bigint>, kept_sha256 string" + ", kept_text string" * with_text
+    schema = f"id {kind}, n_bytes bigint, n_repeated bigint, n_removed bigint, n_spans bigint, "
+    schema += "repeats_of array<bigint>, kept_sha256 string" + ", kept_text string" * with_text
     return joined.mapInArrow(textbuf.released(remove), schema).withColumnRenamed("id", id_col)

@@ -277,7 +277,14 @@ def _blocks(benchmark: DataFrame, item_id: str, text: str) -> Iterator[tuple[lis
         yield ids, texts
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, search: Search = Search(), text: str = "text", id_col: str = "doc_id", item_id: str = "item_id") -> DataFrame:
+def leaks(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    search: Search = Search(),
+    text: str = "text",
+    id_col: str = "doc_id",
+    item_id: str = "item_id",
+) -> DataFrame:
     """``id_col, item_id, distance, item_words, start, end``: a row per leaked passage, in code points."""
     kind, item_kind = docs.schema[id_col].dataType.simpleString(), benchmark.schema[item_id].dataType
     item_type = pa.int64() if item_kind.simpleString() in ("bigint", "int", "smallint", "tinyint") else pa.string()

@@ -241,14 +241,18 @@ def _owners(rest: pd.Series) -> np.ndarray:
     return np.repeat(np.arange(len(rest)), [len(r) for r in rest])
 
 
-def near_duplicates(docs: DataFrame, like: Similarity = Similarity(), text: str = "text", id_col: str = "doc_id") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame,
+    like: Similarity = Similarity(),
+    text: str = "text",
+    id_col: str = "doc_id",
+) -> DataFrame:
     """``id_col, n_shingles, component_id, kept`` of every row; see the module's text. Ids are whole numbers."""
     signed = stage(signatures(docs, like, text, id_col).withColumn("id", F.col("id").cast("bigint")), "signatures")
     usable = signed.filter("digest is not null and id is not null")
     equal = stage(usable.groupBy("digest").agg(F.min("id").alias("rep")), "equal")
-    members = stage(
-        usable.join(equal.hint("merge"), "digest").select("id", "rep", F.when(F.col("id") == F.col("rep"), F.col("keys")).alias("keys")).distinct(), "members"
-    )
+    own_keys = F.when(F.col("id") == F.col("rep"), F.col("keys")).alias("keys")
+    members = stage(usable.join(equal.hint("merge"), "digest").select("id", "rep", own_keys).distinct(), "members")
     pairs = stage(candidate_pairs(members.filter("keys is not null").select("id", "keys"), like), "pairs")
     needed = pairs.select(F.col("x").alias("id")).union(pairs.select("c")).distinct()
     own = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text).cast("string").alias("text"))

@@ -66,7 +66,15 @@ class Tokenizer:
         return encode
 
 
-def pieces(docs: DataFrame, tokenizer: Tokenizer, max_length: int = 2048, end_id: int = 1, text: str = "text", id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
+def pieces(
+    docs: DataFrame,
+    tokenizer: Tokenizer,
+    max_length: int = 2048,
+    end_id: int = 1,
+    text: str = "text",
+    id_col: str = "doc_id",
+    with_ids: bool = False,
+) -> DataFrame:
     """``id_col, start, length, ids_crc32, doc_tokens`` and, if wanted, ``ids`` of every piece."""
     kind = docs.schema[id_col].dataType.simpleString()
     schema = "id " + kind + ", start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids array<int>" * with_ids
@@ -159,7 +167,8 @@ def pack(cut: DataFrame, max_length: int = 2048) -> DataFrame:
     blocks = max(1, -(-sum(histogram.values()) // RANKED_TOGETHER))
     # rows are told apart by where the shared folder holds them: equal rows get ranks of their own
     at = [F.col("_metadata.file_name"), F.col("_metadata.row_index")]
-    numbered = known.select("*", at[0].alias("__file"), at[1].alias("__row")).withColumn("__block", F.pmod(F.xxhash64("__file", "__row"), F.lit(blocks)))
+    numbered = known.select("*", at[0].alias("__file"), at[1].alias("__row"))
+    numbered = numbered.withColumn("__block", F.pmod(F.xxhash64("__file", "__row"), F.lit(blocks)))
     before = W.partitionBy("length").orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
     first = numbered.groupBy("length", "__block").agg(F.count("*").alias("n")).select(
         "length", "__block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before")
@@ -176,6 +185,14 @@ def pack(cut: DataFrame, max_length: int = 2048) -> DataFrame:
     return found.select(*known.columns, "__at.sequence_id", "__at.offset")
 
 
-def pack_documents(docs: DataFrame, tokenizer: Tokenizer, max_length: int = 2048, end_id: int = 1, text: str = "text", id_col: str = "doc_id", with_ids: bool = False) -> DataFrame:
+def pack_documents(
+    docs: DataFrame,
+    tokenizer: Tokenizer,
+    max_length: int = 2048,
+    end_id: int = 1,
+    text: str = "text",
+    id_col: str = "doc_id",
+    with_ids: bool = False,
+) -> DataFrame:
     """Pieces of all documents with their places in sequences; see the module's text."""
     return pack(pieces(docs, tokenizer, max_length, end_id, text, id_col, with_ids), max_length).withColumnRenamed("id", id_col)

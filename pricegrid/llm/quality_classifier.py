@@ -143,7 +143,14 @@ def held_out(id_col: F.Column, folds: int = 5) -> F.Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % folds == 0, F.lit(False))
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, label: str = "quality", text: str = "text", id_col: str = "doc_id", threshold: float = 0.3) -> DataFrame:
+def quality_scores(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "quality",
+    text: str = "text",
+    id_col: str = "doc_id",
+    threshold: float = 0.3,
+) -> DataFrame:
     """``id_col, held_out, score, predicted`` of every row; see the module's text.
 
     Texts are read once; features go to the shared folder, where learning and

@@ -152,7 +152,12 @@ class _Measure:
         return tokens, fallbacks, entropy
 
 
-def measures(docs: DataFrame, vocabularies: list[Vocabulary], text: str = "text", keep: tuple[str, ...] = ("doc_id", "lang")) -> DataFrame:
+def measures(
+    docs: DataFrame,
+    vocabularies: list[Vocabulary],
+    text: str = "text",
+    keep: tuple[str, ...] = ("doc_id", "lang"),
+) -> DataFrame:
     """``keep`` columns, base counts, and tokens, fallbacks and entropy share by vocabulary."""
     fields = [f for f in docs.schema.fields if f.name in keep]
     fields = sorted(fields, key=lambda f: keep.index(f.name))
@@ -225,7 +230,14 @@ def rejection_bands(measured: DataFrame, n: int, bands: Bands, lang: str) -> Dat
     )
 
 
-def quality_rules(docs: DataFrame, vocabularies: list[Vocabulary], bands: Bands = Bands(), text: str = "text", lang: str = "lang", key: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def quality_rules(
+    docs: DataFrame,
+    vocabularies: list[Vocabulary],
+    bands: Bands = Bands(),
+    text: str = "text",
+    lang: str = "lang",
+    key: tuple[str, ...] = ("doc_id",),
+) -> DataFrame:
     """Counts, measures and verdict of every document; see the module's text.
 
     Texts are read and tokenised once: what was measured is written to the

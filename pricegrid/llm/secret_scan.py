@@ -156,10 +156,21 @@ def _as_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
-def scan(docs: DataFrame, model: MarkovPair, text: str = "text", min_length: int = 20, threshold: float = 12.0) -> DataFrame:
+def scan(
+    docs: DataFrame,
+    model: MarkovPair,
+    text: str = "text",
+    min_length: int = 20,
+    threshold: float = 12.0,
+) -> DataFrame:
     """Add ``__text`` and the arrays ``__base`` and ``__spans`` of ``(start, kind, end)``, in order."""
     found = with_base_spans(docs, F.col(text))
-    of_kind = lambda spans, kind: F.transform(spans, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end")))
+
+    def of_kind(spans: Column, kind: int) -> Column:
+        return F.transform(
+            spans, lambda m: F.struct(m["start"].alias("start"), F.lit(kind).alias("kind"), m["end"].alias("end"))
+        )
+
     base = F.concat(*(of_kind(F.col(f"__{name}"), kind) for kind, name in enumerate(KINDS[:3])))
     likely = F.filter(matches(F.col("__text"), TOKEN + f"{{{min_length},}}"), lambda m: model.score(m["found"]) > threshold)
     apart = lambda m: ~F.exists("__base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))

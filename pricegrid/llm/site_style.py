@@ -298,7 +298,13 @@ def low_branches(nodes: DataFrame, importance: Importance) -> DataFrame:
     return low.groupBy("host").agg(F.collect_list("path").alias("low"))
 
 
-def main_text(pages: DataFrame, importance: Importance = Importance(), html: str = "html", id_col: str = "page_id", url: str = "url") -> DataFrame:
+def main_text(
+    pages: DataFrame,
+    importance: Importance = Importance(),
+    html: str = "html",
+    id_col: str = "page_id",
+    url: str = "url",
+) -> DataFrame:
     """``id_col, url, text, n_chars`` of every page; see the module's text."""
     own = pages.select(F.col(id_col).alias("id"), F.col(url).alias("url"), F.col(html).cast("string").alias("html"), _host(F.col(url)).alias("host"))
     own = own.withColumn("salt", F.pmod(F.xxhash64("html"), F.lit(SALTS)).cast("int"))

@@ -234,17 +234,24 @@ def repeated_stretches(cut: DataFrame, repeats: Repeats, together: int = TOGETHE
                 row, before, digest, _ = _starts(part, repeats)
                 own = pa.array(row)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c).take(own) for c in ("name", "rid", "th", "at")] + [pa.array(before.astype(np.int32)), pa.array(digest.view(np.int64))],
+                    [part.column(c).take(own) for c in ("name", "rid", "th", "at")]
+                    + [pa.array(before.astype(np.int32)), pa.array(digest.view(np.int64))],
                     names=["name", "rid", "th", "at", "before", "digest"],
                 )
 
     stretch = "rid bigint, th bigint, begin bigint, end bigint"
     sorted_triples = cut.filter(F.col("n") <= together).repartition("name").sortWithinPartitions("name")
     few = sorted_triples.mapInArrow(textbuf.released(neighbours), stretch)
-    starts = cut.filter(F.col("n") > together).mapInArrow(textbuf.released(each), "name bigint, rid bigint, th bigint, at int, before int, digest bigint")
+    starts = cut.filter(F.col("n") > together).mapInArrow(
+        textbuf.released(each), "name bigint, rid bigint, th bigint, at int, before int, digest bigint"
+    )
     again = starts.groupBy("name", "before", "digest").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     again = stage(again, "starts")
-    covered = starts.join(again.hint("merge"), ["name", "before", "digest"]).groupBy("rid", "th", "at").agg(F.min("before").alias("least"), F.max("before").alias("most"))
+    covered = (
+        starts.join(again.hint("merge"), ["name", "before", "digest"])
+        .groupBy("rid", "th", "at")
+        .agg(F.min("before").alias("least"), F.max("before").alias("most"))
+    )
     many = covered.select("rid", "th", (F.col("at") - F.col("most")).cast("bigint"), (F.col("at") - F.col("least") + repeats.length).cast("bigint"))
     return few.union(many)
 
@@ -261,7 +268,13 @@ def _portions(batch: pa.RecordBatch, repeats: Repeats, rows: int = 1 << 13) -> I
         low = high
 
 
-def without_repeats(docs: DataFrame, repeats: Repeats = Repeats(), text: str = "text", id_col: str = "doc_id", with_text: bool = False) -> DataFrame:
+def without_repeats(
+    docs: DataFrame,
+    repeats: Repeats = Repeats(),
+    text: str = "text",
+    id_col: str = "doc_id",
+    with_text: bool = False,
+) -> DataFrame:
     """``id_col, n_bytes, n_removed, n_spans, kept_sha256`` and, if wanted, ``kept_text``."""
     plain = docs.select(F.col(id_col).alias("own"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     # a row is known by its id (its text, where that is null) and its text

@@ -223,7 +223,14 @@ def read_records(packages: DataFrame, with_payload: bool = False) -> DataFrame:
 # Writing
 
 
-def record(page_id: str | None, url: str | None, payload: bytes, digest: str, response: str | None, date: str) -> bytes:
+def record(
+    page_id: str | None,
+    url: str | None,
+    payload: bytes,
+    digest: str,
+    response: str | None,
+    date: str,
+) -> bytes:
     """A record as a gzip member. ``response`` is the page whose payload is the same, if that is another."""
     revisit = response is not None
     name = lambda page: f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page}/{digest}')}>"
@@ -248,7 +255,14 @@ def record(page_id: str | None, url: str | None, payload: bytes, digest: str, re
     return packer.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n") + packer.flush()
 
 
-def write_packages(pages: DataFrame, folder: str, html: str = "html", id_col: str = "page_id", url: str = "url", date: str = "2025-01-01T00:00:00Z") -> DataFrame:
+def write_packages(
+    pages: DataFrame,
+    folder: str,
+    html: str = "html",
+    id_col: str = "page_id",
+    url: str = "url",
+    date: str = "2025-01-01T00:00:00Z",
+) -> DataFrame:
     """Write all pages; returns ``path, n_records`` of the packages of tasks that ended well.
 
     A package's name is its own for each attempt. The list is written to the
@@ -271,7 +285,8 @@ def write_packages(pages: DataFrame, folder: str, html: str = "html", id_col: st
         .select("digest", F.col("first").cast("string").alias("first")),
         "payloads",
     )
-    chosen = full.join(shared.hint("merge"), "digest", "left").select("id", "url", "html", "digest", F.when(~F.col("first").eqNullSafe(F.col("id")), F.col("first")).alias("response"))
+    response = F.when(~F.col("first").eqNullSafe(F.col("id")), F.col("first")).alias("response")
+    chosen = full.join(shared.hint("merge"), "digest", "left").select("id", "url", "html", "digest", response)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = open_store(folder)
@@ -320,7 +335,12 @@ class _Package:
         return self.path, len(self.lines)
 
 
-def archive_round_trip(pages: DataFrame, html: str = "html", id_col: str = "page_id", url: str = "url") -> DataFrame:
+def archive_round_trip(
+    pages: DataFrame,
+    html: str = "html",
+    id_col: str = "page_id",
+    url: str = "url",
+) -> DataFrame:
     """Write all pages to packages in the shared folder and read every record back."""
     folder = scratch_dir(pages.sparkSession, "warc")
     kind = pages.schema[id_col].dataType
