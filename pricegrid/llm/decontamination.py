@@ -135,7 +135,7 @@ class Items:
             at = np.minimum(at + bit.astype(np.int64), length)
         return keys.reshape(-1, len(windows))
 
-    def _tables(self, longest: int, own: list[int]) -> list[dict[int, list[int]]]:
+    def _tables(self, longest: int, own: list[int]) -> list[tuple[np.ndarray, dict[int, list[int]]]]:
         windows = np.full((len(own), longest + 1), END, np.int64)
         for row, i in enumerate(own):
             windows[row, : len(self.words[i])] = self.words[i]
