@@ -104,8 +104,10 @@ class Items:
         self.tables = [self._tables(longest, own) for _, longest, own in self.groups]
         spans = [self._span(longest) for _, longest, _ in self.groups]
         self.least_span = min(spans, default=1)
+        # of the sizes in a group: one word more may be an edit more, and then fewer pairs are needed
+        self.needed = [min(self._needed(len(self.words[i])) for i in own) for _, _, own in self.groups]
         # a span with enough pairs has a part of the least span with its share of them
-        self.least_pairs = min((-(-self._needed(least) // -(-span // self.least_span)) for span, (least, _, _) in zip(spans, self.groups)), default=1)
+        self.least_pairs = min((-(-needed // -(-span // self.least_span)) for span, needed in zip(spans, self.needed)), default=1)
 
     def _needed(self, words: int) -> int:
         return max(1, words - 1 - 2 * self.search.edits(words))
@@ -164,14 +166,14 @@ class Items:
         if not len(dense):
             return none
         out = []
-        for least, longest, _ in self.groups:
+        for needed, (_, longest, _) in zip(self.needed, self.groups):
             span = self._span(longest)
             # windows that reach a dense hit
             near = np.unique((dense[:, None] + np.arange(-span, 1)).ravel())
             near = near[near >= 0]
             end = np.minimum(near + span, owner_end[near])
             held = np.searchsorted(hit, end - 1) - np.searchsorted(hit, near)
-            out.append(near[held >= self._needed(least)])
+            out.append(near[held >= needed])
         return out
 
 

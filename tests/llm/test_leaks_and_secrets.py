@@ -3,10 +3,11 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm.conftest import docs_of, prose
-from pricegrid.llm import secret_scan
-from pricegrid.llm.decontamination import edit_distance_inside, leaks
+from pricegrid.llm import secret_scan, textbuf
+from pricegrid.llm.decontamination import Items, Search, _words, edit_distance_inside, leaks
 from pricegrid.llm.secret_scan import find_secrets, mask_secrets
 
 def words(text):
@@ -63,6 +64,33 @@ def test_leaks_against_all_pairs(spark):
         assert distance(words(items[key[1]]), part) == r["distance"]
 
 
+def scattered(text, kind, seed):
+    """One word in each whole run of five substituted, deleted or followed by another."""
+    pick, out, words = random.Random(seed), [], text.split()
+    for i, word in enumerate(words):
+        if i % 5 != 2 or i // 5 == len(words) // 5:
+            out.append(word)
+            continue
+        own = pick.choice(["sub", "del", "ins"]) if kind == "mixed" else kind
+        out += {"sub": [prose(pick.random(), 1)], "del": [], "ins": [word, prose(pick.random(), 1)]}[own]
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("least", [14, 19, 24, 29, 34])
+def test_windows_of_every_size_in_a_group(least):
+    """The larger size of a group has an edit more; its windows need fewer pairs."""
+    texts = [prose(least * 100 + n, n) for n in (least, least + 1)]
+    items = Items([0, 1], texts, Search())
+    assert len(items.groups) == 1
+    for i, text in enumerate(texts):
+        for seed in range(5):
+            leak = f"{prose(seed, 50)} {scattered(text, 'sub', seed)} {prose(seed + 9, 50)}"
+            ((_, _, data, offsets),) = textbuf.slices(pa.array([leak]))
+            found, hashed = _words(data, offsets)
+            (starts,) = items.starts(hashed, found.first[1:][found.text()])
+            assert 50 in starts, (i, seed)
+
+
 def test_planted_items_of_the_benchmark(spark, sf_dir, documents):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     items = {r["item_id"]: r["text"] for r in bench.collect()}
