@@ -8,8 +8,12 @@ Windows of a document, as long as the items, take random walks over their
 words: each step writes the word it stands on and a random bit of step and
 word says whether it moves on. Two texts at a small edit distance write
 sequences at a small Hamming distance (the embedding of Chakraborty, Goldenberg
-and Koucky). A table keys a walk by a few sampled steps; walks and tables are
-repeated until a window at the limit meets its item with the wanted chance.
+and Koucky). A table keys a walk by a few sampled steps. Edits that shift words
+part the walks of long items more, so each group of sizes has its own numbers of
+walks, tables and steps: texts with as many edits as are allowed are made up,
+substituted, deleted and inserted at random places, evenly and at the front, and
+keys are added until each kind is met with the chance ``recall``. Windows also
+begin before a document's first word, in case an item's first words are missing.
 Whatever meets is verified by the exact edit distance.
 
 Windows that can match no item are passed over first, without loss: an edit
@@ -31,7 +35,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -51,13 +55,11 @@ OUTSIDE, END = 1, 0  # symbols: a word of no item, and past the end
 
 @dataclass(frozen=True)
 class Search:
-    """``percent`` of an item's words must stand; ``walks`` times ``tables`` keys of ``sampled`` steps."""
+    """``percent`` of an item's words must stand; leaks with as many edits as that are met with chance ``recall``."""
 
     percent: int = 80
     min_words: int = 5
-    walks: int = 6
-    tables: int = 6
-    sampled: int = 3
+    recall: float = 0.99
 
     def edits(self, words: int) -> int:
         return words * (100 - self.percent) // 100
@@ -73,18 +75,133 @@ def _pairs(hashes: np.ndarray) -> np.ndarray:
     return textbuf.mix(hashes[:-1] * np.uint64(0x9E3779B97F4A7C15) + hashes[1:])
 
 
+def _walk(windows: np.ndarray, walks: int) -> Iterator[np.ndarray]:
+    """At each step, the word each walk stands on: ``walks`` by windows."""
+    length = windows.shape[1] - 1
+    seeds = np.random.default_rng(10).integers(1, 1 << 62, walks, dtype=np.uint64)[:, None]
+    at, rows = np.zeros((walks, len(windows)), np.int64), np.arange(len(windows))
+    for j in range(2 * length):
+        word = windows[rows, at]
+        yield word
+        bit = textbuf.mix(word.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(j) + seeds) >> np.uint64(63)
+        at = np.minimum(at + bit.astype(np.int64), length)
+
+
+@dataclass(frozen=True)
+class Keys:
+    """``walks`` times ``tables`` keys of ``sampled`` steps."""
+
+    walks: int
+    tables: int
+    sampled: int
+
+
+#: walks and texts a chance is measured on
+TRIAL_WALKS, TRIAL_TEXTS = 16, 40
+
+
+def _edited(words: np.ndarray, edits: int, kind: str, place: str, pick: np.random.Generator) -> list[int]:
+    n = len(words)
+    if place == "front":
+        places = np.arange(edits)
+    elif place == "even":
+        places = np.arange(edits) * n // max(edits, 1) + pick.integers(0, max(n // max(edits, 1), 1))
+    else:
+        places = pick.choice(n, edits, replace=False)
+    marked, out = set(places.tolist()), []
+    for i, word in enumerate(words.tolist()):
+        if i not in marked:
+            out.append(word)
+        elif kind != "del":
+            out += [OUTSIDE] if kind == "sub" else [OUTSIDE, word]
+    return out
+
+
+def _agreement(n: int, longest: int, edits: int, kind: str, place: str) -> np.ndarray:
+    """Share of steps at which walks over an item and over a window of its leak agree: walks, texts, starts."""
+    pick = np.random.default_rng(n)
+    starts = sorted({0, edits // 2, *range(max(0, edits - 2), edits + 3)})
+    own, windows = np.full((TRIAL_TEXTS, longest + 1), END, np.int64), []
+    for row in range(TRIAL_TEXTS):
+        own[row, :n] = pick.integers(2, 1 << 40, n)
+        text = [OUTSIDE] * edits + _edited(own[row, :n], edits, kind, place, pick) + [OUTSIDE] * (longest + 3)
+        windows += [[*text[a : a + longest], END] for a in starts]
+    together = np.concatenate([own, np.array(windows)])
+    same = np.zeros((TRIAL_WALKS, TRIAL_TEXTS, len(starts)))
+    for word in _walk(together, TRIAL_WALKS):
+        same += word[:, TRIAL_TEXTS:].reshape(same.shape) == word[:, :TRIAL_TEXTS, None]
+    return same / (2 * longest)
+
+
+@cache
+def keys_for(sizes: tuple[int, ...], items: int, search: Search, same: float = 0.01) -> Keys:
+    """The cheapest keys by which ``items`` of these sizes are met with the wanted chance, whatever the kind of edit.
+
+    ``same`` is the chance that a window's word is that of an item.
+    """
+    longest = max(sizes)
+    hardest = {min(sizes), max(sizes, key=lambda n: (search.edits(n) / n, -n))}
+    agreed = [
+        _agreement(n, longest, search.edits(n), kind, place) for n in hardest for kind in ("sub", "del", "ins") for place in ("any", "even", "front")
+    ]
+    # half of what may be missed is kept for the error of the measurement
+    target, best = (1 - search.recall) / 2, None
+    for sampled in (1, 2, 3):
+        for tables in (4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512):
+            passed = [((1 - share**sampled) ** tables).min(2).mean(0) for share in agreed]
+            # a walk's steps, its keys, and the items that meet by chance
+            each = 8 * longest + tables * (4 + 2 * sampled + 40 * items * same**sampled)
+            most = 256 if best is None else int(best[0] / each)
+            walks = next((w for w in range(1, most + 1) if max((x**w).mean() for x in passed) <= target), None)
+            if walks and (best is None or walks * each < best[0]):
+                best = walks * each, Keys(walks, tables, sampled)
+    if best is None:
+        raise ValueError(f"no keys reach a recall of {search.recall} for items of {longest} words")
+    return best[1]
+
+
+def _sized(lengths: list[int]) -> list[tuple[int, int, list[int]]]:
+    """Least and greatest size and items of each group: sizes within a tenth share their windows."""
+    groups: list[tuple[int, int, list[int]]] = []
+    for i in sorted(range(len(lengths)), key=lengths.__getitem__):
+        if groups and lengths[i] * 10 <= groups[-1][0] * 11:
+            groups[-1][2].append(i)
+            groups[-1] = (groups[-1][0], lengths[i], groups[-1][2])
+        else:
+            groups.append((lengths[i], lengths[i], [i]))
+    return groups
+
+
+def _read(texts: list[str]) -> list[np.ndarray]:
+    """Hashes of the words of each text."""
+    hashes = []
+    for _, _, data, offsets in textbuf.slices(pa.array([x or "" for x in texts], pa.string())):
+        found, hashed = _words(data, offsets)
+        hashes += [hashed[a:b] for a, b in zip(found.first, found.first[1:])]
+    return hashes
+
+
+def keys_of(texts: list[str], search: Search) -> list[Keys]:
+    """Keys for each group of sizes of a block of items."""
+    hashes = [h for h in _read(texts) if len(h) >= search.min_words]
+    if not hashes:
+        return []
+    lengths = [len(h) for h in hashes]
+    often = np.unique(np.concatenate(hashes), return_counts=True)[1] / sum(lengths)
+    # windows that are looked at hold the items' common words rather than the rare ones
+    same = round(float((often**3).sum() / (often**2).sum()), 3)
+    return [keys_for(tuple(sorted({lengths[i] for i in own})), len(own), search, same) for _, _, own in _sized(lengths)]
+
+
 class Items:
     """A block of items: words as symbols, pairs of words, and tables by size."""
 
     FLAGS = 24
 
-    def __init__(self, ids: list, texts: list[str], search: Search):
+    def __init__(self, ids: list, texts: list[str], search: Search, wanted: list[Keys] | None = None):
         self.search = search
-        column = pa.array([x or "" for x in texts], pa.string())
-        hashes = []
-        for low, high, data, offsets in textbuf.slices(column):
-            found, hashed = _words(data, offsets)
-            hashes += [hashed[a:b] for a, b in zip(found.first, found.first[1:])]
+        self.wanted = keys_of(texts, search) if wanted is None else wanted
+        hashes = _read(texts)
         kept = [i for i, h in enumerate(hashes) if len(h) >= search.min_words]
         self.ids = [ids[i] for i in kept]
         hashes = [hashes[i] for i in kept]
@@ -93,15 +210,8 @@ class Items:
         self.pairs = np.unique(np.concatenate([_pairs(h) for h in hashes])) if kept else np.zeros(0, np.uint64)
         self.flags = np.zeros(1 << self.FLAGS, bool)
         self.flags[self.pairs >> np.uint64(64 - self.FLAGS)] = True
-        # sizes within a tenth share their windows
-        self.groups: list[tuple[int, int, list[int]]] = []
-        for i in sorted(range(len(kept)), key=lambda i: len(self.words[i])):
-            n = len(self.words[i])
-            if self.groups and n * 10 <= self.groups[-1][0] * 11:
-                self.groups[-1] = (self.groups[-1][0], n, [*self.groups[-1][2], i])
-            else:
-                self.groups.append((n, n, [i]))
-        self.tables = [self._tables(longest, own) for _, longest, own in self.groups]
+        self.groups = _sized([len(w) for w in self.words])
+        self.tables = [self._tables(g) for g in range(len(self.groups))]
         spans = [self._span(longest) for _, longest, _ in self.groups]
         self.least_span = min(spans, default=1)
         # of the sizes in a group: one word more may be an edit more, and then fewer pairs are needed
@@ -119,34 +229,30 @@ class Items:
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
         return np.where(self.vocabulary[at] == hashes, at + 2, OUTSIDE)
 
-    def keys(self, windows: np.ndarray) -> np.ndarray:
-        """Keys of each window for all walks and tables: ``walks * tables`` by windows."""
-        search, length = self.search, windows.shape[1] - 1
-        steps = 2 * length
-        chosen = np.random.default_rng(length).integers(0, steps, (search.walks, search.tables, search.sampled))
-        seeds = np.random.default_rng(10).integers(1, 1 << 62, search.walks, dtype=np.uint64)[:, None]
-        keys = np.zeros((search.walks, search.tables, len(windows)), np.uint64)
-        at = np.zeros((search.walks, len(windows)), np.int64)
-        rows = np.arange(len(windows))
-        taken = [[(w, t) for w in range(search.walks) for t in range(search.tables) if j in chosen[w, t]] for j in range(steps)]
-        for j in range(steps):
-            word = windows[rows, at]
+    def keys(self, g: int, windows: np.ndarray) -> np.ndarray:
+        """Keys of each window for all walks and tables of a group: ``walks * tables`` by windows."""
+        wanted, steps = self.wanted[g], 2 * (windows.shape[1] - 1)
+        chosen = np.random.default_rng(steps // 2).integers(0, steps, (wanted.walks, wanted.tables, wanted.sampled))
+        taken = defaultdict(set)
+        for (w, t, _), j in np.ndenumerate(chosen):
+            taken[int(j)].add((w, t))
+        keys = np.zeros((wanted.walks, wanted.tables, len(windows)), np.uint64)
+        for j, word in enumerate(_walk(windows, wanted.walks)):
             for w, t in taken[j]:
                 keys[w, t] = textbuf.mix(keys[w, t] + word[w].astype(np.uint64) + np.uint64((j + 1) * 0x9E3779B1))
-            bit = textbuf.mix(word.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(j) + seeds) >> np.uint64(63)
-            at = np.minimum(at + bit.astype(np.int64), length)
         return keys.reshape(-1, len(windows))
 
-    def _tables(self, longest: int, own: list[int]) -> list[tuple[np.ndarray, dict[int, list[int]]]]:
+    def _tables(self, g: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Known keys, where their items begin, and the items."""
+        _, longest, own = self.groups[g]
         windows = np.full((len(own), longest + 1), END, np.int64)
         for row, i in enumerate(own):
             windows[row, : len(self.words[i])] = self.words[i]
         tables = []
-        for keys in self.keys(windows):
-            table = defaultdict(list)
-            for row, key in enumerate(keys.tolist()):
-                table[key].append(own[row])
-            tables.append((np.array(sorted(table), np.uint64), dict(table)))
+        for keys in self.keys(g, windows):
+            order = np.argsort(keys, kind="stable")
+            known, first = np.unique(keys[order], return_index=True)
+            tables.append((known, np.append(first, len(own)), np.array(own, np.int64)[order]))
         return tables
 
     def starts(self, hashes: np.ndarray, owner_end: np.ndarray) -> list[np.ndarray]:
@@ -218,40 +324,65 @@ def _search(items: Items, rows: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
                         begin = chars[found.begin[a:b] - offsets[row]] - 1
                         end = chars[found.end[a:b] - 1 - offsets[row]]
                         texts[low + row] = items.symbols(hashed[a:b]), begin, end
-                at = starts[:, None] + np.arange(length + 1)
-                inside = at < np.minimum(owner_end[starts], starts + length)[:, None]
-                symbols = np.full(at.shape, END, np.int64)
+                # words that are missing at a document's begin shift the rest of an item
+                first = starts[starts == found.first[owner[starts]]]
+                ahead = np.arange(1, search.edits(length) + 1)
+                before = np.concatenate([np.zeros(len(starts), np.int64), np.tile(ahead, len(first))])
+                starts = np.concatenate([starts, np.repeat(first, len(ahead))])
+                at = (starts - before)[:, None] + np.arange(length + 1)
+                inside = (at >= starts[:, None]) & (at < np.minimum(owner_end[starts], starts - before + length)[:, None])
+                symbols = np.where(at < starts[:, None], OUTSIDE, END).astype(np.int32)
                 symbols[inside] = items.symbols(hashed[at[inside]])
                 windows[g].append(symbols)
-                places[g].append(np.column_stack([owner[starts] + low, starts - found.first[owner[starts]]]))
-        met = defaultdict(set)
+                places[g].append(np.column_stack([owner[starts] + low, starts - before - found.first[owner[starts]]]))
+        met = [np.zeros((0, 3), np.int64)]
         for g, (own, where) in enumerate(zip(windows, places)):
             if own:
-                _meet(items, g, np.concatenate(own), np.concatenate(where), met)
-        for (row, i), starts in sorted(met.items()):
+                met += _meet(items, g, np.concatenate(own), np.concatenate(where))
+        held = np.zeros(len(items.vocabulary) + 2, bool)
+        for row, i, starts in _by_item(np.concatenate(met)):
             word, allowed = items.words[i], search.edits(len(items.words[i]))
             symbols, begin, end = texts[row]
-            for a, b in _regions(sorted(starts), len(word) + 2 * allowed):
+            for a, b in _regions(starts, len(word) + 2 * allowed):
                 low = max(0, a - allowed)
                 part = symbols[low : b + len(word) + 2 * allowed]
                 # each word of the item that is not there is an edit
-                if len(word) - np.isin(word, part).sum() > allowed:
+                held[part] = True
+                missing = len(word) - held[word].sum()
+                held[part] = False
+                if missing > allowed:
                     continue
                 distance, first, last = edit_distance_inside(word, part)
                 if distance <= allowed and last > first:
                     yield batch, row, i, distance, int(begin[low + first]), int(end[low + last - 1])
 
 
-def _meet(items: Items, g: int, windows: np.ndarray, places: np.ndarray, met: dict) -> None:
-    """Add the windows that meet an item in a table, by text and item; in bounded portions."""
-    for low in range(0, len(windows), 1 << 15):
-        part = windows[low : low + (1 << 15)]
-        for keys, (known, table) in zip(items.keys(part), items.tables[g]):
+def _meet(items: Items, g: int, windows: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
+    """``text, item, start`` of the windows that meet an item in a table; in bounded portions."""
+    rows = max(1, min(1 << 13, (1 << 22) // max(len(items.tables[g]), windows.shape[1])))
+    for low in range(0, len(windows), rows):
+        part = windows[low : low + rows]
+        pairs = []
+        for keys, (known, first, own) in zip(items.keys(g, part), items.tables[g]):
             at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-            for w in np.flatnonzero(known[at] == keys).tolist():
-                row, start = places[low + w].tolist()
-                for i in table[int(keys[w])]:
-                    met[row, i].add(start)
+            window = np.flatnonzero(known[at] == keys)
+            begin, count = first[at[window]], first[at[window] + 1] - first[at[window]]
+            place = np.arange(count.sum()) + np.repeat(begin - (np.cumsum(count) - count), count)
+            pairs.append(np.repeat(window, count) * len(items.ids) + own[place])
+        pairs = np.sort(np.concatenate(pairs))
+        pairs = pairs[np.append(True, pairs[1:] != pairs[:-1])] if len(pairs) else pairs
+        where = places[low + pairs // len(items.ids)]
+        yield np.column_stack([where[:, 0], pairs % len(items.ids), where[:, 1]])
+
+
+def _by_item(met: np.ndarray) -> Iterator[tuple[int, int, list[int]]]:
+    """Starts in order, by text and item."""
+    met = met[np.lexsort(met.T[::-1])]
+    edges = np.flatnonzero((met[1:, :2] != met[:-1, :2]).any(1)) + 1
+    edges = [0, *edges.tolist(), len(met)] if len(met) else []
+    rows, items, starts = met.T.tolist()
+    for a, b in zip(edges, edges[1:]):
+        yield rows[a], items[a], starts[a:b]
 
 
 def _regions(starts: list[int], gap: int) -> Iterator[tuple[int, int]]:
@@ -295,8 +426,10 @@ def leaks(
     own = docs.select(F.col(id_col).alias("id"), F.col(text).cast("string").alias("__text"))
 
     def finder(ids: list, texts: list[str]):
+        wanted = keys_of(texts, search)
+
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            items = Items(ids, texts, search)
+            items = Items(ids, texts, search, wanted)
             for batch in batches:
                 found = list(_search(items, iter([batch])))
                 if found:

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 from llm.conftest import docs_of, prose
 from pricegrid.llm import secret_scan, textbuf
-from pricegrid.llm.decontamination import Items, Search, _words, edit_distance_inside, leaks
+from pricegrid.llm.decontamination import Items, Search, _search, _words, edit_distance_inside, leaks
 from pricegrid.llm.secret_scan import find_secrets, mask_secrets
 
 def words(text):
@@ -91,6 +91,38 @@ def test_windows_of_every_size_in_a_group(least):
             assert 50 in starts, (i, seed)
 
 
+def at_limit(text, kind, pick):
+    """A fifth of the words, anywhere, substituted, deleted or followed by another."""
+    out, words = [], text.split()
+    marked = set(pick.sample(range(len(words)), len(words) // 5))
+    for i, word in enumerate(words):
+        own = kind if i in marked else "none"
+        own = pick.choice(["sub", "del", "ins"]) if own == "mixed" else own
+        out += {"none": [word], "sub": [prose(pick.random(), 1)], "del": [], "ins": [word, prose(pick.random(), 1)]}[own]
+    return " ".join(out)
+
+
+@pytest.mark.parametrize("n", [15, 20, 59, 80, 120, 300])
+def test_recall_at_the_limit(n):
+    items = Items(list(range(4)), [prose(n * 10 + i, n) for i in range(4)], Search())
+    for kind in ("sub", "del", "ins", "mixed"):
+        pick, texts = random.Random(n), []
+        for k in range(40):
+            leak = at_limit(prose(n * 10 + k % 4, n), kind, pick)
+            texts.append(f"{prose(k, k % 3 * 20)} {leak} {prose(k + 99, k % 2 * 30)}")
+        batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(texts)], names=["id", "text"])
+        found = {(row, i) for _, row, i, *_ in _search(items, iter([batch]))}
+        assert len(found & {(k, k % 4) for k in range(40)}) >= 39, kind
+
+
+def test_leak_without_its_first_words():
+    """At a document's begin, where no window holds what is missing before it."""
+    texts = [prose(i, 60) for i in range(20)]
+    items = Items(list(range(20)), texts, Search())
+    batch = pa.RecordBatch.from_arrays([pa.array(range(20)), pa.array([" ".join(t.split()[12:]) for t in texts])], names=["id", "text"])
+    assert {(row, i) for _, row, i, *_ in _search(items, iter([batch]))} == {(k, k) for k in range(20)}
+
+
 def test_planted_items_of_the_benchmark(spark, sf_dir, documents):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     items = {r["item_id"]: r["text"] for r in bench.collect()}
