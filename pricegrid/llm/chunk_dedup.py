@@ -3,9 +3,10 @@
 A gear hash runs over a text's bytes; it only knows the last sixteen. A chunk
 ends where the hash is the smallest within ``reach`` bytes on either side, so
 its ends depend on nearby bytes alone: after an insertion the next chunks are
-the old ones again. Chunks are compared by a 128-bit digest. Each digest is
+the old ones again. Each text is cut on its own, so equal texts have equal
+chunks whatever lies beside them. Chunks are compared by a 128-bit digest. Each digest is
 kept where it occurs first, by document id and place; runs of later chunks of
-at least ``least_run`` bytes are removed. Stretches without a smallest hash,
+at least ``least_run`` bytes, or that are a whole text, are removed. Stretches without a smallest hash,
 such as one word over and over, are cut at ``longest`` bytes.
 
 Digests are counted first, by half their bits and with partial counts, and
@@ -44,12 +45,18 @@ class Chunking:
     least_run: int = 120
 
 
-def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """The rolling hash ``h = 4 h + gear[byte]`` at every byte: its last sixteen bytes, doubled up."""
+def gear_hashes(data: np.ndarray, offsets: np.ndarray | None = None) -> np.ndarray:
+    """The rolling hash ``h = 4 h + gear[byte]`` at every byte of a text, or of all as one: its last sixteen bytes, doubled up."""
     hashes, width = _GEAR[data], 1
+    begins = np.unique(offsets[:-1]) if offsets is not None else np.zeros(0, np.int64)
+    begins = begins[begins < len(data)]
     while width < 16:
         shifted = hashes.copy()
         shifted[width:] += hashes[:-width] << np.uint32(2 * width)
+        # the first bytes of a text have none of their own that far before them
+        alone = (begins[:, None] + np.arange(width)).ravel()
+        alone = alone[alone < len(data)]
+        shifted[alone] = hashes[alone]
         hashes, width = shifted, 2 * width
     return hashes
 
@@ -68,14 +75,14 @@ def _least_within(values: np.ndarray, reach: int) -> np.ndarray:
 
 
 def chunk_ends(data: np.ndarray, offsets: np.ndarray, chunking: Chunking) -> np.ndarray:
-    """Where chunks end, in all texts of a slice; each text's end is among them.
-
-    Bytes of a neighbouring text may shift an end close to a text's begin or
-    end; all copies of a passage further inside have the same ends.
-    """
-    hashes = gear_hashes(data)
-    low = (hashes < _least_within(hashes, chunking.reach)) & (hashes[::-1] < _least_within(hashes[::-1], chunking.reach))[::-1]
-    ends = np.unique(np.concatenate([np.flatnonzero(low) + 1, offsets[1:]]))
+    """Where chunks end, in all texts of a slice; each text's end is among them."""
+    hashes = gear_hashes(data, offsets)
+    # texts laid out so far apart that no hash is compared with another text's
+    at = np.arange(len(data)) + chunking.reach * np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    apart = np.full(len(data) + chunking.reach * len(offsets), 0xFFFFFFFF, np.uint32)
+    apart[at] = hashes
+    low = (apart < _least_within(apart, chunking.reach)) & (apart[::-1] < _least_within(apart[::-1], chunking.reach))[::-1]
+    ends = np.unique(np.concatenate([np.flatnonzero(low[at]) + 1, offsets[1:]]))
     ends = ends[ends > 0]
     begins = np.concatenate([[0], ends[:-1]])
     wide = ends - begins > chunking.longest
@@ -125,15 +132,15 @@ def repeated_chunks(cut: DataFrame) -> DataFrame:
     )
 
 
-def removed_runs(found: list[tuple[int, int]], least_run: int) -> list[tuple[int, int]]:
-    """Runs of adjoining ``(begin, end)`` chunks, in order, of at least ``least_run`` bytes."""
+def removed_runs(found: list[tuple[int, int]], least_run: int, size: int) -> list[tuple[int, int]]:
+    """Runs of adjoining ``(begin, end)`` chunks, in order, of at least ``least_run`` bytes or a whole text of ``size``."""
     runs: list[list[int]] = []
     for begin, end in sorted(found):
         if runs and runs[-1][1] >= begin:
             runs[-1][1] = max(runs[-1][1], end)
         else:
             runs.append([begin, end])
-    return [(a, b) for a, b in runs if b - a >= least_run]
+    return [(a, b) for a, b in runs if b - a >= min(least_run, size)]
 
 
 def without_repeats(
@@ -169,7 +176,7 @@ def without_repeats(
                     if xxhash.xxh3_128_digest(raw[begin:end])[:8] == chunk["high"].to_bytes(8, "little", signed=True):
                         mine.append((begin, end))
                         keepers.append((begin, chunk["of"]))
-                runs = removed_runs(mine, chunking.least_run)
+                runs = removed_runs(mine, chunking.least_run, len(raw))
                 kept, at = bytearray(), 0
                 for begin, end in runs:
                     kept += raw[at:begin]

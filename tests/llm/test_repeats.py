@@ -99,6 +99,33 @@ def test_chunks_resist_shifts():
     assert len(digests[0] & digests[1]) >= 0.9 * len(digests[0])
 
 
+def test_copies_between_other_neighbours(spark):
+    """Exact copies of any size go whole, whatever lies beside them, under every partitioning."""
+    copies = [prose(i, 400)[:n] for i, n in enumerate([60, 100, 119, 130, 200, 400, 1000] * 4)]
+    texts = [x for i, c in enumerate(copies) for x in (prose(500 + i, 5 + i), c)]
+    texts += [x for i, c in enumerate(copies) for x in (c, prose(900 + i, 40 - i))]
+    results = []
+    for parts in (1, 7):
+        docs = docs_of(spark, texts).repartition(parts)
+        results.append(sorted(tuple(r) for r in chunk_dedup.without_repeats(docs).drop("repeats_of").collect()))
+    assert results[0] == results[1]
+    removed = {r[0]: r[3] for r in results[0]}
+    for i, copy in enumerate(copies):
+        assert removed[2 * i + 1] == 0
+        assert removed[2 * len(copies) + 2 * i] == len(copy)
+
+
+def test_texts_are_cut_alone():
+    texts = [prose(i, 1 + i) for i in range(40)] + ["", "a", "bc" * 9]
+    ((_, _, data, offsets),) = textbuf.slices(pa.array(texts))
+    ends = chunk_dedup.chunk_ends(data, offsets, Chunking())
+    for i, text in enumerate(texts):
+        if text:
+            ((_, _, own, bounds),) = textbuf.slices(pa.array([text]))
+            mine = ends[(ends > offsets[i]) & (ends <= offsets[i + 1])] - offsets[i]
+            assert mine.tolist() == chunk_dedup.chunk_ends(own, bounds, Chunking()).tolist()
+
+
 def test_passages_go_and_clean_documents_stay(spark):
     passage = prose(7, 55)
     texts = [prose(i + 50, 90) for i in range(20)]
