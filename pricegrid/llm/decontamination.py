@@ -1,6 +1,7 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit distance.
 
-Texts are words (ASCII letters folded, ASCII punctuation dropped). A passage of
+Texts are words (ASCII letters folded, ASCII punctuation dropped); in scripts
+without spaces each code point is a word. A passage of
 a document is a leak if turning it into a benchmark item takes at most a fifth
 of the item's words as insertions, deletions or substitutions.
 
@@ -25,7 +26,7 @@ nothing is shuffled.
 
 Defined results. Null and empty texts match nothing. Items of fewer than
 ``min_words`` words are not searched for: passages that short occur anywhere.
-Rows and items that repeat are reported each; null ids stay null. Only the
+With ``min_words`` of 1 all are; below five words no edit is allowed. Rows and items that repeat are reported each; null ids stay null. Only the
 named columns are read, so extra columns of any name do no harm. Empty tables
 give an empty result.
 """
@@ -65,9 +66,31 @@ class Search:
         return words * (100 - self.percent) // 100
 
 
+# Code points of scripts without spaces (Thai, Lao, Tibetan, Myanmar, Khmer, Kana, Han and their signs).
+_UNSPACED = np.zeros(1 << 16, bool)
+for _low, _high in ((0x0E00, 0x1100), (0x1780, 0x1800), (0x1950, 0x1AB0), (0x2E80, 0x3130), (0x31A0, 0xA000), (0xF900, 0xFB00), (0xFE30, 0xFE50), (0xFF00, 0xFFA0)):
+    _UNSPACED[_low:_high] = True
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Begins and ends of the code points of scripts without spaces."""
+    three = np.flatnonzero((data >= 0xE0) & (data < 0xF0))
+    a, b, c = (data[three + k].astype(np.int64) for k in range(3))
+    three = three[_UNSPACED[(a & 15) << 12 | (b & 63) << 6 | c & 63]]
+    # from U+20000 on all is Han
+    four = np.flatnonzero(data >= 0xF0)
+    four = four[(data[four] > 0xF0) | (data[four + 1] >= 0xA0)]
+    return np.unique(np.concatenate([three, three + 3, four, four + 4]))
+
+
 def _words(data: np.ndarray, offsets: np.ndarray) -> tuple[textbuf.Words, np.ndarray]:
     plain = _NORMAL[data]
     found = textbuf.words(plain, offsets)
+    cuts = _cuts(data)
+    if len(cuts):
+        begin = np.union1d(found.begin, cuts[textbuf.IS_WORD[plain[np.minimum(cuts, len(plain) - 1)]] & (cuts < len(plain))])
+        end = np.union1d(found.end, cuts[textbuf.IS_WORD[plain[cuts - 1]] & (cuts > 0)])
+        found = textbuf.Words(begin, end, np.searchsorted(begin, offsets))
     return found, textbuf.RangeHash(plain)(found.begin, found.end)
 
 
@@ -183,7 +206,7 @@ def _read(texts: list[str]) -> list[np.ndarray]:
 
 def keys_of(texts: list[str], search: Search) -> list[Keys]:
     """Keys for each group of sizes of a block of items."""
-    hashes = [h for h in _read(texts) if len(h) >= search.min_words]
+    hashes = [h for h in _read(texts) if len(h) >= max(1, search.min_words)]
     if not hashes:
         return []
     lengths = [len(h) for h in hashes]
@@ -202,22 +225,23 @@ class Items:
         self.search = search
         self.wanted = keys_of(texts, search) if wanted is None else wanted
         hashes = _read(texts)
-        kept = [i for i, h in enumerate(hashes) if len(h) >= search.min_words]
+        kept = [i for i, h in enumerate(hashes) if len(h) >= max(1, search.min_words)]
         self.ids = [ids[i] for i in kept]
         hashes = [hashes[i] for i in kept]
         self.vocabulary = np.unique(np.concatenate(hashes)) if kept else np.zeros(0, np.uint64)
         self.words = [np.searchsorted(self.vocabulary, h).astype(np.int64) + 2 for h in hashes]
+        self.lone = np.unique(np.array([h[0] for h in hashes if len(h) == 1], np.uint64))
         self.pairs = np.unique(np.concatenate([_pairs(h) for h in hashes])) if kept else np.zeros(0, np.uint64)
         self.flags = np.zeros(1 << self.FLAGS, bool)
         self.flags[self.pairs >> np.uint64(64 - self.FLAGS)] = True
         self.groups = _sized([len(w) for w in self.words])
         self.tables = [self._tables(g) for g in range(len(self.groups))]
-        spans = [self._span(longest) for _, longest, _ in self.groups]
+        spans = [self._span(longest) for _, longest, _ in self.groups if longest > 1]
         self.least_span = min(spans, default=1)
         # of the sizes in a group: one word more may be an edit more, and then fewer pairs are needed
         self.needed = [min(self._needed(len(self.words[i])) for i in own) for _, _, own in self.groups]
         # a span with enough pairs has a part of the least span with its share of them
-        self.least_pairs = min((-(-needed // -(-span // self.least_span)) for span, needed in zip(spans, self.needed)), default=1)
+        self.least_pairs = min((-(-needed // -(-span // self.least_span)) for span, needed in zip(spans, self.needed[-len(spans) :])), default=1)
 
     def _needed(self, words: int) -> int:
         return max(1, words - 1 - 2 * self.search.edits(words))
@@ -258,7 +282,10 @@ class Items:
     def starts(self, hashes: np.ndarray, owner_end: np.ndarray) -> list[np.ndarray]:
         """For each group of sizes, the words at which a window has enough of the items' pairs."""
         none = [np.zeros(0, np.int64)] * len(self.groups)
-        if len(hashes) < 2 or not self.groups:
+        if len(self.lone):
+            # the first group: words as they are
+            none[0] = np.flatnonzero(np.isin(hashes, self.lone))
+        if len(hashes) < 2 or not len(self.pairs):
             return none
         pair = _pairs(hashes)
         hit = np.flatnonzero(self.flags[pair >> np.uint64(64 - self.FLAGS)])
@@ -273,6 +300,9 @@ class Items:
             return none
         out = []
         for needed, (_, longest, _) in zip(self.needed, self.groups):
+            if longest == 1:
+                out.append(none[0])
+                continue
             span = self._span(longest)
             # windows that reach a dense hit
             near = np.unique((dense[:, None] + np.arange(-span, 1)).ravel())

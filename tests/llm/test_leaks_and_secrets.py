@@ -123,6 +123,22 @@ def test_leak_without_its_first_words():
     assert {(row, i) for _, row, i, *_ in _search(items, iter([batch]))} == {(k, k) for k in range(20)}
 
 
+def test_short_items_and_scripts_without_spaces():
+    han = "".join(map(chr, range(0x4E00, 0x4E00 + 40)))
+    items = ["Solo", "two words", "one two three four", han, han[:2], "".join(map(chr, range(0x0E01, 0x0E01 + 30))), "\U00020000\U00020001\U00020002"]
+    assert Items(list(range(len(items))), items, Search()).ids == [3, 5]
+    searched = Items(list(range(len(items))), items, Search(min_words=1))
+    assert len(searched.ids) == len(items)
+    for around in ("", " before and after ", "前後"):
+        texts = [around + x + around for x in items] + [around + han[:20] + "間" + han[24:] + around, "", None]
+        batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+        found = {(row, i, n): texts[row][a:b] for _, row, i, n, a, b in _search(searched, iter([batch]))}
+        for k, item in enumerate(items):
+            if around != "前後" or not item.isascii():
+                assert found[k, k, 0] == item
+        assert (7, 3, 4) in found
+
+
 def test_planted_items_of_the_benchmark(spark, sf_dir, documents):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     items = {r["item_id"]: r["text"] for r in bench.collect()}
