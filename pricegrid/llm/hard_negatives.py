@@ -295,9 +295,13 @@ def hard_negatives(
         return there.unionByName(asked).groupBy("ab", "rb")
 
     def best(cell: pd.DataFrame) -> pd.DataFrame:
+        if cell.asks.nunique() < 2:  # blocks without anchors, or without rows
+            return pd.DataFrame(columns=["anchor_id", "other_id", "score"], dtype=np.int64)
         return best_of_block(Block.of(cell[cell.asks]), Block.of(cell[~cell.asks]), positives)
 
     def fitting(cell: pd.DataFrame) -> pd.DataFrame:
+        if cell.asks.nunique() < 2:
+            return pd.DataFrame(columns=["anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"], dtype=np.int64)
         asking = cell[cell.asks]
         targets = [(np.asarray(i, np.int64), np.asarray(s, np.int64)) for i, s in zip(asking.positive_ids, asking.positive_scores)]
         return negatives_of_block(Block.of(asking), targets, Block.of(cell[~cell.asks]), negatives, low, high)
