@@ -19,6 +19,10 @@ most pairs; for the rest only the difference to the centre is counted anew
 blocks that are compared inside tasks, from which only links of a spanning
 forest come. Documents with equal sets are one from the start.
 
+**Sketches of sets** go ahead of both steps: two to four bits for each shingle.
+Every bit in which two of them differ is a shingle that the sets do not share,
+so what they rule out is certain, and texts are only read for what they leave.
+
 Defined results. A null or empty text has no shingles and is linked with
 nothing. Fewer words than a shingle takes are one shingle. Rows that share an
 id are one document, linked by any of its texts; a null id is linked with
@@ -50,6 +54,8 @@ COUNTERS, PART = 1 << 18, 1 << 12
 STEPS = 4
 #: members of a group in a block of comparisons; only splits work
 BLOCK = 1024
+#: bits that keep documents out of a shuffle, 8 MB at most; other documents of the same bit come along
+KNOWN_BITS = 1 << 26
 
 
 @dataclass(frozen=True)
@@ -59,6 +65,10 @@ class Overlap:
     words: int = 3
     percent: int = 90
 
+    def apart(self, one, other):
+        """Most shingles that only one of two linked sets has."""
+        return one + other - 2 * self.needed(one, other)
+
     def needed(self, one, other):
         """Shared shingles that it takes."""
         return -(-self.percent * (one + other) // (100 + self.percent))
@@ -81,6 +91,29 @@ def _digest(shingles: np.ndarray) -> bytes | None:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """A bit for each shingle's hash, two to four times as many bits as shingles."""
+    bits = max(64, 1 << (2 * len(shingles) - 1).bit_length()) if len(shingles) else 64
+    flags = np.zeros(bits, bool)
+    flags[(textbuf.mix(shingles) & np.uint64(bits - 1)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    """Rows of bits over fewer bits: the upper half is laid over the lower one."""
+    while bits.shape[1] > width:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] | bits[:, half:]
+    return bits
+
+
+def fewest_apart(one: bytes, others: np.ndarray) -> np.ndarray:
+    """At least so many shingles does each of the others, of one width, not share with the one."""
+    mine = np.frombuffer(one, np.uint64)[None, :]
+    width = min(mine.shape[1], others.shape[1])
+    return np.bitwise_count(_folded(mine, width) ^ _folded(others, width)).sum(1, dtype=np.int64)
+
+
 def _counter(shingles: np.ndarray) -> np.ndarray:
     return (shingles >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)
 
@@ -90,8 +123,8 @@ def _read(docs: DataFrame, text: str, id_col: str) -> DataFrame:
 
 
 def described(docs: DataFrame, like: Overlap) -> DataFrame:
-    """``id, n_shingles, digest`` of each document, and for each task rows of ``part, counts``."""
-    names = ["id", "n_shingles", "digest", "part", "counts"]
+    """``id, n_shingles, digest, sketch`` of each document, and for each task rows of ``part, counts``."""
+    names = ["id", "n_shingles", "digest", "sketch", "part", "counts"]
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
@@ -99,20 +132,21 @@ def described(docs: DataFrame, like: Overlap) -> DataFrame:
             for low, high, data, offsets in textbuf.slices(batch.column(1)):
                 shingles, bounds = shingle_sets(data, offsets, like.words)
                 counts += np.bincount(_counter(shingles), minlength=COUNTERS)
-                digests = [_digest(shingles[a:b]) for a, b in zip(bounds, bounds[1:])]
+                sets = [shingles[a:b] for a, b in zip(bounds, bounds[1:])]
+                own = [pa.array([of(x) for x in sets], pa.binary()) for of in (_digest, sketch)]
                 none = pa.nulls(high - low)
-                columns = [batch.column(0).slice(low, high - low), pa.array(np.diff(bounds)), pa.array(digests, pa.binary())]
+                columns = [batch.column(0).slice(low, high - low), pa.array(np.diff(bounds)), *own]
                 yield pa.RecordBatch.from_arrays([*columns, none.cast(pa.int32()), none.cast(pa.binary())], names=names)
         parts = [(i, counts[i * PART : (i + 1) * PART]) for i in range(COUNTERS // PART)]
         parts = [(i, c.tobytes()) for i, c in parts if c.any()]
         if parts:
             none = pa.nulls(len(parts))
-            columns = [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.binary())]
+            columns = [none.cast(k) for k in (pa.int64(), pa.int64(), pa.binary(), pa.binary())]
             yield pa.RecordBatch.from_arrays(
                 [*columns, pa.array([i for i, _ in parts], pa.int32()), pa.array([c for _, c in parts], pa.binary())], names=names
             )
 
-    return docs.mapInArrow(textbuf.released(describe), "id bigint, n_shingles bigint, digest binary, part int, counts binary")
+    return docs.mapInArrow(textbuf.released(describe), "id bigint, n_shingles bigint, digest binary, sketch binary, part int, counts binary")
 
 
 def frequencies(counted: DataFrame) -> np.ndarray:
@@ -179,7 +213,7 @@ def centre_pairs(entries: DataFrame) -> DataFrame:
     """
     rows = stage(entries.select("id", F.inline("entries")), "entries")
     # put down, so that both sides of the joins are shuffled and Spark can split a list that very many documents are in
-    lists = rows.groupBy("shingle").agg(F.min("id").alias("a"), F.max("id").alias("b")).filter("a <> b").select("shingle")
+    lists = rows.groupBy("shingle").agg(F.count("*").alias("n")).filter("n > 1").select("shingle")
     rows = stage(rows.join(stage(lists, "lists").hint("merge"), "shingle"), "shared")
     # a position can also bound partners below the own size: then the entry asks no block above, but is asked
     asked = F.sequence("home", F.greatest("home", "upto"))
@@ -272,19 +306,92 @@ def _links_of_cell(cell: pd.DataFrame, like: Overlap) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["u", "v"])
 
 
-def links_beside_centres(compared: DataFrame, like: Overlap) -> DataFrame:
-    """Links between members of a centre of which at least one is not linked with it."""
-    groups = compared.groupBy("c").agg(F.count("*").alias("n"), F.count_if(~F.col("linked")).alias("u")).filter("n > 1 and u > 0")
+def _in_cells(rows: DataFrame) -> DataFrame:
+    """Members of a centre, and those that ask about links with them, in cells ``c, q, d`` of blocks of either.
+
+    Expects ``c, x, linked`` among the columns. A group in which nobody is alone and unlinked has no cells.
+    """
+    groups = rows.groupBy("c").agg(F.count("*").alias("n"), F.count_if(~F.col("linked")).alias("u")).filter("n > 1 and u > 0")
     blocks = lambda n: F.ceil(F.col(n) / BLOCK).cast("int")
     groups = stage(groups.select("c", blocks("n").alias("nd"), blocks("u").alias("nq")), "groups")
-    rows = compared.join(groups.hint("merge"), "c")
+    joined = rows.join(groups.hint("merge"), "c")
     own = lambda n: F.pmod(F.xxhash64("x"), F.col(n)).cast("int")
     each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    there = rows.withColumn("q", each("nq")).withColumn("d", own("nd")).withColumn("asks", F.lit(False))
-    asking = rows.filter(~F.col("linked")).withColumn("d", each("nd")).withColumn("q", own("nq")).withColumn("asks", F.lit(True))
-    cells = there.unionByName(asking).select("c", "q", "d", "asks", "x", "size", "whole", "common", "bits", "rest")
+    there = joined.withColumn("q", each("nq")).withColumn("d", own("nd")).withColumn("asks", F.lit(False))
+    asking = joined.filter(~F.col("linked")).withColumn("d", each("nd")).withColumn("q", own("nq")).withColumn("asks", F.lit(True))
     # the join has left a group in one place: deal out its cells
-    return cells.repartition("c", "q", "d").groupBy("c", "q", "d").applyInPandas(lambda cell: _links_of_cell(cell, like), "u bigint, v bigint")
+    return there.unionByName(asking).select("q", "d", "asks", *rows.columns).repartition("c", "q", "d")
+
+
+def links_beside_centres(compared: DataFrame, like: Overlap) -> DataFrame:
+    """Links between members of a centre of which at least one is not linked with it."""
+    cells = _in_cells(compared).groupBy("c", "q", "d")
+    return cells.applyInPandas(lambda cell: _links_of_cell(cell, like), "u bigint, v bigint")
+
+
+def _rows_by_width(sketches: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Which sketches have one width, and their bits."""
+    width = sketches.map(len).to_numpy(np.int64)
+    for w in np.unique(width):
+        at = np.flatnonzero(width == w)
+        yield at, np.frombuffer(b"".join(sketches.iloc[at]), np.uint64).reshape(len(at), -1)
+
+
+def perhaps_linked(members: DataFrame, like: Overlap) -> DataFrame:
+    """``c, x`` of members for whom sketches do not rule out a link with another member, at least one of both unlinked.
+
+    Expects ``c, x, size, sketch, linked``.
+    """
+
+    def look(cell: pd.DataFrame) -> pd.DataFrame:
+        asking, there = cell[cell.asks], cell[~cell.asks]
+        ids, size = there.x.to_numpy(np.int64), there["size"].to_numpy(np.int64)
+        live = set()
+        for at, bits in _rows_by_width(there.sketch):
+            for x, n, own in zip(asking.x, asking["size"], asking.sketch):
+                met = ids[at[(fewest_apart(own, bits) <= like.apart(n, size[at])) & (ids[at] != x)]]
+                if len(met):
+                    live.add(int(x))
+                    live.update(met.tolist())
+        return pd.DataFrame({"c": cell.c.iloc[0], "x": sorted(live)}, dtype=np.int64)
+
+    return _in_cells(members).groupBy("c", "q", "d").applyInPandas(look, "c bigint, x bigint").distinct()
+
+
+def members_of_centres(pairs: DataFrame, sets: DataFrame, like: Overlap) -> DataFrame:
+    """``c, x, size, sketch, maybe`` of each pair; not ``maybe``, if the sketches rule out a link. ``sets`` has ``id, size, sketch``."""
+
+    def look(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            limit = like.apart(batch["size"], batch.whole)
+            bits = [np.frombuffer(b, np.uint64)[None, :] for b in batch.centre]
+            apart = [int(fewest_apart(a, b)[0]) for a, b in zip(batch.sketch, bits)]
+            yield batch[["c", "x", "size", "sketch"]].assign(maybe=np.array(apart, np.int64) <= limit)
+
+    mine = pairs.join(sets.withColumnRenamed("id", "x").hint("merge"), "x")
+    centre = sets.select(F.col("id").alias("c"), F.col("size").alias("whole"), F.col("sketch").alias("centre"))
+    return mine.join(centre.hint("merge"), "c").mapInPandas(look, "c bigint, x bigint, size bigint, sketch binary, maybe boolean")
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Documents with these ids. A bitmap of bounded size keeps most of the others out of the shuffle."""
+    place = F.pmod(F.xxhash64("id"), F.lit(KNOWN_BITS)) + 1
+    bitmap = ids.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit"))
+    bitmap = bitmap.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    placed = docs.withColumns({"bucket": F.bitmap_bucket_number(place), "bit": F.bitmap_bit_position(place)})
+    byte = F.conv(F.hex(F.expr("substring(bits, int(1 + bit div 8), 1)")), 16, 10).cast("int")
+    known = F.expr("int(bit % 8)")
+    likely = placed.join(F.broadcast(bitmap), "bucket").filter(F.getbit(byte, known) == 1).select(*docs.columns)
+    return likely.join(ids.distinct().hint("merge"), "id", "left_semi")
+
+
+def _ids(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("x").alias("id")).union(pairs.select("c"))
+
+
+def compared_pairs(pairs: DataFrame, docs: DataFrame, like: Overlap) -> DataFrame:
+    texts = stage(texts_of(docs, _ids(pairs)), "texts")
+    return stage(compare_with_centres(pairs, texts, like), "compared")
 
 
 def jaccard_components(docs: DataFrame, like: Overlap = Overlap(), text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -298,10 +405,17 @@ def jaccard_components(docs: DataFrame, like: Overlap = Overlap(), text: str = "
     # the ids grow with the corpus: never broadcast, the plan is the same at every size
     alone = entries.join(equal.hint("merge"), ["id", "digest"], "left_semi")
     pairs = stage(centre_pairs(alone), "pairs")
-    needed = pairs.select(F.col("x").alias("id")).union(pairs.select("c")).distinct()
-    texts = stage(docs.join(needed.hint("merge"), "id", "left_semi"), "texts")
-    compared = stage(compare_with_centres(pairs, texts, like), "compared")
+
+    sketches = rows.filter("digest is not null").select("id", F.col("n_shingles").alias("size"), "sketch")
+    sketches = sketches.join(_ids(pairs).distinct().hint("merge"), "id", "left_semi").distinct()
+    members = stage(members_of_centres(pairs, stage(sketches, "sketches"), like), "members")
+    with_centres = compared_pairs(members.filter("maybe").select("c", "x").distinct(), docs, like)
+    linked = stage(with_centres.filter("linked").select("c", "x").distinct(), "linked")
+    known = members.join(linked.withColumn("linked", F.lit(True)).hint("merge"), ["c", "x"], "left").drop("maybe")
+    open_ = stage(perhaps_linked(known.withColumn("linked", F.coalesce("linked", F.lit(False))), like), "open")
+    beside = links_beside_centres(compared_pairs(open_, docs, like), like)
+
     copies = usable.join(equal.withColumnRenamed("id", "rep").hint("merge"), "digest").select(F.col("id").alias("u"), F.col("rep").alias("v"))
-    edges = copies.union(compared.filter("linked").select("x", "c")).union(links_beside_centres(compared, like))
+    edges = copies.union(linked.select("x", "c")).union(beside)
     found = sets.join(connected_components(edges).withColumnRenamed("node", "id"), "id", "left")
     return found.select(F.col("id").alias(id_col), "n_shingles", F.coalesce("root", "id").alias("component_id"))

@@ -106,3 +106,29 @@ def test_undefined_input(spark, edge_docs, no_docs):
     assert of[5] == [5, 5] and of[6] == [6, 6] and of[None] == [None, None]
     assert sum(map(len, of.values())) == edge_docs.count()
     assert jaccard_components(no_docs).collect() == []
+
+
+def test_sketches_rule_out_only_what_is_not_linked():
+    pick = np.random.default_rng(8)
+    like, settled = Overlap(), 0
+    for size in (1, 3, 40, 130, 1000):
+        base = pick.choice(10**9, size, False)
+        for changes in (0, 1, size // 20, size // 10, size // 4, size):
+            other = np.unique(np.append(base[changes:], pick.choice(10**9, changes + pick.integers(0, 2 + size // 20), False)))
+            one, two = np.unique(base).astype(np.uint64), other.astype(np.uint64)
+            apart = jj.fewest_apart(jj.sketch(one), np.frombuffer(jj.sketch(two), np.uint64)[None, :])[0]
+            assert apart <= len(set(base.tolist()) ^ set(other.tolist()))
+            both = len(set(base.tolist()) & set(other.tolist()))
+            if 100 * both >= 90 * (len(one) + len(two) - both):
+                assert apart <= like.apart(len(one), len(two))
+            settled += apart > like.apart(len(one), len(two))
+    assert settled > 5
+
+
+def test_texts_of(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(-40, 200)] + [(None, "n"), (7, "again")], "id bigint, __text string")
+    ids = spark.createDataFrame([(i,) for i in (-40, -1, 0, 7, 7, 8, 63, 199, 500)], "id bigint")
+    for bits in (1, 64, 1 << 16, 1 << 26):
+        monkeypatch.setattr(jj, "KNOWN_BITS", bits)
+        got = sorted((r["id"], r["__text"]) for r in jj.texts_of(docs, ids).collect())
+        assert got == sorted([(7, "again")] + [(i, f"t{i}") for i in (-40, -1, 0, 7, 8, 63, 199)])
