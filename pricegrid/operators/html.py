@@ -1,13 +1,17 @@
 """Links, texts and table rows out of web pages.
 
 Two ways to the same relations. The native one is regular expressions inside
-the JVM; it suits regular markup and is the faster one by far. The parsed one
-reads each page once with the standard library's HTML parser in Arrow batches
-and follows element nesting, so it is the one to use for real pages.
+the JVM. The parsed one reads each page once with the standard library's HTML
+parser in Arrow batches and follows element nesting. Both take time in
+proportion to the page, whatever is left open or broken in it: patterns are
+possessive, so they neither go back nor use the stack, a tag ends where the
+next one starts, and comments, scripts and styles without an end go on to the
+end of the page.
 """
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
@@ -23,10 +27,18 @@ FLOWERS_DATE = "div.container div.impre p"
 FEES_DATE = "div.container div.impre div#fecha"
 TABLE_ROWS = "div#productos div.impre center table.table-striped tr"
 
-NOISE = r"(?is)<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
-# What stands in a tag; a quoted value may hold the end of a tag.
-IN_TAG = r"""(?:"[^"]*"|'[^']*'|[^>"'])*?"""
-HREF = rf"""(?is)<a(?=\s){IN_TAG}\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+NOISE = (
+    r"(?i)<(?:(script|style)(?=[\s/>])[^<]*+(?:<(?!/\1\s*+>)[^<]*+)*+(?:</\1\s*+>)?+"
+    r"|!--[^-]*+(?:-(?!->)[^-]*+)*+(?:-->)?+)"
+)
+# What stands in a tag. Only after an equals sign does a quote open a value, which may hold the end of a tag.
+IN_TAG = r"""(?:[^=<>]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+"""
+# The parser is only given whole tags; what is left of others is text.
+MARKUP = re.compile(
+    NOISE.replace("(?i)", "") + rf"|</?[a-z]{IN_TAG}>|<[!?][^<>]*+>|(<)", re.IGNORECASE
+)
+# Marks that stand for tags; an anchor follows its mark.
+OPEN, OTHER, END, ANCHOR = "\x01", "\x02", "\x03", "\x04"
 VOID = frozenset(
     "area base br col embed hr img input link meta source track wbr".split()
 )
@@ -53,15 +65,30 @@ def without_noise(html: Column) -> Column:
     return F.regexp_replace(html, NOISE, "")
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """Value of a tag's attribute as it is written, NULL if there is none."""
+    any_value = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+    value = r"""(?:"([^"]*+)"|'([^']*+)'|([^\s"'>][^\s>]*+))"""
+    # all attributes before it, each with its value
+    others = rf"(?:[\s/]*+(?!{name}\s*=)[^\s=<>/]++(?:\s*+=\s*+{any_value}?+)?+|=)*+"
+    pattern = rf"(?is)^<[a-z][a-z0-9]*+{others}[\s/]*+{name}\s*+=\s*+{value}.*+"
+    return F.when(tag.rlike(pattern), F.regexp_replace(tag, pattern, "$1$2$3"))
+
+
+def has_class(tag: Column, name: str) -> Column:
+    return F.coalesce(F.array_contains(F.split(attribute(tag, "class"), r"\s+"), name), F.lit(False))
+
+
 def elements(html: Column, tag: str, class_name: str | None = None) -> Column:
-    """Inner markup of every ``tag`` element up to its first end tag.
+    """Inner markup of every ``tag`` element up to its first end tag, or the page's end.
 
     For elements that do not hold others of their kind.
     """
-    attributes = r"[^>]*"
+    start = rf"(?is)<{tag}(?=[\s/>]){IN_TAG}>"
+    whole = F.regexp_extract_all(html, F.lit(rf"{start}.*?(?:</{tag}\s*+>|\z)"), F.lit(0))
     if class_name:
-        attributes = rf"""[^>]*\sclass\s*=\s*["'](?:[^"']*\s)?{class_name}(?:\s[^"']*)?["'][^>]*"""
-    return F.regexp_extract_all(html, F.lit(rf"(?is)<{tag}\b{attributes}>(.*?)</{tag}\s*>"), F.lit(1))
+        whole = F.filter(whole, lambda element: has_class(F.regexp_extract(element, start, 0), class_name))
+    return F.transform(whole, lambda element: F.regexp_extract(element, rf"{start}(.*?)(?:</{tag}\s*+>)?\z", 1))
 
 
 def links(pages: DataFrame, tag: str = "div", class_name: str | None = "filetitle") -> DataFrame:
@@ -69,36 +96,64 @@ def links(pages: DataFrame, tag: str = "div", class_name: str | None = "filetitl
 
     Repeated and relative links stay as they are. A page whose container holds
     another element of its kind, or is left open, needs nesting and goes
-    through the parser; so each page is read one way or the other.
+    through the parser; so each page is read once, one way or the other.
     """
-    containers = elements(without_noise(F.col("html")), tag, class_name)
-    opened = F.regexp_count(F.col("plain"), F.lit(rf"(?i)<{tag}(?=[\s/>])"))
-    closed = F.regexp_count(F.col("plain"), F.lit(rf"(?i)</{tag}\s*>"))
-    inner = F.exists("containers", lambda inside: inside.rlike(rf"(?i)<{tag}(?=[\s/>])"))
+    tags = F.regexp_extract_all("plain", F.lit(rf"(?is)<(?:/?{tag}|a)(?=[\s/>]){IN_TAG}>"), F.lit(0))
+
+    def mark(found: Column) -> Column:
+        held = has_class(found, class_name) if class_name else F.lit(True)
+        return (
+            F.when(found.startswith("</"), END)
+            .when(found.rlike(r"^<[aA][\s/>]"), F.concat(F.lit(ANCHOR), F.translate(found, OPEN + OTHER + END + ANCHOR, "")))
+            .when(held, OPEN)
+            .otherwise(OTHER)
+        )
+
+    count = lambda marks: F.length("marked") - F.length(F.translate("marked", marks, ""))
+    # before a container's end another element of its kind starts, or the page ends
+    unsure = F.col("marked").rlike(f"{OPEN}[^{OPEN}{OTHER}{END}]*+(?:[{OPEN}{OTHER}]|\\z)") | (count(OPEN + OTHER) != count(END))
+    # what stands between a container's start and end: its anchors
+    inside = F.regexp_extract_all("marked", F.lit(f"{OPEN}([^{OPEN}{OTHER}{END}]*+)"), F.lit(1))
+    anchors = F.filter(F.split(F.array_join(inside, ""), ANCHOR), lambda found: found != "")
+    targets = F.filter(F.transform(anchors, lambda found: attribute(found, "href")), lambda href: href.isNotNull())
     read = (
-        pages.withColumn("plain", without_noise(F.col("html")))
-        .withColumn("containers", containers)
-        .withColumn("nested", F.coalesce(inner | (opened != closed), F.lit(False)))
-    )
-    # whole tags are found first: which kind of quote holds a value differs from tag to tag
-    tags = F.regexp_extract_all(F.array_join("containers", " "), F.lit(HREF), F.lit(0))
-    targets = F.transform(tags, lambda found: F.regexp_replace(found, HREF, "$1$2$3"))
-    flat = read.filter("not nested").select("page_id", "url", F.posexplode(targets).alias("pos", "href")).select(
-        "page_id", F.col("url").alias("page_url"), "pos", decode_entities(F.col("href")).alias("file_url")
+        pages.select("page_id", "url", "html", without_noise(F.col("html")).alias("plain"))
+        .withColumn("marked", F.array_join(F.transform(tags, mark), ""))
+        .withColumn("nested", F.coalesce(unsure, F.lit(False)))
+        .select(
+            "page_id", "url", "nested",
+            F.when(~F.col("nested"), targets).alias("links"),
+            F.when(F.col("nested"), F.make_valid_utf8("html")).alias("html"),
+        )
+    )
+    selector = f"{tag} a" if class_name is None else f"{tag}.{class_name} a"
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = batch.column("links")
+            if found.null_count:
+                pairs = zip(found.to_pylist(), batch.column("html").to_pylist())
+                found = pa.array(
+                    [given if html is None else PageReader(links=selector).read(html).links for given, html in pairs], pa.list_(pa.string())
+                )
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], found], ["page_id", "url", "nested", "links"])
+
+    hrefs = read.mapInArrow(parse, "page_id bigint, url string, nested boolean, links array<string>").select(
+        "page_id", F.col("url").alias("page_url"), "nested", F.posexplode("links").alias("pos", "href")
     )
-    container = tag if class_name is None else f"{tag}.{class_name}"
-    return flat.unionByName(parsed_links(read.filter("nested").select("page_id", "url", "html"), f"{container} a"))
+    target = F.when(F.col("nested"), F.col("href")).otherwise(decode_entities(F.col("href")))
+    return hrefs.select("page_id", "page_url", "pos", target.alias("file_url"))
 
 
 def first_text(html: Column, tag: str) -> Column:
     """Text of the first ``tag`` element that starts with text, else NULL."""
-    found = F.regexp_extract(without_noise(html), rf"(?is)<{tag}\b[^>]*>([^<]+)", 1)
+    found = F.regexp_extract(without_noise(html), rf"(?is)<{tag}(?=[\s/>]){IN_TAG}>([^<]++)", 1)
     return F.nullif(strip(decode_entities(found)), F.lit(""))
 
 
 def cell_text(cell: Column) -> Column:
     """Leading text of a cell's markup, empty if it starts with an element."""
-    return F.coalesce(strip(decode_entities(F.regexp_extract(cell, r"(?s)^([^<]*)", 1))), F.lit(""))
+    return F.coalesce(strip(decode_entities(F.regexp_extract(cell, r"(?s)^([^<]*+)", 1))), F.lit(""))
 
 
 def table_rows(pages: DataFrame, class_name: str = "table-striped") -> DataFrame:
@@ -175,7 +230,7 @@ class PageReader(HTMLParser):
 
     def handle_starttag(self, tag, attrs):
         self._imply_ends(tag)
-        values = dict(attrs)
+        values = dict(reversed(attrs))  # the first one of a name counts
         element = (tag, values.get("id"), (values.get("class") or "").split())
         above = self.path[-1][1] if self.path else [0, 0, 0]
         met, selected = [0, 0, 0], [False, False, False]
@@ -214,11 +269,6 @@ class PageReader(HTMLParser):
                         self._close()
                     break
 
-    def parse_marked_section(self, i, report=1):
-        # "<![...>" is a comment in a web page, whatever is in it
-        end = self.rawdata.find(">", i)
-        return end + 1 if end >= 0 else -1
-
     def handle_endtag(self, tag):
         if self.open[tag]:
             while self._close() != tag:
@@ -244,7 +294,8 @@ class PageReader(HTMLParser):
                 cell.append(True)
 
     def read(self, html: str) -> PageReader:
-        self.feed(html)
+        whole = MARKUP.sub(lambda found: "&lt;" if found[2] else "" if found[1] or found[0].startswith("<!") else found[0], html)
+        self.feed(whole)
         self.close()
         return self
 

@@ -295,14 +295,15 @@ def fee_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def link_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages' ids and addresses, with containers of links as people write them:
-    either quote, none, entities, a quote inside, inner containers, noise."""
+    either quote, none, entities, a quote inside, very long attributes, tags left
+    open, inner containers, noise."""
     page = F.col("page_id").cast("string")
     link = lambda before, name, after: F.concat(F.lit(before), F.lit(name), page, F.lit(after))
     html = F.concat(
         F.lit("<html><script>var a = '<div class=\"filetitle\"><a href=no.pdf>';</script><body>"),
         F.lit('<div class="x"><a href="outside.pdf">o</a></div><div class="a filetitle"><b>n</b>'),
         link('<a class="x>y" href="', "it's-", '.pdf">1</a>'),
-        link("<a href=", "plain-", ".pdf>2</a>"),
+        link(f"<a data-x={'y' * 20_000} href=", "plain-", f".pdf title='{'>' * 20_000}'>2</a><a <b \"<a b"),
         link("<A HREF = '", 'say "so"-', ".pdf'>3</A>"),
         link('<a data-href="no.pdf" href="', "a&ntilde;o-&#225;&#xe9;&amp;lt;-", '.pdf">4</a><a name="no">no</a>'),
         # on every other page a container lies inside the container

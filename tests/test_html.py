@@ -1,5 +1,7 @@
 import datetime
+import time
 
+import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
@@ -57,15 +59,67 @@ def test_native_links_leave_nesting_to_the_parser(spark):
     assert parsed == sum(map(len, got.values()))
 
 
-def test_reading_open_elements_is_linear():
-    import time
+# what a page may be full of, each left open or broken
+HOSTILE = [
+    '<div "', "<a ", "</a ", "<!-- ", '<a b="', "<a b='x>", "<script ", "<script>", "<a href=x><b></i>", "<div><a href=x>", "<", "<![",
+    '="', "<a =", " class='", "<tr><td>", "<h1 ", "&#", "<a b=\"'<p c='\"", "<div class='filetitle'>", "<div class='filetitle'><a href=x>",
+]
 
-    took = []
-    for n in (4_000, 16_000):
-        start = time.perf_counter()
-        html.PageReader(links="div a", rows="table tr").read("<div>" + "<a href=x><b></i>" * n)
-        took.append(time.perf_counter() - start)
-    assert took[1] < 10 * took[0] + 0.2
+
+def _seconds(run):
+    start = time.perf_counter()
+    run()
+    return time.perf_counter() - start
+
+
+@pytest.mark.parametrize("broken", HOSTILE)
+def test_reading_is_linear(broken):
+    read = lambda n: html.PageReader(links="div a", text="h1", rows="table tr").read("<div>" + broken * n)
+    assert _seconds(lambda: read(16_000)) < 10 * _seconds(lambda: read(4_000)) + 0.2
+
+
+def test_native_patterns_are_linear(spark):
+    """All hostile pages at two sizes; four times the text must not take much more than four times as long."""
+
+    def run(n):
+        df = pages(spark, *["<div class=filetitle><a " + broken * n + " href=x.pdf>l</a></div>" for broken in HOSTILE]).repartition(1)
+        df.select(html.first_text(F.col("html"), "h1"), html.without_noise(F.col("html"))).collect()
+        html.links(df).count()
+        html.table_rows(df).count()
+
+    run(10)
+    assert _seconds(lambda: run(12_000)) < 10 * _seconds(lambda: run(3_000)) + 3
+
+
+def test_tags_of_any_length(spark):
+    """Neither long attributes nor many of them end the application, whichever way a page goes."""
+    long = "y" * 300_000
+    marks = f'<a data-x={long} href="a.pdf">1</a><a title="{">" * 300_000}" href=b.pdf>2</a><a {"k=v " * 50_000}href=\'c.pdf\'>3</a>'
+    flat = f'<div data-y="{long}" class="x filetitle">{marks}</div>'
+    nested = f"<div class=filetitle>{marks}<div></div></div>"
+    frame = pages(spark, flat, nested)
+    for found in (html.links(frame), html.parsed_links(frame)):
+        got = [(r.page_id, r.file_url) for r in found.orderBy("page_id", "pos").collect()]
+        assert got == [(i, f) for i in (0, 1) for f in ("a.pdf", "b.pdf", "c.pdf")]
+
+
+def test_both_ways_agree_on_odd_tags(spark):
+    odd = [
+        "<a href=it's.pdf>1</a><a title=it's href=z.pdf>2</a>",
+        '<a class="x"href="y.pdf">1</a><a/href=s.pdf>2</a><A HREF = "u.pdf">3</A>',
+        '<a href="first.pdf" href="second.pdf">1</a><a href>none</a><abbr href=no.pdf>x</abbr>',
+        "<a <a href=x.pdf>1</a> a < b <a href=w.pdf>2</a>",
+        "<a href='q.pdf'>1</a><!-- <a href=no.pdf> --><script>'<a href=no.pdf>'</script><style><a href=no.pdf></style >",
+        "<a href='q.pdf'>1</a></div><!-- <div class=filetitle><a href=no.pdf></div>",
+        "<a\thref\n=\n'nl.pdf'\n>1</a><a data-href=no.pdf>x</a><a title='href=no.pdf'>x</a>",
+        "<a href=x.pdf>1</a></div><div class='filetitles'><a href=no.pdf></a></div><div class=Filetitle><a href=no.pdf></a>",
+    ]
+    frame = pages(spark, *[f'<div class="filetitle">{o}</div>' for o in odd])
+    native, parsed = ([tuple(r) for r in f.orderBy("page_id", "pos").collect()] for f in (html.links(frame), html.parsed_links(frame)))
+    assert native == parsed
+    assert [r[3] for r in native] == [
+        "it's.pdf", "z.pdf", "y.pdf", "s.pdf", "u.pdf", "first.pdf", "x.pdf", "w.pdf", "q.pdf", "q.pdf", "nl.pdf", "x.pdf",
+    ]
 
 
 def test_flowers(spark):
