@@ -32,7 +32,8 @@ from pricegrid.sinks.files import write_archive, write_feed, write_report_csv
 from pricegrid.sinks.reload import replace_range, replaced
 from pricegrid.sources.pages import SEEDS, seeds
 from pricegrid.sources.tables import read_archive, read_cells, read_feed, stream_feed
-from pricegrid.streaming.load import load_increment, stream_without_repeats
+from pricegrid.streaming.load import load_increment
+from pricegrid.streaming.repeats import stream_without_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUN_DATE = datetime.date(2020, 1, 15)

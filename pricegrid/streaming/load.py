@@ -82,63 +82,3 @@ def _query_id(spark: SparkSession, checkpoint: str) -> str:
 def replace_batch(rows: DataFrame, path: str, name: str) -> None:
     """Write a batch to a folder of its own, in place of an earlier try."""
     rows.write.mode("overwrite").parquet(f"{path}/batch={name}")
-
-
-def stream_without_repeats(
-    feed: DataFrame,
-    key: list[str],
-    delay: str,
-    out: str,
-    late: str,
-    checkpoint: str,
-    ts: str = "ts",
-):
-    """The first row of each key within ``delay``, and apart what came too late.
-
-    A row is late if its time lies more than ``delay`` before the newest time of
-    the batches before its own. A key is remembered as long as a row that is not
-    late can lie within ``delay`` of it; meanwhile one of its rows goes to
-    ``out``. Late rows may repeat a key that is no longer remembered; they all
-    go to ``late``, so that no row is lost unsaid. Rows without a time are never
-    late and not remembered. Where every repeat counts, as in daily loads, ``load_increment``
-    asks the whole archive instead.
-
-    Each batch has folders of its own, which a second try replaces. Returns the finished query.
-    """
-    spark = feed.sparkSession
-    marks = f"{checkpoint}/newest"
-
-    def earlier(path: str, schema, batch_id: int) -> DataFrame:
-        return spark.read.schema(schema).option("basePath", path).parquet(path).filter(F.col("batch") < batch_id)
-
-    def step(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            mark = None
-            on_time, too_late = batch.filter(F.lit(True)), batch.filter(F.lit(False))
-            if batch_id:
-                mark = earlier(marks, "newest timestamp, batch bigint", batch_id).agg(F.max("newest")).first()[0]
-            if mark is not None:
-                bound = F.lit(mark) - F.expr(f"interval {delay}")
-                is_late = F.coalesce(F.col(ts) < bound, F.lit(False))
-                on_time, too_late = batch.filter(~is_late), batch.filter(is_late)
-            fresh = on_time.dropDuplicates(key)
-            if mark is not None:
-                names = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in feed.schema)
-                known = earlier(out, f"{names}, batch bigint", batch_id).filter(F.col(ts) >= bound - F.expr(f"interval {delay}")).select(*key)
-                same = [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in key]
-                fresh = fresh.alias("new").join(known.alias("old"), same, "left_anti").select("new.*")
-            replace_batch(too_late, late, str(batch_id))
-            replace_batch(fresh, out, str(batch_id))
-            replace_batch(batch.agg(F.max(ts).cast("timestamp").alias("newest")), marks, str(batch_id))
-        finally:
-            batch.unpersist()
-
-    query = (
-        feed.writeStream.foreachBatch(step)
-        .option("checkpointLocation", f"{checkpoint}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return query

@@ -13,7 +13,8 @@ from pricegrid.sinks.files import write_archive, write_feed, write_report_csv
 from pricegrid.sinks.reload import replace_range, replaced
 from pricegrid.sources.tables import read_archive, read_feed, stream_feed
 from pricegrid.streaming import load
-from pricegrid.streaming.load import load_increment, stream_without_repeats
+from pricegrid.streaming.load import load_increment
+from pricegrid.streaming.repeats import stream_without_repeats
 
 DAY = datetime.date(2020, 1, 1)
 ROWS = "id string, dataset string, start_date date, price decimal(18,4)"
@@ -193,6 +194,46 @@ def test_stream_drops_repeats_and_keeps_late_rows_apart(spark):
     assert read(late) == [4, 8]
 
 
+def test_a_stream_forgets_what_time_has_passed(spark):
+    """Ever new keys, one and the same key, and a column called batch: state and work stay as small as two days."""
+    out, late, state = (scratch_dir(spark, n) for n in ("out", "late", "st"))
+    at = lambda hours: datetime.datetime(2020, 1, 1) + datetime.timedelta(hours=hours)
+    batches = [[(f"{i}-{j}", i, at(24 * i + j)) for j in range(10)] + [("same", i, at(24 * i))] * 3 for i in range(9)]
+    query = stream_without_repeats(stream_of(spark, batches, "k string, batch int, ts timestamp"), ["k"], "1 day", out, late, state)
+    held = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    read = [p.numInputRows for p in query.recentProgress if p.numInputRows]
+    assert read == [13] * 9
+    assert held[-1] <= 40 and max(held[4:]) <= max(held[:4]) + 13
+    rows = spark.read.option("recursiveFileLookup", True).schema("k string, ts timestamp").parquet(out).collect()
+    assert len({r.k for r in rows}) == len([r for r in rows if r.k != "same"]) + 1 == 91
+    # kept at day 0; the mark must be past a day after it before the key is new again
+    assert sorted(r.ts.day for r in rows if r.k == "same") == [1, 4, 7]
+    assert spark.read.option("recursiveFileLookup", True).schema("k string").parquet(late).count() == 0
+
+
+def test_a_stream_goes_on_after_a_failed_batch(spark, monkeypatch):
+    """The second folder cannot be written once: the batch comes again and nothing is there twice."""
+    from pricegrid.streaming import repeats
+
+    out, late, state = (scratch_dir(spark, n) for n in ("out", "late", "st"))
+    at = lambda hours: datetime.datetime(2020, 1, 1) + datetime.timedelta(hours=hours)
+    batches = [[("a", 1, at(0)), ("b", 2, at(50))], [("a", 3, at(1)), ("b", 4, at(51)), ("c", 5, at(52))], [("c", 6, at(53))]]
+    feed, write, calls = stream_of(spark, batches, "k string, n int, ts timestamp"), repeats.replace_batch, []
+
+    def failing(rows, path, name):
+        calls.append(name)
+        if len(calls) == 4:
+            raise OSError("disk is away")
+        write(rows, path, name)
+
+    monkeypatch.setattr(repeats, "replace_batch", failing)
+    with pytest.raises(Exception, match="disk is away"):
+        stream_without_repeats(feed, ["k"], "1 day", out, late, state)
+    stream_without_repeats(feed, ["k"], "1 day", out, late, state)
+    read = lambda path: sorted(r.n for r in spark.read.schema("n int").parquet(path).collect())
+    assert read(out) == [1, 2, 5] and read(late) == [3]
+
+
 def test_nothing_is_lost_in_a_stream_out_of_order(spark, sf_dir):
     out, late, state, files = (scratch_dir(spark, n) for n in ("out", "late", "st", "ev"))
     events = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("user_id", "event_type", "cast(ts as timestamp) ts", "cast(ts as date) day")
