@@ -394,3 +394,4 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey""",
 ORACLES["link_markup_parsed"] = ORACLES["link_markup"]
 ORACLES["link_extract_parsed"] = ORACLES["link_extract"]
 ORACLES["page_first_text_parsed"] = ORACLES["page_first_text"]
+ORACLES["archive_reload_in_place"] = ORACLES["archive_reload"]

@@ -30,6 +30,7 @@ from pricegrid.plans.surveys import medicine_survey, new_reports, survey
 from pricegrid.session import scratch_dir, stage
 from pricegrid.sinks.files import write_archive, write_feed, write_report_csv
 from pricegrid.sinks.reload import replace_range, replaced
+from pricegrid.sinks.snapshots import append_rows, read_snapshot, reload_range
 from pricegrid.sources.pages import SEEDS, seeds
 from pricegrid.sources.tables import read_archive, read_cells, read_feed, stream_feed
 from pricegrid.streaming.load import load_increment
@@ -420,9 +421,19 @@ def replace_rows(spark, sf_dir):
 
 
 def archive_reload(spark, sf_dir):
-    """The same replacement made in an archive on disk, twice, with datasets
+    """The same replacement made in snapshots of an archive, twice, with datasets
     that are missing or empty and a quarter that the new load does not have."""
     path = scratch_dir(spark, "orders")
+    append_rows(spark, path, without_some_datasets(order_archive(spark, sf_dir)))
+    new = without_some_datasets(corrected_orders(spark, sf_dir)).filter("start_date <> date'1996-07-01'")
+    for _ in range(2):
+        reload_range(spark, path, new, *YEAR_1996)
+    return read_snapshot(spark, path).select("id", "dataset", "start_date", "price")
+
+
+def archive_reload_in_place(spark, sf_dir):
+    """The same once more, folder by folder in the archive itself."""
+    path = scratch_dir(spark, "orders")
     write_archive(without_some_datasets(order_archive(spark, sf_dir)), path)
     new = without_some_datasets(corrected_orders(spark, sf_dir)).filter("start_date <> date'1996-07-01'")
     for _ in range(2):
@@ -564,6 +575,7 @@ QUERIES: dict[str, Query] = {
     "incremental_load": incremental_load,
     "replace_range": replace_rows,
     "archive_reload": archive_reload,
+    "archive_reload_in_place": archive_reload_in_place,
     "archive_range": archive_range,
     "report_csv_export": report_csv_export,
     "medicine_csv_export": medicine_csv_export,

@@ -32,7 +32,8 @@ def replace_range(
 ) -> None:
     """Replace a range in an archive with one folder per day, in place.
 
-    Only folders of the range are looked up and touched. Days that the new load
+    Only folders of the range are touched. A reader may see both loads while it
+    runs; ``snapshots.reload_range`` does the same for all readers at once. Days that the new load
     has no rows for are removed, so the range afterwards is exactly the new
     load. Doing it twice, or again after a failure, gives the same result.
     ``new`` is evaluated once: what is written and what decides which folders
@@ -52,17 +53,13 @@ def replace_range(
 
 
 def _folders(spark: SparkSession, path: str, keys: list[str], first: datetime.date, last: datetime.date):
-    """Folders of the range that exist, each asked for by name; other days are not listed."""
+    """Folders of the range that exist; each dataset's folder is listed once."""
     new_path = spark._jvm.org.apache.hadoop.fs.Path
-    root = new_path(path)
-    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    parents = [(root, ())]
-    if len(keys) > 1:
-        found = files.globStatus(new_path(f"{path}/{keys[0]}=*")) or []
-        parents = [(s.getPath(), (unquote(s.getPath().getName().partition("=")[2]),)) for s in found]
-    for parent, values in parents:
-        for i in range((last - first).days + 1):
-            day = (first + datetime.timedelta(i)).isoformat()
-            folder = new_path(parent, f"{keys[-1]}={day}")
-            if files.exists(folder):
-                yield folder, (*values, day)
+    files = new_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    parents = f"{path}/{keys[0]}=*" if len(keys) > 1 else path
+    for status in files.globStatus(new_path(f"{parents}/{keys[-1]}=*")) or []:
+        folder = status.getPath()
+        day = folder.getName().partition("=")[2]
+        if first.isoformat() <= day <= last.isoformat():
+            above = (unquote(folder.getParent().getName().partition("=")[2]),) if len(keys) > 1 else ()
+            yield folder, (*above, day)
