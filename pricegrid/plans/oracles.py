@@ -324,6 +324,34 @@ SELECT p_partkey AS id, p_name AS name,
             WHEN regexp_matches(p_name, '\b(gear|gizmo|widget)\b') THEN 'machinery'
             ELSE 'other' END AS category
 FROM part""",
+    # what the patterns say, without patterns
+    "product_category_rules": """
+WITH parts AS (
+  SELECT p_partkey AS id, p_name || ' ' || p_brand || ' no. ' || p_partkey AS name, split_part(p_name, ' ', 1) AS a,
+         split_part(p_name, ' ', 2) AS b, CAST(split_part(p_brand, '#', 2) AS INTEGER) AS brand FROM part),
+rules AS (
+  SELECT c_custkey AS k, c_mktsegment || '-' || c_custkey AS category,
+         CASE WHEN k % 4 = 0 THEN k WHEN k % 4 = 2 THEN 1000000000 + k WHEN k % 500 = 499 THEN 3000000000 + k ELSE 2000000000 + k END AS rule_no
+  FROM customer),
+hits AS (
+  SELECT id, rule_no, category FROM parts JOIN rules ON
+    CASE WHEN k % 500 = 499 THEN len(a) = 3 AND len(b) IN (3, 4)
+         WHEN k % 4 = 0 THEN id = k
+         WHEN k % 4 = 1 THEN a IN ('hot', 'cold') AND brand = k % 25 + 1
+         WHEN k % 4 = 2 THEN b IN ('bolt', 'rod') AND brand = k % 25 + 1 AND id % 10 = k % 10
+         ELSE a IN ('large', 'small') AND brand = k % 25 + 1 END),
+best AS (SELECT id, arg_min(category, rule_no) AS category FROM hits GROUP BY id)
+SELECT id, name, coalesce(category, 'other') AS category FROM parts LEFT JOIN best USING (id)""",
+    "period_overlaps": f"""
+WITH {_STEPS}, periods AS (
+  SELECT DISTINCT CAST(o_orderdate AS DATE) AS first, CAST(CAST(o_orderdate AS DATE) + 6 AS DATE) AS last
+  FROM orders WHERE o_orderstatus = 'P'),
+reports AS (
+  SELECT DISTINCT p_brand AS product, first, last FROM periods
+  JOIN part ON CAST(split_part(p_brand, '#', 2) AS INTEGER) = date_diff('day', DATE '1970-01-01', first) % 25 + 1)
+SELECT product, first, last, vendor, price, valid_from,
+       CAST(date_diff('day', greatest(first, valid_from), least(last, coalesce(CAST(valid_to - 1 AS DATE), last))) + 1 AS INTEGER) AS days
+FROM reports JOIN steps USING (product) WHERE valid_from <= last AND (valid_to IS NULL OR valid_to > first)""",
     "name_cluster": """
 WITH spelled AS (
   SELECT list_aggregate(list_sort(string_split(p_name, ' ')), 'string_agg', ' ') AS fingerprint,
@@ -395,3 +423,5 @@ ORACLES["link_markup_parsed"] = ORACLES["link_markup"]
 ORACLES["link_extract_parsed"] = ORACLES["link_extract"]
 ORACLES["page_first_text_parsed"] = ORACLES["page_first_text"]
 ORACLES["archive_reload_in_place"] = ORACLES["archive_reload"]
+ORACLES["product_search_indexed"] = ORACLES["product_search"]
+ORACLES["product_search_indexed_scripts"] = ORACLES["product_search_scripts"]

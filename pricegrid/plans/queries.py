@@ -15,6 +15,7 @@ from pricegrid.operators import feeds, html, reports
 from pricegrid.operators.catalog import categorise, name_clusters, product_search
 from pricegrid.operators.grid import basket_prices
 from pricegrid.operators.history import price_asof, price_history, price_on_days
+from pricegrid.operators.intervals import overlap_days, overlaps
 from pricegrid.operators.medicines import medicine_prices, written_variants
 from pricegrid.operators.merchants import (
     cheapest_merchant,
@@ -23,6 +24,8 @@ from pricegrid.operators.merchants import (
     merchant_rank,
 )
 from pricegrid.operators.rows import drop_repeats, union_all
+from pricegrid.operators.rules import categorise_by_rules
+from pricegrid.operators.search_index import search_index, write_index
 from pricegrid.operators.stats import price_stats
 from pricegrid.plans import standins as data
 from pricegrid.plans.standins import money, table
@@ -328,6 +331,53 @@ def categories(spark, sf_dir):
     return categorise(parts(spark, sf_dir), RULES)
 
 
+def indexed_search(spark, sf_dir):
+    """The same search over a stored index."""
+    path = scratch_dir(spark, "index")
+    write_index(parts(spark, sf_dir), path)
+    return search_index(spark, path, "Small RÉD widget", k=20)
+
+
+def indexed_search_scripts(spark, sf_dir):
+    path = scratch_dir(spark, "index")
+    write_index(data.spelled_parts(spark, sf_dir), path)
+    return search_index(spark, path, "молоко Łódź 米", k=20)
+
+
+def categories_by_rules(spark, sf_dir):
+    """Parts with their brand and number in the name, by a table of rules, one for each customer."""
+    name = F.concat_ws(" ", "p_name", "p_brand", F.lit("no."), F.col("p_partkey").cast("string"))
+    products = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("id"), name.alias("name"))
+    key = F.col("c_custkey")
+    brand, text = (key % 25 + 1).cast("string"), key.cast("string")
+    pattern = (
+        F.when(key % 500 == 499, r"^[a-z]{3}\s[a-z]{3,4}\s")  # requires no text
+        .when(key % 4 == 0, F.concat(F.lit(r"\bNO\. 0*"), text, F.lit(r"\z")))
+        .when(key % 4 == 1, F.concat(F.lit(r"^(?:hot|cold) \w+ brand#"), brand, F.lit(r"\b")))
+        .when(key % 4 == 2, F.concat(F.lit(r"\b(bolt|rod)s? Brand#"), brand, F.lit(r" no\. \d*"), (key % 10).cast("string"), F.lit("$")))
+        .otherwise(F.concat(F.lit("(large|small) .*#"), brand, F.lit(" no")))
+    )
+    category = F.concat_ws("-", "c_mktsegment", text)
+    # narrow rules come first
+    number = F.when(key % 4 == 0, key).when(key % 4 == 2, 10**9 + key).when(key % 500 == 499, 3 * 10**9 + key).otherwise(2 * 10**9 + key)
+    rules = table(spark, sf_dir, "customer").select(number.alias("rule_no"), pattern.alias("pattern"), category.alias("category"))
+    return categorise_by_rules(products, rules).select("id", "name", "category")
+
+
+def period_overlaps(spark, sf_dir):
+    """Price steps that hold during the weeks of a quarter's reports, with the days they share."""
+    steps = history(spark, sf_dir).select("product", "vendor", "price", "valid_from", F.date_sub("valid_to", 1).alias("valid_last"))
+    orders = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderdate").cast("date").alias("first")).distinct()
+    periods = orders.withColumn("last", F.date_add("first", 6))
+    brands = table(spark, sf_dir, "part").select(F.col("p_brand").alias("product")).distinct()
+    # a report covers one brand, by turns of the days
+    turn = F.substring_index("product", "#", -1).cast("int")
+    reports_ = periods.withColumn("turn", F.unix_date("first") % 25 + 1).join(brands.withColumn("turn", turn), "turn").drop("turn")
+    met = overlaps(reports_, steps, ["product"], ("first", "last"), ("valid_from", "valid_last"))
+    days = overlap_days((F.col("left.first"), F.col("left.last")), (F.col("right.valid_from"), F.coalesce("right.valid_last", F.lit("9999-12-31").cast("date"))))
+    return met.select("left.product", "left.first", "left.last", "right.vendor", "right.price", "right.valid_from", days.alias("days"))
+
+
 def clusters(spark, sf_dir):
     """Part names, spelled in four ways by type."""
     name, kind = F.col("p_name"), F.col("p_type")
@@ -567,7 +617,11 @@ QUERIES: dict[str, Query] = {
     "price_stats_large": stats_of_large_prices,
     "product_search": search,
     "product_search_scripts": search_scripts,
+    "product_search_indexed": indexed_search,
+    "product_search_indexed_scripts": indexed_search_scripts,
     "product_category": categories,
+    "product_category_rules": categories_by_rules,
+    "period_overlaps": period_overlaps,
     "name_cluster": clusters,
     "name_cluster_scripts": clusters_scripts,
     "feed_dedup": feed_dedup,
