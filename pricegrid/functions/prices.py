@@ -40,6 +40,11 @@ def currency() -> Column:
 
 
 def observation_id(*parts: Column | str) -> Column:
-    """Id that a retry, a replay or a reload reproduces."""
-    columns = [F.col(part) if isinstance(part, str) else part for part in parts]
-    return F.md5(F.concat_ws("|", *[column.cast("string") for column in columns]))
+    """Id that a retry, a replay or a reload reproduces.
+
+    Each part goes in with its length, a NULL as a dash: so no two lists of
+    parts are written alike, whatever is in them.
+    """
+    columns = [(F.col(part) if isinstance(part, str) else part).cast("string") for part in parts]
+    told = [F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")) for text in columns]
+    return F.md5(F.concat_ws(",", *told))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from pricegrid.functions.dates import add_report_dates
-from pricegrid.functions.prices import currency, is_priced, observation_id, parse_price
+from pricegrid.functions.prices import currency, is_priced, observation_id, parse_price, too_large
 from pricegrid.functions.text import null_token, squeeze, strip
 from pricegrid.functions.urls import file_stem, stored_file_name
 
@@ -226,12 +226,14 @@ def attach_layout(cells: DataFrame, layouts: DataFrame) -> DataFrame:
             "price": parse_price(null_token(F.col("cell"))),
         }
     )
+    # only asked where there is no price
+    body = body.withColumn("price_too_large", F.col("price").isNull() & too_large(null_token(F.col("cell"))))
     gcol = F.try_element_at("first_col", F.col("table_no")) + F.col("col_no")
     return (
         body.join(layouts, BLOCK)
         .withColumn("slot", F.explode(F.get("by_column", gcol)))
         .select(
-            *BLOCK, "row_no", "cell", "price", *REPORT,
+            *BLOCK, "row_no", "cell", "price", "price_too_large", *REPORT,
             "slot.variant", "slot.gcol", "slot.kcol", "slot.n_cols",
             "slot.vendor_raw", "slot.vendor",
         )
@@ -241,15 +243,16 @@ def attach_layout(cells: DataFrame, layouts: DataFrame) -> DataFrame:
 def unpivot(cells: DataFrame, n_attributes: int) -> DataFrame:
     """One row per vendor cell with a price, attributes alongside as ``attr_i``.
 
-    Cells without a price go before the sort. The windows' partitions are one
-    grid row and one cell of it; they lie within the block the cells are already
+    Cells without a price go before the sort; one whose amount is too large for
+    the type stays, flagged. The windows' partitions are one grid row of a
+    dataset and one cell of it; they lie within the block the cells are already
     shuffled by and share its one sort. Of cells that are there twice the lowest
     text holds.
     """
-    keys = ["row_no", "variant", "block", "page_no", "file_url"]
+    keys = ["row_no", "variant", "block", "page_no", "file_url", "dataset"]
     row, twice = W.partitionBy(*keys), W.partitionBy(*keys, "kcol").orderBy("cell")
     return (
-        cells.filter((F.col("kcol") < n_attributes) | is_priced(F.col("price")))
+        cells.filter((F.col("kcol") < n_attributes) | is_priced(F.col("price")) | F.col("price_too_large"))
         .withColumn("copy", F.row_number().over(twice))
         .filter("copy = 1")
         .drop("copy")
@@ -268,7 +271,7 @@ def with_report(layouts: DataFrame, dataset: str | DataFrame) -> DataFrame:
     """Add what a page inherits from its report: dataset, file id and dates.
 
     ``dataset`` is a name, or a DataFrame ``(file_url, dataset)`` that also
-    selects the reports to convert.
+    selects the reports to convert; a file of two datasets is a report of each.
     """
     if isinstance(dataset, DataFrame):
         layouts = layouts.join(dataset.select("file_url", "dataset"), "file_url")
@@ -285,6 +288,7 @@ def observation_columns() -> list[Column]:
         F.col("vendor"),
         F.col("vendor_raw"),
         F.col("price"),
+        F.col("price_too_large"),
         currency().alias("currency"),
         F.col("start_date"),
         F.col("end_date"),
@@ -311,7 +315,7 @@ def basket_prices(
         for i, name in enumerate(["description", "unit"])
     ]
     return rows.select(
-        observation_id("file_url", "variant", "page_no", "row_no", "gcol").alias("id"),
+        observation_id("dataset", "file_url", "variant", "page_no", "row_no", "gcol").alias("id"),
         "dataset",
         "file_id",
         *attributes,

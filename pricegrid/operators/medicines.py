@@ -107,7 +107,7 @@ def medicine_prices(
     for there, value in zip(present, values):
         some_text = some_text | (there & (F.coalesce(value, F.lit("?")) != ""))
     return rows.filter(some_text).select(
-        observation_id("file_url", "variant", "page_no", "row_no", "gcol").alias("id"),
+        observation_id("dataset", "file_url", "variant", "page_no", "row_no", "gcol").alias("id"),
         "dataset",
         "variant",
         "file_id",
@@ -120,5 +120,5 @@ def medicine_prices(
 
 
 def written_variants(observations: DataFrame) -> DataFrame:
-    """Manifest of the outputs a run really has: one row per report and variant."""
-    return observations.select("file_id", "variant").distinct()
+    """Manifest of the outputs a run really has: one row per dataset, report and variant."""
+    return observations.select("dataset", "file_id", "variant").distinct()

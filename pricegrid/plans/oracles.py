@@ -58,7 +58,18 @@ placed AS (
   FROM starts),
 seen AS (SELECT * FROM placed JOIN lows ON p_partkey = l_partkey)"""
 
-_OBS_ID = "md5('https://example.org/files/' || file_id || '.pdf|' || {} || '|' || page_no || '|' || row_no || '|' || {})"
+
+
+def _id(*parts: str) -> str:
+    """The id of SQL expressions: each with its length, or a dash."""
+    told = [f"coalesce(length(CAST({p} AS VARCHAR)) || ':' || {p}, '-')" for p in parts]
+    return f"md5({" || ',' || ".join(told)})"
+
+
+def _obs_id(dataset: str, variant: str, gcol: str) -> str:
+    return _id(dataset, "('https://example.org/files/' || file_id || '.pdf')", variant, "page_no", "row_no", gcol)
+
+
 
 _BASKETS = f"""{_GRID},
 columns_of(r_name, gcol, raw, vendor) AS (VALUES
@@ -67,9 +78,9 @@ columns_of(r_name, gcol, raw, vendor) AS (VALUES
   ('MIDDLE EAST', 6, 'Super MIDDLE EAST --', 'Super MIDDLE EAST'),
   ('AFRICA', 8, 'Super AFRICA --.1', 'Super AFRICA')),
 baskets AS (
-  SELECT {_OBS_ID.format("'single'", "gcol")} AS id, 'basic_baskets' AS dataset, file_id,
-         p_name AS description, p_type AS unit, vendor, raw AS vendor_raw,
-         CAST(CASE WHEN gcol = 8 THEN top ELSE low END AS DECIMAL(18,4)) AS price, 'DOP' AS currency,
+  SELECT {_obs_id("'basic_baskets'", "'single'", "gcol")} AS id, 'basic_baskets' AS dataset, file_id,
+         p_name AS description, p_type AS unit, vendor, raw AS vendor_raw, page_no, row_no, gcol,
+         CAST(CASE WHEN gcol = 8 THEN top ELSE low END AS DECIMAL(18,4)) AS price, false AS price_too_large, 'DOP' AS currency,
          start_date, end_date, false AS date_error, false AS range_inverted
   FROM seen JOIN columns_of USING (r_name))"""
 
@@ -87,8 +98,8 @@ halves AS (
 medicines AS (
   SELECT {id} AS id, 'medicines' AS dataset, variant, file_id, medication_name, dosage, maker, unit,
          r_name AS vendor, r_name || '  ' AS vendor_raw, CAST(low AS DECIMAL(18,4)) AS price,
-         'DOP' AS currency, start_date, end_date, false AS date_error, false AS range_inverted
-  FROM halves)""".format(id=_OBS_ID.format("variant", "gcol"))
+         false AS price_too_large, 'DOP' AS currency, start_date, end_date, false AS date_error, false AS range_inverted
+  FROM halves)""".format(id=_obs_id("'medicines'", "variant", "gcol"))
 
 _FLOWERS = """
 SELECT p_name AS description, CASE WHEN p_type = 'PROMO' THEN '' ELSE p_type END AS unit,
@@ -212,13 +223,14 @@ WITH {_LINKS}, named AS (
 SELECT dataset, file_name, page_id, pos, file_url FROM (
   SELECT *, row_number() OVER (PARTITION BY dataset, file_name ORDER BY page_id DESC, pos DESC) AS i FROM named)
 WHERE i = 1""",
-    "grid_to_long": f"WITH {_BASKETS} SELECT * FROM baskets",
+    "grid_to_long": f"WITH {_BASKETS} SELECT * EXCLUDE (page_no, row_no, gcol) FROM baskets",
     "grid_guards": f"""
 WITH {_BASKETS}
-SELECT baskets.* FROM baskets WHERE unit <> 'PROMO' AND id IN (
-  SELECT {_OBS_ID.format("'single'", "gcol")} FROM seen JOIN columns_of USING (r_name) WHERE page_no % 5 <> 4)""",
+SELECT baskets.* EXCLUDE (page_no, row_no, gcol) REPLACE (large AS price_too_large, CASE WHEN NOT large THEN price END AS price) FROM baskets JOIN (
+  SELECT {_obs_id("'basic_baskets'", "'single'", "gcol")} AS id, gcol = 3 AND p_size <= 2 AS large
+  FROM seen JOIN columns_of USING (r_name) WHERE page_no % 5 <> 4) USING (id) WHERE unit <> 'PROMO'""",
     "medicine_split": f"WITH {_GRID}, {_MEDICINES} SELECT * FROM medicines",
-    "medicine_variants": f"WITH {_GRID}, {_MEDICINES} SELECT DISTINCT file_id, variant FROM medicines",
+    "medicine_variants": f"WITH {_GRID}, {_MEDICINES} SELECT DISTINCT dataset, file_id, variant FROM medicines",
     "observation_union": f"""
 WITH {_BASKETS}, {_MEDICINES}
 SELECT dataset, NULL::VARCHAR AS variant, description AS product, unit, vendor, price FROM baskets
@@ -370,8 +382,8 @@ SELECT user_id, event_type, day, event_id, value FROM (
          row_number() OVER (PARTITION BY user_id, event_type, CAST(ts AS DATE) ORDER BY event_id) AS i
   FROM events) WHERE i = 1""",
     "feed_dedup_stream": "SELECT DISTINCT user_id, event_type, CAST(ts AS DATE) AS day FROM events",
-    "incremental_load": """
-SELECT md5(event_id || '|' || event_type) AS id, event_type AS dataset, CAST(ts AS DATE) AS start_date,
+    "incremental_load": f"""
+SELECT {_id("event_id", "event_type")} AS id, event_type AS dataset, CAST(ts AS DATE) AS start_date,
        user_id, CAST(value AS DECIMAL(18,4)) AS price FROM events""",
     "replace_range": f"WITH {_ORDERS} SELECT * FROM reloaded",
     # an empty dataset and none share a folder
@@ -391,13 +403,14 @@ FROM medicines""",
     "feed_csv": _FLOWERS.format(text=_GROUPED, column="price"),
     "survey_end_to_end": f"""
 WITH {_BASKETS}
-SELECT id, 'hardware_products' AS dataset, file_id, description, unit, vendor, price, currency, start_date, end_date
-FROM baskets WHERE file_id NOT IN (
+SELECT {_obs_id("d.dataset", "'single'", "gcol")} AS id, d.dataset, file_id, description, unit, vendor, price, currency, start_date, end_date
+FROM baskets, (VALUES ('hardware_products'), ('dairy_products')) d(dataset)
+WHERE d.dataset <> 'hardware_products' OR file_id NOT IN (
   SELECT file_id FROM placed WHERE p_type = 'PROMO' AND p_brand = 'Brand#5' AND p_size <= 5)""",
     "medicine_survey": f"""
 WITH {_GRID},
 medicines AS (
-  SELECT {_OBS_ID.format("'single'", "4")} AS id, 'single' AS variant, file_id, p_name AS medication_name, p_type AS dosage,
+  SELECT {_obs_id("'medicines'", "'single'", "4")} AS id, 'single' AS variant, file_id, p_name AS medication_name, p_type AS dosage,
          p_brand AS maker, CAST(p_size AS VARCHAR) AS unit, r_name AS vendor, CAST(low AS DECIMAL(18,4)) AS price,
          'DOP' AS currency, start_date, end_date
   FROM seen WHERE page_no % 2 = 1 AND r_name = 'AFRICA')
@@ -413,8 +426,8 @@ SELECT c_custkey, vendor, unit, lower(vendor) AS vendor_folded, lower(unit) AS u
        CASE WHEN balance < 0 THEN '--' ELSE 'RD$ ' || balance END AS price_text,
        false AS price_too_large, balance < 0 AS price_missing
 FROM tidy""",
-    "daily_feed_load": """
-SELECT md5('809-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0') || '|L' || c_custkey || '|2020-01-15') AS id,
+    "daily_feed_load": f"""
+SELECT {_id("('809-' || lpad(CAST(c_custkey AS VARCHAR), 7, '0'))", "('L' || c_custkey)", "'2020-01-15'")} AS id,
        'transportation_fees' AS dataset, DATE '2020-01-15' AS start_date, c_name AS representative,
        n_name || ' centro' AS stop, CAST(abs(CAST(c_acctbal AS DECIMAL(12,2))) AS DECIMAL(18,4)) AS cost
 FROM customer JOIN nation ON c_nationkey = n_nationkey""",

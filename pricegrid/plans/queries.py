@@ -542,8 +542,12 @@ def linked_reports(spark, sf_dir, dataset):
 
 
 def survey_end_to_end(spark, sf_dir):
-    """From index pages over links and new reports to observations."""
+    """From index pages over links and new reports to observations, for two datasets that share their files."""
     pages, index, stored = linked_reports(spark, sf_dir, "hardware_products")
+    # a second dataset has index pages of its own, which link to the same files
+    other = pages.withColumn("url", F.concat("url", F.lit("?dairy")))
+    pages = pages.union(other)
+    index = index.union(other.select("url", F.lit("dairy_products"), F.lit(True)))
     cells = rendered(spark, sf_dir, data.basket_cells)
     found = new_reports(pages, index, stored)
     return survey(cells, found, stored).select(*schemas.PRICE_OBS.names)

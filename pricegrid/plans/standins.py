@@ -343,24 +343,30 @@ def spelled_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def uneven_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Basket reports with pages that the guards are for: every fifth page ends
-    after two header rows, descriptions of promotions are blank, and the first
-    header cell, like every description, is there twice."""
+    after two header rows, descriptions of promotions are blank, the first header
+    cell, like every description, is there twice, and small parts cost more in
+    one column than a price can be."""
     cells = basket_cells(spark, sf_dir)
     short = F.col("page_no") % 5 == 4
     promo = table(spark, sf_dir, "part").filter("p_type = 'PROMO'")
-    blank = promo.select(
+    place = [
         F.floor(F.col("p_partkey") / PARTS_PER_FILE).cast("int").alias("file_no"),
         F.floor(F.col("p_partkey") % PARTS_PER_FILE / PARTS_PER_PAGE).cast("int").alias("page_no"),
         (F.col("p_partkey") % PARTS_PER_PAGE + 3).cast("int").alias("row_no"),
-        F.lit(True).alias("blank"),
-    )
+    ]
+    blank = promo.select(*place, F.lit(True).alias("blank"))
+    small = table(spark, sf_dir, "part").filter("p_size <= 2")
+    dear = small.select(*place, F.lit(True).alias("dear"))
     numbered = cells.withColumn(
         "file_no",
         F.translate(F.regexp_extract("file_url", "sondeo-([a-j]+)-del", 1), "abcdefghij", "0123456789").cast("int"),
     )
     first = (F.col("table_no") == 0) & (F.col("col_no") == 0)
+    priced = (F.col("table_no") == 0) & (F.col("col_no") == 3)
     uneven = (
         numbered.join(blank, ["file_no", "page_no", "row_no"], "left")
+        .join(dear, ["file_no", "page_no", "row_no"], "left")
+        .withColumn("cell", F.when(F.col("dear") & priced & F.col("cell").isNotNull(), F.lit("RD$ 123,456,789,012,345,678.00")).otherwise(F.col("cell")))
         .filter(~short | (F.col("row_no") < 2))
         .withColumn("cell", F.when(first & F.col("blank"), F.lit("  ")).otherwise(F.col("cell")))
         .select(*cells.columns)

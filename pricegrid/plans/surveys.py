@@ -23,20 +23,21 @@ def new_reports(pages: DataFrame, seeds: DataFrame, stored: DataFrame) -> DataFr
 def survey(cells: DataFrame, reports: DataFrame, manifest: DataFrame) -> DataFrame:
     """Observations of all basket-like reports that are not converted yet.
 
-    A report that is linked more than once is converted once.
+    A report that a dataset links to more than once is converted once; one that
+    two datasets link to, once for each.
     """
-    todo = not_converted(reports, manifest).groupBy("file_url").agg(F.min("dataset").alias("dataset"))
+    todo = not_converted(reports, manifest).select("file_url", "dataset").distinct()
     return basket_prices(cells, todo)
 
 
 def medicine_survey(cells: DataFrame, reports: DataFrame, manifest: DataFrame) -> DataFrame:
-    todo = not_converted(reports, manifest).groupBy("file_url").agg(F.min("dataset").alias("dataset"))
+    todo = not_converted(reports, manifest).select("file_url", "dataset").distinct()
     return medicine_prices(cells, todo)
 
 
 def as_prices(observations: DataFrame, product: Column | str = "description") -> DataFrame:
-    """Observations as ``(product, vendor, price, price_date)``."""
+    """Observations as ``(product, vendor, price, price_date)``; what has no price that the type holds is left out."""
     product = F.col(product) if isinstance(product, str) else product
-    return observations.select(
+    return observations.filter("price is not null").select(
         product.alias("product"), "vendor", "price", F.col("start_date").alias("price_date")
     )

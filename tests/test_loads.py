@@ -136,6 +136,19 @@ def read_schema(text):
     return StructType.fromDDL(text)
 
 
+def test_rows_with_missing_and_odd_parts_all_arrive(spark):
+    root, archive = scratch_dir(spark, "feeds"), scratch_dir(spark, "archive")
+    rows = [("a", None, "b", "1.00", DAY), ("a", "b", None, "2.00", DAY), ("a|b", None, None, "3.00", DAY), ("a", "b", "", "4.00", DAY)]
+    write_feed(spark.createDataFrame(rows, FEED), root, "flowers", "1", read_schema(FEED).names)
+    all_parts = lambda feed: feed.select(
+        observation_id("description", "unit", "vendor").alias("id"), F.lit("flowers").alias("dataset"),
+        F.col("day").alias("start_date"), parse_price(F.col("price")).alias("price"),
+    )
+    for _ in range(2):
+        load_increment(stream_feed(spark, f"{root}/flowers/*", read_schema(FEED)), archive, scratch_dir(spark, "state"), all_parts)
+    assert sorted(int(r.price) for r in read_archive(spark, archive).collect()) == [1, 2, 3, 4]
+
+
 def test_second_sink_sees_a_failed_batch_again_under_its_name(spark, monkeypatch):
     """The archive fails once after the second sink has been written."""
     root, archive, second, state = (scratch_dir(spark, n) for n in ("feeds", "archive", "second", "state"))

@@ -77,6 +77,31 @@ def test_from_page_to_observations(spark):
     assert medicine_survey(table, found, done).count() == 0
 
 
+def test_a_file_of_two_datasets_is_a_report_of_each(spark):
+    site = "https://example.org"
+    index = f"<div class='filetitle'><a href='{site}/f/canasta-abril-2020.pdf'>x</a></div>"
+    pages = spark.createDataFrame([(1, f"{site}/a", index), (2, f"{site}/b", index), (3, f"{site}/c", index)], PAGES)
+    seeds = spark.createDataFrame(
+        [("text_books", f"{site}/a", True), ("dairy", f"{site}/b", True), ("meat", f"{site}/c", True)], "dataset string, url string, active boolean"
+    )
+    stored = spark.createDataFrame([("meat", "canasta-abril-2020.pdf")], "dataset string, file_name string")
+    found = new_reports(pages, seeds, stored)
+    grid = headed(["P", "U", "A", "B"], ["Libro", "Uno", "5.00", "7.00"], ["Lápiz", "Uno", "1.00", "123456789012345678.00"])
+    table = cells(spark, cell_rows(grid, url=f"{site}/f/canasta-abril-2020.pdf"))
+    empty = spark.createDataFrame([], "dataset string, file_id string")
+    rows = survey(table, found, empty).collect()
+    assert sorted((r.dataset, r.description, r.vendor) for r in rows) == sorted(
+        (d, p, v) for d in ("text_books", "dairy") for p in ("Libro", "Lápiz") for v in "AB"
+    )
+    assert len({r.id for r in rows}) == 8
+    # an amount that the type cannot hold stays and says so
+    assert [(r.price, r.price_too_large) for r in rows if (r.description, r.vendor) == ("Lápiz", "B")] == [(None, True)] * 2
+    assert sum(r.price_too_large for r in rows) == 2
+    assert as_prices(survey(table, found, empty)).count() == 6
+    done = spark.createDataFrame([("dairy", "canasta-abril-2020")], "dataset string, file_id string")
+    assert {r.dataset for r in survey(table, found, done).collect()} == {"text_books"}
+
+
 def test_all_seeds(spark):
     rows = seeds(spark).collect()
     assert len(rows) == len({r.url for r in rows}) == 19

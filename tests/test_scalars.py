@@ -109,6 +109,13 @@ def test_ids_depend_on_every_part(spark):
     assert df.select(prices.observation_id("x", "y").alias("id")).distinct().count() == 3
 
 
+def test_ids_tell_missing_and_odd_parts_apart(spark):
+    rows = [("a", None, "b"), ("a", "b", None), ("a|b", None, None), ("a", "b", ""), ("a,1:b", None, ""), ("a", "-", "b"), (None, None, None), ("", "", ""), ("3:a", "b", None)]
+    df = spark.createDataFrame(rows, "x string, y string, z string")
+    assert df.select(prices.observation_id("x", "y", "z").alias("id")).distinct().count() == len(rows)
+    assert df.select(prices.observation_id("x", "y").alias("id")).distinct().count() == len({r[:2] for r in rows})
+
+
 def test_entities(spark):
     got = column(spark, ["a&ntilde;o &#225;&#xe9;&#XE9;", "&amp;lt; &nope; & &;", "&#128;&#0;&#xD800;&#1114112;", None, "", "&lt;&lt;x&gt;"], text.decode_entities)
     assert got == ["año áéé", "&lt; &nope; & &;", "€\ufffd\ufffd\ufffd", None, "", "<<x>"]
