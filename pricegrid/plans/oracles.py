@@ -133,6 +133,18 @@ reloaded AS (
   SELECT id, dataset, start_date, CAST(price * 2 AS DECIMAL(12,2)) FROM old
   WHERE start_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' AND dataset <> 'P')"""
 
+_COUNTED = """
+raw AS (SELECT id, {dataset} AS dataset, start_date, price FROM old),
+processed AS (
+  SELECT id, dataset, start_date, CAST(price + CASE WHEN id % 17 = 3 THEN 1 ELSE 0 END AS DECIMAL(12,2)) AS price
+  FROM (SELECT *, unnest(range(CASE WHEN id % 13 = 2 THEN 3 ELSE 1 END)) FROM raw) WHERE id % 11 <> 5),
+counted AS (
+  SELECT id, dataset, start_date, price, CAST(sum(l) AS BIGINT) AS n_left, CAST(sum(r) AS BIGINT) AS n_right
+  FROM (SELECT *, 1 AS l, 0 AS r FROM raw UNION ALL SELECT *, 0, 1 FROM processed) GROUP BY ALL)"""
+# in folders an empty dataset is none
+_PROCESSED = _COUNTED.format(dataset="CASE WHEN id % 7 > 1 THEN dataset END")
+_PROCESSED_BLANK = _COUNTED.format(dataset="CASE WHEN id % 7 = 1 THEN '' WHEN id % 7 > 1 THEN dataset END")
+
 _STORED = r"""
 named AS (
   SELECT page_id, regexp_extract(url, '[^/]*$') AS base FROM pages),
@@ -392,6 +404,43 @@ WITH {_ORDERS}
 SELECT id, CASE WHEN id % 7 > 1 THEN dataset END AS dataset, start_date, price FROM reloaded
 WHERE start_date <> DATE '1996-07-01'""",
     "archive_range": f"WITH {_ORDERS} SELECT * FROM old WHERE start_date BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'",
+    "archive_differences": f"""
+WITH {_ORDERS}, {_PROCESSED}
+SELECT id, dataset, start_date, price, greatest(n_left - n_right, 0) AS n_lost, greatest(n_right - n_left, 0) AS n_extra
+FROM counted WHERE n_left <> n_right""",
+    "archive_reconciled": f"""
+WITH {_ORDERS}, {_PROCESSED_BLANK}
+SELECT dataset, start_date, CAST(sum(n_left) AS BIGINT) AS n_left, CAST(sum(n_right) AS BIGINT) AS n_right,
+       CAST(sum(least(n_left, n_right)) AS BIGINT) AS n_same, CAST(sum(greatest(n_left - n_right, 0)) AS BIGINT) AS n_lost,
+       CAST(sum(greatest(n_right - n_left, 0)) AS BIGINT) AS n_extra
+FROM counted GROUP BY ALL""",
+    "archive_common": f"""
+WITH {_ORDERS}
+SELECT id, dataset, start_date, price FROM (SELECT *, unnest(range(CASE WHEN id % 13 = 2 THEN 2 ELSE 1 END)) FROM old)
+WHERE id % 11 <> 5 AND id % 17 <> 3""",
+    "event_fields": """
+WITH texts AS (
+  SELECT event_id, CASE event_id % 10 WHEN 1 THEN props[1:-2] WHEN 2 THEN '{"k": "x"}' WHEN 3 THEN '{"k": null}' WHEN 4 THEN NULL
+         WHEN 5 THEN '{"d": {"x": [0, ' || event_id || ']}}' ELSE props END AS props, props AS whole
+  FROM events)
+SELECT event_id, props, event_id % 10 = 1 AS props_broken,
+       CASE WHEN event_id % 10 NOT IN (1, 2, 3, 4, 5) THEN CAST(regexp_extract(whole, '[0-9]+') AS INTEGER) END AS k,
+       CASE WHEN event_id % 10 = 5 THEN event_id END AS x, event_id % 10 = 2 AS k_mistyped, false AS x_mistyped
+FROM texts""",
+    "price_stats_range": """
+SELECT p_brand, p_type, count(*) AS n, CAST(min(price) AS DECIMAL(18,4)) AS min_price, CAST(max(price) AS DECIMAL(18,4)) AS max_price,
+       round(avg(price::DOUBLE), 2) AS avg_price, round(stddev_samp(price::DOUBLE), 2) AS stddev_price
+FROM (SELECT p_brand, p_type, CAST(l_extendedprice AS DECIMAL(12,2)) AS price FROM lineitem JOIN part ON l_partkey = p_partkey
+      WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31')
+GROUP BY p_brand, p_type""",
+    # a day is written as soon as a row a day past its end has come
+    "daily_price_stream": """
+WITH days AS (
+  SELECT CAST(ts AS DATE) AS day, event_type AS dataset, 'v' || user_id % 5 AS vendor, count(*) AS n,
+         CAST(min(CAST(value AS DECIMAL(18,4))) AS DECIMAL(18,4)) AS min_price, CAST(max(CAST(value AS DECIMAL(18,4))) AS DECIMAL(18,4)) AS max_price,
+         CAST(sum(CAST(value AS DECIMAL(18,4))) AS DECIMAL(28,4)) AS total
+  FROM events GROUP BY ALL)
+SELECT *, day + 2 > (SELECT max(ts) FROM events) AS is_open FROM days""",
     "report_csv_export": f"""
 WITH {_BASKETS}
 SELECT id, d.dataset, file_id, description, unit, vendor, price, currency, start_date, end_date

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pricegrid import schemas
 from pricegrid.functions.dates import add_report_dates
 from pricegrid.functions.prices import is_priced, observation_id, parse_price
+from pricegrid.functions.records import with_fields
 from pricegrid.functions.urls import output_name, report_name
 from pricegrid.operators import feeds, html, reports
 from pricegrid.operators.catalog import categorise, name_clusters, product_search
@@ -23,9 +24,11 @@ from pricegrid.operators.merchants import (
     merchant_matrix,
     merchant_rank,
 )
+from pricegrid.operators.reconcile import bag_intersect, differences, reconciled
 from pricegrid.operators.rows import drop_repeats, union_all
 from pricegrid.operators.rules import categorise_by_rules
 from pricegrid.operators.search_index import search_index, write_index
+from pricegrid.operators.states import daily_states, stats_of_states
 from pricegrid.operators.stats import price_stats
 from pricegrid.plans import standins as data
 from pricegrid.plans.standins import money, table
@@ -38,6 +41,7 @@ from pricegrid.sources.pages import SEEDS, seeds
 from pricegrid.sources.tables import read_archive, read_cells, read_feed, stream_feed
 from pricegrid.streaming.load import load_increment
 from pricegrid.streaming.repeats import stream_without_repeats
+from pricegrid.streaming.windows import daily_prices, open_days, stream_daily_prices
 
 Query = Callable[[SparkSession, str], DataFrame]
 RUN_DATE = datetime.date(2020, 1, 15)
@@ -491,6 +495,82 @@ def archive_reload_in_place(spark, sf_dir):
     return read_archive(spark, path).select("id", "dataset", "start_date", "price")
 
 
+def processed_orders(orders: DataFrame) -> DataFrame:
+    """Orders as a careless run leaves them: some are lost, some come twice, some at another price."""
+    key = F.col("id")
+    price = F.when(key % 17 == 3, (F.col("price") + 1).cast("decimal(12,2)")).otherwise(F.col("price"))
+    times = F.when(key % 11 == 5, 0).when(key % 13 == 2, 3).otherwise(1)
+    changed = orders.withColumn("price", price).withColumn("times", times).filter("times > 0")
+    return changed.withColumn("i", F.explode(F.sequence(F.lit(1), "times"))).drop("i", "times")
+
+
+def archive_differences(spark, sf_dir):
+    """Rows that a raw and a processed archive do not have equally often."""
+    raw, done = scratch_dir(spark, "raw"), scratch_dir(spark, "processed")
+    orders = without_some_datasets(order_archive(spark, sf_dir))
+    write_archive(orders, raw)
+    write_archive(processed_orders(orders), done)
+    return differences(read_archive(spark, raw), read_archive(spark, done)).select("id", "dataset", "start_date", "price", "n_lost", "n_extra")
+
+
+def archive_reconciled(spark, sf_dir):
+    """The same per dataset and day, counted."""
+    orders = without_some_datasets(order_archive(spark, sf_dir))
+    return reconciled(orders, processed_orders(orders), ["dataset", "start_date"])
+
+
+def archive_common(spark, sf_dir):
+    """Rows of both archives, as often as both have them."""
+    orders = order_archive(spark, sf_dir)
+    return bag_intersect(orders.union(orders), processed_orders(orders))
+
+
+def event_fields(spark, sf_dir):
+    """The events' properties by path, with broken text, other types and deeper values among them."""
+    key, props = F.col("event_id"), F.col("props")
+    kind = key % 10
+    text = (
+        F.when(kind == 1, F.expr("substring(props, 1, length(props) - 1)"))
+        .when(kind == 2, F.lit('{"k": "x"}'))
+        .when(kind == 3, F.lit('{"k": null}'))
+        .when(kind == 4, F.lit(None).cast("string"))
+        .when(kind == 5, F.concat(F.lit('{"d": {"x": [0, '), key.cast("string"), F.lit("]}}")))
+        .otherwise(props)
+    )
+    feed = table(spark, sf_dir, "events").select("event_id", text.alias("props"))
+    return with_fields(feed, "props", {"k": ("$.k", "int"), "x": ("$.d.x[1]", "bigint")})
+
+
+def stats_of_1996(spark, sf_dir):
+    """Statistics of a year out of daily states of all years; the medians' ranks are tested elsewhere."""
+    lines = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    rows = lines.select("p_brand", "p_type", F.col("l_shipdate").cast("date").alias("start_date"), money("l_extendedprice").alias("price"))
+    states = stage(daily_states(rows, ["p_brand", "p_type"]), "states")
+    year = states.filter(F.col("start_date").between(*map(F.lit, YEAR_1996)))
+    merged = stats_of_states(year, ["p_brand", "p_type"])
+    return merged.select(
+        "p_brand", "p_type", "n", "min_price", "max_price",
+        F.round("avg_price", 2).alias("avg_price"), F.round("stddev_price", 2).alias("stddev_price"),
+    )
+
+
+def daily_price_stream(spark, sf_dir):
+    """Daily prices of events from a stream of four files in order of time, with the days that are still open at the end."""
+    events = table(spark, sf_dir, "events").select(
+        F.col("event_type").alias("dataset"), F.concat(F.lit("v"), F.col("user_id") % 5).alias("vendor"),
+        F.col("value").cast("decimal(18,4)").alias("price"), F.col("ts").cast("timestamp").alias("ts"),
+    )
+    files, out, state = (scratch_dir(spark, n) for n in ("events", "days", "state"))
+    week = F.floor((F.dayofmonth("ts") - 1) / 8).cast("int")
+    for n in range(4):  # one file after the other, as they come
+        events.filter(week == n).coalesce(1).write.mode("append").parquet(files)
+    feed = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(files)
+    stream_daily_prices(feed, "1 day", out, state)
+    written = spark.read.parquet(out).select("day", "dataset", "vendor", "n", "min_price", "max_price", "total")
+    still = open_days(spark, state).join(daily_prices(events), ["day", "dataset", "vendor", "n"]).select(*written.columns)
+    return written.withColumn("is_open", F.lit(False)).unionByName(still.withColumn("is_open", F.lit(True)))
+
+
 def archive_range(spark, sf_dir):
     """A date range read back from an archive."""
     path = scratch_dir(spark, "orders")
@@ -635,6 +715,12 @@ QUERIES: dict[str, Query] = {
     "archive_reload": archive_reload,
     "archive_reload_in_place": archive_reload_in_place,
     "archive_range": archive_range,
+    "archive_differences": archive_differences,
+    "archive_reconciled": archive_reconciled,
+    "archive_common": archive_common,
+    "event_fields": event_fields,
+    "price_stats_range": stats_of_1996,
+    "daily_price_stream": daily_price_stream,
     "report_csv_export": report_csv_export,
     "medicine_csv_export": medicine_csv_export,
     "feed_csv": feed_csv,
