@@ -37,6 +37,11 @@ BASKET_EXCLUDED = (
 )
 
 
+def row_block() -> Column:
+    """The part of a page that a row lies in."""
+    return F.floor(F.col("row_no") / ROWS_PER_BLOCK).cast("int")
+
+
 def any_of(terms: tuple[str, ...]) -> str:
     """Pattern for "contains one of these, in any case"."""
     return f"(?iu)({'|'.join(terms)})"
@@ -220,12 +225,10 @@ def attach_layout(cells: DataFrame, layouts: DataFrame) -> DataFrame:
             F.explode(F.sequence(F.lit(0), last_block)).alias("block"),
         )
     )
-    body = cells.filter((F.col("row_no") >= HEADER_ROWS) & F.col("cell").isNotNull()).withColumns(
-        {
-            "block": F.floor(F.col("row_no") / ROWS_PER_BLOCK).cast("int"),
-            "price": parse_price(null_token(F.col("cell"))),
-        }
-    )
+    body = cells.filter((F.col("row_no") >= HEADER_ROWS) & F.col("cell").isNotNull())
+    if "block" not in cells.columns:  # cells that are laid out by block have it, and need no shuffle
+        body = body.withColumn("block", row_block())
+    body = body.withColumn("price", parse_price(null_token(F.col("cell"))))
     # only asked where there is no price
     body = body.withColumn("price_too_large", F.col("price").isNull() & too_large(null_token(F.col("cell"))))
     gcol = F.try_element_at("first_col", F.col("table_no")) + F.col("col_no")

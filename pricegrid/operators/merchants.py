@@ -35,22 +35,21 @@ def offers(prices: DataFrame) -> DataFrame:
 def merchant_rank(prices: DataFrame) -> DataFrame:
     """Vendors of a product ranked by price, with the gap to the best one.
 
-    Ranks come from the counts of lower price levels, so a product with very
-    many vendors is not one sort, and offers meet their level by product and
-    price. ``is_cheapest`` marks a single vendor, the first by name among equals.
+    Ranks come from the counts of lower price levels, which hold numbers only, so
+    a product with very many vendors is not one sort, and offers meet their
+    level by product and price. ``is_cheapest`` marks a single vendor, the first by name among equals.
     """
     best = stage(offers(prices), "offers")
-    levels = price_levels(best, ["product"], F.min("vendor").alias("first_vendor"))
+    levels = price_levels(best, ["product"])
     ranked = levels_before(levels, price_bands(levels, ["product"]), ["product"])
-    cheapest = (F.col("before") == 0) & (F.col("vendor") == F.col("first_vendor"))
-    return best.join(
-        ranked.select("product", "price", "before", "lowest", "first_vendor"), ["product", "price"]
-    ).select(
+    first = best.groupBy("product").agg(F.min(F.struct("price", "vendor")).alias("first"))
+    placed = best.join(ranked.select("product", "price", "before", "lowest"), ["product", "price"]).join(first, "product")
+    return placed.select(
         *KEYS,
         "price",
         (F.col("before") + 1).alias("price_rank"),
         (F.col("price") - F.col("lowest")).alias("gap"),
-        cheapest.alias("is_cheapest"),
+        (F.col("vendor") == F.col("first.vendor")).alias("is_cheapest"),
     )
 
 

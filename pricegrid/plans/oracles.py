@@ -487,3 +487,4 @@ ORACLES["page_first_text_parsed"] = ORACLES["page_first_text"]
 ORACLES["archive_reload_in_place"] = ORACLES["archive_reload"]
 ORACLES["product_search_indexed"] = ORACLES["product_search"]
 ORACLES["product_search_indexed_scripts"] = ORACLES["product_search_scripts"]
+ORACLES["grid_to_long_laid_out"] = ORACLES["grid_to_long"]

@@ -34,7 +34,7 @@ from pricegrid.plans import standins as data
 from pricegrid.plans.standins import money, table
 from pricegrid.plans.surveys import medicine_survey, new_reports, survey
 from pricegrid.session import scratch_dir, stage
-from pricegrid.sinks.files import write_archive, write_feed, write_report_csv
+from pricegrid.sinks.files import write_archive, write_feed, write_laid_out_cells, write_report_csv
 from pricegrid.sinks.reload import replace_range, replaced
 from pricegrid.sinks.snapshots import append_rows, read_snapshot, reload_range
 from pricegrid.sources.pages import SEEDS, seeds
@@ -198,6 +198,19 @@ def baskets(spark, sf_dir):
     return basket_prices(rendered(spark, sf_dir, data.basket_cells))
 
 
+LAID_OUT: dict[tuple, str] = {}
+
+
+def baskets_laid_out(spark, sf_dir):
+    """The same from cells that lie in buckets of page and block, written once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in LAID_OUT:
+        name = f"cells_{len(LAID_OUT)}_{spark.sparkContext.startTime}"
+        write_laid_out_cells(rendered(spark, sf_dir, data.basket_cells), name, scratch_dir(spark, "laid-out", keep=True), buckets=8)
+        LAID_OUT[key] = name
+    return basket_prices(spark.table(LAID_OUT[key]))
+
+
 def medicines(spark, sf_dir):
     return medicine_prices(rendered(spark, sf_dir, data.medicine_cells))
 
@@ -685,6 +698,7 @@ QUERIES: dict[str, Query] = {
     "failed_download_pairing": failed_download_pairing,
     "last_written": last_written,
     "grid_to_long": baskets,
+    "grid_to_long_laid_out": baskets_laid_out,
     "grid_guards": grid_guards,
     "medicine_split": medicines,
     "medicine_variants": medicine_variants,

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from pricegrid.operators.grid import BLOCK, row_block
+
 # Text is written as it is, blanks at its ends included.
 CSV = {
     "header": True,
@@ -48,3 +50,14 @@ def write_feed(df: DataFrame, path: str, name: str, run: str, fields: list[str])
     target = f"{path.rstrip('/')}/{name}/run={run}"
     df.select(*fields).write.mode("errorifexists").options(**CSV).csv(target)
     return target
+
+
+def write_laid_out_cells(cells: DataFrame, table: str, path: str, buckets: int = 64) -> None:
+    """Cells as a table in buckets of page and row block, the way grids are read.
+
+    ``grid`` then joins a page's layout to its body without shuffling the body.
+    A long page lies in as many buckets as it has blocks. The table is known to
+    the session's catalogue under its name and lies in ``path``.
+    """
+    laid = cells.withColumn("block", row_block()).repartition(buckets, *BLOCK)
+    laid.write.mode("overwrite").bucketBy(buckets, *BLOCK).sortBy(*BLOCK).option("path", path).saveAsTable(table)

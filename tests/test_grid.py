@@ -5,6 +5,8 @@ from grids import cell_rows, cells, headed
 from pricegrid.operators import grid
 from pricegrid.operators.grid import basket_prices
 from pricegrid.operators.medicines import medicine_prices, written_variants
+from pricegrid.session import scratch_dir
+from pricegrid.sinks.files import write_laid_out_cells
 
 BASKET = headed(
     ["Producto", "Unidad", "Super A", "Super\nB", "Promedio Global"],
@@ -211,3 +213,26 @@ def test_cells_that_are_there_twice(spark):
     twice = basket_prices(cells(spark, rows, again))
     assert sorted(tuple(r) for r in twice.drop("id").collect()) == once
     assert twice.select("id").distinct().count() == len(once) == 4
+
+
+def test_laid_out_cells_save_the_shuffle_of_the_body(spark):
+    """Same rows from buckets, with one exchange fewer; a long page lies in several of them."""
+    path, name = scratch_dir(spark, "laid-out"), "cells_of_a_test"
+    long = [[f"p{i}", "u", "1.00", "2.00"] for i in range(5000)]
+    plain = cells(spark, cell_rows(headed(["P", "U", "A", "B"], *long)), cell_rows(headed(["P", "U", "A"], ["x", "y", "3.00"]), page_no=1))
+    write_laid_out_cells(plain, name, path, 4)
+    hints = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in hints}
+    try:
+        for k, v in hints.items():
+            spark.conf.set(k, v)
+        both = [basket_prices(plain), basket_prices(spark.table(name))]
+        # one line for each operator of the tree
+        exchanges = [sum("Exchange hash" in line for line in df._jdf.queryExecution().executedPlan().treeString().splitlines()) for df in both]
+        rows = [sorted(map(str, df.collect())) for df in both]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+        spark.sql(f"drop table {name}")
+    assert rows[0] == rows[1] and len(rows[0]) == 10001
+    assert exchanges[1] < exchanges[0]
