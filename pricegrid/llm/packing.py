@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from pricegrid.llm import textbuf
+from pricegrid.llm.white_runs import encode_ordinary
 from pricegrid.session import stage
 
 #: pieces of one length that one task ranks; only splits work
@@ -60,7 +61,7 @@ class Tokenizer:
 
         def encode(text: str):
             if (text.isascii() or max(text) < "ɐ") and not any(x in text for x in self.specials):
-                return fast.encode_ordinary(text)
+                return encode_ordinary(fast, text)
             return whole.encode(text, add_special_tokens=False).ids
 
         return encode

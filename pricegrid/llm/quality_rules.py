@@ -32,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from pricegrid.llm import textbuf
+from pricegrid.llm.white_runs import encode_ordinary
 from pricegrid.session import stage
 
 MIN_WORDS = 50
@@ -135,7 +136,7 @@ class _Measure:
             # a lone byte outside ASCII stands for a part of a character
             self.fallback = np.zeros(max(ranks.values()) + 1, bool)
             self.fallback[[i for piece, i in ranks.items() if len(piece) == 1 and piece[0] > 127]] = True
-            self.encode = lambda texts: [model.encode_ordinary(text) for text in texts]
+            self.encode = lambda texts: [encode_ordinary(model, text) for text in texts]
         else:
             raise ValueError(f"no reader for vocabularies of kind {vocabulary.kind!r}")
 
