@@ -8,7 +8,7 @@ import re
 LONG = 10_000
 
 # White space as the pattern has it.
-WHITE = "\t\n\x0b\x0c\r \x85\xa0  -     　"
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"    　"
 
 
 def encode_ordinary(model, text: str, long: int = LONG) -> list[int]:
