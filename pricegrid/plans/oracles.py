@@ -429,7 +429,8 @@ SELECT event_id, props, event_id % 10 = 1 AS props_broken,
 FROM texts""",
     "price_stats_range": """
 SELECT p_brand, p_type, count(*) AS n, CAST(min(price) AS DECIMAL(18,4)) AS min_price, CAST(max(price) AS DECIMAL(18,4)) AS max_price,
-       round(avg(price::DOUBLE), 2) AS avg_price, round(stddev_samp(price::DOUBLE), 2) AS stddev_price
+       -- rounded half up in whole numbers
+       CAST((2 * sum(CAST(price * 100 AS HUGEINT)) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS avg_price, round(stddev_samp(price::DOUBLE), 2) AS stddev_price
 FROM (SELECT p_brand, p_type, CAST(l_extendedprice AS DECIMAL(12,2)) AS price FROM lineitem JOIN part ON l_partkey = p_partkey
       WHERE CAST(l_shipdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '1996-12-31')
 GROUP BY p_brand, p_type""",
