@@ -6,18 +6,23 @@ fallbacks, and uses its tokens evenly. Shouting, symbol noise and broken
 encodings need many short tokens; repetition uses few distinct ones.
 
 Three measures a vocabulary: characters per token, share of byte-fallback
-tokens, and the entropy of the text's tokens as a share of what a text of that
-many tokens can reach. Bands come from the whole corpus: in each language the
-quartiles of each measure, read off a histogram of fixed bins, are widened by
-``reach`` interquartile ranges. Short texts vary more and long ones repeat more
-of their tokens, so texts are compared with those of their language whose
-number of tokens has the same power of two. Texts outside a band are rejected.
+tokens, and the entropy of the text's tokens as a share of what as many tokens
+can reach. Long texts repeat more of their tokens, so entropy is that of stretches
+of at most ``STRETCH`` tokens, on average; with it no measure drifts as texts get
+longer. Bands come from the whole corpus: in each language the quartiles of each
+measure, read off a histogram of fixed bins, are widened by ``reach``
+interquartile ranges. Short texts vary more, so texts are compared with those of
+their language whose number of tokens has the same power of two, all texts of
+``STRETCH`` tokens and more being one size. Texts outside a band are rejected.
+
+Every size of every language has a band, by one rule at every count: its
+quartiles lean on those of the language as if these were ``lean`` texts more, and
+a language's on those of all languages. Where the two disagree the band is wider
+by the deviation between them, since few texts prove neither.
 
 Defined results. A null text is an empty text: zero counts, null measures,
 ``base_failed``. A null or unseen language is a group of its own. Bands only
-judge texts of ``min_tokens`` tokens; where a language has fewer than
-``min_texts`` texts of a size, the band over all languages holds, and where
-that has fewer, none does. Repeated rows stay repeated and
+judge texts of ``min_tokens`` tokens. Repeated rows stay repeated and
 count each time. Only the named columns are read, so extra columns of any name
 do no harm. An empty table gives an empty result.
 """
@@ -38,6 +43,8 @@ from pricegrid.session import stage
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
 BINS = 1000
+#: tokens that entropy is measured over, a power of two
+STRETCH = 1024
 
 # The characters counted as symbols.
 SYMBOLS = textbuf.byte_class(b"#*$%&|<>")
@@ -56,7 +63,7 @@ class Vocabulary:
 class Bands:
     reach: float = 2.25
     min_tokens: int = 30
-    min_texts: int = 200
+    lean: float = 20.0
 
 
 BASE = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
@@ -146,13 +153,22 @@ class _Measure:
             ids = np.array(ids, np.int64)
             tokens.append(len(ids))
             fallbacks.append(int(self.fallback[ids].sum()) if len(ids) else 0)
-            seen = np.bincount(ids) if len(ids) > 4096 else np.unique(ids, return_counts=True)[1]
-            seen = seen[seen > 0]
-            bits = float(np.log2(len(ids)) - (seen * np.log2(seen)).sum() / len(ids)) if len(ids) else 0.0
-            entropy.append(bits / np.log2(len(ids)) if len(ids) > 1 else 1.0)
+            entropy.append(_entropy_share(ids, len(self.fallback)))
         return tokens, fallbacks, entropy
 
 
+def _entropy_share(ids: np.ndarray, vocabulary: int) -> float:
+    """Entropy of stretches of about equal length, as a share of the highest; on average over all of them."""
+    if len(ids) < 2:
+        return 1.0
+    stretches = -(-len(ids) // STRETCH)
+    stretch = np.arange(len(ids)) * stretches // len(ids)
+    key, seen = np.unique(stretch * vocabulary + ids, return_counts=True)
+    size = np.bincount(stretch)
+    bits = np.log2(size) - np.bincount(key // vocabulary, seen * np.log2(seen)) / size
+    return float((bits / np.log2(size)).mean())
+
+
 def measures(
     docs: DataFrame,
     vocabularies: list[Vocabulary],
@@ -196,39 +212,53 @@ def _ratios(i: int) -> dict[str, F.Column]:
 
 
 def _size() -> F.Column:
-    """The power of two of a text's tokens."""
-    return F.floor(F.log2(F.greatest("t0", F.lit(1)))).cast("int")
+    """The power of two of a text's tokens, up to that of a stretch."""
+    return F.floor(F.log2(F.least(F.greatest("t0", F.lit(1)), F.lit(STRETCH)))).cast("int")
+
+
+def _quartiles(binned: DataFrame, *group: str) -> DataFrame:
+    """``group, texts, q1, q3``: quartiles of each group's histogram."""
+    by_group = W.partitionBy(*group)
+    summed = binned.groupBy(*group, "bin").agg(F.sum("n").alias("n"))
+    ranked = summed.withColumn("so_far", F.sum("n").over(by_group.orderBy("bin"))).withColumn("total", F.sum("n").over(by_group))
+    at = lambda q: F.min(F.when(F.col("so_far") >= F.col("total") * q, F.col("bin")))
+    return ranked.groupBy(*group).agg(at(0.25).alias("q1"), at(0.75).alias("q3"), F.max("total").alias("texts"))
 
 
 def rejection_bands(measured: DataFrame, n: int, bands: Bands, lang: str) -> DataFrame:
-    """``all_langs, lang, size, measure, low, high``.
+    """``lang, size, measure, low, high`` of every language and size that occurs.
 
     Quartiles are those of a histogram with ``BINS`` bins over all texts, so
     what is shuffled is bounded by languages, sizes and bins.
     """
-    group = ["all_langs", "lang", "size", "measure"]
     ratios = {k: v for i in range(n) for k, v in _ratios(i).items()}
     long = F.explode(F.array(*(F.struct(F.lit(k).alias("measure"), F.floor(v * BINS).cast("int").alias("bin")) for k, v in ratios.items())))
     judged = measured.filter(F.col("t0") >= bands.min_tokens)
-    counted = (
+    binned = (
         judged.select(F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"), _size().alias("size"), long.alias("m"))
         .groupBy("lang", "size", "m.measure", "m.bin")
         .agg(F.count("*").alias("n"))
-        .withColumn("all_langs", F.explode(F.array(F.lit(False), F.lit(True))))
-        .withColumn("lang", F.when(~F.col("all_langs"), F.col("lang")))
     )
-    binned = counted.groupBy(*group, "bin").agg(F.sum("n").alias("n"))
-    by_group = W.partitionBy(*group)
-    ranked = binned.withColumn("so_far", F.sum("n").over(by_group.orderBy("bin"))).withColumn("total", F.sum("n").over(by_group))
-    at = lambda q: F.min(F.when(F.col("so_far") >= F.col("total") * q, F.col("bin")))
-    quartiles = ranked.groupBy(*group).agg(at(0.25).alias("q1"), at(0.75).alias("q3"), F.max("total").alias("texts"))
+    binned = stage(binned, "histograms")
+    quartiles = F.struct("q1", "q3", "texts")
+    own = _quartiles(binned, "lang", "size", "measure").select("lang", "size", "measure", quartiles.alias("own"))
+    one = _quartiles(binned, "lang", "measure").select("lang", "measure", quartiles.alias("one"))
+    every = _quartiles(binned, "measure").select("measure", quartiles.alias("every"))
+    lean = F.lit(bands.lean)
+    # how much a size's texts, and a language's, say for themselves
+    of_size, of_lang = F.col("own.texts") / (F.col("own.texts") + lean), F.col("one.texts") / (F.col("one.texts") + lean)
+    mixed = lambda share, a, b: share * a + (1 - share) * b
+    q1, q3 = (mixed(of_size, F.col(f"own.{q}"), mixed(of_lang, F.col(f"one.{q}"), F.col(f"every.{q}"))) for q in ("q1", "q3"))
+    middle = lambda x: (F.col(f"{x}.q1") + F.col(f"{x}.q3")) / 2
+    # the deviation between the middles of what is mixed
+    by_size = F.abs(middle("own") - middle("one")) * F.sqrt(of_size * (1 - of_size))
+    by_lang = F.abs(middle("one") - middle("every")) * F.sqrt(of_lang * (1 - of_lang)) * (1 - of_size)
     # measures that hardly vary: at least three bins, and two hundredths for fallbacks, as a passage in
     # another script is no broken encoding
     least = F.when(F.col("measure").startswith("fallback_share"), BINS // 50).otherwise(3)
-    spread = F.greatest(F.col("q3") - F.col("q1") + 1, least) * bands.reach
-    return quartiles.filter(F.col("texts") >= bands.min_texts).select(
-        *group, ((F.col("q1") - spread) / BINS).alias("low"), ((F.col("q3") + 1 + spread) / BINS).alias("high")
-    )
+    spread = (F.greatest(q3 - q1 + 1, least) + by_size + by_lang) * bands.reach
+    joined = own.join(one.hint("merge"), ["lang", "measure"]).join(F.broadcast(every), "measure")  # a row per measure
+    return joined.select("lang", "size", "measure", ((q1 - spread) / BINS).alias("low"), ((q3 + 1 + spread) / BINS).alias("high"))
 
 
 def quality_rules(
@@ -248,17 +278,12 @@ def quality_rules(
     measured = stage(measures(docs, vocabularies, text, names), "fertility")
     n = len(vocabularies)
     limits = rejection_bands(measured, n, bands, lang)
-    by_group = limits.groupBy("all_langs", "lang", "size").agg(
-        F.map_from_entries(F.collect_list(F.struct("measure", F.struct("low", "high")))).alias("limits")
-    )
-    own = by_group.filter("not all_langs").select(F.col("lang").alias("__lang"), F.col("size").alias("__size"), F.col("limits").alias("__own"))
-    common = by_group.filter("all_langs").select(F.col("size").alias("__size"), F.col("limits").alias("__all"))
+    by_group = limits.groupBy("lang", "size").agg(F.map_from_entries(F.collect_list(F.struct("measure", F.struct("low", "high")))).alias("__limits"))
+    by_group = by_group.withColumnsRenamed({"lang": "__lang", "size": "__size"})
     judged = (
         measured.withColumn("__lang", F.coalesce(F.col(lang).cast("string"), F.lit("")))
         .withColumn("__size", _size())
-        .join(own, ["__lang", "__size"], "left")
-        .join(F.broadcast(common), "__size", "left")  # a row per power of two: 64 at most
-        .withColumn("__limits", F.coalesce("__own", "__all"))
+        .join(by_group, ["__lang", "__size"], "left")
     )
     inside = F.lit(True)
     for i in range(n):

@@ -1,4 +1,5 @@
 import collections
+import random
 import re
 
 import numpy as np
@@ -7,7 +8,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 from pricegrid.llm import textbuf
 from pricegrid.llm.quality_classifier import FEATURES, Discriminant, fit, held_out, quality_scores
-from pricegrid.llm.quality_rules import base_counts, quality_rules
+from pricegrid.llm.quality_rules import _entropy_share, base_counts, quality_rules
 from pricegrid.llm.queries import VOCABULARIES
 from pyspark.sql import functions as F
 
@@ -53,6 +54,57 @@ def test_clean_documents_are_kept(spark):
     assert counts[1, True] >= 0.98 * (counts[1, True] + counts.get((1, False), 0))
 
 
+def texts_of(seed, count, words, letters="abcdefghilmnoprstu", size=400):
+    """Texts of words that have a made-up language's frequencies."""
+    pick = random.Random(seed)
+    stock = ["".join(pick.choices(letters, k=pick.randint(2, 8))) for _ in range(size)]
+    weights = [1 / k for k in range(1, size + 1)]
+    return [" ".join(pick.choices(stock, weights, k=words())) for _ in range(count)]
+
+
+def noise(seed, words):
+    pick = random.Random(seed)
+    return " ".join("".join(pick.choices("#$%&~^QXZqxz0123456789{}[]", k=6)) for _ in range(words))
+
+
+def kept(spark, rows):
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate(rows)], "doc_id bigint, text string, lang string")
+    found = quality_rules(docs, VOCABULARIES).collect()
+    assert not any(r["base_failed"] for r in found)
+    return [r["kept"] for r in sorted(found, key=lambda r: r["doc_id"])]
+
+
+def test_bands_of_a_small_table(spark):
+    pick = random.Random(1)
+    clean = texts_of(2, 90, lambda: pick.randint(60, 900))
+    assert kept(spark, [(t, "en") for t in [*clean, noise(3, 300), noise(4, 80)]]) == [True] * 90 + [False] * 2
+
+
+def test_very_long_texts_are_judged(spark):
+    pick = random.Random(5)
+    clean = texts_of(6, 62, lambda: pick.randint(60, 900))
+    long = [" ".join(clean[:30]) + " " + " ".join(clean[30:60])] * 2
+    verdicts = kept(spark, [(t, "en") for t in [*clean, *long, noise(7, 60_000)]])
+    assert verdicts == [True] * 64 + [False]
+
+
+def test_a_rare_language_is_judged_by_its_own(spark):
+    pick = random.Random(8)
+    clean = texts_of(9, 150, lambda: pick.randint(60, 600))
+    rare = texts_of(10, 6, lambda: pick.randint(60, 600), "бвгдежзиклмнопрстуя")
+    verdicts = kept(spark, [(t, "en") for t in clean] + [(t, "xx") for t in rare])
+    assert all(verdicts[150:]) and sum(verdicts[:150]) >= 148
+
+
+def test_entropy_share_does_not_drift_with_length():
+    ids = np.random.default_rng(0).zipf(1.3, 200_000) % 5000
+    at = [_entropy_share(ids[:n], 5000) for n in (1024, 8192, 200_000)]
+    assert max(at) - min(at) < 0.05
+    seen = np.unique(ids[:700], return_counts=True)[1] / 700
+    assert _entropy_share(ids[:700], 5000) == pytest.approx(-(seen * np.log2(seen)).sum() / np.log2(700))
+    assert _entropy_share(ids[:1], 5000) == 1.0
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
