@@ -24,11 +24,13 @@ an item of ``n`` words holds at least ``n - 1 - 2 d`` of the items' pairs.
 Items are read in blocks of bounded size, and each block meets all documents;
 nothing is shuffled.
 
-Defined results. Null and empty texts match nothing. Items of fewer than
-``min_words`` words are not searched for: passages that short occur anywhere.
-With ``min_words`` of 1 all are; below five words no edit is allowed. Rows and items that repeat are reported each; null ids stay null. Only the
-named columns are read, so extra columns of any name do no harm. Empty tables
-give an empty result.
+Defined results. Null and empty texts match nothing. Every item with a word is
+searched for; below five words no edit is allowed. ``min_words`` leaves shorter
+items out, where passages that short occur anywhere. An item that stands in a
+document several times is reported each time, back to back as well; passages of
+one item do not overlap. Rows and items that repeat are reported each; null ids
+stay null. Only the named columns are read, so extra columns of any name do no
+harm. Empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -59,7 +61,7 @@ class Search:
     """``percent`` of an item's words must stand; leaks with as many edits as that are met with chance ``recall``."""
 
     percent: int = 80
-    min_words: int = 5
+    min_words: int = 1
     recall: float = 0.99
 
     def edits(self, words: int) -> int:
@@ -375,18 +377,33 @@ def _search(items: Items, rows: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             symbols, begin, end = texts[row]
             for a, b in _regions(starts, len(word) + 2 * allowed):
                 low = max(0, a - allowed)
-                part = symbols[low : b + len(word) + 2 * allowed]
-                # each word of the item that is not there is an edit
-                held[part] = True
-                missing = len(word) - held[word].sum()
-                held[part] = False
-                if missing > allowed:
-                    continue
-                distance, first, last = edit_distance_inside(word, part)
-                if distance <= allowed and last > first:
+                for distance, first, last in _passages(word, symbols[low : b + len(word) + 2 * allowed], allowed, held):
                     yield batch, row, i, distance, int(begin[low + first]), int(end[low + last - 1])
 
 
+def _passages(item: np.ndarray, text: np.ndarray, allowed: int, held: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """``distance, first, last`` of the best passage within the limit, then of those before and after it.
+
+    ``held`` is one false mark for each symbol, to be left so.
+    """
+    parts = [(0, len(text))]
+    while parts:
+        low, high = parts.pop()
+        if high - low < len(item) - allowed:
+            continue
+        part = text[low:high]
+        # each word of the item that is not there is an edit
+        held[part] = True
+        missing = len(item) - held[item].sum()
+        held[part] = False
+        if missing > allowed:
+            continue
+        distance, first, last = edit_distance_inside(item, part)
+        if distance <= allowed and last > first:
+            yield distance, low + first, low + last
+            parts += [(low, low + first), (low + last, high)]
+
+
 def _meet(items: Items, g: int, windows: np.ndarray, places: np.ndarray) -> Iterator[np.ndarray]:
     """``text, item, start`` of the windows that meet an item in a table; in bounded portions."""
     rows = max(1, min(1 << 13, (1 << 22) // max(len(items.tables[g]), windows.shape[1])))

@@ -123,11 +123,25 @@ def test_leak_without_its_first_words():
     assert {(row, i) for _, row, i, *_ in _search(items, iter([batch]))} == {(k, k) for k in range(20)}
 
 
+def test_every_passage_of_an_item(spark):
+    """Back to back, edited, and apart."""
+    items = [prose(7, 30), "two words"]
+    changed = " ".join(["other", *items[0].split()[1:]])
+    texts = [f"{items[0]} {items[0]} {changed}", f"a {items[0]} b {prose(8, 90)} {items[0]} c", "two words two words, two words"]
+    rows = leaks(docs_of(spark, texts), spark.createDataFrame(list(enumerate(items)), "item_id bigint, text string")).collect()
+    spans = {(r["doc_id"], r["item_id"], r["distance"]): [] for r in rows}
+    for r in sorted(rows, key=lambda r: r["start"]):
+        spans[r["doc_id"], r["item_id"], r["distance"]].append(texts[r["doc_id"]][r["start"] : r["end"]])
+    assert spans[0, 0, 0] == [items[0]] * 2 and [s.split()[-29:] for s in spans[0, 0, 1]] == [items[0].split()[1:]]
+    assert spans[1, 0, 0] == [items[0]] * 2
+    assert spans[2, 1, 0] == ["two words"] * 3 and len(spans) == 4
+
+
 def test_short_items_and_scripts_without_spaces():
     han = "".join(map(chr, range(0x4E00, 0x4E00 + 40)))
     items = ["Solo", "two words", "one two three four", han, han[:2], "".join(map(chr, range(0x0E01, 0x0E01 + 30))), "\U00020000\U00020001\U00020002"]
-    assert Items(list(range(len(items))), items, Search()).ids == [3, 5]
-    searched = Items(list(range(len(items))), items, Search(min_words=1))
+    assert Items(list(range(len(items))), items, Search(min_words=5)).ids == [3, 5]
+    searched = Items(list(range(len(items))), items, Search())
     assert len(searched.ids) == len(items)
     for around in ("", " before and after ", "前後"):
         texts = [around + x + around for x in items] + [around + han[:20] + "間" + han[24:] + around, "", None]

@@ -45,6 +45,18 @@ def test_near_copies(stages):
     assert set(stages[2]) <= set(stages[1])
 
 
+def test_rows_that_share_an_id(spark, sf_dir):
+    """Different texts are different documents; clashing and missing columns do no harm."""
+    a, b = (" ".join(f"{w}{i}" for i in range(80)) for w in "ab")
+    rows = [(1, a, 5, "k"), (1, b, 5, "k"), (2, a, 5, "k"), (2, a, 5, "k"), (None, a, 5, "k"), (None, None, 5, "k")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, __n int, __row_digest string")
+    kept = corpus_pipeline.without_near_copies(spark, docs, sf_dir)
+    assert kept.columns == docs.columns
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([rows[0], rows[1], rows[5]], key=str)
+    assert corpus_pipeline.without_leaks(spark, docs, sf_dir).columns == docs.columns
+    assert sorted(map(tuple, corpus_pipeline.without_secrets(spark, docs, sf_dir).collect()), key=str) == sorted(rows, key=str)
+
+
 def test_leaks(spark, sf_dir, stages):
     items = [r["text"] for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
     gone = ids(stages[2]) - ids(stages[3])
