@@ -9,7 +9,7 @@ decisions grow with the corpus, so their joins are merges and never broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pricegrid.llm.decontamination import leaks
 from pricegrid.llm.near_duplicates import Similarity, near_duplicates
@@ -19,38 +19,49 @@ from pricegrid.llm.queries import TOKENIZER, VOCABULARIES, table
 from pricegrid.llm.secret_scan import mask_secrets
 from pricegrid.session import stage
 
-KEY = "__row_digest"
-
-
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(KEY, F.sha2(F.to_json(F.struct(*(f"`{c}`" for c in docs.columns))).cast("binary"), 256))
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a digest of the whole row, and the name of its column, which none of ``docs`` has."""
+    taken, key = {c.lower() for c in docs.columns}, "__row_digest"
+    while key in taken:
+        key += "_"
+    return docs.withColumn(key, F.sha2(F.to_json(F.struct(*(f"`{c}`" for c in docs.columns))).cast("binary"), 256)), key
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
-    keyed = _keyed(docs)
-    kept = quality_rules(keyed, VOCABULARIES, key=(KEY,)).filter("kept").select(KEY).distinct()
-    return keyed.join(kept.hint("merge"), KEY, "left_semi").drop(KEY)
+    keyed, key = _keyed(docs)
+    kept = quality_rules(keyed, VOCABULARIES, key=(key,)).filter("kept").select(key).distinct()
+    return keyed.join(kept.hint("merge"), key, "left_semi").drop(key)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group of near copies; rows that share an id are one document, of which one row stays."""
-    kept = near_duplicates(docs, Similarity(words=5, percent=80)).filter("kept and doc_id is not null").select("doc_id").distinct()
-    of_id = W.partitionBy("doc_id").orderBy(KEY)
-    one = _keyed(docs.join(kept.hint("merge"), "doc_id", "left_semi")).withColumn("__n", F.row_number().over(of_id)).filter("__n = 1")
-    return one.select(*(f"`{c}`" for c in docs.columns)).unionByName(docs.filter("doc_id is null"))
+    """One row of each group of near copies, of the smallest id; null ids come last.
+
+    Groups are of rows, whatever their ids: different texts under one id, or without
+    one, are different documents. Of equal rows one stays.
+    """
+    keyed, key = _keyed(docs)
+    # near copies are numbered by whole numbers: 64 bits of the digest
+    number = F.conv(F.substring(key, 1, 16), 16, -10).cast("bigint").alias("__row")
+    rows = keyed.select(number, F.col(key).alias("__key"), F.col("doc_id").alias("__id"), F.col("text").alias("__text"))
+    found = near_duplicates(rows, Similarity(words=5, percent=80), text="__text", id_col="__row").select("__row", "component_id").distinct()
+    first = F.min(F.struct(F.col("__id").isNull(), "__id", "__key"))["__key"].alias(key)
+    kept = rows.drop("__text").distinct().join(found.hint("merge"), "__row").groupBy("component_id").agg(first).select(key)
+    return keyed.dropDuplicates([key]).join(kept.hint("merge"), key, "left_semi").select(*(f"`{c}`" for c in docs.columns))
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of a benchmark item."""
-    keyed = _keyed(docs)
-    leaked = leaks(keyed, table(spark, sf_dir, "benchmark"), id_col=KEY).select(KEY).distinct()
-    return keyed.join(leaked.hint("merge"), KEY, "left_anti").drop(KEY)
+    keyed, key = _keyed(docs)
+    leaked = leaks(keyed, table(spark, sf_dir, "benchmark"), id_col=key).select(key).distinct()
+    return keyed.join(leaked.hint("merge"), key, "left_anti").drop(key)
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their secrets masked."""
+    """All documents, their secrets masked; ``n_chars``, where there is one, follows the text."""
     masked = mask_secrets(docs)
+    if "n_chars" not in docs.columns:
+        return masked
     return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
