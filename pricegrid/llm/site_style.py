@@ -12,8 +12,15 @@ branches of low importance are taken out; what is left, in blocks, is its text.
 
 Two things no entropy tells: reader comments and sidebars differ on every page.
 So nodes whose tag, role, class or id says that they are no content have
-importance 0 from the start, and what is below them is in no tree. If a page has an article (else a main) element with text, only
-that counts.
+importance 0 from the start, and what is below them is in no tree. A class or id
+says so if all its words do, fillers aside: ``site-footer`` does, ``has-sidebar``
+and ``social-history`` do not. No name switches off a page's body, main or
+article elements. Text inside articles weighs ``region`` times: if a page's
+articles then weigh as much as the rest that the tree has left, only they count,
+else the same holds for its main elements, else all that is left. So a teaser in
+an article does not displace a story beside it.
+
+Reading takes time in proportion to the page, whatever is broken in it.
 
 Defined results. Null html gives an empty text. A null address is a host of its
 own. Repeated rows stay repeated. Broken markup is read like browsers do: open
@@ -25,6 +32,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -70,11 +78,19 @@ NO_CONTENT_NAMES = frozenset(
     "promoted recommended related replies respond share sharing sidebar sidebars signup skip social sponsor sponsored subscribe "
     "toolbar topbar widget widgets".split()
 )
-
-_TAG = re.compile(
-    r"""<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<rest>(?:"[^"]*"|'[^']*'|[^>"'])*+|[^>]*)>|[!?/][^>]*>)""",
-    re.DOTALL,
+#: words that say nothing beside those
+FILLERS = frozenset(
+    "area article articles bar block body bottom box button buttons col column container content form group header icon "
+    "icons inner item items js left link links list main module outer page panel post posts primary right row secondary section side "
+    "site slot stories story top unit wrap wrapper".split()
 )
+#: elements that no name switches off
+ALWAYS = frozenset("html body main article".split())
+
+_TAG = re.compile(r"<(?:(?P<comment>!--)|(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)|[!?/])")
+_COMMENT_END = re.compile("--!?>")
+#: a tag's attributes, quotes in pairs
+_REST = re.compile(r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+>""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden|itemprop)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.IGNORECASE)
 _NAME = re.compile(r"[a-z]+")
 _MASK = (1 << 64) - 1
@@ -86,11 +102,13 @@ SALTS = 32
 @dataclass(frozen=True)
 class Importance:
     """Branches below ``least`` go. ``content`` weighs content against presentation;
-    ``pages`` is how many pages the evidence of all hosts counts as."""
+    ``pages`` is how many pages the evidence of all hosts counts as; ``region`` is the
+    weight of text in articles and main elements."""
 
     least: float = 0.3
     content: float = 0.9
     pages: float = 3.0
+    region: float = 4.0
 
 
 class _Element:
@@ -101,24 +119,29 @@ class _Element:
         self.style, self.text = 0, 0
 
 
-def _attributes(rest: str) -> tuple[str, bool, bool]:
-    """A label from classes and ids, whether they speak against content, and whether they name the article."""
-    label, against, article = [], False, False
+def _no_content(name: str) -> bool:
+    """Whether a class or id says that its element is no content: all its words do, fillers aside."""
+    words = set(_NAME.findall(name)) - FILLERS
+    return bool(words) and words <= NO_CONTENT_NAMES
+
+
+def _attributes(rest: str) -> tuple[str, bool, bool, bool]:
+    """A label from classes and ids, whether the element is hidden, whether it is named no content, and whether it is the article."""
+    label, hidden, against, article = [], False, False, False
     for match in _ATTRIBUTE.finditer(rest):
         name, value = match[1].lower(), (match[2] or "").strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            against = True
+            hidden = True
         elif name == "role":
             against |= value in NO_CONTENT_ROLES
             article |= value == "main"
         elif name in ("class", "id"):
-            names = _NAME.findall(value)
             # numbers tell nodes of one kind apart, not kinds
-            label.append(name[0] + ".".join(names))
-            against |= not NO_CONTENT_NAMES.isdisjoint(names)
+            label.append(name[0] + ".".join(_NAME.findall(value)))
+            against |= any(map(_no_content, value.split()))
         elif name == "itemprop":
             article |= value == "articlebody"
-    return "|".join(label), against, article
+    return "|".join(label), hidden, against, article
 
 
 def _mixed(a: int, b: int) -> int:
@@ -136,40 +159,62 @@ class Page:
         self.blocks: list[tuple[int, str]] = []
         self._pieces: list[str] = []
         self._stack = [_Element("", 0, False, 0)]
-        self._open: dict[str, int] = {}
+        #: by tag: depths of its open elements
+        self._open: dict[str, list[int]] = defaultdict(list)
         self._read(source)
 
-    def text(self) -> str:
-        best = max((region for region, _ in self.blocks), default=0)
-        return "\n".join(text for region, text in self.blocks if region == best)
+    def text(self, region: float = Importance.region) -> str:
+        weight = [0, 0, 0]
+        for own, text in self.blocks:
+            weight[own] += len(text)
+        least = 0
+        if weight[2] * region > weight[0] + weight[1]:
+            least = 2
+        elif (weight[1] + weight[2]) * region > weight[0]:
+            least = 1
+        return "\n".join(text for own, text in self.blocks if own >= least)
 
     def _read(self, source: str) -> None:
         at, size = 0, len(source)
+        last = source.rfind(">")
+        paired = True
         while at < size:
             match = _TAG.search(source, at)
-            if not match:
-                self._characters(source[at:])
-                break
-            if match.start() > at:
+            if match and match["comment"]:
                 self._characters(source[at : match.start()])
-            at = match.end()
+                end = _COMMENT_END.search(source, match.end())
+                at = end.end() if end else size
+                continue
+            if not match or match.start() > last:
+                # no tag ends from here on, but a comment may begin
+                begin = source.find("<!--", at)
+                self._characters(source[at : begin if begin >= 0 else size])
+                break
+            self._characters(source[at : match.start()])
+            # a quote that is never closed is looked for once; from then on quotes are not paired
+            rest = _REST.match(source, match.end()) if paired and match["tag"] else None
+            paired = paired and (rest is not None or not match["tag"])
+            at = rest.end() if rest else source.find(">", match.end()) + 1
             if match["tag"] is None:
                 continue
             tag = match["tag"].lower()
             if match["end"]:
                 self._close(tag)
                 continue
-            self._start(tag, match["rest"])
+            self._start(tag, source[match.end() : at - 1])
             if tag in RAW:
                 # raw text runs to its own end tag, whatever stands in it
-                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.IGNORECASE).search(source, at)
-                at = end.end() if end else size
+                end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.IGNORECASE).search(source, at)
+                at = source.find(">", end.end()) + 1 if end else 0
+                at = at or size
                 self._close(tag)
         while len(self._stack) > 1:
             self._pop()
         self._flush()
 
     def _characters(self, raw: str) -> None:
+        if not raw:
+            return
         top = self._stack[-1]
         text = entities.unescape(raw)
         plain = " ".join(text.split())
@@ -197,27 +242,27 @@ class Page:
         top.style = _mixed(top.style, xxhash.xxh3_64_intdigest(tag))
         if tag in VOID:
             return
-        label, against, article = _attributes(rest) if rest else ("", False, False)
+        label, hidden, against, article = _attributes(rest) if rest else ("", False, False, False)
         path = xxhash.xxh3_64_intdigest(f"{top.path}/{tag}:{label}") - (1 << 63)
         region = max(top.region, 2 if tag == "article" else 1 if tag == "main" or article else 0)
-        off = top.off or against or tag in NO_CONTENT_TAGS or path in self.low
+        off = top.off or hidden or against and tag not in ALWAYS or tag in NO_CONTENT_TAGS or path in self.low
         if tag == "header":
             # of an article's own header the headings stay, of a page's nothing
             off = off or not region
         elif top.tag == "header" and tag not in HEADINGS and tag not in ("div", "hgroup"):
             off = True
+        self._open[tag].append(len(self._stack))
         self._stack.append(_Element(tag, path, off, region))
-        self._open[tag] = self._open.get(tag, 0) + 1
 
     def _end_open(self, tags: set[str], scope) -> None:
-        for depth in range(len(self._stack) - 1, 0, -1):
-            tag = self._stack[depth].tag
-            if tag in tags:
-                while len(self._stack) > depth:
-                    self._pop()
-                return
-            if tag in scope:
-                return
+        """End the innermost open element of ``tags`` unless one of ``scope`` stands inside it."""
+        depth = self._innermost(tags)
+        if depth and depth > self._innermost(scope):
+            while len(self._stack) > depth:
+                self._pop()
+
+    def _innermost(self, tags) -> int:
+        return max((self._open[tag][-1] for tag in tags if self._open.get(tag)), default=0)
 
     def _close(self, tag: str) -> None:
         if not self._open.get(tag):
@@ -230,7 +275,7 @@ class Page:
         if self._stack[-1].tag in BLOCK:
             self._flush()
         node = self._stack.pop()
-        self._open[node.tag] -= 1
+        self._open[node.tag].pop()
         parent = self._stack[-1]
         parent.text = _mixed(parent.text, node.text)
         if node.text and not node.off and node.tag not in ("html", "body"):
@@ -330,7 +375,7 @@ def main_text(
             texts = []
             for source, paths in zip(batch.column(2), batch.column(3)):
                 html = unpacker.decompress(source.as_py()).decode()
-                texts.append(Page(html, set(paths.as_py() or ())).text())
+                texts.append(Page(html, set(paths.as_py() or ())).text(importance.region))
             columns = [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "url", "text", "n_chars"])
 
