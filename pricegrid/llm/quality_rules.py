@@ -279,7 +279,8 @@ def quality_rules(
     n = len(vocabularies)
     limits = rejection_bands(measured, n, bands, lang)
     by_group = limits.groupBy("lang", "size").agg(F.map_from_entries(F.collect_list(F.struct("measure", F.struct("low", "high")))).alias("__limits"))
-    by_group = by_group.withColumnsRenamed({"lang": "__lang", "size": "__size"})
+    # written, so that Spark knows its size: a small one is broadcast and documents are not shuffled by language
+    by_group = stage(by_group.withColumnsRenamed({"lang": "__lang", "size": "__size"}), "bands")
     judged = (
         measured.withColumn("__lang", F.coalesce(F.col(lang).cast("string"), F.lit("")))
         .withColumn("__size", _size())
