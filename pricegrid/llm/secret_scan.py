@@ -4,8 +4,13 @@ Three kinds come from patterns: ``assign`` (a key word with a value), ``access``
 (access key ids) and ``hex``. A fourth, ``markov``, is any long run of token
 characters that a Markov model of random strings explains better than one of
 ordinary identifiers, by a log-likelihood ratio over its character pairs. Both
-models are learnt from labelled samples; all that leaves the cluster is one
-count per label and pair of characters, at most twice 68 by 68 numbers.
+models are learnt from labelled samples. A sample's label is where it stands, not
+whether it has digits: values that the patterns give away are random, other runs of
+token characters are ordinary unless their classes of characters change too often. What the samples
+of identifiers never show (a date in a path, a version, a capital inside a name) is
+rated by classes of characters. A random string of lower-case letters alone differs
+little from a word in each pair and takes some 30 characters to be told. All that leaves the cluster is one count per label
+and pair of characters, at most twice 68 by 68 numbers.
 
 Everything is DataFrame functions. A pattern's places come from the lengths of
 what it matches and of what lies between, added up in two levels, so a text
@@ -14,8 +19,8 @@ with very many matches costs little more than its length.
 Defined results. A null text is an empty text, without spans. Offsets count
 code points; ends are exclusive. A markov span that overlaps a span of the
 three kinds is left out. Rows stay as they are, repeated ones and null ids
-included. Without any sample the random model is uniform and no string differs
-from it. Only the named columns are read; columns that the result adds replace
+included. Without any sample the random model is uniform and the other goes by
+classes alone. Only the named columns are read; columns that the result adds replace
 none of the others' names. An empty table gives an empty result.
 """
 
@@ -37,6 +42,9 @@ KINDS = ("assign", "access", "hex", "markov")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-."
 TOKEN = "[A-Za-z0-9+/_=-]"
 
+#: chance that a letter or digit of an identifier is followed by one of its own class, where no sample tells
+STAY = 0.7
+
 MASK = "<secret>"
 
 
@@ -102,21 +110,49 @@ class MarkovPair:
 
 
 def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``(token, label)`` from documents: values that patterns give away, and long runs of letters."""
+    """``(token, label)`` from documents: values that patterns give away, and other long runs of token characters."""
     found = with_base_spans(docs.select(F.col(text)), F.col(text))
     values = F.concat("__assign", "__access", "__hex")
-    # a value may itself hold words; only those with a digit are surely generated
-    random = F.filter(F.transform(values, lambda m: m["found"]), lambda v: v.rlike("[0-9]") & (F.length(v) >= 16))
-    words = F.filter(F.regexp_extract_all(F.col("__text"), F.lit(TOKEN + "{12,}"), F.lit(0)), lambda w: ~w.rlike("[0-9]"))
+    random = F.filter(F.transform(values, lambda m: m["found"]), lambda v: F.length(v) >= 16)
+    rest = F.regexp_replace("__text", f"{ASSIGN}|{ACCESS}|{HEX}", " ")
+    runs = F.regexp_extract_all(rest, F.lit(TOKEN + "{12,}"), F.lit(0))
+    # a secret without a key word must not teach what is ordinary, so classes of characters have a say first
+    words = F.filter(runs, lambda run: _pair_of({}).score(run) <= 0)
     labelled = lambda tokens, label: F.transform(tokens, lambda t: F.struct(t.alias("token"), F.lit(label).alias("label")))
     return found.select(F.explode(F.concat(labelled(random, 1), labelled(words, 0))).alias("s")).select("s.token", "s.label")
 
 
+def _class_of(character: str) -> str:
+    return "lower" if character.islower() else "upper" if character.isupper() else "digit" if character.isdigit() else "sign"
+
+
+def _by_class(a: str, b: str) -> float:
+    """Chance of ``b`` after ``a`` in an identifier, from their classes only."""
+    mine, other = _class_of(a), _class_of(b)
+    chance = 0.25 if mine == "sign" else STAY if mine == other else (1 - STAY) / 3
+    return chance / sum(_class_of(c) == other for c in ALPHABET)
+
+
+def _pair_of(seen: dict[tuple[int, str], int]) -> MarkovPair:
+    """Both models from counts of ``(label, pair)``; without any, from what they assume."""
+    size, ratios = len(ALPHABET), []
+    for a in ALPHABET:
+        totals = [sum(seen.get((label, a + b), 0) for b in ALPHABET) for label in (0, 1)]
+        for b in ALPHABET:
+            chance = []
+            for label, (assumed, share) in enumerate([(_by_class(a, b), 0.1), (1 / size, 0.5)]):
+                own = seen.get((label, a + b), 0) / totals[label] if totals[label] else assumed
+                chance.append((1 - share) * own + share * assumed)
+            ratios.append(math.log(chance[1] / chance[0]))
+    return MarkovPair(tuple(ratios))
+
+
 def train(samples: DataFrame) -> MarkovPair:
     """Learn both models from all ``(token, label)`` rows; label 1 is random.
 
-    A model mixes what it saw with the uniform one: half for random strings, as
-    a new generator may use other characters, a hundredth for identifiers.
+    A model mixes what it saw after a character with what it assumes: half uniform
+    for random strings, as a new generator may use other characters, a tenth by
+    classes for identifiers. Where it saw nothing, the assumption stands alone.
     """
     letters = F.split("token", "")
     n = F.greatest(F.size("letters") - 1, F.lit(0))
@@ -130,17 +166,7 @@ def train(samples: DataFrame) -> MarkovPair:
         .filter(F.col("pair").rlike(r"^[A-Za-z0-9+/_=.-]{2}$"))
     )
     seen = {(row["label"], row["pair"]): row["n"] for row in counted.collect()}
-    size, ratios = len(ALPHABET), []
-    for a in ALPHABET:
-        rows = [{b: seen.get((label, a + b), 0) for b in ALPHABET} for label in (0, 1)]
-        totals = [sum(row.values()) for row in rows]
-        for b in ALPHABET:
-            chance = []
-            for row, total, uniform in zip(rows, totals, (0.01, 0.5)):
-                own = row[b] / total if total else 1 / size
-                chance.append((1 - uniform) * own + uniform / size)
-            ratios.append(math.log(chance[1] / chance[0]))
-    return MarkovPair(tuple(ratios))
+    return _pair_of(seen)
 
 
 # Scan

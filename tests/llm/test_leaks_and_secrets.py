@@ -229,6 +229,22 @@ def test_markov_spans(spark, documents):
     assert sum("markov" in spans for d, spans in rows.items() if d < 10_000) == 0
 
 
+ORDINARY = [
+    "https://example.org/articles/2023/10/05/how-to-cook-rice", "user_profile_backup_2024_final_v2", "getUserAccountSettingsById",
+    "/usr/share/doc/packages/readme-2.4.txt", "meeting-notes-2021-03-15-final", "MAX_CONNECTION_TIMEOUT_SECONDS", "20231005123456789012345",
+]
+LETTERS = ["xkQzWvBnTrLpMsHgFdYcJeKa", "QwZxKvBpRtYnMcGhJdLsFaWe", "vkqwjzxbtpgmfydhlrcnwqkzjxvpqj"]
+
+
+def test_digits_decide_nothing(spark, sf_dir):
+    """Paths, file names, dates and versions are ordinary; random letters are not, with or without digits."""
+    texts = [f"see {s} for more" for s in ORDINARY + LETTERS]
+    documents = spark.read.parquet(f"{sf_dir}/../sf0.01/documents.parquet")
+    docs = docs_of(spark, texts, 10_000).select("doc_id", "text").union(documents.select("doc_id", "text"))
+    rows = [r["text"] for r in mask_secrets(docs).filter("doc_id >= 10000").orderBy("doc_id").collect()]
+    assert rows == [f"see {s} for more" for s in ORDINARY] + ["see <secret> for more"] * len(LETTERS)
+
+
 def test_masking(spark):
     texts = ["key: token=abcdef01 and " + "a1" * 15 + " end", None, "nothing here", "secret:" + "ab" * 30 + "!"]
     rows = [r["text"] for r in mask_secrets(docs_of(spark, texts)).orderBy("doc_id").collect()]
