@@ -7,6 +7,15 @@ parses the central directory, finds where the members' bytes begin, range-reads
 the index, and then each record alone. Packages are read through pyarrow's file
 systems, so the folder may be any that those open on all executors.
 
+Packages of other writers may hold several archive members, with indexes in CDXJ
+that are plain, gzip files or deflated, and records that are plain or gzip members. Archive
+members themselves must be stored. A record without this module's own fields goes by its
+record id; its payload's SHA-256 is computed, or taken over for a revisit that
+names it, else null, as is the size of a revisit's payload. A response whose
+payload differs from a SHA-256 or SHA-1 that it names stops the read, unless its
+HTTP block is in a transfer encoding, where writers disagree about what is hashed. So does an archive member
+that no index names: its records would be lost unsaid.
+
 Records with the same payload of at least ``MIN_REVISIT`` bytes are written
 once, for the smallest page id; the others revisit it.
 
@@ -19,6 +28,8 @@ packages.
 
 from __future__ import annotations
 
+import base64
+import gzip
 import hashlib
 import json
 import struct
@@ -37,6 +48,8 @@ from pricegrid.session import scratch_dir, stage
 MIN_REVISIT = 100
 RECORDS = "archive/data.warc.gz"
 INDEX = "indexes/index.cdxj"
+ARCHIVES = (".warc", ".warc.gz")
+INDEXES = (".cdxj", ".cdx", ".cdxj.gz", ".cdx.gz")
 PACKAGE_BYTES = 1 << 28
 
 # Signatures and sizes of the ZIP format.
@@ -139,42 +152,82 @@ def begin_of(source, member: Member) -> int:
     return member.header + 30 + n + x
 
 
-def index_entries(source) -> Iterator[tuple[int, int]]:
-    """Absolute offset and length of each record of a package."""
+def content_of(source, member: Member) -> bytes:
+    """All bytes of a small member, such as an index."""
+    if member.method == 8:
+        stored = Member(member.name, 0, member.packed, member.packed, member.header)
+        raw = zlib.decompress(source.read_at(member.packed, begin_of(source, stored)), -15)
+    else:
+        raw = source.read_at(member.size, begin_of(source, member))
+    return gzip.decompress(raw) if member.name.endswith(".gz") else raw
+
+
+def index_entries(source) -> list[tuple[int, int]]:
+    """Absolute offset and length of each record that a package's indexes name."""
     held = members(source)
-    index, records = held[INDEX], held[RECORDS]
-    first = begin_of(source, records)
-    lines = source.read_at(index.size, begin_of(source, index)).decode().splitlines()
-    for line in lines:
-        entry = json.loads(line.split(" ", 2)[2])
-        yield first + int(entry["offset"]), int(entry["length"])
+    archives = {name: begin_of(source, member) for name, member in held.items() if name.endswith(ARCHIVES) and member.size}
+    # indexes name an archive member with or without its folder
+    short = {name.rpartition("/")[2]: name for name in archives}
+    found, named = set(), set()
+    for member in held.values():
+        if not member.name.endswith(INDEXES):
+            continue
+        for line in content_of(source, member).decode().splitlines():
+            parts = line.split(" ", 2)
+            if len(parts) < 3 or not parts[2].startswith("{"):  # a heading
+                continue
+            entry = json.loads(parts[2])
+            name = entry["filename"] if entry["filename"] in archives else short.get(entry["filename"].rpartition("/")[2])
+            if name is None:
+                raise ValueError(f"the index {member.name} names {entry['filename']}, which is not in the package")
+            named.add(name)
+            found.add((archives[name] + int(entry["offset"]), int(entry["length"])))
+    if named != set(archives):
+        raise ValueError(f"no index names {sorted(set(archives) - named)}")
+    return sorted(found)
 
 
 def parse_record(packed: bytes) -> tuple[dict[str, str], bytes]:
-    """Named fields and block of a record."""
-    raw = zlib.decompress(packed, 31)
+    """Fields by lower-case name, and block, of a record, which is plain or a gzip member."""
+    raw = zlib.decompressobj(31).decompress(packed) if packed[:2] == b"\x1f\x8b" else packed
     head, _, rest = raw.partition(b"\r\n\r\n")
     lines = head.decode().split("\r\n")
     if not lines[0].startswith("WARC/"):
         raise ValueError("no WARC record at this byte range")
-    named = dict(line.split(": ", 1) for line in lines[1:])
-    return named, rest[: int(named["Content-Length"])]
+    fields = (line.partition(":") for line in lines[1:])
+    named = {name.strip().lower(): value.strip() for name, _, value in fields}
+    return named, rest[: int(named["content-length"])]
+
+
+def _digest(labelled: str | None) -> tuple[str, str] | None:
+    """Algorithm and lower-case hex of a digest in hex or base 32; None if it is neither SHA-256 nor SHA-1."""
+    kind, _, value = (labelled or "").partition(":")
+    kind = kind.lower().replace("-", "")
+    size = {"sha256": 64, "sha1": 40}.get(kind)
+    if size is None or len(value) == size:
+        return (kind, value.lower()) if size else None
+    return kind, base64.b32decode(value.upper() + "=" * (-len(value) % 8)).hex()
 
 
-def result_of(packed: bytes) -> tuple[str | None, int, str, str, str | None, str | None, bytes | None]:
+def result_of(packed: bytes) -> tuple[str | None, int | None, str | None, str, str | None, str | None, bytes | None]:
     """Page id, payload bytes, digest, record type, page it refers to, address, payload."""
     named, block = parse_record(packed)
-    digest, size = named["WARC-Payload-Digest"].removeprefix("sha256:"), int(named["Payload-Length"])
-    payload = None
-    if named["WARC-Type"] == "response":
-        payload = block.partition(b"\r\n\r\n")[2]
-        if len(payload) != size or hashlib.sha256(payload).hexdigest() != digest:
-            raise ValueError(f"the payload of {named['WARC-Record-ID']} differs from its digest")
-    return named.get("Page-Id"), size, digest, named["WARC-Type"], named.get("Refers-To-Page-Id"), named.get("WARC-Target-URI"), payload
+    kind, digest = named["warc-type"], _digest(named.get("warc-payload-digest"))
+    ours = "payload-length" in named
+    size, sha256, payload = int(named["payload-length"]) if ours else None, digest[1] if digest and digest[0] == "sha256" else None, None
+    if kind != "revisit":
+        http, _, payload = block.partition(b"\r\n\r\n") if "application/http" in named.get("content-type", "") else (b"", b"", block)
+        own = hashlib.sha256(payload).hexdigest()
+        told = digest is None or digest[1] == (own if sha256 else hashlib.sha1(payload).hexdigest())
+        if kind == "response" and b"\r\ntransfer-encoding:" not in http.lower() and not (told and size in (None, len(payload))):
+            raise ValueError(f"the payload of {named['warc-record-id']} differs from its digest")
+        size, sha256 = len(payload), own
+    page, refers_to = ("page-id", "refers-to-page-id") if ours else ("warc-record-id", "warc-refers-to")
+    return named.get(page), size, sha256, kind, named.get(refers_to), named.get("warc-target-uri"), payload
 
 
 def read_records(packages: DataFrame, with_payload: bool = False) -> DataFrame:
-    """All records of packages, given as ``path`` and ``n_records``.
+    """All records of packages, whose addresses are in the column ``path``.
 
     First each package's index, then the records, dealt out by byte range, so
     a large package is read by many tasks.
@@ -185,9 +238,10 @@ def read_records(packages: DataFrame, with_payload: bool = False) -> DataFrame:
             for path in batch.column(0).to_pylist():
                 store, inner = open_store(path)
                 with store.open_input_file(inner) as source:
-                    offsets, lengths = zip(*index_entries(source))
+                    found = index_entries(source)
+                offsets, lengths = [a for a, _ in found], [n for _, n in found]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([path] * len(offsets)), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())],
+                    [pa.array([path] * len(offsets), pa.string()), pa.array(offsets, pa.int64()), pa.array(lengths, pa.int64())],
                     names=["path", "offset", "length"],
                 )
 
@@ -200,7 +254,7 @@ def read_records(packages: DataFrame, with_payload: bool = False) -> DataFrame:
                     store, inner = open_store(own)
                     path, source = own, store.open_input_file(inner)
                 rows.append(result_of(source.read_at(length, offset))[: len(names)])
-                held += rows[-1][1] if with_payload else 0
+                held += len(rows[-1][-1] or b"") if with_payload else 0
                 if held > 1 << 20:
                     yield batch_of(rows)
                     rows, held = [], 0

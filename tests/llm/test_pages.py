@@ -1,3 +1,7 @@
+import base64
+import gzip
+import hashlib
+import json
 import struct
 import zipfile
 
@@ -190,6 +194,67 @@ def test_zip64_directories(tmp_path):
         assert source.read_at(member.size, zip_archive.begin_of(source, member)) == b"stored bytes"
 
 
+def foreign_record(kind, uri, payload, digest, squeeze=True, more=""):
+    block = payload if kind == "resource" else b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n" + payload
+    content = "text/html" if kind == "resource" else "application/http; msgtype=response"
+    head = f"WARC/1.0\r\nwarc-type:{kind}\r\nWARC-Record-ID: <urn:{uri}>\r\nWARC-Target-URI: {uri}\r\n{digest}{more}"
+    raw = f"{head}Content-Type: {content}\r\nContent-Length: {len(block)}\r\n\r\n".encode() + block + b"\r\n\r\n"
+    return gzip.compress(raw) if squeeze else raw
+
+
+def test_packages_of_other_writers(spark, tmp_path):
+    """Several archive members, all kinds of indexes and digests, none of the own fields, and no records at all."""
+    sha1 = base64.b32encode(hashlib.sha1(b"first").digest()).decode()
+    sets = {
+        "archive/a.warc.gz": [
+            foreign_record("response", "r:1", b"first", f"WARC-Payload-Digest: sha1:{sha1}\r\n"),
+            foreign_record("revisit", "r:2", b"", f"WARC-Payload-Digest: sha1:{sha1}\r\n", more="WARC-Refers-To: <urn:r:1>\r\n"),
+        ],
+        "archive/deep/b.warc": [foreign_record("resource", "r:3", b"third\r\n\r\nx", "", squeeze=False)],
+        "archive/c.warc.gz": [foreign_record("response", "r:4", b"fourth", f"WARC-Payload-Digest: sha256:{hashlib.sha256(b'fourth').hexdigest()}\r\n")],
+    }
+    lines = {}
+    for name, records in sets.items():
+        at = 0
+        for r in records:
+            entry = {"offset": str(at), "length": len(r), "filename": name.rpartition("/")[2]}
+            lines.setdefault(name, ['!meta 0 {"format": "cdxj"}'.replace("{", "[").replace("}", "]")]).append(f"com,r)/ 2024 {json.dumps(entry)}")
+            at += len(r)
+    index = {n: "\n".join(x).encode() for n, x in lines.items()}
+    with zipfile.ZipFile(tmp_path / "a.wacz", "w") as z:
+        for name, records in sets.items():
+            z.writestr(name, b"".join(records))
+        z.writestr("indexes/a.cdx.gz", gzip.compress(index["archive/a.warc.gz"][:40]) + gzip.compress(index["archive/a.warc.gz"][40:]))
+        z.writestr("indexes/b.cdxj", index["archive/deep/b.warc"], zipfile.ZIP_DEFLATED)
+        z.writestr("indexes/c.cdxj", index["archive/c.warc.gz"])
+        z.writestr("datapackage.json", "{}")
+    with zipfile.ZipFile(tmp_path / "b.wacz", "w") as z:
+        z.writestr("datapackage.json", "{}")
+    paths = spark.createDataFrame([(str(tmp_path / n),) for n in ("a.wacz", "b.wacz")], "path string")
+    rows = {r["url"]: r for r in read_records(paths, with_payload=True).collect()}
+    assert {u: (r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for u, r in rows.items()} == {
+        "r:1": ("<urn:r:1>", "response", None, 5),
+        "r:2": ("<urn:r:2>", "revisit", "<urn:r:1>", None),
+        "r:3": ("<urn:r:3>", "resource", None, 10),
+        "r:4": ("<urn:r:4>", "response", None, 6),
+    }
+    assert bytes(rows["r:3"]["payload"]) == b"third\r\n\r\nx" and rows["r:2"]["payload"] is None
+    assert rows["r:1"]["payload_digest"] == hashlib.sha256(b"first").hexdigest()
+
+
+def test_records_that_differ_or_are_not_indexed(tmp_path):
+    wrong = foreign_record("response", "r:1", b"first", f"WARC-Payload-Digest: sha1:{hashlib.sha1(b'other').hexdigest()}\r\n")
+    with pytest.raises(ValueError, match="differs"):
+        zip_archive.result_of(wrong)
+    chunked = gzip.compress(gzip.decompress(wrong).replace(b"Server: x", b"Transfer-Encoding: chunked").replace(b"Content-Length: 35", b"Content-Length: 52"))
+    assert zip_archive.result_of(chunked)[1] == 5
+    with zipfile.ZipFile(tmp_path / "a.wacz", "w") as z:
+        z.writestr("archive/a.warc.gz", wrong)
+    store, inner = zip_archive.open_store(str(tmp_path / "a.wacz"))
+    with store.open_input_file(inner) as source, pytest.raises(ValueError, match="no index"):
+        zip_archive.index_entries(source)
+
+
 def test_broken_packages(tmp_path):
     (tmp_path / "a.zip").write_bytes(b"no package" * 10)
     store, inner = zip_archive.open_store(f"file:{tmp_path}/a.zip")
