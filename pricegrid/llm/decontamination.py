@@ -306,9 +306,10 @@ class Items:
                 out.append(none[0])
                 continue
             span = self._span(longest)
-            # windows that reach a dense hit
-            near = np.unique((dense[:, None] + np.arange(-span, 1)).ravel())
-            near = near[near >= 0]
+            # windows that reach a dense hit: hits are in order, so each adds what lies after the one before
+            low = np.maximum(dense - span, np.append(0, dense[:-1] + 1))
+            count = dense - low + 1
+            near = np.arange(count.sum()) + np.repeat(low - (np.cumsum(count) - count), count)
             end = np.minimum(near + span, owner_end[near])
             held = np.searchsorted(hit, end - 1) - np.searchsorted(hit, near)
             out.append(near[held >= needed])
@@ -348,7 +349,8 @@ def _search(items: Items, rows: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
                 if not len(starts):
                     continue
                 length = items.groups[g][1]
-                for row in np.unique(owner[starts]).tolist():
+                own = owner[starts]  # in order, as starts are
+                for row in own[np.append(True, own[1:] != own[:-1])].tolist():
                     if low + row not in texts:
                         a, b = found.first[row], found.first[row + 1]
                         chars = np.cumsum(textbuf.IS_CHAR[data[offsets[row] : offsets[row + 1]]])
