@@ -7,6 +7,7 @@ from hypothesis import given, settings, strategies as st
 
 from pricegrid.operators.catalog import categorise, product_search
 from pricegrid.operators.intervals import overlaps
+from pricegrid.operators import rules as rule_tables
 from pricegrid.operators.rules import categorise_by_rules, matching_rules, required_literals
 from pricegrid.operators.search_index import search_index, write_index
 from pricegrid.session import scratch_dir
@@ -81,6 +82,29 @@ def test_rules_meet_candidates_only(spark):
     assert found.count() == sum(i % 60 < 50 for i in range(1200))
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(ATOMS, min_size=1, max_size=5), st.text("abc ", max_size=12))
+def test_every_match_holds_a_text_of_every_list(atoms, text):
+    pattern = "".join(atoms)
+    if re.search(pattern, text):
+        assert all(any(f in text for f in found) for found in rule_tables.required_texts(pattern))
+
+
+def test_rules_are_kept_under_what_few_names_hold(spark, monkeypatch):
+    """Not under the longer text that all names hold, and rules of one pattern once."""
+    written, stage = {}, rule_tables.stage
+    monkeypatch.setattr(rule_tables, "stage", lambda df, name: written.setdefault(name, stage(df, name)))
+    products = spark.createDataFrame([(i, f"thing no. {i}") for i in range(100, 160)], "id bigint, name string")
+    own = [(1000 + i, rf"\bNO\. 0*{i}\z", f"c{i}") for i in range(100, 140)]
+    shared = [(n, r"thing no\. 150", f"s{n}") for n in range(5000, 5300)]
+    table = spark.createDataFrame(shared + own, "rule_no int, pattern string, category string")
+    got = {r.id: r.category for r in categorise_by_rules(products, table).collect()}
+    assert got == {i: f"c{i}" if i < 140 else "s5000" if i == 150 else "other" for i in range(100, 160)}
+    kept = written["kept"].collect()
+    assert sorted(r.rule_no for r in kept) == [1000 + i for i in range(100, 140)] + [5000]
+    assert all(r.gram == str(r.rule_no - 1000) for r in kept if r.rule_no < 5000)
+
+
 def test_index_equals_the_scan(spark):
     pick = random.Random(1)
     words = "small red widget ring Łódź молоко 米 the".split()
