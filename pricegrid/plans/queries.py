@@ -596,7 +596,8 @@ def report_csv_export(spark, sf_dir):
     as CSV per report, twice, and read back."""
     path = scratch_dir(spark, "reports")
     columns = schemas.PRICE_OBS.names
-    own = baskets(spark, sf_dir).select(*columns)
+    # put down, as it is read twice by each of two writes
+    own = stage(baskets(spark, sf_dir).select(*columns), "observations")
     both = union_all(own, own.withColumn("dataset", F.lit("dairy_products")))
     for _ in range(2):
         write_report_csv(both, path)
@@ -607,8 +608,9 @@ def medicine_csv_export(spark, sf_dir):
     """Medicine observations written as CSV per report and variant, twice."""
     path = scratch_dir(spark, "reports")
     columns = schemas.MEDICINE_OBS.names
+    own = stage(medicines(spark, sf_dir).select("dataset", *columns), "observations")
     for _ in range(2):
-        write_report_csv(medicines(spark, sf_dir).select("dataset", *columns), path, "dataset", "file_id", "variant")
+        write_report_csv(own, path, "dataset", "file_id", "variant")
     return read_feed(spark, path, schemas.MEDICINE_OBS).select(*columns)
 
 

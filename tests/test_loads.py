@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pricegrid import schemas
 from pricegrid.functions.prices import observation_id, parse_price
+from pricegrid.plans import queries
 from pricegrid.session import scratch_dir
 from pricegrid.sinks import database
 from pricegrid.sinks.files import write_archive, write_feed, write_report_csv
@@ -276,3 +277,12 @@ def test_feed_refuses_to_overwrite_a_run(spark):
     write_feed(df, root, "flowers", "1", ["description"])
     with pytest.raises(Exception, match="(?i)exists"):
         write_feed(df, root, "flowers", "1", ["description"])
+
+
+@pytest.mark.parametrize("name", ["report_csv_export", "medicine_csv_export"])
+def test_exports_work_observations_out_once(spark, sf_dir, monkeypatch, name):
+    written = []
+    monkeypatch.setattr(queries, "write_report_csv", lambda df, *rest: written.append(df) or write_report_csv(df, *rest))
+    assert queries.QUERIES[name](spark, sf_dir).count()
+    plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in written]
+    assert len(plans) == 2 and not any("Join" in plan or "Window" in plan for plan in plans)
