@@ -1,6 +1,7 @@
 import datetime
 import time
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
@@ -205,3 +206,18 @@ def test_open_elements_end_with_their_cell():
 def test_marked_sections_are_skipped():
     read = html.PageReader(links="a").read("<![if x]><a href='1'></a><![bad [>]<a href='2'></a>")
     assert read.links == ["1", "2"]
+
+
+def test_parser_keeps_no_batch_and_hands_on_few_pages():
+    held, start = [], pa.total_allocated_bytes()
+
+    def batches():
+        for _ in range(3):
+            held.append(pa.total_allocated_bytes() - start)
+            page = "<div class='filetitle'><a href='a.pdf'>" + "x" * 20_000 + "</a></div>"
+            yield pa.RecordBatch.from_pydict({"page_id": list(range(200)), "url": ["u"] * 200, "html": [page] * 199 + [None]})
+
+    got = [(part.num_rows, sum(map(len, part.column("links").to_pylist()))) for part in html.read_batches(batches(), links=html.LINKS)]
+    assert sum(n for n, _ in got) == 600 and sum(n for _, n in got) == 3 * 199
+    assert max(n for n, _ in got) <= html.PAGES
+    assert max(held) < 1_000_000  # a batch is 4 MB
