@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from pricegrid.session import stage
 
 BAND_WIDTH = 100
+#: tasks that levels are dealt to before they are added up to the coarser grains
+PARTS = 256
 
 
 def price_levels(prices: DataFrame, keys: list[str]) -> DataFrame:
@@ -158,6 +160,8 @@ def price_stats(prices: DataFrame, product: str = "product", dataset: str = "dat
     """
     keys = ["grain", "key"]
     finest = price_levels(prices.filter("price is not null"), [product, dataset])
+    # a level counts three times: in the task that counted it, the sums would need three times its memory again
+    finest = finest.repartition(PARTS, product, dataset, "band", "price")
     levels = stage(_by_grain(finest, product, dataset, ["band", "price"], F.sum("n").alias("n")), "levels")
     moments = levels.groupBy(*keys).agg(
         F.sum("n").alias("n"),

@@ -7,6 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from pricegrid.operators import stats
 from pricegrid.operators.catalog import categorise, name_clusters, product_search
 from pricegrid.operators.history import price_asof, price_history, price_on_days
 from pricegrid.operators.merchants import (
@@ -196,3 +197,14 @@ def test_names_without_letters_stay_apart(spark):
     rows = {r.name: r for r in name_clusters(spark.createDataFrame([(n,) for n in names], "name string")).collect()}
     assert rows["***"].canonical == "***" and rows["--"].cluster_n == 2
     assert rows["Хлеб"].cluster_n == 2 and rows["米"].cluster_n == 1
+
+
+def test_levels_are_dealt_out_before_they_are_added_up(spark, monkeypatch):
+    """The task that counts levels does not hold their sums of three grains as well."""
+    plans, put = [], stats.stage
+    monkeypatch.setattr(stats, "stage", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or put(df, name))
+    rows = spark.createDataFrame([("a", "x", Decimal(i)) for i in range(50)], "product string, dataset string, price decimal(12,2)")
+    assert stats.price_stats(rows).count() == 3
+    nodes = [line.split("(")[0].strip(" :+-").split(" ")[0] for line in plans[0].splitlines()]
+    found = [n for n in nodes if n in ("Aggregate", "Expand", "RepartitionByExpression")]
+    assert found == ["Aggregate", "Expand", "RepartitionByExpression", "Aggregate"]
