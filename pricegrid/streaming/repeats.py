@@ -5,21 +5,25 @@ from __future__ import annotations
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Row, SparkSession, functions as F
 from pyspark.sql.streaming import StatefulProcessor
-from pyspark.sql.types import BooleanType, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, FloatType, MapType, StructType, TimestampType
 
 from pricegrid.streaming.load import replace_batch
 
 # Fixed value: the store that state with timers needs.
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Fixed value: keys are dealt to so many groups, each with one entry in the store.
+GROUPS = 4096
 
 
 class FirstOfKey(StatefulProcessor):
-    """Per key the time of its kept row, until the watermark is ``delay`` past it.
+    """For a group of keys the time of each one's kept row, until the watermark is ``delay`` past it.
 
-    Rows of a batch are looked at one after the other and none but the earliest
-    on time is kept in memory. Late rows are handed on, marked.
+    A group asks for its state once and writes it once a batch, since each call
+    costs far more than a key. Rows of a batch are looked at one after the other
+    and none but the earliest on time of each key is kept in memory. Late rows
+    are handed on, marked.
     """
 
     def __init__(self, delay: int, columns: list[str]):
@@ -28,30 +32,42 @@ class FirstOfKey(StatefulProcessor):
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.kept = handle.getValueState("kept", "at bigint")
+        self.kept = handle.getValueState("kept", "keys array<string>, times array<bigint>")
+
+    def keep(self, held: dict[str, int]) -> None:
+        """Write what is held, with a timer for the first that is to go."""
+        if held:
+            self.kept.update((list(held), list(held.values())))
+            self.handle.registerTimer((min(held.values()) + self.delay) // 1000 + 1)
+        else:
+            self.kept.clear()
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         mark = timerValues.getCurrentWatermarkInMs() * 1000  # newest time of earlier batches, less the delay
-        first = None
+        first = {}
         for row in rows:
-            *values, at = row
+            *values, _, name, at = row
             if at is not None and at < mark:
                 yield self.row(*values, True)
-            elif first is None or (at is not None and (first[-1] is None or at < first[-1])):
-                first = row
-        held = self.kept.get() if self.kept.exists() else None
-        if first is None or (held is not None and held[0] + self.delay >= mark):
+            elif name not in first or (at is not None and (first[name][-1] is None or at < first[name][-1])):
+                first[name] = row
+        if not first:
             return
-        *values, at = first
-        if at is not None:
-            self.kept.update((at,))
-            self.handle.registerTimer((at + self.delay) // 1000 + 1)
-        yield self.row(*values, False)
+        held = dict(zip(*(self.kept.get() or ((), ()))))
+        held = {name: at for name, at in held.items() if at + self.delay >= mark}
+        fresh = [row for name, row in first.items() if name not in held]
+        new = {name: at for *_, name, at in fresh if at is not None}
+        if new:
+            self.keep(held | new)
+        for *values, _, _, _ in fresh:
+            yield self.row(*values, False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        held = self.kept.get() if self.kept.exists() else None
-        if held is not None and (held[0] + self.delay) // 1000 < expiredTimerInfo.getExpiryTimeInMs():
-            self.kept.clear()
+        mark = timerValues.getCurrentWatermarkInMs() * 1000
+        held = dict(zip(*(self.kept.get() or ((), ()))))
+        left = {name: at for name, at in held.items() if at + self.delay >= mark}
+        if len(left) < len(held):
+            self.keep(left)
         return iter(())
 
     def close(self) -> None:
@@ -70,16 +86,34 @@ def state_store(spark: SparkSession):
         spark.conf.set(name, before) if before else spark.conf.unset(name)
 
 
-def marked_repeats(feed: DataFrame, key: list[str], delay: str, ts: str, flag: str) -> DataFrame:
+def key_text(feed: DataFrame, key: list[str]) -> Column:
+    """A text that is the same for equal keys only; missing parts are equal to each other."""
+    options = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+    parts = []
+    for i, part in enumerate(feed.select(*key).schema):
+        value, kind = F.col(key[i]), part.dataType
+        if isinstance(kind, (FloatType, DoubleType)):
+            value = F.when(value == 0, F.lit(0).cast(kind)).otherwise(value)  # zeros of either sign are equal
+        elif isinstance(kind, TimestampType):
+            value = F.unix_micros(value)
+        elif isinstance(kind, BinaryType):
+            value = F.hex(value)
+        nested = isinstance(kind, (ArrayType, MapType, StructType))
+        parts.append((value if nested else value.cast("string")).alias(f"k{i}"))
+    return F.to_json(F.struct(*parts), options)
+
+
+def marked_repeats(feed: DataFrame, key: list[str], delay: str, ts: str, flag: str, groups: int = GROUPS) -> DataFrame:
     """The first row of each key within ``delay``, and all late rows; ``flag`` says which. Call it in ``state_store``."""
     spark = feed.sparkSession
     width = spark.sql(f"select unix_micros(timestamp'1970-01-01 00:00:00 UTC' + interval {delay})").first()[0]
     names = [f"`{c}`" for c in feed.columns]
     # the watermark hangs on a copy of the time, which then goes: so Spark keeps it up and late rows are not dropped
     timed = feed.withColumn(f"{flag}_mark", F.col(ts).cast("timestamp")).withWatermark(f"{flag}_mark", delay)
-    timed = timed.select(*names, F.unix_micros(F.col(ts).cast("timestamp")).alias(f"{flag}_at"))
+    timed = timed.select(*names, key_text(feed, key).alias(f"{flag}_key"), F.unix_micros(F.col(ts).cast("timestamp")).alias(f"{flag}_at"))
+    timed = timed.select(*names, F.pmod(F.xxhash64(f"{flag}_key"), F.lit(groups)).alias(f"{flag}_group"), f"{flag}_key", f"{flag}_at")
     out = StructType(list(feed.schema)).add(flag, BooleanType())
-    return timed.groupBy(*key).transformWithState(
+    return timed.groupBy(f"{flag}_group").transformWithState(
         statefulProcessor=FirstOfKey(width, out.names), outputStructType=out, outputMode="Append", timeMode="EventTime"
     )
 
@@ -92,6 +126,7 @@ def stream_without_repeats(
     late: str,
     checkpoint: str,
     ts: str = "ts",
+    groups: int = GROUPS,
 ):
     """The first row of each key within ``delay``, and apart what came too late.
 
@@ -104,7 +139,10 @@ def stream_without_repeats(
     repeat counts, as in daily loads, ``load_increment`` asks the whole archive
     instead.
 
-    Keys and times are all the state there is; a timer drops them. A batch reads
+    Keys and times are all the state there is; a timer drops them. Keys are dealt
+    to ``groups`` by a hash, and a batch reads and writes the state of each group
+    it has rows of as one entry: more groups make entries smaller and calls more.
+    A checkpoint goes on with the number it began with. A batch reads
     its own rows and nothing that earlier ones have written. It has folders of
     its own, which a second try replaces. Times count in milliseconds where the
     watermark is concerned. Returns the finished query.
@@ -121,7 +159,7 @@ def stream_without_repeats(
 
     with state_store(feed.sparkSession):
         query = (
-            marked_repeats(feed, key, delay, ts, flag)
+            marked_repeats(feed, key, delay, ts, flag, groups)
             .writeStream.foreachBatch(write)
             .option("checkpointLocation", f"{checkpoint}/state")
             .trigger(availableNow=True)

@@ -1,6 +1,9 @@
 import datetime
 import os
 from decimal import Decimal
+from functools import reduce
+from operator import and_
+from random import Random
 
 import pytest
 from pyspark.sql import functions as F
@@ -15,7 +18,7 @@ from pricegrid.sinks.reload import replace_range, replaced
 from pricegrid.sources.tables import read_archive, read_feed, stream_feed
 from pricegrid.streaming import load
 from pricegrid.streaming.load import load_increment
-from pricegrid.streaming.repeats import stream_without_repeats
+from pricegrid.streaming.repeats import key_text, stream_without_repeats
 
 DAY = datetime.date(2020, 1, 1)
 ROWS = "id string, dataset string, start_date date, price decimal(18,4)"
@@ -225,6 +228,65 @@ def test_a_stream_forgets_what_time_has_passed(spark):
     assert spark.read.option("recursiveFileLookup", True).schema("k string").parquet(late).count() == 0
 
 
+def test_a_stream_keeps_its_state_by_group(spark):
+    """One entry in the store, and one call, holds many keys."""
+    out, late, state = (scratch_dir(spark, n) for n in ("out", "late", "st"))
+    at = lambda minutes: datetime.datetime(2020, 1, 1) + datetime.timedelta(minutes=minutes)
+    batches = [[(i, 0, at(i % 60)) for i in range(9000)], [(i, 1, at(60 + i % 60)) for i in range(8900, 9100)]]
+    query = stream_without_repeats(stream_of(spark, batches, "k long, n int, ts timestamp"), ["k"], "1 day", out, late, state)
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators) <= 4096
+    rows = spark.read.schema("k long, n int").parquet(out).collect()
+    assert sorted(r.k for r in rows) == [*range(9100)] and {r.k for r in rows if r.n} == {*range(9000, 9100)}
+
+
+def test_keys_of_one_group_are_told_apart_and_forgotten_each_in_its_time(spark):
+    out, late, state = (scratch_dir(spark, n) for n in ("out", "late", "st"))
+    start, random = datetime.datetime(2020, 1, 1), Random(3)
+    time = lambda day: None if random.random() < 0.1 else start + datetime.timedelta(hours=24 * day + random.randrange(60), microseconds=random.randrange(9))
+    batches = [[(random.choice(["a", "b", "", None]), random.choice([1, 2, None]), 100 * i + j, time(i)) for j in range(30)] for i in range(4)]
+    feed = stream_of(spark, batches, "k string, l int, n int, ts timestamp")
+    stream_without_repeats(feed, ["k", "l"], "1 day", out, late, state, groups=2)
+
+    # the rule in plain words: of each batch the late rows, then the earliest of each key that is not remembered
+    day, want, want_late, held, newest = datetime.timedelta(1), [], [], {}, start
+    for rows in batches:
+        mark, first = newest - day, {}
+        mark -= datetime.timedelta(microseconds=mark.microsecond % 1000)
+        for k, l, n, at in sorted(rows, key=lambda r: (r[3] is None, r[3] or start)):  # noqa: E741
+            if at and at < mark:
+                want_late.append(n)
+            else:
+                first.setdefault((k, l), (n, at))
+        for key, (n, at) in first.items():
+            if key not in held or held[key] + day < mark:
+                want.append((key, at))
+                held |= {key: at} if at else {}
+        newest = max([newest, *(r[3] for r in rows if r[3])])
+    key_and_time = lambda r: ((r.k, r.l), r.ts)
+    read = spark.read.schema("k string, l int, n int, ts timestamp").parquet
+    assert sorted(map(key_and_time, read(out).collect()), key=repr) == sorted(want, key=repr)
+    assert sorted(r.n for r in read(late).collect()) == sorted(want_late)
+    assert want_late and len(want) > len(held)
+
+
+def test_texts_of_keys_are_equal_where_keys_are(spark):
+    second = datetime.datetime(2020, 10, 25, 1, 30)
+    values = [
+        (0.0, "a", b"\xff", second, [1.5, None], Decimal("1.0")), (-0.0, "a", b"\xff", second, [1.5, None], Decimal("1.00")),
+        (float("nan"), 'a","k1":"b', b"\xfe", second + datetime.timedelta(microseconds=1), [], Decimal("1.01")),
+        (float("nan"), "None", b"", second + datetime.timedelta(hours=1), [None], None), (None, None, None, None, None, None), (None, "", b"\x00", second, [1.5], None),
+    ]
+    rows = spark.createDataFrame(values, "x double, s string, b binary, t timestamp, l array<double>, d decimal(9,2)")
+    rows = rows.withColumn("n", F.col("t").cast("timestamp_ntz")).withColumn("day", F.col("t").cast("date")).withColumn("both", F.struct("s", "t"))
+    rows = rows.select("*", *(key_text(rows, [c]).alias(f"{c}_text") for c in rows.columns), key_text(rows, rows.columns).alias("text"))
+    names = [c for c in rows.columns if f"{c}_text" in rows.columns]
+    same = [F.col(f"left.{c}").eqNullSafe(F.col(f"right.{c}")) for c in names]
+    same_text = [F.col(f"left.{c}").eqNullSafe(F.col(f"right.{c}")) for c in [*(f"{c}_text" for c in names), "text"]]
+    both = rows.alias("left").crossJoin(rows.alias("right"))
+    for pair in both.select(F.array(*same, reduce(and_, same)).alias("same"), F.array(*same_text).alias("same_text")).collect():
+        assert pair.same == pair.same_text
+
+
 def test_a_stream_goes_on_after_a_failed_batch(spark, monkeypatch):
     """The second folder cannot be written once: the batch comes again and nothing is there twice."""
     from pricegrid.streaming import repeats
